@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, sharding
+from . import embed, html, langid, linededup, mixing, packing, quality, sharding
 from .common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,28 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the blocks of lines that it shares with an earlier one."""
+    out = linededup.dedup(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines_removed", "n_lines_left", "text")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix to weights 5, 2, 1, ... takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.Mix(spark, docs).taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    return embed.near_duplicates(spark, table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document: eight shards that all hold the sources in proportion."""
     docs = table(spark, sf_dir, "documents").select(
@@ -47,7 +69,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op3_langid, op8_sharding, op9_packing)}
+    return {f.__name__: f for f in (op1_quality, op3_langid, op4_html, op6_linededup, op7_mixing, op8_sharding, op9_packing, op10_embed)}
 
 
 def oracle_sql() -> dict[str, str]:
