@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 #: A word everywhere in this subpackage: a run of anything but ASCII white space. In Python ``bytes.split()`` gives it.
 WORD = r"[^\x20\x09-\x0D]+"
 
+Made = TypeVar("Made")
 _FALLBACK: dict[str, str] = {}
 
 
@@ -61,6 +63,16 @@ class Scratch:
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def per_process(name: str, make: Callable[[], Made]) -> Made:
+    """``make()``, once in each Python process: functions travel by value here, so their globals last one task only."""
+    import sys
+
+    kept = sys.__dict__.setdefault("_evidlake", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, which a cluster sets to suit its data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

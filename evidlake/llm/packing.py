@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import per_process
+
 LENGTH = 1024
 END = 2
 OPEN_BINS = 512
@@ -101,9 +103,8 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     tail = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = None
+        encode = per_process(f"encoder {path}", lambda: encoder(path))
         for batch in batches:
-            encode = encode or encoder(path)
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encode(t or "") + tail

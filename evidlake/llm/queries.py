@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed, html, langid, linededup, mixing, packing, quality, sharding
+from . import embed, html, langid, linededup, lm, mixing, packing, quality, sharding
 from .common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and suffix-tree scores of every document, learned from six of seven folds."""
+    out = lm.score_all(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the blocks of lines that it shares with an earlier one."""
     out = linededup.dedup(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -69,7 +75,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op3_langid, op4_html, op6_linededup, op7_mixing, op8_sharding, op9_packing, op10_embed)}
+    return {f.__name__: f for f in (op1_quality, op3_langid, op4_html, op5_lm, op6_linededup, op7_mixing, op8_sharding, op9_packing, op10_embed)}
 
 
 def oracle_sql() -> dict[str, str]:
