@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed, html, langid, linededup, lm, mixing, packing, quality, sharding
+from . import embed, html, jaccard, langid, linededup, lm, mixing, packing, quality, sharding
 from .common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document at a Jaccard similarity of 0.9 on 3-word shingles."""
+    return jaccard.join(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document, learned from four of five folds."""
     return langid.identify(spark, table(spark, sf_dir, "documents"))
@@ -75,7 +80,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op3_langid, op4_html, op5_lm, op6_linededup, op7_mixing, op8_sharding, op9_packing, op10_embed)}
+    return {f.__name__: f for f in (op1_quality, op2_jaccard, op3_langid, op4_html, op5_lm, op6_linededup, op7_mixing, op8_sharding, op9_packing, op10_embed)}
 
 
 def oracle_sql() -> dict[str, str]:
