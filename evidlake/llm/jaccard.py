@@ -196,8 +196,8 @@ def _full_sets(words: int):
     return run
 
 
-def join(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 90, rare: int = RARE) -> DataFrame:
-    """doc_id, h (a hash of the text), n_shingles, class (one per token set, null if empty), component_id for every row."""
+def join(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
+    """key, h (a hash of the text), n_shingles, class (one per token set, null if empty), component (a number of its own), component_id."""
     scratch = Scratch(spark)
     slim = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).cast("string").alias("t"))
     sig = scratch.cut(slim.mapInArrow(_signatures(words, percent), "doc long, h long, n int, least int, d1 long, d2 long, win array<long>").withColumn("rid", F.monotonically_increasing_id()))
@@ -249,6 +249,6 @@ def join(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str
     comp = scratch.cut(connected_components(spark, links, scratch))
     named = comp.join(classes.select("cid", "low"), F.col("node") == F.col("cid"))
     names = scratch.cut(named.groupBy("component").agg(F.min("low").alias("name")))
-    label = scratch.cut(classes.select("cid", "low").join(comp, F.col("node") == F.col("cid"), "left").join(names, "component", "left").select(F.col("cid").alias("cid2"), F.coalesce("name", "low").alias("name")))
+    label = scratch.cut(classes.select("cid", "low").join(comp, F.col("node") == F.col("cid"), "left").join(names, "component", "left").select(F.col("cid").alias("cid2"), F.coalesce("component", "cid").alias("component"), F.when(F.col("component").isNull(), F.col("low")).otherwise(F.col("name")).alias("name")))
     out = rows.join(label, F.col("cid") == F.col("cid2"), "left")
-    return out.select(F.col("doc").alias(key), "h", F.col("n").cast("long").alias("n_shingles"), F.col("cid").alias("class"), F.when(F.col("cid").isNull(), F.col("doc")).otherwise(F.col("name")).alias("component_id"))
+    return out.select(F.col("doc").alias(key), "h", F.col("n").cast("long").alias("n_shingles"), F.col("cid").alias("class"), "component", F.when(F.col("cid").isNull(), F.col("doc")).otherwise(F.col("name")).alias("component_id"))

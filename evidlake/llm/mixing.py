@@ -113,7 +113,7 @@ class Mix:
 
     def __init__(self, spark: SparkSession, docs: DataFrame, *, source: str = "source", text: str = "text", key: str = "doc_id", block: int = BLOCK, shards: int = SHARDS, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, keep: tuple[str, ...] | None = None):
         scratch = Scratch(spark)
-        keep = keep if keep is not None else (key,)
+        keep = tuple(c for c in keep or (key,) if c not in ("size", "source_size", "target", "taken"))
         self.docs = scratch.cut(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, key, source])], words(text).alias("__size"), F.monotonically_increasing_id().alias("__rid")))
         slim = self.docs.select("__rid", F.col(source).alias("src"), F.col(key).alias("__key"), "__size")
         self.sources = scratch.cut(targets(slim.groupBy("src").agg(F.sum("__size").alias("source_size")), weights=weights, share=share, most=most))

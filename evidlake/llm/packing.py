@@ -185,3 +185,9 @@ def pack(spark: SparkSession, rows: DataFrame, key: str = "doc_id", *, length: i
 
     schema = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return laned.repartition(lanes, "__lane").sortWithinPartitions("__lane", F.desc("length"), key, "piece", *order).mapInArrow(run, schema)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, ids): the packed sequences themselves, from ``pack`` of pieces that kept their ids (bytes)."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return packed.groupBy("sequence_id").agg(parts.alias("p")).select("sequence_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))

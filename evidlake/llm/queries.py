@@ -22,7 +22,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document at a Jaccard similarity of 0.9 on 3-word shingles."""
-    return jaccard.join(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.join(spark, table(spark, sf_dir, "documents"), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
