@@ -51,7 +51,7 @@ def rotations(dim: int, n: int, seed: int = SEED) -> np.ndarray:
 def plan(n: int, dim: int, threshold: float, recall: float) -> tuple[int, int]:
     """(bits of a run, number of tables) for n vectors."""
     agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
-    bits = max(6, min(dim, 48, math.ceil(math.log2(max(2, n)))))
+    bits = min(dim, 48, max(6, math.ceil(math.log2(max(2, n)))))
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-(agree**bits))))
 
 

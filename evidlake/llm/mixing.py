@@ -137,7 +137,8 @@ class Mix:
     def takes(self) -> DataFrame:
         """(__rid, lo, hi, times): the words lo to hi of a document that are taken, and how often."""
         times = self.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-        return self.pieces.join(times, ["sid", "block"]).select("__rid", "lo", "hi", "times")
+        # slots are made from a tiny table of counts, which the planner would take for their size and broadcast
+        return self.pieces.join(times.hint("merge"), ["sid", "block"]).select("__rid", "lo", "hi", "times")
 
     def taken(self) -> DataFrame:
         """The stored documents with size, source_size, target and taken added."""
