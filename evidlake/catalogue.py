@@ -1,15 +1,747 @@
-"""All registered queries of the reference's own operators, with DuckDB SQL."""
+"""All registered queries of the reference's own operators, with DuckDB SQL.
+
+Roles on the supplied tables: part is the registry, documents the evidence sections, labels the review labels, events
+the source attempts and query log, lineitem and orders rule tables, pages regulator pages, benchmark the known terms.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evidlake.functions import nested as N
+from evidlake.functions import text as X
+from evidlake.operators import matching as M
+from evidlake.operators import quality as Q
+from evidlake.operators import relational as R
+from evidlake.operators import routing as G
+from evidlake.operators import segment as S
+from evidlake.plans import release as P
+from evidlake.streaming import events as E
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+c, lit = F.col, F.lit
+_n = F.count(lit(1))
+#: SQL for the text functions, as they are on the oracle's side.
+_CLEAN = r"trim(regexp_replace(replace(regexp_replace(coalesce({0},''),'[\x00-\x08\x0b\x0c\x0e-\x1f]',' ','g'),chr(160),' '),'\s+',' ','g'))"
+_UP = "upper(replace(" + _CLEAN + ",'ß','SS'))"
+_NORM = "trim(regexp_replace(" + _UP + ",'[^A-Z0-9]+',' ','g'))"
+_FOLD = f"translate({{0}},'{X.MARKED}','{X.PLAIN}')"
+_LIG = "replace(replace(replace(replace(replace(replace(" + _FOLD + ",'ß','ss'),'æ','ae'),'Æ','AE'),'œ','oe'),'Œ','OE'),'µ','u')"
+
+
+def _norm(x: str) -> str:
+    return _NORM.format(x)
+
+
+def _normf(x: str) -> str:
+    return "trim(regexp_replace(upper(" + _LIG.format(_CLEAN.format(x)) + "),'[^A-Z0-9]+',' ','g'))"
+
+
+# --- release, deduplication, corrections ------------------------------------------------------------------------
+
+
+@query(rf"""WITH n AS (SELECT doc_id, source, lang, {_CLEAN.format('text')} AS t FROM documents),
+h AS (SELECT *, sha1(source||'|'||lang||'|'||substr(t,1,500)) AS content_hash FROM n),
+k AS (SELECT *, length(t) >= 20 AS accepted FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY source, doc_id) AS rn FROM h) WHERE rn = 1)
+SELECT source, count(*) AS section_rows, count(*) FILTER (WHERE accepted) AS accepted_rows, count(DISTINCT lang) AS n_langs,
+ coalesce(string_agg(DISTINCT CASE WHEN accepted THEN lang END, ',' ORDER BY CASE WHEN accepted THEN lang END),'') AS accepted_langs FROM k GROUP BY source""")
+def release_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """The flagship: clean, hash, deduplicate by source order, accept, roll up per source."""
+    docs = _t(spark, d, "documents").select("doc_id", "source", "lang", X.clean("text").alias("t"))
+    kept = P.sections(docs, [c("source"), c("lang"), F.left("t", lit(500))], [c("source"), c("doc_id")])
+    return P.rollup(kept, "source", F.length("t") >= 20, "lang")
+
+
+@query(rf"""SELECT doc_id, content_hash FROM (SELECT doc_id, content_hash, row_number() OVER (PARTITION BY content_hash ORDER BY source, doc_id) AS rn FROM
+(SELECT doc_id, source, sha1(lang||'|'||{_CLEAN.format('text')}) AS content_hash FROM documents)) WHERE rn = 1""")
+def cross_source_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "source", X.content_hash("lang", "text").alias("content_hash"))
+    return R.pick(docs, ["content_hash"], [c("source"), c("doc_id")]).select("doc_id", "content_hash")
+
+
+@query(rf"""SELECT doc_id, 'ev_'||substr(content_hash,1,24) AS section_id FROM (SELECT doc_id, content_hash, row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) AS rn FROM
+(SELECT doc_id, sha1(source||'|'||{_CLEAN.format('text')}) AS content_hash FROM documents)) WHERE rn = 1""")
+def content_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", X.content_hash("source", "text").alias("content_hash"))
+    return R.pick(docs, ["content_hash"], [c("doc_id")]).select("doc_id", X.section_id("content_hash").alias("section_id"))
+
+
+@query("""SELECT min(doc_id) AS doc_id, lang, substr(text,1,300) AS prefix FROM documents GROUP BY lang, substr(text,1,300)""")
+def prefix_key_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "lang", F.left("text", lit(300)).alias("prefix"))
+    return docs.groupBy("lang", "prefix").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "lang", "prefix")
+
+
+@query("""SELECT event_type, count(*) AS matched_rows, count(DISTINCT user_id||chr(31)||props) AS unique_rows FROM events GROUP BY event_type""")
+def composite_key_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").groupBy("event_type").agg(_n.alias("matched_rows"), F.countDistinct(F.concat_ws("\x1f", "user_id", "props")).alias("unique_rows"))
+
+
+_GRADED = """g AS (SELECT d.doc_id, d.source, d.lang, l.quality, l.toxic, CASE WHEN d.source IN ('src0','src1') THEN 'D_support' WHEN d.source IN ('src2','src3','src4') THEN 'C_cached' WHEN d.source IN ('src5','src6') THEN 'B_official' ELSE 'A_local' END AS tier,
+ CASE WHEN l.quality = 0 THEN 'identity' ELSE 'indication' END AS kind, coalesce(l.toxic,0) = 1 AS mismatch, length(d.text) >= 20 AS acc0 FROM documents d LEFT JOIN labels l USING (doc_id)),
+f AS (SELECT *, acc0 AND starts_with(tier,'D_') AS fix_support FROM g), f2 AS (SELECT *, acc0 AND NOT fix_support AND kind = 'identity' AS fix_metadata FROM f),
+k AS (SELECT *, acc0 AND NOT fix_support AND NOT fix_metadata AND mismatch AS fix_mismatch FROM f2),
+z AS (SELECT *, acc0 AND NOT fix_support AND NOT fix_metadata AND NOT fix_mismatch AS accepted FROM k)"""
+
+
+def _graded(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
+    tier = F.when(c("source").isin("src0", "src1"), "D_support").when(c("source").isin("src2", "src3", "src4"), "C_cached").when(c("source").isin("src5", "src6"), "B_official").otherwise("A_local")
+    out = docs.join(labels, "doc_id", "left").select("doc_id", "source", "lang", tier.alias("tier"), F.when(c("quality") == 0, "identity").otherwise("indication").alias("kind"), (F.coalesce("toxic", lit(0)) == 1).alias("mismatch"), (F.length("text") >= 20).alias("accepted"), lit("ok").alias("quality_flags"))
+    return P.corrected(out, c("mismatch"))
+
+
+@query(f"""WITH {_GRADED} SELECT doc_id, accepted, CASE WHEN fix_support THEN 'support_only_not_clinical_evidence' WHEN fix_metadata THEN 'metadata_not_clinical_section' WHEN fix_mismatch THEN 'registration_number_mismatch' ELSE 'ok' END AS quality_flags FROM z""")
+def correction_chain(spark: SparkSession, d: str) -> DataFrame:
+    return _graded(spark, d).select("doc_id", "accepted", "quality_flags")
+
+
+@query(f"""WITH {_GRADED} SELECT 'fix_support' AS action_name, count(*) FILTER (WHERE fix_support) AS affected_rows FROM z UNION ALL SELECT 'fix_metadata', count(*) FILTER (WHERE fix_metadata) FROM z UNION ALL SELECT 'fix_mismatch', count(*) FILTER (WHERE fix_mismatch) FROM z""")
+def correction_log(spark: SparkSession, d: str) -> DataFrame:
+    return Q.action_log(_graded(spark, d), ["fix_support", "fix_metadata", "fix_mismatch"])
+
+
+@query(f"""WITH {_GRADED} SELECT CASE WHEN accepted THEN substr(tier,1,1) ELSE 'none' END AS bucket, count(*) AS n, max(CASE WHEN lang='en' THEN 1 ELSE 0 END) AS any_en FROM z GROUP BY 1""")
+def quality_buckets(spark: SparkSession, d: str) -> DataFrame:
+    return _graded(spark, d).groupBy(F.when(c("accepted"), Q.bucket(c("tier"))).otherwise("none").alias("bucket")).agg(_n.alias("n"), F.max(F.when(c("lang") == "en", 1).otherwise(0)).alias("any_en"))
+
+
+@query(f"""WITH {_GRADED}, m AS (SELECT s_suppkey, 'src'||(s_suppkey % 20) AS source FROM supplier), r AS (SELECT source, count(*) AS evidence_rows, count(*) FILTER (WHERE accepted) AS accepted_rows, max(CASE WHEN accepted THEN ascii('Z') - ascii(tier) END) AS best_rank,
+ min(CASE WHEN accepted THEN lang END) AS l FROM z GROUP BY source)
+SELECT s_suppkey, m.source, coalesce(evidence_rows,0) AS evidence_rows, coalesce(accepted_rows,0) AS accepted_rows, coalesce(best_rank,0) AS best_rank, coalesce(l,'') AS best_source,
+ CASE WHEN coalesce(accepted_rows,0) > 0 THEN 'covered_by_accepted_clinical_evidence' ELSE 'uncovered_no_accepted_clinical_evidence' END AS status FROM m LEFT JOIN r USING (source)""")
+def medicine_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage recomputed after corrections: best rank, best source by rank then name, status."""
+    meds = _t(spark, d, "supplier").select("s_suppkey", F.concat(lit("src"), c("s_suppkey") % 20).alias("source"))
+    ev = _graded(spark, d).withColumn("rank", lit(90) - F.ascii("tier"))
+    return P.coverage(meds, ev, "source", "rank", "lang", "accepted").select("s_suppkey", "source", "evidence_rows", "accepted_rows", "best_rank", "best_source", "status")
+
+
+@query("""SELECT (SELECT count(*) FROM documents) AS sections, (SELECT count(*) FROM (SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*)>1)) AS duplicate_ids,
+ (SELECT count(*) FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id=l.doc_id)) AS orphan_labels, (SELECT count(*) FROM documents WHERE text IS NULL OR text='') AS empty_texts,
+ (SELECT count(*) FROM events e WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey=e.user_id)) AS orphan_events""")
+def validation_report(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels, ev, cust = (_t(spark, d, x) for x in ("documents", "labels", "events", "customer"))
+    one = docs.groupBy("doc_id").agg(_n.alias("n"), F.count_if(F.coalesce("text", lit("")) == "").alias("e")).agg(F.sum("n").alias("sections"), F.count_if(c("n") > 1).alias("duplicate_ids"), F.sum("e").alias("empty_texts"))
+    lo = labels.join(docs.select("doc_id"), "doc_id", "left_anti").agg(_n.alias("orphan_labels"))
+    eo = ev.join(cust, c("user_id") == c("c_custkey"), "left_anti").agg(_n.alias("orphan_events"))
+    return one.join(lo).join(eo).select("sections", "duplicate_ids", "orphan_labels", "empty_texts", "orphan_events")
+
+
+@query("""SELECT source, count(*) AS loaded_rows, count(*) FILTER (WHERE rn=1 AND length(text)>=200) AS accepted_rows, count(*) FILTER (WHERE NOT (rn=1 AND length(text)>=200)) AS rejected_rows
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) GROUP BY source""")
+def manifest_counts(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "source", F.length("text").alias("len"), F.sha2(c("text").cast("binary"), 256).alias("h"))
+    first = docs.groupBy("h").agg(F.min("doc_id").alias("first"))
+    return Q.manifest(docs.join(first, "h"), "source", c("doc_id") == c("first"), c("len") >= 200)
+
+
+@query("""SELECT source, count(*) AS n_rows, count(DISTINCT lang) AS n_langs, min(doc_id) AS first_id, max(n_chars) AS longest, count(*) FILTER (WHERE n_chars < 200) AS short_rows FROM documents GROUP BY source""")
+def source_audit(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").groupBy("source").agg(_n.alias("n_rows"), F.countDistinct("lang").alias("n_langs"), F.min("doc_id").alias("first_id"), F.max("n_chars").alias("longest"), F.count_if(c("n_chars") < 200).alias("short_rows"))
+
+
+@query("""SELECT source, min(doc_id) AS first_row, min(lang) AS lang, count(*) AS near_cap, count(*) FILTER (WHERE n_chars >= 5000) AS at_cap, max(n_chars) AS longest FROM documents WHERE n_chars >= 4800 GROUP BY source""")
+def near_cap_candidates(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").where("n_chars >= 4800")
+    return docs.groupBy("source").agg(F.min("doc_id").alias("first_row"), F.min("lang").alias("lang"), _n.alias("near_cap"), F.count_if(c("n_chars") >= 5000).alias("at_cap"), F.max("n_chars").alias("longest"))
+
+
+# --- text functions ------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, sha1({_CLEAN.format('text')}) AS h, length({_CLEAN.format('text')}) AS n FROM documents")
+def clean_text(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", X.content_hash("text").alias("h"), F.length(X.clean("text")).cast("long").alias("n"))
+
+
+@query(f"SELECT doc_id, {_norm('substr(text,1,400)')} AS t FROM documents")
+def norm_plain(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", X.norm(F.left("text", lit(400))).alias("t"))
+
+
+@query(f"SELECT doc_id, {_normf('substr(text,1,400)')} AS t FROM documents")
+def norm_folded(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", X.norm_folded(F.left("text", lit(400))).alias("t"))
+
+
+@query(f"SELECT p_partkey, {_norm(chr(39) + chr(39) + '||p_name')} AS t FROM part")
+def norm_key_parens(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").select("p_partkey", X.norm_key(F.concat(c("p_name"), lit(" ("), c("p_brand"), lit(")"))).alias("t"))
+
+
+@query("SELECT p_partkey, regexp_replace(upper(p_brand||' - '||p_partkey),'[^A-Z0-9]','','g') AS code, translate(upper(p_brand||' - '||p_partkey),' -','') AS loose FROM part")
+def norm_amm(spark: SparkSession, d: str) -> DataFrame:
+    code = F.concat(c("p_brand"), lit(" - "), c("p_partkey"))
+    return _t(spark, d, "part").select("p_partkey", X.norm_code(code).alias("code"), X.norm_code_loose(code).alias("loose"))
+
+
+@query(f"""SELECT doc_id, substr(regexp_replace(regexp_replace(lower({_LIG.format(_CLEAN.format('substr(text,1,100)'))}),'[^a-z0-9]+','_','g'),'^_+|_+$','','g'),1,80) AS slug,
+ sha1({_CLEAN.format('text')}) AS h1, substr(sha256(text),1,24) AS h2 FROM documents""")
+def slug_and_hashes(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", X.slug(F.left("text", lit(100))).alias("slug"), X.content_hash("text").alias("h1"), X.short_id("text").alias("h2"))
+
+
+@query("""SELECT * FROM (VALUES (1,'é'),(2,'Ã'),(3,'naïve'),(4,'d''un'),(5,'≥ 5'),(6,'plain'),(7,'')) AS t(id, fixed)""")
+def mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = _values(spark, [(1, "Ã©"), (2, "Ã"), (3, "naÃ¯ve"), (4, "dâ€™un"), (5, "â‰¥ 5"), (6, "plain"), (7, None)], "id int, t string")
+    return rows.select("id", X.clean_repaired("t").alias("fixed"))
+
+
+@query("""SELECT * FROM (VALUES (1,'a & b < c'),(2,'x y'),(3,'l1'||chr(10)||'l2'||chr(10)||chr(10)||'l3')) AS t(id, fixed)""")
+def entity_and_line_clean(spark: SparkSession, d: str) -> DataFrame:
+    rows = _values(spark, [(1, " a &amp; b &lt;  c"), (2, "x&nbsp;y"), (3, "l1 \r\nl2\n\n\n\n l3 ")], "id int, t string")
+    return rows.select("id", F.when(c("id") == 3, X.clean_lines("t")).otherwise(X.clean_html("t")).alias("fixed"))
+
+
+@query(f"SELECT p_partkey, {_norm('p_name')}||'|'||{_norm('p_brand')}||'|'||{_norm('p_size::varchar')} AS k FROM part")
+def composite_key(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").select("p_partkey", X.composite("p_name", "p_brand", c("p_size").cast("string")).alias("k"))
+
+
+@query(f"SELECT tok, count(*) AS n_docs FROM (SELECT DISTINCT doc_id, unnest(string_split({_normf('text')},' ')) AS tok FROM documents) WHERE length(tok) >= 3 AND tok NOT IN ('THE','AND') AND NOT regexp_matches(tok,'^[0-9]+$') GROUP BY tok HAVING count(*) >= 20")
+def token_explode(spark: SparkSession, d: str) -> DataFrame:
+    toks = _t(spark, d, "documents").select("doc_id", F.explode(X.tokens("text", 3, ("THE", "AND"), digits=False)).alias("tok"))
+    return toks.groupBy("tok").agg(_n.alias("n_docs")).where("n_docs >= 20")
+
+
+@query("""SELECT p_partkey, array_to_string(list_filter(regexp_split_to_array(p_name||' and '||p_brand||'; x','\\s*(?:;|,|\\+|\\band\\b|\\bet\\b|/)\\s*'), lambda x: x <> ''),'|') AS names, array_to_string(regexp_extract_all(p_brand||' 12,5 mg','([0-9]+(?:[.,][0-9]+)?)',1),'|') AS nums FROM part""")
+def name_split_and_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").select("p_partkey", F.array_join(X.split_names(F.concat(c("p_name"), lit(" and "), c("p_brand"), lit("; x"))), "|").alias("names"), F.array_join(X.numbers(F.concat(c("p_brand"), lit(" 12,5 mg"))), "|").alias("nums"))
+
+
+@query(f"""SELECT p_partkey, {_normf('p_name')} AS full_name, array_to_string(list_slice(string_split({_normf('p_name')},' '),1,1),' ') AS first_word, regexp_split_to_array(p_name||' 500 MG B/20','(?i)\\s+B/|\\s+FL/|\\s+BT/|\\s+[0-9]+\\s*(?:MG|ML|UI|UG|µG)')[1] AS base,
+ CASE WHEN length(p_type) > 10 THEN substr(p_type,1,7)||'...' ELSE p_type END AS short FROM part""")
+def name_variants(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    return p.select("p_partkey", F.element_at(X.variants("p_name"), 1).alias("full_name"), F.element_at(X.variants("p_name"), -1).alias("first_word"), X.product_base(F.concat(c("p_name"), lit(" 500 MG B/20"))).alias("base"), X.truncate("p_type", 10).alias("short"))
+
+
+@query("""SELECT p_partkey, 'https://x.example/s?q='||replace(p_name,' ','%20')||'%2B' AS url, 'https://x.example/d/'||p_partkey AS abs_url, p_size % 2 = 1 AS truth FROM part""")
+def url_templates(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    return p.select("p_partkey", X.fill_template(lit("https://x.example/s?q={q}"), F.concat(c("p_name"), lit("+"))).alias("url"), X.absolute_url(F.concat(lit("/d/"), c("p_partkey")), "https://x.example/list/all").alias("abs_url"), X.truthy(F.when(c("p_size") % 2 == 1, "Oui").otherwise("no")).alias("truth"))
+
+
+@query("""SELECT * FROM (VALUES (1,12),(2,0),(3,7),(4,0),(5,-3)) AS t(id, v)""")
+def safe_integer(spark: SparkSession, d: str) -> DataFrame:
+    return _values(spark, [(1, " 12.9 "), (2, "12abc"), (3, "7"), (4, None), (5, "-3")], "id int, s string").select("id", X.safe_int("s").alias("v"))
+
+
+# --- joins ---------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT p_partkey, match_key, match_type, match_score FROM (SELECT p.p_partkey, coalesce(a.k, b.k) AS match_key, CASE WHEN a.k IS NOT NULL THEN 'code' WHEN b.k IS NOT NULL THEN 'composite' ELSE 'missing' END AS match_type, CASE WHEN a.k IS NOT NULL THEN 1.0 WHEN b.k IS NOT NULL THEN 0.94 ELSE 0.0 END::DOUBLE AS match_score
+FROM part p LEFT JOIN (SELECT p_partkey AS k, p_partkey*3 AS code FROM part) a ON a.code = p.p_partkey LEFT JOIN (SELECT min(p_partkey) AS k, p_brand, p_size FROM part WHERE p_partkey % 5 = 0 GROUP BY p_brand, p_size) b ON b.p_brand=p.p_brand AND b.p_size=p.p_size)""")
+def ordered_fallback_match(spark: SparkSession, d: str) -> DataFrame:
+    """Exact code first, then the composite key; the first build row wins."""
+    p = _t(spark, d, "part")
+    left = p.select("p_partkey", c("p_partkey").cast("string").alias("code"), F.concat_ws("|", "p_brand", "p_size").alias("comp"))
+    right = p.select(c("p_partkey").alias("match_key"), (c("p_partkey") * 3).cast("string").alias("code2"), F.when(c("p_partkey") % 5 == 0, F.concat_ws("|", "p_brand", "p_size")).otherwise("").alias("comp2"))
+    return R.match_in_order(left, right, [("code", "code2", "code", 1.0), ("comp", "comp2", "composite", 0.94)], "p_partkey", "match_key", "match_key").select("p_partkey", "match_key", "match_type", "match_score")
+
+
+@query("""SELECT c_custkey, e.event_type AS first_type, z.event_type AS last_type FROM customer LEFT JOIN (SELECT user_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY user_id) e ON e.user_id=c_custkey LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id) z ON z.user_id=c_custkey""")
+def first_and_last_wins_lookup(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events").select(c("user_id").alias("c_custkey"), "event_id", "event_type")
+    cust = _t(spark, d, "customer").select("c_custkey")
+    first = R.lookup(cust, ev.withColumnRenamed("event_type", "first_type"), ["c_custkey"], [c("event_id")]).drop("event_id")
+    return R.lookup(first, ev.withColumnRenamed("event_type", "last_type"), ["c_custkey"], [F.desc("event_id")]).drop("event_id")
+
+
+@query("""SELECT d.doc_id, coalesce(nullif(CASE WHEN d.doc_id % 3 = 0 THEN '' ELSE d.lang END,''), nullif(l.quality::varchar,''), '') AS filled FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def left_bias_fill(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id", "left")
+    return docs.select("doc_id", R.fill_left(F.when(c("doc_id") % 3 == 0, "").otherwise(c("lang")), c("quality").cast("string")).alias("filled"))
+
+
+@query("""SELECT doc_id, lang, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id=d.doc_id) AS labelled, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id=d.doc_id AND l.toxic=1) AS toxic FROM documents d""")
+def exists_flag(spark: SparkSession, d: str) -> DataFrame:
+    lab = _t(spark, d, "labels").groupBy("doc_id").agg(F.max("toxic").alias("t"))
+    return _t(spark, d, "documents").join(lab, "doc_id", "left").select("doc_id", "lang", c("t").isNotNull().alias("labelled"), (F.coalesce("t", lit(0)) == 1).alias("toxic"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def semi_join_filter(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id", "left_semi").select("doc_id", "source")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def anti_join_resume(spark: SparkSession, d: str) -> DataFrame:
+    return R.resume(_t(spark, d, "documents"), _t(spark, d, "labels"), "doc_id").select("doc_id", "source")
+
+
+@query("SELECT l_orderkey, l_linenumber, o_orderstatus, o_totalprice FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_quantity > 45 AND o_orderpriority <> l_returnflag")
+def inner_with_residual(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_returnflag")
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return li.join(o, (c("l_orderkey") == c("o_orderkey")) & (c("o_orderpriority") != c("l_returnflag"))).select("l_orderkey", "l_linenumber", "o_orderstatus", "o_totalprice")
+
+
+@query("SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey=n_nationkey LEFT JOIN region ON n_regionkey=r_regionkey")
+def lookup_dims(spark: SparkSession, d: str) -> DataFrame:
+    s, n, r = (_t(spark, d, x) for x in ("supplier", "nation", "region"))
+    return s.join(n, c("s_nationkey") == c("n_nationkey"), "left").join(r, c("n_regionkey") == c("r_regionkey"), "left").select("s_suppkey", "n_name", "r_name")
+
+
+@query("SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*)>1 UNION ALL SELECT o_custkey, count(*) FROM orders GROUP BY o_custkey HAVING count(*)>15")
+def duplicate_key_check(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    return o.groupBy("o_orderkey").agg(_n.alias("n")).where("n > 1").unionByName(o.groupBy(c("o_custkey").alias("o_orderkey")).agg(_n.alias("n")).where("n > 15"))
+
+
+@query("SELECT doc_id, quality FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND length(d.text) > 1500)")
+def orphan_check(spark: SparkSession, d: str) -> DataFrame:
+    long = _t(spark, d, "documents").where(F.length("text") > 1500).select("doc_id")
+    return _t(spark, d, "labels").join(long, "doc_id", "left_anti").select("doc_id", "quality")
+
+
+@query("""SELECT s_suppkey, count(DISTINCT r) AS n_rules FROM (SELECT s_suppkey, l_orderkey*10+l_linenumber AS r FROM supplier JOIN lineitem ON l_suppkey=s_suppkey WHERE l_quantity>=40 UNION ALL SELECT s_suppkey, l_orderkey*10+l_linenumber FROM supplier JOIN lineitem ON l_partkey=s_suppkey*2 WHERE l_quantity>=40) GROUP BY 1
+UNION ALL SELECT s_suppkey, 0 FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity>=40) AND s_suppkey*2 NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity>=40)""")
+def or_rule_count(spark: SparkSession, d: str) -> DataFrame:
+    """Rules met by product or by ingredient, each once: a union of equi-joins in place of an OR."""
+    s = _t(spark, d, "supplier").select("s_suppkey", (c("s_suppkey") * 2).alias("part"))
+    li = _t(spark, d, "lineitem").where("l_quantity >= 40").select("l_suppkey", "l_partkey", (c("l_orderkey") * 10 + c("l_linenumber")).alias("rule"))
+    return R.count_either(s, li, "s_suppkey", [("s_suppkey", "l_suppkey"), ("part", "l_partkey")], "rule", "n_rules")
+
+
+@query("""SELECT d.doc_id, c.conv_id, count(*) AS n FROM (SELECT doc_id, unnest([lang, source]) AS k FROM documents) d JOIN (SELECT conv_id, CASE WHEN turn % 2 = 0 THEN 'en' ELSE 'src'||(turn % 20) END AS k FROM conversations WHERE conv_id < 5) c ON c.k = d.k GROUP BY 1, 2""")
+def multi_key_join(spark: SparkSession, d: str) -> DataFrame:
+    """A join over several candidate keys, exploded into one equi-join."""
+    docs = _t(spark, d, "documents").select("doc_id", F.explode(F.array("lang", "source")).alias("k"))
+    conv = _t(spark, d, "conversations").where("conv_id < 5").select("conv_id", F.when(c("turn") % 2 == 0, "en").otherwise(F.concat(lit("src"), c("turn") % 20)).alias("k"))
+    return docs.join(conv, "k").groupBy("doc_id", "conv_id").agg(_n.alias("n"))
+
+
+@query("""SELECT p_partkey, b.p_name AS term FROM part p JOIN (SELECT DISTINCT p_name FROM part) b ON contains(' '||p.p_name||' ', ' '||split_part(b.p_name,' ',1)||' ')""")
+def containment_join(spark: SparkSession, d: str) -> DataFrame:
+    """Whole-word containment as an equi-join on words instead of comparing all pairs."""
+    p = _t(spark, d, "part")
+    words = p.select("p_partkey", F.explode(F.array_distinct(F.split("p_name", " "))).alias("w"))
+    terms = p.select(c("p_name").alias("term")).distinct().withColumn("w", F.split("term", " ").getItem(0))
+    return words.join(terms, "w").select("p_partkey", "term")
+
+
+@query("SELECT o_orderkey, unnest(string_split(o_orderkey||';'||o_custkey,';')) AS id FROM orders WHERE o_orderkey <= 2000")
+def exploded_ids(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders").where("o_orderkey <= 2000").select("o_orderkey", F.concat_ws("; ", "o_orderkey", "o_custkey").alias("ids"))
+    return R.exploded(o, "ids", "id").select("o_orderkey", "id")
+
+
+# --- aggregates, windows, limits, sets --------------------------------------------------------------------------------
+
+
+@query("SELECT user_id, arg_max(event_type, event_type ORDER BY n DESC, event_type) AS x FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY user_id".replace("arg_max(event_type, event_type ORDER BY n DESC, event_type)", "first(event_type ORDER BY n DESC, event_type)").replace("AS x", "AS top_type"))
+def top_source_tiebreak(spark: SparkSession, d: str) -> DataFrame:
+    n = _t(spark, d, "events").groupBy("user_id", "event_type").agg(_n.alias("n"))
+    return n.groupBy("user_id").agg(F.min(F.struct((-c("n")).alias("n"), "event_type")).alias("b")).select("user_id", c("b.event_type").alias("top_type"))
+
+
+@query("SELECT user_id, first(event_id ORDER BY round(value,0) DESC, event_id) AS first_best, first(event_id ORDER BY round(value,0) DESC, event_id DESC) AS last_best FROM events GROUP BY user_id")
+def first_max_source(spark: SparkSession, d: str) -> DataFrame:
+    v = F.round("value", 0)
+    return _t(spark, d, "events").groupBy("user_id").agg(R.first_max(c("event_id"), v, c("event_id")).alias("first_best"), R.last_max(c("event_id"), v, c("event_id")).alias("last_best"))
+
+
+@query("""SELECT user_id, count(*) AS n, sum(CASE WHEN event_type='purchase' THEN 1 ELSE 0 END) AS purchases, max(CASE WHEN event_type='error' THEN event_id ELSE 0 END) AS last_error, max(CASE WHEN event_type='signup' THEN 1 ELSE 0 END) AS any_signup,
+ string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types, round(100.0*sum(CASE WHEN event_type='click' THEN 1 ELSE 0 END)/greatest(count(*),1),2) AS click_pct FROM events GROUP BY user_id""")
+def conditional_rollup(spark: SparkSession, d: str) -> DataFrame:
+    on = lambda t: F.when(c("event_type") == t, 1).otherwise(0)
+    return _t(spark, d, "events").groupBy("user_id").agg(_n.alias("n"), F.sum(on("purchase")).alias("purchases"), F.max(F.when(c("event_type") == "error", c("event_id")).otherwise(0)).alias("last_error"), F.max(on("signup")).alias("any_signup"), R.concat_set(c("event_type")).alias("types"), R.percent(F.sum(on("click")), _n).alias("click_pct"))
+
+
+@query("""SELECT user_id, substr(array_to_string(list_slice(list(event_type ORDER BY o),1,3),' || '),1,30) AS samples FROM (SELECT user_id, event_type, min(event_id) AS o FROM events GROUP BY ALL) GROUP BY user_id""")
+def group_concat_capped(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").groupBy("user_id").agg(R.concat_samples(c("event_id"), c("event_type"), 3, 30).alias("samples"))
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS n_users, array_to_string(list_sort(list(DISTINCT user_id % 7)),';') AS groups_ FROM events GROUP BY event_type")
+def set_union_agg(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("n_users"), F.array_join(F.array_sort(F.collect_set(c("user_id") % 7)), ";").alias("groups_"))
+
+
+@query("SELECT source, count(*) AS n, count(l.doc_id) AS labelled, round(100.0*count(l.doc_id)/count(*),2) AS pct FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source")
+def percent_coverage(spark: SparkSession, d: str) -> DataFrame:
+    j = _t(spark, d, "documents").join(_t(spark, d, "labels").select("doc_id", lit(1).alias("l")), "doc_id", "left")
+    return j.groupBy("source").agg(_n.alias("n"), F.count("l").alias("labelled"), R.percent(F.count("l"), _n).alias("pct"))
+
+
+@query("SELECT user_id, event_type, event_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rank FROM events) WHERE rank <= 2")
+def capped_per_kind(spark: SparkSession, d: str) -> DataFrame:
+    return R.top(_t(spark, d, "events"), ["user_id", "event_type"], [c("event_id")], 2).select("user_id", "event_type", "event_id", "rank")
+
+
+@query("SELECT user_id, event_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank FROM events) WHERE rank <= 3 AND value >= 50")
+def topk_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return R.top(_t(spark, d, "events"), ["user_id"], [F.desc("value"), c("event_id")], 3).where("value >= 50").select("user_id", "event_id", "rank")
+
+
+@query("SELECT event_type, n FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type) ORDER BY n DESC, event_type LIMIT 3")
+def most_common(spark: SparkSession, d: str) -> DataFrame:
+    """The three most common statuses (a top-k report)."""
+    return _t(spark, d, "events").groupBy("event_type").agg(_n.alias("n")).orderBy(F.desc("n"), "event_type").limit(3)
+
+
+@query("SELECT conv_id, turn, coalesce(lead(turn) OVER (PARTITION BY conv_id ORDER BY turn), 1000) AS \"end\" FROM conversations")
+def next_header_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return R.bounds(_t(spark, d, "conversations").select("conv_id", "turn"), "conv_id", "turn", lit(1000))
+
+
+@query("""WITH RECURSIVE s AS (SELECT user_id, list(event_id ORDER BY event_id) AS a FROM events WHERE user_id <= 50 GROUP BY user_id),
+k AS (SELECT user_id, a, 1 AS i, [a[1]] AS kept FROM s UNION ALL SELECT user_id, a, i+1, CASE WHEN a[i+1]-kept[len(kept)] >= 200 THEN list_append(kept,a[i+1]) ELSE kept END FROM k WHERE i < len(a))
+SELECT user_id, array_to_string(kept,',') AS kept FROM k WHERE i = len(a)""")
+def kept_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Positions at least a gap after the last one kept: a fold over the sorted array."""
+    ev = _t(spark, d, "events").where("user_id <= 50").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("a"))
+    return ev.select("user_id", F.array_join(R.spaced(c("a"), 200), ",").alias("kept"))
+
+
+@query("SELECT lang, start, min(doc_id) AS doc_id FROM (SELECT doc_id, lang, n_chars // 10 AS start FROM documents) GROUP BY lang, start")
+def bucket_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "lang", F.floor(c("n_chars") / 10).alias("start"))
+    return docs.groupBy("lang", "start").agg(F.min("doc_id").alias("doc_id"))
+
+
+@query("SELECT id, kind FROM (SELECT doc_id AS id, 'document' AS kind FROM documents UNION ALL SELECT page_id, 'page' FROM pages UNION ALL SELECT conv_id, 'conversation' FROM conversations)")
+def union_all_sources(spark: SparkSession, d: str) -> DataFrame:
+    return R.union_all([_t(spark, d, t).select(c(k).alias("id"), lit(n).alias("kind")) for t, k, n in (("documents", "doc_id", "document"), ("pages", "page_id", "page"), ("conversations", "conv_id", "conversation"))])
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS row_id, lang AS language, '' AS amm, text AS section_text FROM documents UNION ALL SELECT CAST(page_id AS VARCHAR), '', '', url FROM pages")
+def union_by_name_conform(spark: SparkSession, d: str) -> DataFrame:
+    fields, alias = ["row_id", "language", "amm", "section_text"], {"row_id": ["doc_id", "page_id"], "language": ["LANG"], "section_text": ["text", "url"]}
+    return R.conform(_t(spark, d, "documents"), fields, alias).unionByName(R.conform(_t(spark, d, "pages"), fields, alias))
+
+
+@query("SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM labels WHERE toxic=1")
+def set_operations(spark: SparkSession, d: str) -> DataFrame:
+    docs, lab = _t(spark, d, "documents").select("doc_id"), _t(spark, d, "labels")
+    return docs.intersect(lab.select("doc_id")).exceptAll(lab.where("toxic = 1").select("doc_id").distinct())
+
+
+@query("""SELECT text_hash, doc_id, origin FROM (SELECT *, row_number() OVER (PARTITION BY text_hash ORDER BY origin DESC, doc_id) AS rn FROM (SELECT md5(text) AS text_hash, doc_id, CASE WHEN doc_id % 2 = 0 THEN 'old' ELSE 'new' END AS origin FROM documents)) WHERE rn = 1""")
+def merge_existing_first(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select(F.md5(c("text").cast("binary")).alias("text_hash"), "doc_id")
+    return R.merge_existing(docs.where("doc_id % 2 = 0").withColumn("origin", lit("old")), docs.where("doc_id % 2 <> 0").withColumn("origin", lit("new")), ["text_hash"], "doc_id")
+
+
+@query("SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) AS row_id FROM part")
+def positional_row_id(spark: SparkSession, d: str) -> DataFrame:
+    return R.with_row_id(_t(spark, d, "part").select("p_partkey", "p_name"), [c("p_name"), c("p_partkey")])
+
+
+@query("""SELECT o_orderkey, 0 AS ord, 'status' AS kind, 'Status' AS title, o_orderstatus AS text FROM orders WHERE o_orderstatus <> '' UNION ALL SELECT o_orderkey, 1, 'priority', 'Priority', o_orderpriority FROM orders WHERE o_orderpriority <> ''""")
+def wide_to_long_sections(spark: SparkSession, d: str) -> DataFrame:
+    return R.unpivot(_t(spark, d, "orders"), ["o_orderkey"], [("status", "Status", c("o_orderstatus")), ("priority", "Priority", c("o_orderpriority"))])
+
+
+# --- mart ---------------------------------------------------------------------------------------------------------
+
+_MART = """m AS (SELECT p_partkey, p_name, p_size, coalesce(n,0) AS n, coalesce(q,0) AS q, coalesce(ret,0) AS ret, coalesce(dis,0) AS dis FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n, count(*) FILTER (WHERE l_quantity>40) AS q, count(*) FILTER (WHERE l_returnflag='R') AS ret, count(*) FILTER (WHERE l_discount>0.05) AS dis FROM lineitem GROUP BY l_partkey) ON l_partkey=p_partkey)"""
+
+
+def _mart(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").groupBy(c("l_partkey").alias("p_partkey")).agg(_n.alias("n"), F.count_if(c("l_quantity") > 40).alias("q"), F.count_if(c("l_returnflag") == "R").alias("ret"), F.count_if(c("l_discount") > 0.05).alias("dis"))
+    return _t(spark, d, "part").select("p_partkey", "p_name", "p_size").join(li, "p_partkey", "left").fillna(0, ["n", "q", "ret", "dis"])
+
+
+@query(f"""WITH {_MART} SELECT p_partkey, CASE WHEN p_size > 10 AND n > 0 AND q > 2 AND ret > 5 AND dis > 0 THEN 'high' WHEN n > 0 AND (q - 2 > 0 OR ret - 5 > 0) AND (dis > 0) THEN 'medium' ELSE 'low' END AS readiness FROM m""")
+def readiness_grade(spark: SparkSession, d: str) -> DataFrame:
+    m = _mart(spark, d)
+    return m.select("p_partkey", Q.readiness(c("p_size") > 10, c("n") > 0, c("q") - 2, c("ret") - 5, c("dis"), c("dis")).alias("readiness"))
+
+
+@query(f"""WITH {_MART} SELECT p_partkey, trim(CASE WHEN n=0 THEN 'missing_cdss_match; ' ELSE '' END||CASE WHEN p_size<=10 THEN 'missing_local_document; ' ELSE '' END||CASE WHEN q=0 THEN 'missing_indication; ' ELSE '' END||CASE WHEN ret<8 THEN 'missing_dosage; ' ELSE '' END||CASE WHEN dis<10 THEN 'missing_interaction; ' ELSE '' END) AS gap_flags,
+ CASE WHEN n=0 THEN 'P0 map medicine to CDSS/product identity' WHEN dis<10 THEN 'P0 add interaction safety' WHEN ret<8 THEN 'P1 add dosage' WHEN p_size<=10 THEN 'P1 acquire local RCP/notice' WHEN q=0 THEN 'P1 add indication' ELSE 'P3 enrich evidence' END AS next_action FROM m""")
+def gap_flags_queue(spark: SparkSession, d: str) -> DataFrame:
+    m = _mart(spark, d)
+    have: dict[str, Column] = {"cdss_match": c("n") > 0, "local_document": c("p_size") > 10, "indication": c("q") > 0, "dosage": c("ret") >= 8, "interaction": c("dis") >= 10}
+    action, place = Q.next_action(have)
+    return m.select("p_partkey", "p_name", Q.gap_text(have).alias("gap_flags"), action.alias("next_action"), place.alias("__o")).orderBy("__o", "p_name", "p_partkey").select("p_partkey", "gap_flags", "next_action")
+
+
+@query(f"""WITH {_MART} SELECT 'n' AS module, count(*) FILTER (WHERE n>0) AS rows_with, count(*) AS total_rows FROM m UNION ALL SELECT 'q', count(*) FILTER (WHERE q>0), count(*) FROM m UNION ALL SELECT 'ret', count(*) FILTER (WHERE ret>0), count(*) FROM m UNION ALL SELECT 'dis', count(*) FILTER (WHERE dis>0), count(*) FROM m""")
+def module_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return P.modules(_mart(spark, d), ["n", "q", "ret", "dis"])
+
+
+# --- matching, routing ------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH a AS (SELECT DISTINCT doc_id, unnest(string_split({_normf('substr(text,1,300)')},' ')) AS t FROM documents), b AS (SELECT DISTINCT item_id, unnest(string_split({_normf('text')},' ')) AS t FROM benchmark)
+SELECT doc_id, item_id, count(*) AS shared FROM a JOIN b USING (t) WHERE length(t) >= 6 GROUP BY 1, 2 HAVING count(*) >= 3""")
+def token_blocked_match(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", X.tokens(F.left("text", lit(300)), 6).alias("tokens"))
+    terms = _t(spark, d, "benchmark").select("item_id", X.tokens("text", 6).alias("tokens"))
+    return R.blocked(docs, terms, "doc_id", "item_id").where("shared >= 3")
+
+
+@query("""WITH x AS (SELECT a.p_partkey, b.p_partkey AS other, least(0.95, (CASE WHEN a.p_type=b.p_type THEN 0.55 ELSE 0 END)+(CASE WHEN a.p_name=b.p_name THEN 0.35 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 0.05 ELSE 0 END)) AS s FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_partkey<>b.p_partkey)
+SELECT p_partkey, other, round(s,4)::DOUBLE AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY round(s,4) DESC, other) AS rank FROM x) WHERE rank <= 3 AND round(s,4) >= 0.45""")
+def additive_score_topk(spark: SparkSession, d: str) -> DataFrame:
+    """Additive scores within brand blocks, the best three above the threshold."""
+    a = _t(spark, d, "part").select("p_partkey", "p_brand", *[c(x).alias(f"a_{x}") for x in ("p_type", "p_name", "p_size")])
+    b = _t(spark, d, "part").select(c("p_partkey").alias("other"), "p_brand", "p_type", "p_name", "p_size")
+    j = a.join(b, "p_brand").where("p_partkey <> other")
+    s = M.additive({"generic": c("a_p_type") == c("p_type"), "brand": c("a_p_name") == c("p_name"), "dose": c("a_p_size") == c("p_size")}, "bdpm")
+    return R.top(j.withColumn("score", s), ["p_partkey"], [F.desc("score"), c("other")], 3).where(c("score") >= M.threshold("bdpm")).select("p_partkey", "other", "score", "rank")
+
+
+@query(f"""WITH t AS (SELECT DISTINCT {_normf('p_name')} AS title FROM part), p AS (SELECT DISTINCT {_normf('p_name')} AS brand FROM part),
+x AS (SELECT brand, title, CASE WHEN title=brand OR starts_with(title, brand||' ') THEN 0.80 WHEN contains(title,brand) THEN 0.70 ELSE 0 END AS s FROM p JOIN t ON split_part(brand,' ',1)=split_part(title,' ',1)
+ WHERE (length(brand)>=5 AND contains(title,brand)) OR (len(list_filter(string_split(brand,' '), lambda w: length(w)>=3))>=2 AND len(list_filter(list_distinct(string_split(brand,' ')), lambda w: length(w)>=3 AND list_contains(string_split(title,' '),w)))>=2))
+SELECT brand, title, s::DOUBLE AS score FROM x""")
+def gated_score(spark: SparkSession, d: str) -> DataFrame:
+    names = _t(spark, d, "part").select(X.norm_folded("p_name").alias("n")).distinct()
+    a = names.select(c("n").alias("brand"), F.split("n", " ").getItem(0).alias("w"))
+    b = names.select(c("n").alias("title"), F.split("n", " ").getItem(0).alias("w"))
+    j = a.join(b, "w").where(M.brand_gate(c("brand"), c("title")))
+    return j.select("brand", "title", M.gated_score(c("brand"), c("title"), lit("-"), lit("+")).alias("score"))
+
+
+@query("""WITH j AS (SELECT a.p_partkey, b.p_partkey AS cand, (CASE WHEN upper(a.p_name)=upper(b.p_name) THEN 40 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 20 ELSE 0 END)+(CASE WHEN a.p_type=b.p_type THEN 15 ELSE 0 END) AS score, a.p_retailprice=b.p_retailprice AS tie FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_name=b.p_name AND b.p_partkey % 2 = 0 WHERE a.p_partkey % 2 = 1),
+b AS (SELECT p_partkey, max(score) AS best FROM j WHERE score>0 GROUP BY 1), t AS (SELECT j.* FROM j JOIN b ON j.p_partkey=b.p_partkey AND score=best)
+SELECT p_partkey, CASE WHEN count(*)=1 THEN min(cand) WHEN count(*) FILTER (WHERE tie)=1 THEN min(cand) FILTER (WHERE tie) END AS cand, score, CASE WHEN count(*)=1 THEN 'unique' WHEN count(*) FILTER (WHERE tie)=1 THEN 'tie_broken' ELSE 'ambiguous' END AS outcome FROM t GROUP BY p_partkey, score""")
+def registry_match_tiebreak(spark: SparkSession, d: str) -> DataFrame:
+    """Registry weights over candidates narrowed by two keys; ties broken by price or reported as ambiguous."""
+    cols = ("p_name", "p_size", "p_type", "p_retailprice")
+    a = _t(spark, d, "part").where("p_partkey % 2 = 1").select("p_partkey", "p_brand", *[c(x).alias(f"a_{x}") for x in cols])
+    b = _t(spark, d, "part").where("p_partkey % 2 = 0").select(c("p_partkey").alias("cand"), "p_brand", *cols)
+    j = a.join(b, (a["p_brand"] == b["p_brand"]) & (a["a_p_name"] == b["p_name"])).drop("p_brand")
+    s = M.registry_score({"nom": c("a_p_name"), "dosage": c("a_p_size").cast("string"), "forme": c("a_p_type")}, {"nom": c("p_name"), "dosage": c("p_size").cast("string"), "forme": c("p_type")})
+    return M.resolve_ties(j.withColumn("score", s).withColumn("tie", c("a_p_retailprice") == c("p_retailprice")), "p_partkey", "cand", "score", c("tie"))
+
+
+@query()
+def sequence_ratio_match(spark: SparkSession, d: str) -> DataFrame:
+    """Names against names within word blocks, scored with the Ratcliff-Obershelp ratio (no SQL form; tested)."""
+    names = _t(spark, d, "part").select(X.norm_name("p_name").alias("n")).distinct()
+    a = names.select(c("n").alias("line"), F.split("n", " ").alias("lt"))
+    b = names.select(c("n").alias("key"), F.split("n", " ").alias("kt"))
+    pairs = a.select("line", "lt", F.explode("lt").alias("t")).join(b.select("key", "kt", F.explode("kt").alias("t")), "t").drop("t").distinct()
+    score, shared = M.name_score(c("line"), c("key"), c("lt"), c("kt"))
+    out = pairs.withColumn("score", F.round(score, 6)).withColumn("shared", shared)
+    return out.where(M.acceptable(c("score"), c("shared"), "nom_aggressive")).select("line", "key", "score", "shared")
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(upper(p_name),'GREEN') AND p_size > 25 THEN 1 WHEN p_size > 20 THEN 2 WHEN p_size > 10 THEN 3 ELSE 4 END AS priority FROM part""")
+def priority_class(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").select("p_partkey", F.when(F.contains(X.norm("p_name"), lit("GREEN")) & (c("p_size") > 25), 1).when(c("p_size") > 20, 2).when(c("p_size") > 10, 3).otherwise(4).alias("priority"))
+
+
+def _type_sql() -> str:
+    hay = _normf("substr(text,1,2000)")
+    whens = " ".join(f"WHEN {' OR '.join(f'contains(h,{chr(39)}{G._plain(t)}{chr(39)})' for t in terms)} THEN '{name}'" for name, terms in G.PRODUCT_TERMS)
+    return f"SELECT doc_id, CASE {whens} ELSE '{G.STANDARD}' END AS product_type FROM (SELECT doc_id, {hay} AS h FROM documents)"
+
+
+@query(_type_sql())
+def product_type(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", G.product_type(F.left("text", lit(2000))).alias("product_type"))
+
+
+@query("""SELECT n_nationkey, CASE n_name WHEN 'GERMANY' THEN 'germany_pharmnet,ema' WHEN 'FRANCE' THEN 'france_bdpm_ansm,ema' WHEN 'CANADA' THEN 'canada_dpd,ema' WHEN 'JORDAN' THEN 'jordan_jfda,saudi_sfda_sdi' WHEN 'SAUDI ARABIA' THEN 'saudi_sfda_sdi' WHEN 'UNITED KINGDOM' THEN 'uk_mhra_emc,ema' ELSE '' END AS sources FROM nation""")
+def country_routing(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "nation").select("n_nationkey", F.array_join(G.country_sources("n_name"), ",").alias("sources"))
+
+
+@query("""WITH x AS (SELECT s_suppkey, string_split(CASE n_name WHEN 'GERMANY' THEN 'germany_pharmnet,ema,' WHEN 'FRANCE' THEN 'france_bdpm_ansm,ema,' WHEN 'CANADA' THEN 'canada_dpd,ema,' WHEN 'JORDAN' THEN 'jordan_jfda,saudi_sfda_sdi,' WHEN 'SAUDI ARABIA' THEN 'saudi_sfda_sdi,' WHEN 'UNITED KINGDOM' THEN 'uk_mhra_emc,ema,' ELSE '' END||CASE WHEN s_suppkey % 3 = 0 THEN CASE WHEN n_name IN ('GERMANY','FRANCE','CANADA','UNITED KINGDOM') THEN 'who_vaccines,' ELSE 'who_vaccines,ema,' END ELSE '' END||'tunisia_mah_request',',') AS l FROM supplier JOIN nation ON s_nationkey=n_nationkey)
+SELECT s_suppkey, generate_subscripts(l,1)::INT AS priority_rank, unnest(l) AS source FROM x""")
+def source_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Sources by country and product type, in order, each once, the universal one at the end."""
+    s = _t(spark, d, "supplier").join(_t(spark, d, "nation"), c("s_nationkey") == c("n_nationkey"))
+    kind = F.when(c("s_suppkey") % 3 == 0, "vaccine").otherwise(G.STANDARD)
+    return G.source_plan(s, "s_suppkey", [G.country_sources("n_name"), G.type_sources(kind)])
+
+
+@query("SELECT p_partkey, stage, endpoint, condition FROM part, (VALUES (1,'national_api','always'),(2,'label_api','previous_empty'),(3,'spl','previous_empty'),(4,'terminology','previous_empty')) AS s(stage, endpoint, condition) WHERE p_size < 10")
+def stage_plan(spark: SparkSession, d: str) -> DataFrame:
+    return G.stage_plan(_t(spark, d, "part").where("p_size < 10"), "p_partkey")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id) AS rn FROM events WHERE value > 50) WHERE rn=1")
+def waterfall_source_first(spark: SparkSession, d: str) -> DataFrame:
+    return G.waterfall(_t(spark, d, "events"), "user_id", ["event_type", "event_id"], c("value") > 50).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 5, event_type, event_id) AS rn FROM events WHERE value > 50) WHERE rn=1")
+def waterfall_query_first(spark: SparkSession, d: str) -> DataFrame:
+    return G.waterfall(_t(spark, d, "events"), "user_id", [c("event_id") % 5, "event_type", "event_id"], c("value") > 50).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT e.event_id, a.answer FROM events e JOIN (SELECT props, md5(props) AS answer FROM (SELECT DISTINCT props FROM events)) a USING (props)")
+def unique_query_fanout(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events").select("event_id", "props")
+    answer = ev.select("props").distinct().withColumn("answer", F.md5(c("props").cast("binary")))
+    return G.fan_out(ev, "props", answer).select("event_id", "answer")
+
+
+@query("SELECT event_id, CASE WHEN value < 20 THEN 'not_found' WHEN value < 40 THEN 'http_error' WHEN event_type='click' THEN 'verified' ELSE 'not_a_pdf' END AS status, CASE WHEN value >= 40 AND event_type<>'click' THEN 'convert_or_download_again' ELSE 'none' END AS action FROM events")
+def status_probe(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    code = F.when(c("value") < 20, 404).when(c("value") < 40, 500).otherwise(200)
+    s = Q.status_probe(code, lit("application/pdf"), F.when(c("event_type") == "click", "%PDF-1.4").otherwise("<html>"))
+    return ev.select("event_id", s.alias("status"), G.recovery(s).alias("action"))
+
+
+@query("""SELECT user_id, score, CASE WHEN n>1 AND score<50 THEN 'low_score' ELSE CASE WHEN n>1 THEN '' ELSE '' END END AS x, r AS reason FROM (SELECT user_id, max(value) AS score, count(*) AS n FROM events GROUP BY user_id), (VALUES ('low_score'),('multiple_candidates'),('generic_match')) v(r) WHERE (r='low_score' AND score < 99) OR (r='multiple_candidates' AND n > 60) OR (r='generic_match' AND user_id % 10 = 0)""".replace("CASE WHEN n>1 AND score<50 THEN 'low_score' ELSE CASE WHEN n>1 THEN '' ELSE '' END END AS x, ", ""))
+def review_queue(spark: SparkSession, d: str) -> DataFrame:
+    g = _t(spark, d, "events").groupBy("user_id").agg(F.max("value").alias("score"), _n.alias("n"))
+    return g.select("user_id", "score", F.explode(Q.review_reasons(c("score"), c("n") - 59, c("user_id") % 10 == 0, 99)).alias("reason"))
+
+
+# --- HTML, JSON, XML, segmentation ----------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT page_id, unnest(regexp_extract_all(html,'<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>',1)) AS href, unnest(regexp_extract_all(html,'<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>',2)) AS label FROM pages""")
+def anchor_links(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "pages").select("page_id", F.inline(N.anchors("html"))).select("page_id", "href", "label")
+
+
+@query(r"""WITH a AS (SELECT page_id, generate_subscripts(l,1) AS i, unnest(l) AS href FROM (SELECT page_id, regexp_extract_all(html,'href="([^"]*)"',1) AS l FROM pages)) SELECT page_id, href, lead(href) OVER (PARTITION BY page_id ORDER BY i) AS next_href FROM a""")
+def next_anchor_pair(spark: SparkSession, d: str) -> DataFrame:
+    a = _t(spark, d, "pages").select("page_id", F.posexplode(F.transform(N.anchors("html"), lambda x: x["href"])).alias("i", "href"))
+    from pyspark.sql import Window
+
+    return a.withColumn("next_href", F.lead("href").over(Window.partitionBy("page_id").orderBy("i"))).select("page_id", "href", "next_href")
+
+
+@query(r"""SELECT page_id, regexp_extract(html,'<title>([^<]*)</title>',1) AS title, len(regexp_extract_all(html,'<li>')) AS n_items, len(regexp_extract_all(html,'<p>')) AS n_paragraphs FROM pages""")
+def label_value(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "pages")
+    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", lit("<li>"), 0)).cast("long").alias("n_items"), F.size(F.regexp_extract_all("html", lit("<p>"), 0)).cast("long").alias("n_paragraphs"))
+
+
+@query()
+def strip_html(spark: SparkSession, d: str) -> DataFrame:
+    """Plain text of pages (tested against a plain model)."""
+    return _t(spark, d, "pages").select("page_id", X.strip_html("html").alias("text"))
+
+
+@query("""SELECT event_id, 'other' AS shape, CAST(json_extract(props,'$.k') AS INTEGER) AS k FROM events""")
+def json_shape_and_path(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").select("event_id", N.json_shape("props").alias("shape"), N.json_text("props", "$.k").cast("int").alias("k"))
+
+
+@query("""SELECT * FROM (VALUES (1,'indication','indications_and_usage','for x'),(1,'warning','warnings','be careful'),(2,'dosage','dosage_and_administration','one a day')) AS t(id, kind, title, text)""")
+def field_map_explode(spark: SparkSession, d: str) -> DataFrame:
+    rows = _values(spark, [(1, '{"indications_and_usage":["for x"],"warnings":["be careful"],"id":"9"}'), (2, '{"dosage_and_administration":"one a day"}'), (3, "broken")], "id int, j string")
+    return rows.select("id", F.inline(N.json_sections("j")))
+
+
+@query("""SELECT * FROM (VALUES (1,'a b 1'),(2,'not json'),(3,'deep')) AS t(id, text)""")
+def json_gather(spark: SparkSession, d: str) -> DataFrame:
+    rows = _values(spark, [(1, '{"x":["a",{"y":"b"}],"z":1}'), (2, "not json"), (3, '[[[["deep"]]]]')], "id int, j string")
+    return rows.select("id", N.json_gather("j").alias("text"))
+
+
+@query("""SELECT * FROM (VALUES (1,'Name A','Contra'),(2,'B','')) AS t(id, name, title)""")
+def xml_sections(spark: SparkSession, d: str) -> DataFrame:
+    rows = _values(spark, [(1, '<d xmlns="urn:x"><name>Name A</name><section><title>Contra</title></section></d>'), (2, "<d><name>B</name></d>")], "id int, x string")
+    return rows.select("id", F.coalesce(F.element_at(N.xml_texts("x", "name"), 1), lit("")).alias("name"), F.coalesce(F.try_element_at(N.xml_texts("x", "title"), lit(1)), lit("")).alias("title"))
+
+
+@query()
+def header_segments(spark: SparkSession, d: str) -> DataFrame:
+    """French sections of documents under headings made from their first lines (no SQL form; tested)."""
+    docs = _t(spark, d, "documents").where("lang = 'fr'")
+    text = F.concat(lit("4.1 Indications thérapeutiques\n"), F.left("text", lit(800)), lit("\n4.3 Contre-indications\n"), F.substring("text", 801, 800), lit("\n4.9 Surdosage\n"), F.substring("text", 1601, 400))
+    return S.segment(docs.select("doc_id", text.alias("text")), "doc_id", "text", lambda t: S.strict_then_words(t)[1])
+
+
+@query()
+def ocr_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in pieces of at most 4500 characters, broken at newlines (no SQL form; tested)."""
+
+    def run(t: str | None) -> list[S.Section]:
+        return [S.Section("chunk", f"part {i}", x, i, i + 1) for i, x in enumerate(S.chunks(t))]
+
+    return S.segment(_t(spark, d, "documents"), "doc_id", "text", run)
+
+
+@query("SELECT doc_id, CASE WHEN n_chars > 0 THEN greatest(1, n_chars // 1000 + (CASE WHEN n_chars % 1000 >= 0 THEN 1 ELSE 0 END)) END AS page FROM documents")
+def page_for_offset(spark: SparkSession, d: str) -> DataFrame:
+    offs = F.sequence(lit(0).cast("long"), c("n_chars"), lit(1000).cast("long"))
+    return _t(spark, d, "documents").select("doc_id", S.page_of(offs, c("n_chars")).cast("long").alias("page"))
+
+
+@query("""SELECT * FROM (VALUES (1,'contraindication'),(2,'indication'),(3,'dosage'),(4,'other'),(5,'adverse_effect')) AS t(id, kind)""")
+def title_classifier(spark: SparkSession, d: str) -> DataFrame:
+    rows = _values(spark, [(1, "4.3 Contre-indications"), (2, "Indicaciones terapéuticas"), (3, "Posología"), (4, "Annexe"), (5, "Effets indésirables")], "id int, t string")
+    return rows.select("id", S.classify(c("t")).alias("kind"))
+
+
+_LANG_WORDS = {"de": ("der", "die", "und", "mit"), "fr": ("les", "des", "une", "est"), "es": ("los", "que", "una", "para"), "en": ("the", "and", "of", "with")}
+
+
+def _lang_sql() -> str:
+    n = {k: f"len(list_filter(string_split(t,' '), lambda w: w IN {ws}))" for k, ws in _LANG_WORDS.items()}
+    s = ", ".join(f"{v} AS {k}" for k, v in n.items())
+    return f"SELECT doc_id, CASE WHEN de>=fr AND de>=es AND de>=en THEN 'de' WHEN fr>=es AND fr>=en THEN 'fr' WHEN es>=en THEN 'es' ELSE 'en' END AS guess FROM (SELECT doc_id, {s} FROM (SELECT doc_id, lower(substr(text,1,1000)) AS t FROM documents))"
+
+
+@query(_lang_sql())
+def infer_lang(spark: SparkSession, d: str) -> DataFrame:
+    """Language by counts of marker words; ties go to the first."""
+    t = F.lower(F.left("text", lit(1000)))
+
+    def found(ws: tuple[str, ...]) -> Column:
+        return F.size(F.filter(F.split(t, " "), lambda w: w.isin(*ws)))
+
+    scores = [F.struct(found(ws).alias("n"), lit(-i).alias("o"), lit(k).alias("k")) for i, (k, ws) in enumerate(_LANG_WORDS.items())]
+    return _t(spark, d, "documents").select("doc_id", F.greatest(*scores)["k"].alias("guess"))
+
+
+@query("SELECT doc_id, CASE WHEN contains(lower(text),'notice') AND contains(lower(text),'the') THEN 'both' WHEN contains(lower(text),'notice') THEN 'notice' WHEN contains(lower(text),'the') THEN 'rcp' ELSE 'unknown' END AS kind FROM documents")
+def doc_kind(spark: SparkSession, d: str) -> DataFrame:
+    t = F.lower("text")
+    a, b = F.contains(t, lit("notice")), F.contains(t, lit("the"))
+    return _t(spark, d, "documents").select("doc_id", F.when(a & b, "both").when(a, "notice").when(b, "rcp").otherwise("unknown").alias("kind"))
+
+
+# --- events in windows (extension) ------------------------------------------------------------------------------------
+
+
+@query("SELECT event_type, date_trunc('day', ts)::VARCHAR AS day, count(*) AS n, round(sum(value),4) AS total FROM events GROUP BY 1, 2")
+def event_windows(spark: SparkSession, d: str) -> DataFrame:
+    w = E.windowed(_t(spark, d, "events"))
+    return w.select("event_type", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("day"), "n", F.round("total", 4).alias("total"))
+
+
+@query("""SELECT user_id, count(*) AS sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events)) GROUP BY 1, 2) GROUP BY 1""")
+def event_sessions(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events").withColumn("ts", c("ts").cast("timestamp"))
+    return E.sessions(ev, "6 hours").groupBy("user_id").agg(_n.alias("sessions"), F.max("n").alias("longest"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

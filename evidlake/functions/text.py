@@ -77,7 +77,7 @@ def clean_lines(c: Text) -> Column:
     """As ``clean``, but newlines stay: blanks within lines made even, at most one empty line in a row."""
     t = F.regexp_replace(F.replace(F.replace(blank(c), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), CONTROLS, " ")
     t = F.regexp_replace(F.replace(t, F.lit(" "), F.lit(" ")), r"[ \t]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r" ?\n ?", "\n"), r"\n{3,}", "\n\n"))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r" ?\n ?", "\n"), r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
 def trim_only(c: Text) -> Column:

@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from evidlake.functions import text as T
 
@@ -96,7 +97,7 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Ratcliff-Obershelp similarity; run it on blocked candidates only."""
     for a, b in pairs:
