@@ -163,10 +163,10 @@ def grow(counts: pa.Table, depth: int = DEPTH, gain: float = GAIN) -> SuffixTree
     t = counts.sort_by([("d", "ascending"), ("ctx", "ascending"), ("next", "ascending")])
     d_, ctx_, next_, n_ = (t.column(c).to_numpy() for c in ("d", "ctx", "next", "n"))
     n_ = n_.astype(np.float64)
-    edge = np.flatnonzero(np.r_[True, (d_[1:] != d_[:-1]) | (ctx_[1:] != ctx_[:-1])]) if len(d_) else np.zeros(0, int)
+    edge = np.flatnonzero(np.r_[True, (d_[1:] != d_[:-1]) | (ctx_[1:] != ctx_[:-1])]) if len(d_) else np.zeros(0, np.int64)
     smooth: dict[tuple[int, int], np.ndarray] = {(0, 0): np.full(256, 1 / 256, dtype=np.float32)}
     stays: set[tuple[int, int]] = set()
-    for lo, hi in zip(edge, [*edge[1:], len(d_)], strict=True):
+    for lo, hi in zip(edge, [*edge, len(d_)][1:], strict=True):
         d, ctx, at, n = int(d_[lo]), int(ctx_[lo]), next_[lo:hi], n_[lo:hi]
         above = smooth.get((max(d - 1, 0), ctx & ((1 << 8 * max(d - 1, 0)) - 1)))
         if above is None:

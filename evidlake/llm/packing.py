@@ -32,7 +32,8 @@ from .common import per_process
 
 LENGTH = 1024
 END = 2
-OPEN_BINS = 512
+#: Enough for a lane that comes sorted, where every long piece opens a bin before short ones can fill it.
+OPEN_BINS = 16_384
 #: Pieces that one lane packs, about; a lane wastes a sequence or so.
 LANE_ROWS = 10_000
 CACHE = 500_000
