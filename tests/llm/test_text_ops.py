@@ -288,7 +288,7 @@ def test_packer_closes_the_fullest_when_bins_run_out():
     assert p.put(3) == (2, 6)
     assert p.put(5) == (1, 5)
     rng = random.Random(1)
-    p = packing.Packer(1024, 512)
+    p = packing.Packer(1024, packing.OPEN_BINS)
     sizes = sorted((rng.randrange(1, 1025) for _ in range(5000)), reverse=True)
     used = collections.Counter()
     for s in sizes:
