@@ -45,7 +45,12 @@ def _values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 c, lit = F.col, F.lit
-_n = F.count(lit(1))
+
+
+def _n() -> Column:
+    return F.count(lit(1))
+
+
 #: SQL for the text functions, as they are on the oracle's side.
 _CLEAN = r"trim(regexp_replace(replace(regexp_replace(coalesce({0},''),'[\x00-\x08\x0b\x0c\x0e-\x1f]',' ','g'),chr(160),' '),'\s+',' ','g'))"
 _UP = "upper(replace(" + _CLEAN + ",'ß','SS'))"
@@ -99,7 +104,7 @@ def prefix_key_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT event_type, count(*) AS matched_rows, count(DISTINCT user_id||chr(31)||props) AS unique_rows FROM events GROUP BY event_type""")
 def composite_key_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "events").groupBy("event_type").agg(_n.alias("matched_rows"), F.countDistinct(F.concat_ws("\x1f", "user_id", "props")).alias("unique_rows"))
+    return _t(spark, d, "events").groupBy("event_type").agg(_n().alias("matched_rows"), F.countDistinct(F.concat_ws("\x1f", "user_id", "props")).alias("unique_rows"))
 
 
 _GRADED = """g AS (SELECT d.doc_id, d.source, d.lang, l.quality, l.toxic, CASE WHEN d.source IN ('src0','src1') THEN 'D_support' WHEN d.source IN ('src2','src3','src4') THEN 'C_cached' WHEN d.source IN ('src5','src6') THEN 'B_official' ELSE 'A_local' END AS tier,
@@ -128,7 +133,7 @@ def correction_log(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {_GRADED} SELECT CASE WHEN accepted THEN substr(tier,1,1) ELSE 'none' END AS bucket, count(*) AS n, max(CASE WHEN lang='en' THEN 1 ELSE 0 END) AS any_en FROM z GROUP BY 1""")
 def quality_buckets(spark: SparkSession, d: str) -> DataFrame:
-    return _graded(spark, d).groupBy(F.when(c("accepted"), Q.bucket(c("tier"))).otherwise("none").alias("bucket")).agg(_n.alias("n"), F.max(F.when(c("lang") == "en", 1).otherwise(0)).alias("any_en"))
+    return _graded(spark, d).groupBy(F.when(c("accepted"), Q.bucket(c("tier"))).otherwise("none").alias("bucket")).agg(_n().alias("n"), F.max(F.when(c("lang") == "en", 1).otherwise(0)).alias("any_en"))
 
 
 @query(f"""WITH {_GRADED}, m AS (SELECT s_suppkey, 'src'||(s_suppkey % 20) AS source FROM supplier), r AS (SELECT source, count(*) AS evidence_rows, count(*) FILTER (WHERE accepted) AS accepted_rows, max(CASE WHEN accepted THEN ascii('Z') - ascii(tier) END) AS best_rank,
@@ -147,9 +152,9 @@ def medicine_coverage(spark: SparkSession, d: str) -> DataFrame:
  (SELECT count(*) FROM events e WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey=e.user_id)) AS orphan_events""")
 def validation_report(spark: SparkSession, d: str) -> DataFrame:
     docs, labels, ev, cust = (_t(spark, d, x) for x in ("documents", "labels", "events", "customer"))
-    one = docs.groupBy("doc_id").agg(_n.alias("n"), F.count_if(F.coalesce("text", lit("")) == "").alias("e")).agg(F.sum("n").alias("sections"), F.count_if(c("n") > 1).alias("duplicate_ids"), F.sum("e").alias("empty_texts"))
-    lo = labels.join(docs.select("doc_id"), "doc_id", "left_anti").agg(_n.alias("orphan_labels"))
-    eo = ev.join(cust, c("user_id") == c("c_custkey"), "left_anti").agg(_n.alias("orphan_events"))
+    one = docs.groupBy("doc_id").agg(_n().alias("n"), F.count_if(F.coalesce("text", lit("")) == "").alias("e")).agg(F.sum("n").alias("sections"), F.count_if(c("n") > 1).alias("duplicate_ids"), F.sum("e").alias("empty_texts"))
+    lo = labels.join(docs.select("doc_id"), "doc_id", "left_anti").agg(_n().alias("orphan_labels"))
+    eo = ev.join(cust, c("user_id") == c("c_custkey"), "left_anti").agg(_n().alias("orphan_events"))
     return one.join(lo).join(eo).select("sections", "duplicate_ids", "orphan_labels", "empty_texts", "orphan_events")
 
 
@@ -163,13 +168,13 @@ def manifest_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT source, count(*) AS n_rows, count(DISTINCT lang) AS n_langs, min(doc_id) AS first_id, max(n_chars) AS longest, count(*) FILTER (WHERE n_chars < 200) AS short_rows FROM documents GROUP BY source""")
 def source_audit(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").groupBy("source").agg(_n.alias("n_rows"), F.countDistinct("lang").alias("n_langs"), F.min("doc_id").alias("first_id"), F.max("n_chars").alias("longest"), F.count_if(c("n_chars") < 200).alias("short_rows"))
+    return _t(spark, d, "documents").groupBy("source").agg(_n().alias("n_rows"), F.countDistinct("lang").alias("n_langs"), F.min("doc_id").alias("first_id"), F.max("n_chars").alias("longest"), F.count_if(c("n_chars") < 200).alias("short_rows"))
 
 
 @query("""SELECT source, min(doc_id) AS first_row, min(lang) AS lang, count(*) AS near_cap, count(*) FILTER (WHERE n_chars >= 5000) AS at_cap, max(n_chars) AS longest FROM documents WHERE n_chars >= 4800 GROUP BY source""")
 def near_cap_candidates(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "documents").where("n_chars >= 4800")
-    return docs.groupBy("source").agg(F.min("doc_id").alias("first_row"), F.min("lang").alias("lang"), _n.alias("near_cap"), F.count_if(c("n_chars") >= 5000).alias("at_cap"), F.max("n_chars").alias("longest"))
+    return docs.groupBy("source").agg(F.min("doc_id").alias("first_row"), F.min("lang").alias("lang"), _n().alias("near_cap"), F.count_if(c("n_chars") >= 5000).alias("at_cap"), F.max("n_chars").alias("longest"))
 
 
 # --- text functions ------------------------------------------------------------------------------------------------
@@ -227,7 +232,7 @@ def composite_key(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT tok, count(*) AS n_docs FROM (SELECT DISTINCT doc_id, unnest(string_split({_normf('text')},' ')) AS tok FROM documents) WHERE length(tok) >= 3 AND tok NOT IN ('THE','AND') AND NOT regexp_matches(tok,'^[0-9]+$') GROUP BY tok HAVING count(*) >= 20")
 def token_explode(spark: SparkSession, d: str) -> DataFrame:
     toks = _t(spark, d, "documents").select("doc_id", F.explode(X.tokens("text", 3, ("THE", "AND"), digits=False)).alias("tok"))
-    return toks.groupBy("tok").agg(_n.alias("n_docs")).where("n_docs >= 20")
+    return toks.groupBy("tok").agg(_n().alias("n_docs")).where("n_docs >= 20")
 
 
 @query("""SELECT p_partkey, array_to_string(list_filter(regexp_split_to_array(p_name||' and '||p_brand||'; x','\\s*(?:;|,|\\+|\\band\\b|\\bet\\b|/)\\s*'), lambda x: x <> ''),'|') AS names, array_to_string(regexp_extract_all(p_brand||' 12,5 mg','([0-9]+(?:[.,][0-9]+)?)',1),'|') AS nums FROM part""")
@@ -312,7 +317,7 @@ def lookup_dims(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*)>1 UNION ALL SELECT o_custkey, count(*) FROM orders GROUP BY o_custkey HAVING count(*)>15")
 def duplicate_key_check(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d, "orders")
-    return o.groupBy("o_orderkey").agg(_n.alias("n")).where("n > 1").unionByName(o.groupBy(c("o_custkey").alias("o_orderkey")).agg(_n.alias("n")).where("n > 15"))
+    return o.groupBy("o_orderkey").agg(_n().alias("n")).where("n > 1").unionByName(o.groupBy(c("o_custkey").alias("o_orderkey")).agg(_n().alias("n")).where("n > 15"))
 
 
 @query("SELECT doc_id, quality FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND length(d.text) > 1500)")
@@ -335,7 +340,7 @@ def multi_key_join(spark: SparkSession, d: str) -> DataFrame:
     """A join over several candidate keys, exploded into one equi-join."""
     docs = _t(spark, d, "documents").select("doc_id", F.explode(F.array("lang", "source")).alias("k"))
     conv = _t(spark, d, "conversations").where("conv_id < 5").select("conv_id", F.when(c("turn") % 2 == 0, "en").otherwise(F.concat(lit("src"), c("turn") % 20)).alias("k"))
-    return docs.join(conv, "k").groupBy("doc_id", "conv_id").agg(_n.alias("n"))
+    return docs.join(conv, "k").groupBy("doc_id", "conv_id").agg(_n().alias("n"))
 
 
 @query("""SELECT p_partkey, b.p_name AS term FROM part p JOIN (SELECT DISTINCT p_name FROM part) b ON contains(' '||p.p_name||' ', ' '||split_part(b.p_name,' ',1)||' ')""")
@@ -358,7 +363,7 @@ def exploded_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT user_id, arg_max(event_type, event_type ORDER BY n DESC, event_type) AS x FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY user_id".replace("arg_max(event_type, event_type ORDER BY n DESC, event_type)", "first(event_type ORDER BY n DESC, event_type)").replace("AS x", "AS top_type"))
 def top_source_tiebreak(spark: SparkSession, d: str) -> DataFrame:
-    n = _t(spark, d, "events").groupBy("user_id", "event_type").agg(_n.alias("n"))
+    n = _t(spark, d, "events").groupBy("user_id", "event_type").agg(_n().alias("n"))
     return n.groupBy("user_id").agg(F.min(F.struct((-c("n")).alias("n"), "event_type")).alias("b")).select("user_id", c("b.event_type").alias("top_type"))
 
 
@@ -372,7 +377,7 @@ def first_max_source(spark: SparkSession, d: str) -> DataFrame:
  string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types, round(100.0*sum(CASE WHEN event_type='click' THEN 1 ELSE 0 END)/greatest(count(*),1),2) AS click_pct FROM events GROUP BY user_id""")
 def conditional_rollup(spark: SparkSession, d: str) -> DataFrame:
     on = lambda t: F.when(c("event_type") == t, 1).otherwise(0)
-    return _t(spark, d, "events").groupBy("user_id").agg(_n.alias("n"), F.sum(on("purchase")).alias("purchases"), F.max(F.when(c("event_type") == "error", c("event_id")).otherwise(0)).alias("last_error"), F.max(on("signup")).alias("any_signup"), R.concat_set(c("event_type")).alias("types"), R.percent(F.sum(on("click")), _n).alias("click_pct"))
+    return _t(spark, d, "events").groupBy("user_id").agg(_n().alias("n"), F.sum(on("purchase")).alias("purchases"), F.max(F.when(c("event_type") == "error", c("event_id")).otherwise(0)).alias("last_error"), F.max(on("signup")).alias("any_signup"), R.concat_set(c("event_type")).alias("types"), R.percent(F.sum(on("click")), _n()).alias("click_pct"))
 
 
 @query("""SELECT user_id, substr(array_to_string(list_slice(list(event_type ORDER BY o),1,3),' || '),1,30) AS samples FROM (SELECT user_id, event_type, min(event_id) AS o FROM events GROUP BY ALL) GROUP BY user_id""")
@@ -388,7 +393,7 @@ def set_union_agg(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT source, count(*) AS n, count(l.doc_id) AS labelled, round(100.0*count(l.doc_id)/count(*),2) AS pct FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source")
 def percent_coverage(spark: SparkSession, d: str) -> DataFrame:
     j = _t(spark, d, "documents").join(_t(spark, d, "labels").select("doc_id", lit(1).alias("l")), "doc_id", "left")
-    return j.groupBy("source").agg(_n.alias("n"), F.count("l").alias("labelled"), R.percent(F.count("l"), _n).alias("pct"))
+    return j.groupBy("source").agg(_n().alias("n"), F.count("l").alias("labelled"), R.percent(F.count("l"), _n()).alias("pct"))
 
 
 @query("SELECT user_id, event_type, event_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rank FROM events) WHERE rank <= 2")
@@ -404,7 +409,7 @@ def topk_threshold(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_type, n FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type) ORDER BY n DESC, event_type LIMIT 3")
 def most_common(spark: SparkSession, d: str) -> DataFrame:
     """The three most common statuses (a top-k report)."""
-    return _t(spark, d, "events").groupBy("event_type").agg(_n.alias("n")).orderBy(F.desc("n"), "event_type").limit(3)
+    return _t(spark, d, "events").groupBy("event_type").agg(_n().alias("n")).orderBy(F.desc("n"), "event_type").limit(3)
 
 
 @query("SELECT conv_id, turn, coalesce(lead(turn) OVER (PARTITION BY conv_id ORDER BY turn), 1000) AS \"end\" FROM conversations")
@@ -466,7 +471,7 @@ _MART = """m AS (SELECT p_partkey, p_name, p_size, coalesce(n,0) AS n, coalesce(
 
 
 def _mart(spark: SparkSession, d: str) -> DataFrame:
-    li = _t(spark, d, "lineitem").groupBy(c("l_partkey").alias("p_partkey")).agg(_n.alias("n"), F.count_if(c("l_quantity") > 40).alias("q"), F.count_if(c("l_returnflag") == "R").alias("ret"), F.count_if(c("l_discount") > 0.05).alias("dis"))
+    li = _t(spark, d, "lineitem").groupBy(c("l_partkey").alias("p_partkey")).agg(_n().alias("n"), F.count_if(c("l_quantity") > 40).alias("q"), F.count_if(c("l_returnflag") == "R").alias("ret"), F.count_if(c("l_discount") > 0.05).alias("dis"))
     return _t(spark, d, "part").select("p_partkey", "p_name", "p_size").join(li, "p_partkey", "left").fillna(0, ["n", "q", "ret", "dis"])
 
 
@@ -611,7 +616,7 @@ def status_probe(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT user_id, score, CASE WHEN n>1 AND score<50 THEN 'low_score' ELSE CASE WHEN n>1 THEN '' ELSE '' END END AS x, r AS reason FROM (SELECT user_id, max(value) AS score, count(*) AS n FROM events GROUP BY user_id), (VALUES ('low_score'),('multiple_candidates'),('generic_match')) v(r) WHERE (r='low_score' AND score < 99) OR (r='multiple_candidates' AND n > 60) OR (r='generic_match' AND user_id % 10 = 0)""".replace("CASE WHEN n>1 AND score<50 THEN 'low_score' ELSE CASE WHEN n>1 THEN '' ELSE '' END END AS x, ", ""))
 def review_queue(spark: SparkSession, d: str) -> DataFrame:
-    g = _t(spark, d, "events").groupBy("user_id").agg(F.max("value").alias("score"), _n.alias("n"))
+    g = _t(spark, d, "events").groupBy("user_id").agg(F.max("value").alias("score"), _n().alias("n"))
     return g.select("user_id", "score", F.explode(Q.review_reasons(c("score"), c("n") - 59, c("user_id") % 10 == 0, 99)).alias("reason"))
 
 
@@ -736,7 +741,7 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT user_id, count(*) AS sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events)) GROUP BY 1, 2) GROUP BY 1""")
 def event_sessions(spark: SparkSession, d: str) -> DataFrame:
     ev = _t(spark, d, "events").withColumn("ts", c("ts").cast("timestamp"))
-    return E.sessions(ev, "6 hours").groupBy("user_id").agg(_n.alias("sessions"), F.max("n").alias("longest"))
+    return E.sessions(ev, "6 hours").groupBy("user_id").agg(_n().alias("sessions"), F.max("n").alias("longest"))
 
 
 def queries() -> dict[str, Query]:
