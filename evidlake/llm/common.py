@@ -7,6 +7,8 @@ lost executor costs a re-read and not a recomputation.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -38,11 +40,25 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/evidlake/{app}"
 
 
+def _remove_at_exit(spark: SparkSession, root: str) -> bool:
+    """What an application has stored goes when its driver ends, as far as the JVM is still there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):
+            p = jvm.org.apache.hadoop.fs.Path(root)
+            p.getFileSystem(conf).delete(p, True)
+
+    atexit.register(remove)
+    return True
+
+
 class Scratch:
     """Writes intermediate tables and removes those that are no longer needed."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, scratch_root(spark), {}
+        per_process(f"scratch {self.root}", lambda: _remove_at_exit(spark, self.root))
 
     def cut(self, df: DataFrame) -> DataFrame:
         """``df`` written as Parquet and read again: its lineage ends here and its size is known to the planner."""

@@ -83,5 +83,22 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality, op2_jaccard, op3_langid, op4_html, op5_lm, op6_linededup, op7_mixing, op8_sharding, op9_packing, op10_embed)}
 
 
+#: Links reach: the smallest id within reach of each node of ``e`` (x, y in both directions).
+_REACH = """r AS (SELECT x AS node, y AS seen FROM e UNION SELECT r.node, e.y FROM r JOIN e ON r.seen = e.x), c AS (SELECT node, least(node, min(seen)) AS component_id FROM r GROUP BY node)"""
+
+OP2_SQL = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM t a JOIN t b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p), {_REACH}
+SELECT doc_id, len(s) AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM s LEFT JOIN c ON node = doc_id"""
+
+OP10_SQL = f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))) > 0),
+p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.95), e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p), {_REACH},
+n AS (SELECT x, count(*) AS n FROM e GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN c ON node = vec_id LEFT JOIN n ON x = vec_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The operators that SQL can express on small tables; the tests hold the others against plain models."""
+    return {"op2_jaccard": OP2_SQL, "op10_embed": OP10_SQL}
