@@ -745,8 +745,10 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from evidlake import catalogue_more  # noqa: F401  registers its queries here
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {k: _SQL[k] for k in queries() if k in _SQL}
