@@ -1,8 +1,8 @@
 """Exact n-gram Jaccard join by token-combination prefixes.
 
 A document's tokens are the 64-bit hashes of its distinct word n-grams, in the order of the hashes. A pair that reaches
-the threshold shares at least ``L`` tokens within extended prefixes (windows) of twice the usual prefix length; ``L``
-follows from the two sizes. Tokens of windows fall into two classes by the number of windows that hold them:
+the threshold shares at least ``L`` tokens within extended prefixes (windows), longer than the usual prefix by a tenth of
+the set; ``L`` follows from the two sizes. Tokens of windows fall into two classes by the number of windows that hold them:
 
 * Rare tokens (up to RARE windows) are indexed singly. Pairs that meet are counted, and kept only if the rare tokens
   they share could make up ``L`` together with all frequent tokens of the poorer of the two.
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, connected_components, forest, groups, per_process
 
 RARE = 24
-#: Documents with more tokens than this have frequent tokens indexed singly.
-LONG = 320
+#: Documents with more tokens than this over the percentage that may differ have frequent tokens indexed singly.
+LONG = 2400
 CELL, CELL_TOKENS = 256, 400_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD))
@@ -76,7 +76,7 @@ def overlap(a: int | np.ndarray, b: int | np.ndarray, percent: int) -> int | np.
 
 def window(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     """Tokens in the window of a set of n."""
-    return np.minimum(n, 2 * (n + (-percent * n // 100) + 1))
+    return np.minimum(n, n + (-percent * n // 100) + 1 + n // 10 + 1)
 
 
 def least_shared(n: int, percent: int) -> int:
@@ -106,9 +106,9 @@ def _signatures(words: int, percent: int):
     return run
 
 
-def combination_keys(tokens: np.ndarray, n: int, least: int, percent: int, long: int = LONG) -> np.ndarray:
+def combination_keys(tokens: np.ndarray, n: int, least: int, percent: int) -> np.ndarray:
     """Index keys of a document's frequent window tokens (sorted): pairs, single tokens, or both."""
-    out = []
+    out, long = [], LONG // (100 - percent) if percent < 100 else LONG
     f = len(tokens)
     if n > long or least < 2:
         out.append(tokens[: f - least + 1])
@@ -216,7 +216,7 @@ def join(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str
     pairs = lists.select(F.explode("all").alias("x"), "all").select("x", F.explode(F.filter("all", lambda y: close(F.col("x"), y))).alias("y"))
     pairs = pairs.groupBy(F.col("x.cid").alias("u"), F.col("y.cid").alias("v")).agg(F.count(F.lit(1)).alias("c"), F.min("x.n").alias("nu"), F.min("y.n").alias("nv"))
     busy = scratch.cut(met.where(F.col("df") > rare).groupBy("cid").agg(F.count(F.lit(1)).alias("f")))
-    q = lambda n: F.expr(f"least({n}, 2 * ({n} - CAST(ceil({percent} * {n} / 100.0) AS INT) + 1)) - {n}")
+    q = lambda n: F.expr(f"least({n}, {n} - ({percent} * {n} + 99) DIV 100 + 1 + {n} DIV 10 + 1) - {n}")
     need = F.least(q("nu"), q("nv")) + F.expr(f"({percent} * (nu + nv) + {99 + percent}) DIV {100 + percent}")
     fu, fv = (busy.select(F.col("cid").alias(c), F.col("f").alias(f"f{c}")) for c in "uv")
     ties = pairs.join(fu, "u", "left").join(fv, "v", "left").where(F.col("c") >= need - F.least(F.coalesce("fu", F.lit(0)), F.coalesce("fv", F.lit(0)))).select("u", "v")
