@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -24,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 Made = TypeVar("Made")
 _FALLBACK: dict[str, str] = {}
+_REMOVED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +42,7 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/evidlake/{app}"
 
 
-def _remove_at_exit(spark: SparkSession, root: str) -> bool:
+def _remove_at_exit(spark: SparkSession, root: str) -> None:
     """What an application has stored goes when its driver ends, as far as the JVM is still there."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
@@ -50,7 +52,7 @@ def _remove_at_exit(spark: SparkSession, root: str) -> bool:
             p.getFileSystem(conf).delete(p, True)
 
     atexit.register(remove)
-    return True
+    _REMOVED.add(root)
 
 
 class Scratch:
@@ -58,7 +60,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, scratch_root(spark), {}
-        per_process(f"scratch {self.root}", lambda: _remove_at_exit(spark, self.root))
+        if self.root not in _REMOVED:
+            _remove_at_exit(spark, self.root)
 
     def cut(self, df: DataFrame) -> DataFrame:
         """``df`` written as Parquet and read again: its lineage ends here and its size is known to the planner."""
@@ -80,15 +83,25 @@ class Scratch:
 
 
 def per_process(name: str, make: Callable[[], Made]) -> Made:
-    """``make()``, once in each Python process: functions travel by value here, so their globals last one task only."""
-    import sys
+    """``make()``, once in each Python process; the last name asked for is kept and all others are let go.
 
+    Functions travel by value here, so their globals last one task only. Workers are used for one operator after
+    another, and their caches must not add up.
+    """
     kept = sys.__dict__.setdefault("_evidlake", {})
     if name not in kept:
+        kept.clear()
         kept[name] = make()
     return kept[name]
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Record batches cut into smaller ones, so that few texts at a time become Python strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, which a cluster sets to suit its data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 #: Share of the best path's fused score from which on a path is content.
 THRESHOLD = 0.25
 #: Share of the content's text that its enclosing element holds at least.
@@ -216,7 +218,7 @@ def extract(pages: DataFrame, html: str = "html", *, threshold: float = THRESHOL
     slim = pages.select(*[F.col(f"`{c}`") for c in rest], F.col(html).cast("string").alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [content(x, threshold) for x in batch.column(len(rest)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], [*rest, "text", "n_chars"])
 

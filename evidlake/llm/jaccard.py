@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, forest, groups, per_process
+from .common import Scratch, connected_components, forest, groups, per_process, slices
 
 RARE = 24
 #: Documents with more tokens than this over the percentage that may differ have frequent tokens indexed singly.
@@ -48,7 +48,7 @@ class _Hashes(dict):
         import xxhash
 
         h = xxhash.xxh64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < 200_000:
             self[word] = h
         return h
 
@@ -91,7 +91,7 @@ def _signatures(words: int, percent: int):
 
         cache = per_process("shingle words", _Hashes)
         least: dict[int, int] = {0: 0}
-        for batch in batches:
+        for batch in slices(batches):
             cols: tuple[list, ...] = ([], [], [], [], [])
             for text in batch.column(2).to_pylist():
                 s = shingles(text, words, cache)
@@ -122,7 +122,7 @@ def combination_keys(tokens: np.ndarray, n: int, least: int, percent: int) -> np
 
 def _combine(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for cid, n, least, toks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = combination_keys(np.array(sorted(toks), dtype=np.int64), n, least, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), cid, np.int64))], ["key", "cid"])
@@ -189,7 +189,7 @@ def _verify(percent: int):
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = per_process("shingle words", _Hashes)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(x, words, cache).astype("<i8").tobytes() for x in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], ["cid", "bundle", "n", "set"])
 

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 SAMPLE = 20_000
@@ -52,7 +54,7 @@ def _points(text: str) -> np.ndarray:
 def _train(buckets: int, orders: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = sums.setdefault(lang, np.zeros(buckets, dtype=np.int64))
                 codes = _points(text)
@@ -152,7 +154,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             got = m.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got[0], pa.string()), pa.array(got[1], pa.float64())], [*rest, *names])
 

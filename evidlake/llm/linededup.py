@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, slices
 
 RARE = 8
 MIN_WORDS = 10
@@ -34,7 +34,7 @@ _LAST = 2**63 - 1
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    for batch in batches:
+    for batch in slices(batches):
         hashes, sizes = [], []
         for text in batch.column(2).to_pylist():
             words = [x.split() for x in (text or "").encode("utf-8", "surrogatepass").split(b"\n")]
@@ -128,7 +128,7 @@ def find(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str
     both = scratch.cut(pairs.join(one, ["ak", "ah"]).select("k", "h", "other")).join(lines, ["k", "h"]).select("k", "h", "other", "lines", "sizes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             gone = [common_blocks(a, b, s, min_words) for a, b, s in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(gone, pa.list_(pa.int32()))], ["k", "h", "gone"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, per_process
+from .common import Scratch, per_process, slices
 from .langid import fold
 
 DEPTH = 5
@@ -90,7 +90,7 @@ def _count(depth: int):
             held.clear()
             size = 0
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 own = tokens(text)
                 words.update(own)
@@ -234,7 +234,7 @@ class _Logs(dict):
         h = _hash(word)
         at = int(np.searchsorted(self.keys_, h))
         value = float(self.logs[at]) if at < len(self.keys_) and self.keys_[at] == h else math.nan
-        if len(self) < 300_000:
+        if len(self) < 200_000:
             self[word] = value
         return value
 
@@ -249,14 +249,10 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, keys, n = shared.value
-        logs = per_process("lm", dict)
-        if name not in logs:
-            logs.clear()
-            logs[name] = _Logs(keys, n)
-        logs = logs[name]
+        logs = per_process(name, lambda: _Logs(keys, n))
         at = int(np.searchsorted(keys, END_HASH))
         end = float(np.log10(n[at] + 1.0)) if at < len(keys) and keys[at] == END_HASH else math.nan
-        for batch in batches:
+        for batch in slices(batches):
             texts = [tokens(x) for x in batch.column(len(rest)).to_pylist()]
             size, known, base, tails = [], [], [], []
             for own in texts:

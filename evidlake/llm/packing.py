@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import per_process
+from .common import per_process, slices
 
 LENGTH = 1024
 END = 2
@@ -36,7 +36,7 @@ END = 2
 OPEN_BINS = 16_384
 #: Pieces that one lane packs, about; a lane wastes a sequence or so.
 LANE_ROWS = 10_000
-CACHE = 500_000
+CACHE = 250_000
 #: Fixed value: the pattern by which byte-level BPE files of this kind cut a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Two white-space characters in a row, or one that is neither blank nor newline, or NUL: encoded as a whole.
@@ -84,8 +84,7 @@ def encoder(path: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    whole: list[Tokenizer] = []  # loaded when the first odd text comes
     single = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
     words = _Words(_little(single.encode_ordinary))
 
@@ -93,7 +92,10 @@ def encoder(path: str):
         if not text:
             return b""
         if _ODD.search(text):
-            return np.array(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if not whole:
+                whole.append(Tokenizer.from_file(path))
+                whole[0].encode_special_tokens = True
+            return np.array(whole[0].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(words.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")))
 
     return encode
@@ -105,7 +107,7 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = per_process(f"encoder {path}", lambda: encoder(path))
-        for batch in batches:
+        for batch in slices(batches):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encode(t or "") + tail
@@ -174,7 +176,7 @@ def pack(spark: SparkSession, rows: DataFrame, key: str = "doc_id", *, length: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, packer = None, None
-        for batch in batches:
+        for batch in slices(batches):
             seqs, offs = [], []
             for lane, size in zip(batch.column(len(names)).to_pylist(), batch.column(n_at).to_pylist(), strict=True):
                 if lane != now:

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 RISK = 0.03
 PRICE = 2
 CONFIDENCE = 0.95
@@ -91,7 +93,7 @@ def features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
     slim = docs.select(F.col(text).cast("string").alias("__text"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = np.array([_measure(x) for x in batch.column(0).to_pylist()], dtype=np.int64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *(pa.array(got[:, i]) for i in range(len(FEATURES)))], [*keep, *FEATURES])
 
