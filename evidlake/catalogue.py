@@ -155,7 +155,7 @@ def validation_report(spark: SparkSession, d: str) -> DataFrame:
     one = docs.groupBy("doc_id").agg(_n().alias("n"), F.count_if(F.coalesce("text", lit("")) == "").alias("e")).agg(F.sum("n").alias("sections"), F.count_if(c("n") > 1).alias("duplicate_ids"), F.sum("e").alias("empty_texts"))
     lo = labels.join(docs.select("doc_id"), "doc_id", "left_anti").agg(_n().alias("orphan_labels"))
     eo = ev.join(cust, c("user_id") == c("c_custkey"), "left_anti").agg(_n().alias("orphan_events"))
-    return one.join(lo).join(eo).select("sections", "duplicate_ids", "orphan_labels", "empty_texts", "orphan_events")
+    return one.select("sections", "duplicate_ids", lo.scalar().alias("orphan_labels"), "empty_texts", eo.scalar().alias("orphan_events"))
 
 
 @query("""SELECT source, count(*) AS loaded_rows, count(*) FILTER (WHERE rn=1 AND length(text)>=200) AS accepted_rows, count(*) FILTER (WHERE NOT (rn=1 AND length(text)>=200)) AS rejected_rows
@@ -185,14 +185,14 @@ def clean_text(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", X.content_hash("text").alias("h"), F.length(X.clean("text")).cast("long").alias("n"))
 
 
-@query(f"SELECT doc_id, {_norm('substr(text,1,400)')} AS t FROM documents")
+@query(f"SELECT doc_id, {_norm('text')} AS t FROM documents")
 def norm_plain(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").select("doc_id", X.norm(F.left("text", lit(400))).alias("t"))
+    return _t(spark, d, "documents").select("doc_id", X.norm("text").alias("t"))
 
 
-@query(f"SELECT doc_id, {_normf('substr(text,1,400)')} AS t FROM documents")
+@query(f"SELECT doc_id, {_normf('text')} AS t FROM documents")
 def norm_folded(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").select("doc_id", X.norm_folded(F.left("text", lit(400))).alias("t"))
+    return _t(spark, d, "documents").select("doc_id", X.norm_folded("text").alias("t"))
 
 
 @query(f"SELECT p_partkey, {_norm(chr(39) + chr(39) + '||p_name')} AS t FROM part")
@@ -206,10 +206,10 @@ def norm_amm(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "part").select("p_partkey", X.norm_code(code).alias("code"), X.norm_code_loose(code).alias("loose"))
 
 
-@query(f"""SELECT doc_id, substr(regexp_replace(regexp_replace(lower({_LIG.format(_CLEAN.format('substr(text,1,100)'))}),'[^a-z0-9]+','_','g'),'^_+|_+$','','g'),1,80) AS slug,
+@query(f"""SELECT doc_id, substr(regexp_replace(regexp_replace(lower({_LIG.format(_CLEAN.format('text'))}),'[^a-z0-9]+','_','g'),'^_+|_+$','','g'),1,80) AS slug,
  sha1({_CLEAN.format('text')}) AS h1, substr(sha256(text),1,24) AS h2 FROM documents""")
 def slug_and_hashes(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").select("doc_id", X.slug(F.left("text", lit(100))).alias("slug"), X.content_hash("text").alias("h1"), X.short_id("text").alias("h2"))
+    return _t(spark, d, "documents").select("doc_id", X.slug("text").alias("slug"), X.content_hash("text").alias("h1"), X.short_id("text").alias("h2"))
 
 
 @query("""SELECT * FROM (VALUES (1,'é'),(2,'Ã'),(3,'naïve'),(4,'d''un'),(5,'≥ 5'),(6,'plain'),(7,'')) AS t(id, fixed)""")
@@ -262,12 +262,12 @@ def safe_integer(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey, match_key, match_type, match_score FROM (SELECT p.p_partkey, coalesce(a.k, b.k) AS match_key, CASE WHEN a.k IS NOT NULL THEN 'code' WHEN b.k IS NOT NULL THEN 'composite' ELSE 'missing' END AS match_type, CASE WHEN a.k IS NOT NULL THEN 1.0 WHEN b.k IS NOT NULL THEN 0.94 ELSE 0.0 END::DOUBLE AS match_score
-FROM part p LEFT JOIN (SELECT p_partkey AS k, p_partkey*3 AS code FROM part) a ON a.code = p.p_partkey LEFT JOIN (SELECT min(p_partkey) AS k, p_brand, p_size FROM part WHERE p_partkey % 5 = 0 GROUP BY p_brand, p_size) b ON b.p_brand=p.p_brand AND b.p_size=p.p_size)""")
+FROM part p LEFT JOIN (SELECT p_partkey AS k, p_partkey*3 AS code FROM part) a ON a.code = p.p_partkey LEFT JOIN (SELECT min(p_partkey) AS k, p_brand, p_size FROM part GROUP BY p_brand, p_size) b ON b.p_brand=p.p_brand AND b.p_size=p.p_size)""")
 def ordered_fallback_match(spark: SparkSession, d: str) -> DataFrame:
     """Exact code first, then the composite key; the first build row wins."""
     p = _t(spark, d, "part")
     left = p.select("p_partkey", c("p_partkey").cast("string").alias("code"), F.concat_ws("|", "p_brand", "p_size").alias("comp"))
-    right = p.select(c("p_partkey").alias("match_key"), (c("p_partkey") * 3).cast("string").alias("code2"), F.when(c("p_partkey") % 5 == 0, F.concat_ws("|", "p_brand", "p_size")).otherwise("").alias("comp2"))
+    right = p.select(c("p_partkey").alias("match_key"), (c("p_partkey") * 3).cast("string").alias("code2"), F.concat_ws("|", "p_brand", "p_size").alias("comp2"))
     return R.match_in_order(left, right, [("code", "code2", "code", 1.0), ("comp", "comp2", "composite", 0.94)], "p_partkey", "match_key", "match_key").select("p_partkey", "match_key", "match_type", "match_score")
 
 
@@ -335,12 +335,13 @@ def or_rule_count(spark: SparkSession, d: str) -> DataFrame:
     return R.count_either(s, li, "s_suppkey", [("s_suppkey", "l_suppkey"), ("part", "l_partkey")], "rule", "n_rules")
 
 
-@query("""SELECT d.doc_id, c.conv_id, count(*) AS n FROM (SELECT doc_id, unnest([lang, source]) AS k FROM documents) d JOIN (SELECT conv_id, CASE WHEN turn % 2 = 0 THEN 'en' ELSE 'src'||(turn % 20) END AS k FROM conversations WHERE conv_id < 5) c ON c.k = d.k GROUP BY 1, 2""")
+@query("""SELECT d.doc_id, count(*) AS n FROM (SELECT doc_id, unnest([lang, source]) AS k FROM documents) d JOIN (SELECT CASE WHEN turn % 2 = 0 THEN 'en' ELSE 'src'||(turn % 20) END AS k FROM conversations) c ON c.k = d.k GROUP BY 1""")
 def multi_key_join(spark: SparkSession, d: str) -> DataFrame:
-    """A join over several candidate keys, exploded into one equi-join."""
+    """Hits over several candidate keys: exploded into one equi-join, the hits of a key counted beforehand."""
     docs = _t(spark, d, "documents").select("doc_id", F.explode(F.array("lang", "source")).alias("k"))
-    conv = _t(spark, d, "conversations").where("conv_id < 5").select("conv_id", F.when(c("turn") % 2 == 0, "en").otherwise(F.concat(lit("src"), c("turn") % 20)).alias("k"))
-    return docs.join(conv, "k").groupBy("doc_id", "conv_id").agg(_n().alias("n"))
+    key = F.when(c("turn") % 2 == 0, "en").otherwise(F.concat(lit("src"), c("turn") % 20))
+    hits = _t(spark, d, "conversations").groupBy(key.alias("k")).agg(_n().alias("hits"))
+    return docs.join(hits, "k").groupBy("doc_id").agg(F.sum("hits").alias("n"))
 
 
 @query("""SELECT p_partkey, b.p_name AS term FROM part p JOIN (SELECT DISTINCT p_name FROM part) b ON contains(' '||p.p_name||' ', ' '||split_part(b.p_name,' ',1)||' ')""")
@@ -352,9 +353,9 @@ def containment_join(spark: SparkSession, d: str) -> DataFrame:
     return words.join(terms, "w").select("p_partkey", "term")
 
 
-@query("SELECT o_orderkey, unnest(string_split(o_orderkey||';'||o_custkey,';')) AS id FROM orders WHERE o_orderkey <= 2000")
+@query("SELECT o_orderkey, unnest(string_split(o_orderkey||';'||o_custkey,';')) AS id FROM orders")
 def exploded_ids(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").where("o_orderkey <= 2000").select("o_orderkey", F.concat_ws("; ", "o_orderkey", "o_custkey").alias("ids"))
+    o = _t(spark, d, "orders").select("o_orderkey", F.concat_ws("; ", "o_orderkey", "o_custkey").alias("ids"))
     return R.exploded(o, "ids", "id").select("o_orderkey", "id")
 
 
@@ -417,12 +418,12 @@ def next_header_bounds(spark: SparkSession, d: str) -> DataFrame:
     return R.bounds(_t(spark, d, "conversations").select("conv_id", "turn"), "conv_id", "turn", lit(1000))
 
 
-@query("""WITH RECURSIVE s AS (SELECT user_id, list(event_id ORDER BY event_id) AS a FROM events WHERE user_id <= 50 GROUP BY user_id),
+@query("""WITH RECURSIVE s AS (SELECT user_id, list(event_id ORDER BY event_id) AS a FROM events GROUP BY user_id),
 k AS (SELECT user_id, a, 1 AS i, [a[1]] AS kept FROM s UNION ALL SELECT user_id, a, i+1, CASE WHEN a[i+1]-kept[len(kept)] >= 200 THEN list_append(kept,a[i+1]) ELSE kept END FROM k WHERE i < len(a))
 SELECT user_id, array_to_string(kept,',') AS kept FROM k WHERE i = len(a)""")
 def kept_positions(spark: SparkSession, d: str) -> DataFrame:
     """Positions at least a gap after the last one kept: a fold over the sorted array."""
-    ev = _t(spark, d, "events").where("user_id <= 50").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("a"))
+    ev = _t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("a"))
     return ev.select("user_id", F.array_join(R.spaced(c("a"), 200), ",").alias("kept"))
 
 
@@ -498,10 +499,10 @@ def module_coverage(spark: SparkSession, d: str) -> DataFrame:
 # --- matching, routing ------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH a AS (SELECT DISTINCT doc_id, unnest(string_split({_normf('substr(text,1,300)')},' ')) AS t FROM documents), b AS (SELECT DISTINCT item_id, unnest(string_split({_normf('text')},' ')) AS t FROM benchmark)
+@query(f"""WITH a AS (SELECT DISTINCT doc_id, unnest(string_split({_normf('text')},' ')) AS t FROM documents), b AS (SELECT DISTINCT item_id, unnest(string_split({_normf('text')},' ')) AS t FROM benchmark)
 SELECT doc_id, item_id, count(*) AS shared FROM a JOIN b USING (t) WHERE length(t) >= 6 GROUP BY 1, 2 HAVING count(*) >= 3""")
 def token_blocked_match(spark: SparkSession, d: str) -> DataFrame:
-    docs = _t(spark, d, "documents").select("doc_id", X.tokens(F.left("text", lit(300)), 6).alias("tokens"))
+    docs = _t(spark, d, "documents").select("doc_id", X.tokens("text", 6).alias("tokens"))
     terms = _t(spark, d, "benchmark").select("item_id", X.tokens("text", 6).alias("tokens"))
     return R.blocked(docs, terms, "doc_id", "item_id").where("shared >= 3")
 
@@ -529,15 +530,15 @@ def gated_score(spark: SparkSession, d: str) -> DataFrame:
     return j.select("brand", "title", M.gated_score(c("brand"), c("title"), lit("-"), lit("+")).alias("score"))
 
 
-@query("""WITH j AS (SELECT a.p_partkey, b.p_partkey AS cand, (CASE WHEN upper(a.p_name)=upper(b.p_name) THEN 40 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 20 ELSE 0 END)+(CASE WHEN a.p_type=b.p_type THEN 15 ELSE 0 END) AS score, a.p_retailprice=b.p_retailprice AS tie FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_name=b.p_name AND b.p_partkey % 2 = 0 WHERE a.p_partkey % 2 = 1),
+@query("""WITH j AS (SELECT a.p_partkey, b.p_partkey AS cand, (CASE WHEN upper(a.p_name)=upper(b.p_name) THEN 40 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 20 ELSE 0 END)+(CASE WHEN a.p_type=b.p_type THEN 15 ELSE 0 END) AS score, a.p_retailprice=b.p_retailprice AS tie FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_name=b.p_name AND a.p_partkey<>b.p_partkey),
 b AS (SELECT p_partkey, max(score) AS best FROM j WHERE score>0 GROUP BY 1), t AS (SELECT j.* FROM j JOIN b ON j.p_partkey=b.p_partkey AND score=best)
 SELECT p_partkey, CASE WHEN count(*)=1 THEN min(cand) WHEN count(*) FILTER (WHERE tie)=1 THEN min(cand) FILTER (WHERE tie) END AS cand, score, CASE WHEN count(*)=1 THEN 'unique' WHEN count(*) FILTER (WHERE tie)=1 THEN 'tie_broken' ELSE 'ambiguous' END AS outcome FROM t GROUP BY p_partkey, score""")
 def registry_match_tiebreak(spark: SparkSession, d: str) -> DataFrame:
     """Registry weights over candidates narrowed by two keys; ties broken by price or reported as ambiguous."""
     cols = ("p_name", "p_size", "p_type", "p_retailprice")
-    a = _t(spark, d, "part").where("p_partkey % 2 = 1").select("p_partkey", "p_brand", *[c(x).alias(f"a_{x}") for x in cols])
-    b = _t(spark, d, "part").where("p_partkey % 2 = 0").select(c("p_partkey").alias("cand"), "p_brand", *cols)
-    j = a.join(b, (a["p_brand"] == b["p_brand"]) & (a["a_p_name"] == b["p_name"])).drop("p_brand")
+    a = _t(spark, d, "part").select("p_partkey", "p_brand", *[c(x).alias(f"a_{x}") for x in cols])
+    b = _t(spark, d, "part").select(c("p_partkey").alias("cand"), "p_brand", *cols)
+    j = a.join(b, (a["p_brand"] == b["p_brand"]) & (a["a_p_name"] == b["p_name"]) & (a["p_partkey"] != b["cand"])).drop("p_brand")
     s = M.registry_score({"nom": c("a_p_name"), "dosage": c("a_p_size").cast("string"), "forme": c("a_p_type")}, {"nom": c("p_name"), "dosage": c("p_size").cast("string"), "forme": c("p_type")})
     return M.resolve_ties(j.withColumn("score", s).withColumn("tie", c("a_p_retailprice") == c("p_retailprice")), "p_partkey", "cand", "score", c("tie"))
 
@@ -560,14 +561,14 @@ def priority_class(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _type_sql() -> str:
-    hay = _normf("substr(text,1,2000)")
+    hay = _normf("text")
     whens = " ".join(f"WHEN {' OR '.join(f'contains(h,{chr(39)}{G._plain(t)}{chr(39)})' for t in terms)} THEN '{name}'" for name, terms in G.PRODUCT_TERMS)
     return f"SELECT doc_id, CASE {whens} ELSE '{G.STANDARD}' END AS product_type FROM (SELECT doc_id, {hay} AS h FROM documents)"
 
 
 @query(_type_sql())
 def product_type(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").select("doc_id", G.product_type(F.left("text", lit(2000))).alias("product_type"))
+    return _t(spark, d, "documents").select("doc_id", G.product_type("text").alias("product_type"))
 
 
 @query("""SELECT n_nationkey, CASE n_name WHEN 'GERMANY' THEN 'germany_pharmnet,ema' WHEN 'FRANCE' THEN 'france_bdpm_ansm,ema' WHEN 'CANADA' THEN 'canada_dpd,ema' WHEN 'JORDAN' THEN 'jordan_jfda,saudi_sfda_sdi' WHEN 'SAUDI ARABIA' THEN 'saudi_sfda_sdi' WHEN 'UNITED KINGDOM' THEN 'uk_mhra_emc,ema' ELSE '' END AS sources FROM nation""")
@@ -584,9 +585,9 @@ def source_plan(spark: SparkSession, d: str) -> DataFrame:
     return G.source_plan(s, "s_suppkey", [G.country_sources("n_name"), G.type_sources(kind)])
 
 
-@query("SELECT p_partkey, stage, endpoint, condition FROM part, (VALUES (1,'national_api','always'),(2,'label_api','previous_empty'),(3,'spl','previous_empty'),(4,'terminology','previous_empty')) AS s(stage, endpoint, condition) WHERE p_size < 10")
+@query("SELECT p_partkey, stage, endpoint, condition FROM part, (VALUES (1,'national_api','always'),(2,'label_api','previous_empty'),(3,'spl','previous_empty'),(4,'terminology','previous_empty')) AS s(stage, endpoint, condition)")
 def stage_plan(spark: SparkSession, d: str) -> DataFrame:
-    return G.stage_plan(_t(spark, d, "part").where("p_size < 10"), "p_partkey")
+    return G.stage_plan(_t(spark, d, "part"), "p_partkey")
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id) AS rn FROM events WHERE value > 50) WHERE rn=1")
@@ -673,9 +674,11 @@ def xml_sections(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def header_segments(spark: SparkSession, d: str) -> DataFrame:
-    """French sections of documents under headings made from their first lines (no SQL form; tested)."""
+    """French documents, a heading before each third of the text, cut into sections again (no SQL form; tested)."""
     docs = _t(spark, d, "documents").where("lang = 'fr'")
-    text = F.concat(lit("4.1 Indications thérapeutiques\n"), F.left("text", lit(800)), lit("\n4.3 Contre-indications\n"), F.substring("text", 801, 800), lit("\n4.9 Surdosage\n"), F.substring("text", 1601, 400))
+    third = F.floor(F.length("text") / 3).cast("int")
+    part = lambda k: F.substr("text", third * k + 1, F.length("text") if k == 2 else third)
+    text = F.concat(lit("4.1 Indications thérapeutiques\n"), part(0), lit("\n4.3 Contre-indications\n"), part(1), lit("\n4.9 Surdosage\n"), part(2))
     return S.segment(docs.select("doc_id", text.alias("text")), "doc_id", "text", lambda t: S.strict_then_words(t)[1])
 
 
@@ -707,13 +710,13 @@ _LANG_WORDS = {"de": ("der", "die", "und", "mit"), "fr": ("les", "des", "une", "
 def _lang_sql() -> str:
     n = {k: f"len(list_filter(string_split(t,' '), lambda w: w IN {ws}))" for k, ws in _LANG_WORDS.items()}
     s = ", ".join(f"{v} AS {k}" for k, v in n.items())
-    return f"SELECT doc_id, CASE WHEN de>=fr AND de>=es AND de>=en THEN 'de' WHEN fr>=es AND fr>=en THEN 'fr' WHEN es>=en THEN 'es' ELSE 'en' END AS guess FROM (SELECT doc_id, {s} FROM (SELECT doc_id, lower(substr(text,1,1000)) AS t FROM documents))"
+    return f"SELECT doc_id, CASE WHEN de>=fr AND de>=es AND de>=en THEN 'de' WHEN fr>=es AND fr>=en THEN 'fr' WHEN es>=en THEN 'es' ELSE 'en' END AS guess FROM (SELECT doc_id, {s} FROM (SELECT doc_id, lower(text) AS t FROM documents))"
 
 
 @query(_lang_sql())
 def infer_lang(spark: SparkSession, d: str) -> DataFrame:
     """Language by counts of marker words; ties go to the first."""
-    t = F.lower(F.left("text", lit(1000)))
+    t = F.lower("text")
 
     def found(ws: tuple[str, ...]) -> Column:
         return F.size(F.filter(F.split(t, " "), lambda w: w.isin(*ws)))

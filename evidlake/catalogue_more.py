@@ -51,22 +51,22 @@ def section_contract(spark: SparkSession, d: str) -> DataFrame:
 SELECT p_partkey, round(least(0.98, greatest(0.0, CASE WHEN contains(title,name) THEN 0.60 WHEN contains(title,base) THEN 0.55 ELSE 0 END
  + least(0.25, 0.25*len(list_intersect(list_distinct(list_filter(string_split(name,' '), lambda w: length(w)>=3)), string_split(title,' ')))/greatest(1, least(len(list_distinct(list_filter(string_split(name,' '), lambda w: length(w)>=3))),8))) + 0.14 - CASE WHEN NOT contains(title,base) THEN 0.15 ELSE 0 END)),4)::DOUBLE AS score FROM t, b""")
 def vaccine_document_score(spark: SparkSession, d: str) -> DataFrame:
-    """Every title against one product, broadcast as the one row it is."""
+    """Every title against one product, a scalar subquery."""
     p = _t(spark, d, "part")
-    name = p.agg(X.norm_folded(F.min("p_name")).alias("name"))
-    j = p.select("p_partkey", X.norm_folded("p_name").alias("title")).join(F.broadcast(name))
+    name = p.agg(X.norm_folded(F.min("p_name")).alias("name")).scalar()
+    j = p.select("p_partkey", X.norm_folded("p_name").alias("title"), name.alias("name"))
     return j.select("p_partkey", V.vaccine_score(c("title"), c("name"), F.split("name", " ").getItem(0), lit("product_information")).alias("score"))
 
 
-@query(f"""WITH q AS (SELECT item_id, {_normf("array_to_string(list_slice(string_split(text,' '),1,4),' ')")} AS n FROM benchmark), r AS (SELECT doc_id, {_normf('substr(text,1,500)')} AS n FROM documents WHERE doc_id % 7 = 0),
+@query(f"""WITH q AS (SELECT item_id, {_normf('text')} AS n FROM benchmark), r AS (SELECT doc_id, {_normf('text')} AS n FROM documents),
 qt AS (SELECT DISTINCT item_id, unnest(string_split(n,' ')) AS t FROM q), rt AS (SELECT DISTINCT doc_id, unnest(string_split(n,' ')) AS t FROM r),
 h AS (SELECT item_id, doc_id, count(*) AS shared FROM qt JOIN rt USING (t) WHERE t<>'' GROUP BY 1,2),
 s AS (SELECT h.item_id, h.doc_id, round(shared/greatest(1,len(list_distinct(list_filter(string_split(q.n,' '), lambda w: w<>'')))) + CASE WHEN contains(r.n,q.n) THEN 0.2 ELSE 0 END,4) AS score FROM h JOIN q USING (item_id) JOIN r USING (doc_id))
 SELECT item_id, doc_id, score::DOUBLE AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5""")
 def bulk_record_search(spark: SparkSession, d: str) -> DataFrame:
     """The five best records per query (a top-k report)."""
-    q = _t(spark, d, "benchmark").select("item_id", X.norm_folded(F.array_join(F.slice(F.split("text", " "), 1, 4), " ")).alias("norm"))
-    r = _t(spark, d, "documents").where("doc_id % 7 = 0").select("doc_id", X.norm_folded(F.left("text", lit(500))).alias("norm"))
+    q = _t(spark, d, "benchmark").select("item_id", X.norm_folded("text").alias("norm"))
+    r = _t(spark, d, "documents").select("doc_id", X.norm_folded("text").alias("norm"))
     return V.bulk_search(q, r, "item_id", "doc_id", k=5)
 
 
@@ -128,9 +128,9 @@ def name_candidates(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(F.length("line").between(4, 180)).select("conv_id", "turn", "line")
 
 
-@query("""SELECT l_orderkey, l_linenumber, round(l_quantity*l_discount,6) AS score, least(0.95, greatest(0.05, round(l_discount,2)))::DOUBLE AS clamped, l_quantity::INT // 10 AS bucket FROM lineitem WHERE l_orderkey <= 1000""")
+@query("""SELECT l_orderkey, l_linenumber, round(l_quantity*l_discount,6) AS score, least(0.95, greatest(0.05, round(l_discount,2)))::DOUBLE AS clamped, l_quantity::INT // 10 AS bucket FROM lineitem""")
 def score_arithmetic(spark: SparkSession, d: str) -> DataFrame:
-    li = _t(spark, d, "lineitem").where("l_orderkey <= 1000")
+    li = _t(spark, d, "lineitem")
     return li.select("l_orderkey", "l_linenumber", F.round(c("l_quantity") * c("l_discount"), 6).alias("score"), F.least(lit(0.95), F.greatest(lit(0.05), F.round("l_discount", 2))).alias("clamped"), F.floor(c("l_quantity").cast("int") / 10).alias("bucket"))
 
 
