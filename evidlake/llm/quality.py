@@ -180,6 +180,7 @@ def assess(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     names = [f"r_{k}" for k in all_rules]
     cuts = calibrate(rows, labels, names, stratum=stratum, key=key, risk=risk, confidence=confidence, scratch=scratch)
     wide = cuts.groupBy("stratum").pivot("rule", names).agg(F.first("cut")).select(F.col("stratum").alias("__s"), *[F.col(n).alias(f"cut_{n}") for n in names])
+    wide = scratch.cut(wide) if scratch else wide  # its size is known then: small tables are broadcast, large ones not
     joined = rows.join(wide, F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("__s"), "left")
     by = F.filter(F.array(*[F.when(F.col(n) >= F.col(f"cut_{n}"), F.lit(n[2:])) for n in names]), lambda x: x.isNotNull())
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
