@@ -155,7 +155,11 @@ class Mix:
         got = self.takes().withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
         spans = got.groupBy("__rid", "pass").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__spans"), F.sum(F.col("hi") - F.col("lo")).alias("__n"))
         rows = self.docs.join(spans, "__rid")
-        ws = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-        part = F.array_join(F.flatten(F.transform(F.col("__spans"), lambda s: F.slice(F.col("__words"), (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))), " ")
-        rows = rows.withColumn("__words", F.when(F.col("__n") < F.col("__size"), ws))
-        return rows.withColumn(text, F.when(F.col("__n") >= F.col("__size"), F.col(text)).otherwise(part)).drop("__rid", "pass", "__spans", "__n", "__words", "__size")
+        ws = F.regexp_extract_all(F.col(text), F.lit(WORD), 0)
+
+        def part(w: Column) -> Column:
+            return F.array_join(F.flatten(F.transform(F.col("__spans"), lambda s: F.slice(w, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))), " ")
+
+        # the words are a lambda's argument: as a column they would be cut anew for every span
+        part_ = F.element_at(F.transform(F.array(ws), part), 1)
+        return rows.withColumn(text, F.when(F.col("__n") >= F.col("__size"), F.col(text)).otherwise(part_)).drop("__rid", "pass", "__spans", "__n", "__size")
