@@ -37,7 +37,7 @@ from .common import Scratch, connected_components, forest, groups, per_process,
 
 RARE = 24
 #: Documents with more tokens than this over the percentage that may differ have frequent tokens indexed singly.
-LONG = 2400
+LONG = 1700
 CELL, CELL_TOKENS = 256, 400_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD))
