@@ -1,11 +1,17 @@
 """Line deduplication by pairwise alignment.
 
-Documents that overlap are found through the hashes of their lines (white space made even). A line that at most
-``rare`` documents hold pairs all of them; a more frequent line pairs every later document with the first one that
-holds it, so that no occurrence goes unpaired and pairs stay proportional to lines. Each pair is aligned with a patience
-diff (lines that are unique in both anchor the alignment, recursively), and aligned common blocks of at least
-``min_words`` words are deleted from the later document. Comparisons are always with whole original texts, so the first
-occurrence of a block stays.
+The result is that of aligning every document with every earlier one: aligned common blocks of at least ``min_words``
+words are deleted from the later document, comparisons always being with whole original texts, so the first occurrence
+of a block stays. Each pair is aligned with a patience diff (lines that are unique in both anchor the alignment,
+recursively) over the hashes of lines (white space made even).
+
+Not all pairs are aligned to get there. A block of ``min_words`` words holds a passage: adjacent lines that have as many
+words and would not without their first or their last line. Pairs without a common passage delete nothing. A line that
+one document holds matches nothing, so documents with the same sequence of shared lines (gaps between them made even)
+have the same alignments with all others: the first of them stands for all, and the others are aligned with it alone,
+which deletes all that any earlier document could. Of the rest, the holders of a passage are tried in order, the first
+one to begin with and more at once in every round, by those later documents in which a line of the passage is still
+left; the rounds end when every passage is deleted or was compared with all its earlier holders.
 
 Pairs and alignments carry line hashes only; texts move once, to the rows that say what to delete.
 
@@ -21,12 +27,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
 
+#: After a passage's first holder, so many are tried at once, and that many times more in each further round ...
 RARE = 8
+#: ... up to this many.
+MOST = 1000
 MIN_WORDS = 10
 _LAST = 2**63 - 1
 
@@ -98,42 +107,141 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 def common_blocks(a: list[int | None], b: list[int | None], sizes: list[int], min_words: int) -> list[int]:
     """Lines of b (their numbers) in aligned blocks with a that have ``min_words`` words or more."""
     ia, ib = [i for i, x in enumerate(a) if x is not None], [j for j, x in enumerate(b) if x is not None]
+    at = blocks([a[i] for i in ia], [b[j] for j in ib], [sizes[j] for j in ib], min_words)
+    return [ib[j] for j in at]
+
+
+def blocks(a: list[int], b: list[int], sizes: list[int], min_words: int) -> list[int]:
+    """The same for documents without blank lines."""
     out: list[int] = []
     run: list[int] = []
     last = (-2, -2)
-    for i, j in [*align([a[i] for i in ia], [b[j] for j in ib]), (-9, -9)]:
+    for i, j in [*align(a, b), (-9, -9)]:
         if (i, j) != (last[0] + 1, last[1] + 1):
             if run and sum(sizes[x] for x in run) >= min_words:
                 out += run
             run = []
         if j >= 0:
-            run.append(ib[j])
+            run.append(j)
         last = (i, j)
     return out
 
 
+def outline(lines: list[int | None], sizes: list[int], shared: set[int]) -> tuple[list[int | None], list[int], list[int]]:
+    """(lines, their numbers, their words) without blank lines; each run of lines that are not shared is one null."""
+    seq: list[int | None] = []
+    at, words = [], []
+    for i, x in enumerate(lines):
+        if x is None or x not in shared and seq and seq[-1] is None:
+            continue
+        seq.append(x if x in shared else None)
+        at.append(i)
+        words.append(sizes[i])
+    return seq, at, words
+
+
+def passages(seq: list[int | None], sizes: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(first, last) of all runs of shared lines with ``min_words`` words that end, or start, as early, or late, as they can."""
+    out: set[tuple[int, int]] = set()
+    lo, n = 0, 0
+    for hi, x in enumerate(seq):
+        if x is None:
+            lo, n = hi + 1, 0
+            continue
+        n += sizes[hi]
+        if n < min_words:
+            continue
+        while n >= min_words:  # runs that are complete with this line
+            if n - sizes[hi] < min_words:
+                out.add((lo, hi))
+            lo, n = lo + 1, n - sizes[lo]
+        lo, n = lo - 1, n + sizes[lo - 1]
+        out.add((lo, hi))
+    return sorted(out)
+
+
+def _name(lines: list[int | None]) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(",".join(map(str, lines))) - 2**63
+
+
 def find(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
     """(k, h, gone): the numbers of the lines to delete from the document with order key k and text hash h."""
     scratch = Scratch(spark)
     keyed = docs.where(F.col(text).isNotNull()).select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("k"), F.xxhash64(text).alias("h"), F.col(text).cast("string").alias("t"))
     lines = scratch.cut(keyed.mapInArrow(_lines, "k long, h long, lines array<long>, sizes array<int>").dropDuplicates(["k", "h"]))
     posts = lines.select("k", "h", F.explode(F.array_distinct(F.filter("lines", lambda x: x.isNotNull()))).alias("line"))
+    often = posts.groupBy("line").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("line")
+    shared = posts.join(often, "line").groupBy("k", "h").agg(F.collect_list("line").alias("shared"))
+
+    def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = []
+            for k, h, x, s, c in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                seq, at, words = outline(x, s, set(c))
+                held = passages(seq, words, min_words)
+                if held:
+                    rows.append((k, h, _name(seq), seq, at, words, sorted({_name(seq[lo : hi + 1]) for lo, hi in held})))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["k", "h", "kind", "seq", "at", "sizes", "held"])
+
+    seqs = scratch.cut(lines.join(shared, ["k", "h"]).mapInArrow(outlines, "k long, h long, kind long, seq array<long>, at array<int>, sizes array<int>, held array<long>"))
+    scratch.drop(lines)
     me = F.struct("k", "h")
-    firsts = scratch.cut(posts.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min(me).alias("first")).where("df > 1"))
-    frequent = posts.join(firsts.where(F.col("df") > rare).select("line", "first"), "line").where(me != F.col("first")).select(F.col("first").alias("a"), me.alias("b"))
-    few = posts.join(firsts.where(F.col("df") <= rare).select("line"), "line").groupBy("line").agg(F.array_sort(F.collect_list(me)).alias("all"))
-    few = few.select(F.explode("all").alias("b"), "all").select(F.explode(F.filter("all", lambda x: x < F.col("b"))).alias("a"), "b")
-    pairs = scratch.cut(frequent.unionByName(few).distinct().select(F.col("a.k").alias("ak"), F.col("a.h").alias("ah"), F.col("b.k").alias("k"), F.col("b.h").alias("h")))
-    one = lines.select(F.col("k").alias("ak"), F.col("h").alias("ah"), F.col("lines").alias("other"))
-    both = scratch.cut(pairs.join(one, ["ak", "ah"]).select("k", "h", "other")).join(lines, ["k", "h"]).select("k", "h", "other", "lines", "sizes")
+    heads = seqs.groupBy("kind").agg(F.min(me).alias("a"))
+    kinds = scratch.cut(seqs.select("k", "h", "kind").join(heads, "kind").select("k", "h", "a"))
+    alike = kinds.where(me != F.col("a")).select(F.col("a.k").alias("ak"), F.col("a.h").alias("ah"), "k", "h")
+    posts = scratch.cut(seqs.join(kinds.where(me == F.col("a")).select("k", "h"), ["k", "h"], "left_semi").select("k", "h", F.explode("held").alias("passage")))
+    firsts = posts.groupBy("passage").agg(F.count(F.lit(1)).alias("df"), F.min(me).alias("first")).where("df > 1")
+    left = scratch.cut(posts.join(firsts, "passage").where(me != F.col("first")).select("k", "h", "passage"))
+    one = seqs.select(F.col("k").alias("ak"), F.col("h").alias("ah"), F.col("seq").alias("other"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            gone = [common_blocks(a, b, s, min_words) for a, b, s in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            gone = []
+            for a, b, at, s in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+                here = blocks([("a",) if x is None else x for x in a], [("b",) if x is None else x for x in b], s, min_words)
+                gone.append([at[j] for j in here])
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(gone, pa.list_(pa.int32()))], ["k", "h", "gone"])
 
-    found = both.mapInArrow(run, "k long, h long, gone array<int>").where(F.size("gone") > 0)
-    return found.groupBy("k", "h").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    def still(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = []
+            for k, h, seq, at, s, gone in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                lost = set(gone or ())
+                rows += [(k, h, x) for x in {_name(seq[lo : hi + 1]) for lo, hi in passages(seq, s, min_words) if any(at[i] not in lost for i in range(lo, hi + 1))}]
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["k", "h", "passage"])
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        both = scratch.cut(pairs.join(one, ["ak", "ah"]).select("k", "h", "other"))
+        found = both.join(seqs, ["k", "h"]).select("k", "h", "other", "seq", "at", "sizes").mapInArrow(run, "k long, h long, gone array<int>").where(F.size("gone") > 0)
+        found = scratch.cut(found.groupBy("k", "h").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")))
+        scratch.drop(both)
+        return found
+
+    found = compare(alike)
+    tried, more = None, 1
+    while True:
+        near = posts.join(left.select("passage").distinct(), "passage")
+        if tried is not None:
+            near = near.join(tried, "passage").where(me > F.col("last")).select("k", "h", "passage")
+        place = F.row_number().over(Window.partitionBy("passage").orderBy("k", "h"))
+        near = scratch.cut(near.withColumn("place", place).where(F.col("place") <= more).select("passage", F.col("k").alias("ak"), F.col("h").alias("ah")))
+        pairs = left.join(near, "passage").where(F.struct("ak", "ah") < me).select("ak", "ah", "k", "h").distinct()
+        pairs = scratch.cut(pairs)
+        if pairs.isEmpty():
+            return found
+        found = found.unionByName(compare(pairs)).groupBy("k", "h").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        found = scratch.cut(found)
+        rest = pairs.select("k", "h").distinct().join(seqs, ["k", "h"]).join(found, ["k", "h"], "left").select("k", "h", "seq", "at", "sizes", "gone")
+        rest = rest.mapInArrow(still, "k long, h long, passage long")
+        last = near.groupBy("passage").agg(F.max(F.struct(F.col("ak").alias("k"), F.col("ah").alias("h"))).alias("last"))
+        tried = scratch.cut(last)
+        left = scratch.cut(left.join(rest, ["k", "h", "passage"], "left_semi").join(tried, "passage").where(F.col("last") < me).select("k", "h", "passage"))
+        more = min(MOST, max(2, rare) * more)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:

@@ -233,6 +233,38 @@ def test_line_dedup_deletes_later_blocks_only(spark):
     assert linededup.dedup(spark, docs.limit(0)).count() == 0
 
 
+def brute_line_dedup(rows, min_words=10):
+    """Every document against every earlier one."""
+    out = {}
+    split = [[" ".join(x.split()) or None for x in t.split("\n")] for _, t in rows]
+    for j, (d, t) in enumerate(rows):
+        sizes = [len((x or "").split()) for x in split[j]]
+        gone = {x for i in range(j) for x in linededup.common_blocks(split[i], split[j], sizes, min_words)}
+        out[d] = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+    return out
+
+
+def test_line_dedup_finds_blocks_of_lines_with_different_first_holders(spark):
+    one, two = "six words that open a block", "six words that close the block"
+    rows = [(1, f"{one}\nx"), (2, f"{two}\ny")] + [(3 + i, f"{one}\n{two}\nown line {i}") for i in range(12)]
+    rows += [(20, "\n".join([one, "a", two]))]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[3] == rows[2][1] and all(got[3 + i] == f"own line {i}" for i in range(1, 12)) and got[20] == rows[-1][1]
+
+
+def test_line_dedup_equals_all_pairs(spark):
+    rng = random.Random(6)
+    common = [" ".join(words(rng, rng.choice([2, 4, 6, 12]))) for _ in range(14)]
+    rows = []
+    for i in range(120):
+        lines = [rng.choice(["", f"own {i} {n}", *common, *common]) for n in range(rng.randrange(1, 14))]
+        if i % 3 == 0:  # blocks in another order
+            lines = [*common[4:7], "x", *common[:3], *lines] if i % 2 else [*common[:3], f"y {i}", *common[4:7], *lines]
+        rows.append((i, "\n".join(lines) if i % 17 else rows[i - 1][1] if i else common[3]))
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), rare=2).collect()}
+    assert got == brute_line_dedup(rows)
+
+
 def test_patience_alignment_is_a_common_subsequence():
     rng = random.Random(8)
     for _ in range(200):
