@@ -3,7 +3,7 @@
 The result is that of aligning every document with every earlier one: aligned common blocks of at least ``min_words``
 words are deleted from the later document, comparisons always being with whole original texts, so the first occurrence
 of a block stays. Each pair is aligned with a patience diff (lines that are unique in both anchor the alignment,
-recursively) over the hashes of lines (white space made even).
+recursively; a longest common subsequence where there are none) over the hashes of lines (white space made even).
 
 Not all pairs are aligned to get there. A block of ``min_words`` words holds a passage: adjacent lines that have as many
 words and would not without their first or their last line. Pairs without a common passage delete nothing. A line that
@@ -36,6 +36,8 @@ from .common import Scratch, slices
 RARE = 8
 #: ... up to this many.
 MOST = 1000
+#: Bits of an alignment table that are held at once.
+MOST_BITS = 1 << 27
 MIN_WORDS = 10
 _LAST = 2**63 - 1
 
@@ -52,10 +54,86 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))], ["k", "h", "lines", "sizes"])
 
 
+def _rows(a: list[int], where: dict[int, int], full: int) -> Iterator[int]:
+    """For each start of a, the bits of b at which the longest common subsequence does not grow."""
+    row = full
+    for x in a:
+        u = row & where.get(x, 0)
+        row = ((row + u) | (row - u)) & full
+        yield row
+
+
+def _places(b: list[int]) -> dict[int, int]:
+    at: dict[int, list[int]] = {}
+    for j, x in enumerate(b):
+        at.setdefault(x, []).append(j)
+    out = {}
+    for x, places in at.items():
+        bits = bytearray(places[-1] // 8 + 1)
+        for j in places:
+            bits[j >> 3] |= 1 << (j & 7)
+        out[x] = int.from_bytes(bits, "little")
+    return out
+
+
+def longest(a: list[int], b: list[int], most: int = MOST_BITS) -> list[tuple[int, int]]:
+    """A longest common subsequence as pairs (i, j), by bit vectors; neighbours of one side are kept together where possible.
+
+    Lines that only one side holds are set aside first. Tables of more than ``most`` bits are halved (Hirschberg).
+    """
+    ia, ib = set(a), set(b)
+    ia, ib = [i for i, x in enumerate(a) if x in ib], [j for j, x in enumerate(b) if x in ia]
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(ia), 0, len(ib))]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        m, n = i1 - i0, j1 - j0
+        if not m or not n:
+            continue
+        left, right = [a[i] for i in ia[i0:i1]], [b[j] for j in ib[j0:j1]]
+        full = (1 << n) - 1
+        if m > 1 and m * n > most:
+            half = m // 2
+            for head in _rows(left[:half], _places(right), full):
+                pass
+            for tail in _rows(left[:half - 1:-1], _places(right[::-1]), full):
+                pass
+            head_bits, tail_bits = f"{head:0{n}b}"[::-1], f"{tail:0{n}b}"
+            got = best = tail_bits.count("0")
+            cut = 0
+            for j in range(n):
+                got += (head_bits[j] == "0") - (tail_bits[j] == "0")
+                if got > best:
+                    best, cut = got, j + 1
+            todo += [(i0, i0 + half, j0, j0 + cut), (i0 + half, i1, j0 + cut, j1)]
+            continue
+        rows = list(_rows(left, _places(right), full))
+        i, j = m, n
+        while i and j:
+            if rows[i - 1] >> (j - 1) & 1:
+                j = (~rows[i - 1] & ((1 << j) - 1)).bit_length()
+                continue
+            i -= 1
+            if i == 0 or rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                out.append((ia[i0 + i], ib[j0 + j]))
+    out.sort()
+    for n in range(len(out) - 2, -1, -1):  # towards the next pair
+        (i, j), (i2, j2) = out[n], out[n + 1]
+        if a[i2 - 1] == b[j2 - 1] == a[i]:
+            out[n] = (i2 - 1, j2 - 1)
+    for n in range(1, len(out)):  # towards the pair before
+        (i, j), (i2, j2) = out[n - 1], out[n]
+        if a[i + 1] == b[j + 1] == a[i2]:
+            out[n] = (i + 1, j + 1)
+    return out
+
+
 def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Pairs (i, j) with a[i] == b[j], rising in both: a patience diff.
 
-    Where no line is unique in both, the n-th occurrences of lines that both hold equally often are anchors.
+    Where no line is unique in both, the n-th occurrences of lines that both hold equally often are anchors; where there
+    are none of these either, a longest common subsequence is taken.
     """
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -74,6 +152,7 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         if not anchors:
             anchors = {x for x, n in ca.items() if cb.get(x) == n}
         if not anchors:
+            out += [(i0 + i, j0 + j) for i, j in longest(a[i0:i1], b[j0:j1])]
             continue
         where: dict[int, list[int]] = {}
         for i in range(i1 - 1, i0 - 1, -1):

@@ -279,6 +279,25 @@ def test_patience_alignment_is_a_common_subsequence():
     assert linededup.align([1, 2, 3], [1, 2, 3]) == [(0, 0), (1, 1), (2, 2)]
 
 
+def test_alignment_without_anchors_is_a_longest_common_subsequence():
+    assert len(linededup.align([1, 9, 2], [3, 9, 4, 9, 5])) == 1 and len(linededup.align([3, 9, 4, 9, 5], [1, 9, 2])) == 1
+    passage = [6, 7, 8]
+    sizes = [4] * 9
+    assert linededup.common_blocks([1, *passage, 2], [3, *passage, 4, *passage, 5], sizes, 10) in ([1, 2, 3], [5, 6, 7])
+    assert linededup.common_blocks([3, *passage, 4, *passage, 5], [1, *passage, 2], sizes, 10) == [1, 2, 3]
+    assert linededup.common_blocks([1, *passage, 2], [3, 6, 4, *passage, 6, *passage, 0], [4] * 11, 10) != []
+    rng = random.Random(9)
+    for n in range(400):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(0, 30))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        got = linededup.longest(a, b, 16 if n % 2 else 1 << 20)
+        assert len(got) == table[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:], strict=False))
+
+
 def test_packing_round_trip(spark, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer
