@@ -4,8 +4,10 @@ A page is cut into text blocks; each has a path of block elements (name and clas
 length, the punctuation and the text in links are added up over its nodes; the lengths and punctuation per node are
 smoothed over neighbouring paths in page order and fused, and paths above a share of the best are content. Elements
 that by name, class, id or role hold no main text (menus, forms, adverts, comments ...) weigh nothing, those inside
-``article`` or ``main`` weigh more. Around the content paths, the enclosing element with the largest share of the score
-is the article; all its blocks are the result, the short ones too.
+``article`` or ``main`` weigh more. Words in a class, id or role do not mark an ``article`` that is in no other one, nor the
+elements around the page's largest text in ``article`` or ``main``, of the texts not much shorter the one below the fewest
+marked elements. The last element, and the last ``article`` or ``main`` if there is one, that encloses all blocks on content
+paths is the article; all its blocks are the result, the short ones too.
 
 The parser is a tolerant scanner: optional end tags are implied, stray end tags are ignored, raw-text elements are
 skipped up to their end tag. Defined cases: null, empty or text-free pages give an empty text; an unclosed tag at the
@@ -25,10 +27,9 @@ from pyspark.sql import types as T
 
 from .common import slices
 
-#: Share of the best path's fused score from which on a path is content.
+#: Share of the best path's fused score from which on a path is content; of the largest text in article or main elements
+#: from which on one below fewer marked elements is preferred.
 THRESHOLD = 0.25
-#: Share of the content's text that its enclosing element holds at least.
-NEARLY = 0.8
 #: Weight of paths inside article or main elements.
 BOOST = 50.0
 #: Elements deeper than this share the path above them.
@@ -55,9 +56,9 @@ _WORDS = re.compile(r"[a-z]+")
 _PUNCT = re.compile(r"[.,;:!?…。，、！？]")
 
 
-def _attributes(tag: str, raw: str) -> tuple[str, bool]:
-    """(the element's name in paths, whether it is marked as no main text)."""
-    name, noise = tag, tag in DROP
+def _attributes(tag: str, raw: str) -> tuple[str, bool, bool]:
+    """(the element's name in paths, whether it is no main text, whether words in its class, id or role say so)."""
+    name, noise, marked = tag, tag in DROP, False
     for m in _ATTR.finditer(raw):
         kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
@@ -66,8 +67,8 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool]:
             if kind != "role":
                 name += (".#"[kind == "id"]).join(["", *value.split()])
             if tag not in ("html", "body", "main") and not NOISE.isdisjoint(_WORDS.findall(value)):
-                noise = True
-    return name, noise
+                marked = True
+    return name, noise, marked
 
 
 Block = tuple[tuple[str, ...], tuple[int, ...], bool, bool, str, int]
@@ -75,9 +76,10 @@ Block = tuple[tuple[str, ...], tuple[int, ...], bool, bool, str, int]
 
 def blocks(page: str) -> list[Block]:
     """(path, numbers of its elements, noise, in article or main, text, characters in links) of every block, in page order."""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], tuple[int, ...], bool, bool]] = [("", (), (), False, False)]
+    out: list[tuple] = []
+    stack: list[tuple[str, tuple[str, ...], tuple[int, ...], bool, bool, tuple[int, ...]]] = [("", (), (), False, False, ())]
     number = 0
+    around: set[int] = set()  # marked elements that hold an article or main element
     held: list[str] = []
     links, in_link = 0, 0
     pos, n = 0, len(page)
@@ -87,7 +89,7 @@ def blocks(page: str) -> list[Block]:
         if held:
             text = " ".join(_html.unescape("".join(held)).split())
             if text:
-                out.append((*stack[-1][1:], text, min(links, len(text))))
+                out.append((*stack[-1][1:5], text, min(links, len(text)), stack[-1][5]))
             held.clear()
         links = 0
 
@@ -155,16 +157,26 @@ def blocks(page: str) -> list[Block]:
                         break
                 elif stack[at][0] in FENCE[tag]:
                     break
-        name, noise = _attributes(tag, m[4] or "")
-        _, path, numbers, above, art = stack[-1]
+        name, noise, marked = _attributes(tag, m[4] or "")
+        _, path, numbers, above, art, marks = stack[-1]
         number += 1
+        if tag in ("article", "main") and not (above or noise):
+            around.update(marks)
+        if marked and (tag != "article" or any(x[0] == "article" for x in stack)):
+            marks = (*marks, number)
         if tag == "header" and not art:
             noise = True
         if len(path) < DEEPEST:
             path, numbers = (*path, name), (*numbers, number)
-        stack.append((tag, path, numbers, above or noise, art or tag in ("article", "main")))
+        stack.append((tag, path, numbers, above or noise, art or tag in ("article", "main"), marks))
     flush()
-    return out
+    texts: dict[tuple[int, ...], int] = {}
+    for _, _, noise, art, text, _, marks in out:
+        if art and not noise and around.issuperset(marks):
+            texts[marks] = texts.get(marks, 0) + len(text)
+    large = [x for x, n in texts.items() if n >= THRESHOLD * max(texts.values())]
+    free = set(min(large, key=lambda x: (len(x), -texts[x]), default=()))
+    return [(*b[:2], b[2] or not free.issuperset(b[6]), *b[3:6]) for b in out]
 
 
 def content(page: str | None, threshold: float = THRESHOLD) -> str:
@@ -191,24 +203,19 @@ def content(page: str | None, threshold: float = THRESHOLD) -> str:
     best = max(score.values())
     if best <= 0:
         return ""
-    chosen = [(numbers, path, len(text)) for path, numbers, _, art, text, _ in found if score[path] >= threshold * best]
-    if any(stats[path][4] for _, path, _ in chosen):
+    chosen = [(numbers, path) for path, numbers, *_ in found if score[path] >= threshold * best]
+    if any(stats[path][4] for _, path in chosen):
         chosen = [x for x in chosen if stats[x[1]][4]]
-    total = sum(x[2] for x in chosen)
-    root: tuple[int, ...] = ()
-    while True:  # down to the last element that holds nearly all text of the content paths
-        below: dict[tuple[int, ...], int] = {}
-        for numbers, _, size in chosen:
-            if len(numbers) > len(root):
-                key = numbers[: len(root) + 1]
-                below[key] = below.get(key, 0) + size
-        step = max(below, key=below.__getitem__, default=None)
-        if step is None or below[step] < NEARLY * total:
-            break
-        here = {path[len(step) - 1].split(".")[0].split("#")[0] for numbers, path, _ in chosen if numbers[: len(step)] == step}
-        if here & LEAVES:
-            break
-        root = step
+    root: tuple[int, ...] = chosen[0][0]
+    names = chosen[0][1]
+    for numbers, _ in chosen:  # the last element that holds all blocks of the content paths
+        same = 0
+        while same < min(len(root), len(numbers)) and root[same] == numbers[same]:
+            same += 1
+        root = root[:same]
+    tags = [x.split(".")[0].split("#")[0] for x in names[: len(root)]]
+    whole = [i for i, x in enumerate(tags) if x in ("article", "main")]
+    root = root[: whole[-1] + 1 if whole else next((i for i, x in enumerate(tags) if x in LEAVES), len(tags))]
     return "\n".join(text for _, numbers, _, _, text, _ in found if numbers[: len(root)] == root)
 
 

@@ -163,6 +163,25 @@ def test_html_cases(spark):
     assert html.content(long).count("\n") == 19999
 
 
+def test_html_keeps_all_parts_of_an_article_and_marked_wrappers():
+    say = "Words of the text, with commas, and more. "
+    t = say.strip()
+    body, part = (say * 17).strip(), (say * 3).strip()
+    whole = f"T\n{body}\n{part}"
+    inner = f"<h1>T</h1><div class=body><p>{body}</p></div><section><p>{part}</p></section>"
+    assert html.content(f"<body><article>{inner}</article>") == whole
+    assert html.content(f"<body><div>{inner}</div>") in (whole, body)  # a short part may be below the threshold here
+    two = f"<body><div id=c><h2>T</h2><div class=x><p>{body}</p></div><div class=y><p>{body}</p><p>{body}</p></div></div><div>Short</div>"
+    assert html.content(two) == f"T\n{body}\n{body}\n{body}"
+    assert html.content(f"<div id=c><div class=x><p>{body}</p></div><div class=y><p>{part} {part}</p></div></div>") == f"{body}\n{part} {part}"
+    for page in ("<article class='post has-sidebar'>{}</article>", "<div id='page' class='no-comments'><article>{}</article></div>", "<main><p>Lead</p><div class=with-sidebar><article>{}</article></div></main>"):
+        assert html.content("<body>" + page.format(inner)).endswith(whole), page
+    side = f"<div class=sidebar><article><p>{part}</p></article></div>"
+    for page in (f"{side}<article>{inner}</article>", f"<div class=no-comments>{side}<article>{inner}</article></div>", f"<article>{inner}<div class=comments><article class=comment><p>{part}</p></article></div></article>"):
+        assert html.content(f"<body>{page}") == whole, page
+    assert html.content(f"<article class=hero>{t}</article><div class=comments><p>{part}</p></div>") == t
+
+
 def brute_links(rows, threshold):
     x, ok = [], []
     for i, (k, v) in enumerate(rows):
