@@ -1,7 +1,8 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
-The words of a source, its documents put in a seeded order, are cut into blocks of a fixed length. A source's target
-gives its number of output slots. How many of them each output shard gets is drawn at random: every slot picks a shard,
+The words of a source, its documents put in a seeded order, are cut into blocks of one length: BLOCK, or a small share
+(1 / STEPS) of its target where that is less, one word at least, so that small sources meet their targets as well. A
+source's target gives its number of output slots. How many of them each output shard gets is drawn at random: every slot picks a shard,
 which is the multinomial draw of (shard, source) counts given that every source meets its target. Slot k of a source is
 mapped to a block by a pseudorandom permutation of the source's blocks (a Feistel network on block numbers, a new one
 for each pass over the source), so no block is taken a second time before all are taken once. Slots and blocks are then
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import WORD, Scratch
 
 BLOCK = 32
+#: A source's target is this many blocks at least, or blocks are single words.
+STEPS = 50
 SHARDS = 64
 BUCKETS = 1024
 #: Slots that one row makes at most.
@@ -117,20 +120,21 @@ class Mix:
         self.docs = scratch.cut(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, key, source])], words(text).alias("__size"), F.monotonically_increasing_id().alias("__rid")))
         slim = self.docs.select("__rid", F.col(source).alias("src"), F.col(key).alias("__key"), "__size")
         self.sources = scratch.cut(targets(slim.groupBy("src").agg(F.sum("__size").alias("source_size")), weights=weights, share=share, most=most))
-        blocks = F.expr(f"(source_size + {block - 1}) DIV {block}")
-        wanted = F.least(F.round(F.col("target") / block).cast("long"), F.floor(F.lit(most) * blocks).cast("long"))
-        plan = self.sources.select("sid", blocks.alias("n_blocks"), wanted.alias("n_slots"))
+        sized = self.sources.withColumn("__block", F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("target") / STEPS))).cast("long"))
+        blocks = F.expr("(source_size + __block - 1) DIV __block")
+        wanted = F.least(F.round(F.col("target") / F.col("__block")).cast("long"), F.floor(F.lit(most) * blocks).cast("long"))
+        plan = sized.select("sid", blocks.alias("n_blocks"), wanted.alias("n_slots"))
         self.slots = slots(plan, shards=shards, seed=seed, scratch=scratch)
-        own = self.sources.select(F.col("src").alias("__src"), "sid")
-        rows = slim.join(own, F.col("src").eqNullSafe(F.col("__src"))).select("__rid", "__key", "__size", "sid").where("__size > 0")
+        own = sized.select(F.col("src").alias("__src"), "sid", "__block")
+        rows = slim.join(own, F.col("src").eqNullSafe(F.col("__src"))).select("__rid", "__key", "__size", "sid", "__block").where("__size > 0")
         rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), F.lit("order"), "__key")).withColumn("__bucket", F.pmod("__h", F.lit(BUCKETS)).cast("int"))
         sums = rows.groupBy("sid", "__bucket").agg(F.sum("__size").alias("__n"))
         offs = sums.select("sid", "__bucket", (F.sum("__n").over(Window.partitionBy("sid").orderBy("__bucket")) - F.col("__n")).alias("__off"))
         within = F.sum("__size").over(Window.partitionBy("sid", "__bucket").orderBy("__h", "__key", "__rid")) - F.col("__size")
         placed = rows.withColumn("__in", within).join(offs, ["sid", "__bucket"]).withColumn("__start", F.col("__in") + F.col("__off"))
-        spans = placed.withColumn("block", F.explode(F.sequence(F.expr(f"__start DIV {block}"), F.expr(f"(__start + __size - 1) DIV {block}"))))
-        lo = F.greatest(F.col("__start"), F.col("block") * block) - F.col("__start")
-        hi = F.least(F.col("__start") + F.col("__size"), (F.col("block") + 1) * block) - F.col("__start")
+        spans = placed.withColumn("block", F.explode(F.sequence(F.expr("__start DIV __block"), F.expr("(__start + __size - 1) DIV __block"))))
+        lo = F.greatest(F.col("__start"), F.col("block") * F.col("__block")) - F.col("__start")
+        hi = F.least(F.col("__start") + F.col("__size"), (F.col("block") + 1) * F.col("__block")) - F.col("__start")
         self.pieces = spans.select("sid", "block", "__rid", lo.alias("lo"), hi.alias("hi"))
         self.source, self.key = source, key
 

@@ -84,6 +84,14 @@ def test_mixing_meets_targets(spark, sources):
     assert mixing.Mix(spark, docs(spark, [])).taken().count() == 0
 
 
+def test_mixing_meets_targets_of_small_sources(spark):
+    rows = [(i, "w " * n, f"s{i:02}") for i, n in enumerate([3, 10, 10, 7, 40, 90, 25, 300, 5000, 1, 12, 70])]
+    got = mixing.Mix(spark, docs(spark, rows)).taken().collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= max(1, 0.05 * r["target"]), r
+
+
 def test_mixed_texts_hold_the_taken_words(spark, sources):
     rows = [r for r in sources if r[0] not in (5, None)]
     mix = mixing.Mix(spark, docs(spark, rows), block=16, keep=("doc_id", "text"))
