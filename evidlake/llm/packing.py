@@ -6,7 +6,8 @@ white space than single blanks and newlines between visible characters are encod
 
 Only lengths are packed. Pieces are dealt to lanes of about LANE_ROWS rows by a hash of the document id and fed lane by
 lane, the longest first, to an online packer in bounded space: a fixed number of bins are open, kept by their free space, with one bit per free space in an integer, so
-that the best fit is one shift and one bit scan. When all bins are open and none fits, the fullest closes. A lane's
+that the best fit is one shift and one bit scan. When all bins are open and none fits, the fullest closes; with the
+default sizes a lane has fewer pieces than that takes, so its bins stay open. A lane's
 result depends on its rows alone, so a retried task gives the same sequences.
 
 Defined cases: null and empty texts give one piece that holds only the end token. Only documents longer than a
