@@ -674,8 +674,8 @@ def xml_sections(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def header_segments(spark: SparkSession, d: str) -> DataFrame:
-    """French documents, a heading before each third of the text, cut into sections again (no SQL form; tested)."""
-    docs = _t(spark, d, "documents").where("lang = 'fr'")
+    """All documents, a French heading before each third of the text, cut into sections again (no SQL form; tested)."""
+    docs = _t(spark, d, "documents")
     third = F.floor(F.length("text") / 3).cast("int")
     part = lambda k: F.substr("text", third * k + 1, F.length("text") if k == 2 else third)
     text = F.concat(lit("4.1 Indications thérapeutiques\n"), part(0), lit("\n4.3 Contre-indications\n"), part(1), lit("\n4.9 Surdosage\n"), part(2))
