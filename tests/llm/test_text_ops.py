@@ -86,6 +86,53 @@ def test_window_bound_holds():
                 least = min(jaccard.window(len(a), percent) - len(a), jaccard.window(len(b), percent) - len(b)) + jaccard.overlap(len(a), len(b), percent)
                 assert len(np.intersect1d(wa, wb)) >= max(1, least)
                 assert least >= max(jaccard.least_shared(len(a), percent), jaccard.least_shared(len(b), percent))
+                both = [set(zip(w[:-1].tolist(), w[1:].tolist(), strict=True)) for w in (wa, wb)]
+                assert len(a) == len(b) == shared or len(both[0] & both[1]) >= jaccard.adjacent(len(a), len(b), percent) >= 1
+    assert not any(jaccard.needs_single(n, percent) for percent in (80, 90) for n in range(1, 3000))
+
+
+def test_jaccard_combinations_serve_documents_of_every_length():
+    for n in (30, 200, 5000):
+        tokens = np.arange(jaccard.window(n, 90), dtype=np.int64)
+        keys = jaccard.combination_keys(tokens, jaccard.least_shared(n, 90), jaccard.needs_single(n, 90))
+        assert len(keys) == len(tokens) - 1 <= 0.2 * n + 2 and not set(keys.tolist()) & set(tokens.tolist())
+
+
+def test_jaccard_work_on_near_copies_is_in_proportion(spark, monkeypatch):
+    """Pairs that are verified in a group of near copies: about as many for each document, whatever the group's size."""
+    pairs = []
+    verified = jaccard._Links.verified
+    monkeypatch.setattr(jaccard._Links, "verified", lambda self, df: (pairs.append(df.count()), verified(self, df))[1])
+    monkeypatch.setattr(jaccard, "_rest", lambda *_: pytest.fail("the group was compared in full"))
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(300)]
+    made = []
+    for n in (150, 600):
+        rows = []
+        for i in range(n):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"e{i}"
+            rows.append((i, " ".join(w)))
+        pairs.clear()
+        got = jaccard.join(spark, spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=90)
+        assert {r["component_id"] for r in got.collect()} == {0}
+        made.append(sum(pairs))
+    assert made[1] < 6 * made[0]
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_jaccard_compares_what_rounds_leave(spark, rounds):
+    """Texts around one long passage, most of them not similar, some in chains and pairs."""
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for i in range(120):
+        w = passage + [f"o{i % 90}x{k}" for k in range(rng.choice([4, 8, 12, 16]))]
+        if i % 4 == 0:
+            w[rng.randrange(len(w))] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    got = jaccard.join(spark, spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=80, rare=3, rounds=rounds).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_jaccard(rows, 3, 80)
 
 
 def test_jaccard_on_nothing(spark):
