@@ -1,7 +1,7 @@
 """Shared helpers of the training-data operators.
 
 Intermediate tables go to the folder that the session names in ``spark.checkpoint.dir`` (all executors see it);
-only where that is unset, as in tests, a temporary folder is used instead. They are ordinary Parquet tables, so a
+where that is unset they go below the warehouse, and in a local session, as in tests, to a temporary folder. They are ordinary Parquet tables, so a
 lost executor costs a re-read and not a recomputation.
 """
 
@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 #: A word everywhere in this subpackage: a run of anything but ASCII white space. In Python ``bytes.split()`` gives it.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Links that one task labels at most.
+LINKS_AT_ONCE = 1 << 20
+
 Made = TypeVar("Made")
 _FALLBACK: dict[str, str] = {}
 _REMOVED: set[str] = set()
@@ -37,8 +40,10 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables of this application."""
     app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if not root and spark.sparkContext.master.startswith("local["):  # one machine, as in tests
         root = _FALLBACK.setdefault(app, tempfile.mkdtemp(prefix="evidlake-"))
+    elif not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")  # shared on a cluster
     return f"{root.rstrip('/')}/evidlake/{app}"
 
 
@@ -112,17 +117,34 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of all links that come."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    t = pa.Table.from_batches(held)
+    nodes, at = np.unique(np.concatenate([t.column("u").to_numpy(), t.column("v").to_numpy()]), return_inverse=True)
+    root = nodes[forest(len(nodes), at[: t.num_rows], at[t.num_rows :])]
+    for lo in range(0, len(nodes), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[lo : lo + (1 << 16)]), pa.array(root[lo : lo + (1 << 16)])], ["node", "component"])
+
+
+def connected_components(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None, *, at_once: int = LINKS_AT_ONCE) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v long); component is the smallest node that links reach.
 
-    Alternating large-star and small-star steps: each maps every edge towards the smallest neighbour, so rows never
+    Up to ``at_once`` links (16 bytes each) are labelled in one task: that bound is checked before. More go through
+    alternating large-star and small-star steps: each maps every edge towards the smallest neighbour, so rows never
     exceed the edges given, and nothing is gathered outside the cluster. The minima are written before they are joined
-    back, which leaves two plain exchanges that adaptive execution can split when a node is a hub.
+    back, which leaves two plain exchanges that adaptive execution can split when a node is a hub. Both ways give the same.
     Self-links, repeated links and nulls are ignored; no edges give no rows.
     """
     scratch = scratch or Scratch(spark)
     a, b = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    now = scratch.cut(edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").select(a, b).distinct())
+    now = scratch.cut(edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").select(a, b))
+    if now.count() <= at_once:
+        return now.coalesce(1).mapInArrow(_labelled, "node long, component long")
+    old, now = now, scratch.cut(now.distinct())
+    scratch.drop(old)
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
