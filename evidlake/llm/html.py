@@ -1,17 +1,25 @@
 """Main text of web pages by tag-path ratios.
 
-A page is cut into text blocks; each has a path of block elements (name and class) from the root. Per path, the text
+A page is cut into text blocks; each has a path of block elements (name, class and id) from the root. Per path, the text
 length, the punctuation and the text in links are added up over its nodes; the lengths and punctuation per node are
-smoothed over neighbouring paths in page order and fused, and paths above a share of the best are content. Elements
-that by name, class, id or role hold no main text (menus, forms, adverts, comments ...) weigh nothing, those inside
-``article`` or ``main`` weigh more. Words in a class, id or role do not mark an ``article`` that is in no other one, nor the
-elements around the page's largest text in ``article`` or ``main``, of the texts not much shorter the one below the fewest
-marked elements. The last element, and the last ``article`` or ``main`` if there is one, that encloses all blocks on content
-paths is the article; all its blocks are the result, the short ones too.
-
-The parser is a tolerant scanner: optional end tags are implied, stray end tags are ignored, raw-text elements are
-skipped up to their end tag. Defined cases: null, empty or text-free pages give an empty text; an unclosed tag at the
-end of the page is dropped; broken character references stay as they are; pages of any length are used whole.
+smoothed over neighbouring paths in page order and fused, and paths above a share of the best are content. Blocks on
+content paths are the content nodes. The last element around all of them, and the last ``article`` or ``main`` if there is
+one, is the article; all its blocks are the result, the short ones too. Where it is neither ``article`` nor ``main``, parts
+of it without a content node are left out if links make up most of their text (menus between the parts of a text).
+
+What elements are decides before paths do: menus, sidebars, footers, dialogs, hidden elements, and headers outside an
+article hold no main text. Elements whose class, id or role has a token made up of words for such parts ("ad",
+"cookie-notice", "comments", "related-posts") are marked, and forms are. Tokens with any other word ("has-sidebar",
+"notice-period", "social-policy") mark nothing. Text below a mark is left out, but marks do not count around the page's
+largest text in ``article`` or ``main`` (of the texts not much shorter, the one below the fewest marks), or, on pages
+without these, around most of the text. Paths inside ``article`` or ``main`` weigh more than others.
+
+The parser is a tolerant scanner: optional end tags are implied, stray end tags are ignored, and unknown elements are
+inline, as in a browser. Elements without text of their own (scripts, styles, buttons, drawings) are skipped up to their
+end tag or, where there is none, to the end of the element they are in. Defined cases: null, empty or text-free pages give
+an empty text; an unclosed tag at the end of the page is dropped; broken character references stay as they are; pages of
+any length and depth are used whole; repeated rows are treated alike. Other columns pass through, but for ``html``,
+``text`` and ``n_chars``, which are replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +27,7 @@ from __future__ import annotations
 import html as _html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,33 +41,47 @@ from .common import slices
 THRESHOLD = 0.25
 #: Weight of paths inside article or main elements.
 BOOST = 50.0
-#: Elements deeper than this share the path above them.
-DEEPEST = 200
+#: On pages without article or main: share of the text from which on the marks around it do not count.
+MOST = 0.6
+#: Share of text in links from which on a part without content nodes is a menu.
+LINKS = 0.5
 
 # Elements by their role in HTML.
+BLOCK = frozenset(
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li listing main menu nav ol p plaintext pre search section summary table tbody td tfoot th thead tr ul".split()
+)
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th tr dd dt ul ol table tbody".split())
+CELLS = frozenset("td th li dd blockquote".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select canvas video audio xmp noframes noembed".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
-DROP = frozenset("nav aside footer form button dialog menu head fieldset".split())
-CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th", "thead", "tbody"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody")}
-FENCE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",), "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
-# Words in class, id or role that mark what is no main text.
+SKIPPED = frozenset("script style noscript template iframe textarea title svg select button xmp noframes noembed datalist".split())
+DROP = frozenset("nav aside footer dialog menu head".split())
+FORMS = frozenset("form fieldset search".split())
+CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
+SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "thead": ("tr", "td", "th", "thead", "tbody"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody")}
+FENCE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
+# Words for parts that are no main text, and words that may stand beside them in a class, id or role.
 NOISE = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices
 alert popup modal overlay newsletter subscribe subscription signup login menu nav navbar navigation breadcrumb breadcrumbs pagination pager sidebar
 widget widgets related recommended recommendations share sharing social comment comments commentlist disqus reply replies respond responses footer toolbar
 skip search form complementary contentinfo dialog toc tags masthead topbar paywall disclaimer copyright""".split())
+BESIDE = frozenset("area bar block bottom box buttons container content fixed global header inner item items left link links list main media page post posts primary right row secondary section site sticky thread top unit wrap wrapper".split())
 
 _SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?![\w-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_BLOCKS = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})[\s/>]", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _PUNCT = re.compile(r"[.,;:!?…。，、！？]")
 
 
+def _marks(token: str) -> bool:
+    """Whether a token of a class, id or role is made up of words for a part that is no main text."""
+    words = _WORDS.findall(token)
+    return not NOISE.isdisjoint(words) and all(w in NOISE or w in BESIDE for w in words)
+
+
 def _attributes(tag: str, raw: str) -> tuple[str, bool, bool]:
-    """(the element's name in paths, whether it is no main text, whether words in its class, id or role say so)."""
-    name, noise, marked = tag, tag in DROP, False
+    """(the element's name in paths, whether it is no main text, whether it is marked)."""
+    name, noise, marked = tag, tag in DROP, tag in FORMS
     for m in _ATTR.finditer(raw):
         kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
@@ -66,22 +89,39 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool, bool]:
         elif kind != "aria-hidden" and value:
             if kind != "role":
                 name += (".#"[kind == "id"]).join(["", *value.split()])
-            if tag not in ("html", "body", "main") and not NOISE.isdisjoint(_WORDS.findall(value)):
-                marked = True
+            marked = marked or tag not in ("html", "body", "main") and any(map(_marks, value.split()))
     return name, noise, marked
 
 
-Block = tuple[tuple[str, ...], tuple[int, ...], bool, bool, str, int]
+@dataclass
+class Node:
+    """An element; its number is its place in page order, ``last`` that of its last descendant. ``marks``: around or on it."""
+
+    tag: str
+    parent: int
+    depth: int
+    path: int
+    noise: bool
+    article: bool
+    marks: tuple[int, ...]
+    last: int = 0
+
+
+@dataclass
+class Block:
+    node: int
+    text: str
+    links: int
 
 
-def blocks(page: str) -> list[Block]:
-    """(path, numbers of its elements, noise, in article or main, text, characters in links) of every block, in page order."""
-    out: list[tuple] = []
-    stack: list[tuple[str, tuple[str, ...], tuple[int, ...], bool, bool, tuple[int, ...]]] = [("", (), (), False, False, ())]
-    number = 0
-    around: set[int] = set()  # marked elements that hold an article or main element
+def scan(page: str) -> tuple[list[Node], list[Block]]:
+    """All elements that are blocks, and all blocks of text, in page order."""
+    nodes = [Node("", -1, 0, 0, False, False, ())]
+    out: list[Block] = []
+    stack = [0]
+    paths: dict[tuple[int, str], int] = {}
     held: list[str] = []
-    links, in_link = 0, 0
+    links, in_link = 0, False
     pos, n = 0, len(page)
 
     def flush() -> None:
@@ -89,14 +129,28 @@ def blocks(page: str) -> list[Block]:
         if held:
             text = " ".join(_html.unescape("".join(held)).split())
             if text:
-                out.append((*stack[-1][1:5], text, min(links, len(text)), stack[-1][5]))
+                out.append(Block(stack[-1], text, min(links, len(text))))
             held.clear()
         links = 0
 
     def pop_to(at: int) -> None:
-        flush()
+        for node in stack[at:]:
+            nodes[node].last = len(nodes) - 1
         del stack[at:]
 
+    def skipped(tag: str) -> int:
+        """Where the skipped element ends that begins before ``pos``."""
+        end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
+        if tag == "svg":  # a block ends a drawing, as in a browser
+            inner = _BLOCKS.search(page, pos, end.start() if end else n)
+            if inner:
+                return inner.start()
+        if end:
+            return end.end()
+        open_ = "|".join({re.escape(nodes[x].tag) for x in stack[1:]})
+        end = re.compile(rf"</(?:{open_})\b", re.I).search(page, pos) if open_ else None
+        return end.start() if end else n
+
     while pos < n:
         m = _SCAN.search(page, pos)
         if m is None:
@@ -116,82 +170,94 @@ def blocks(page: str) -> list[Block]:
         tag = m[3].lower()
         if m[2]:
             if tag == "a":
-                in_link = 0
+                in_link = False
             if tag == "br":
                 held.append(" ")
-            elif tag not in INLINE:
+            elif tag in BLOCK:
+                flush()
                 for at in range(len(stack) - 1, 0, -1):
-                    if stack[at][0] == tag:
+                    if nodes[stack[at]].tag == tag:
                         pop_to(at)
                         break
-                else:
-                    flush()
             continue
-        if tag in RAW:
+        if tag in SKIPPED:
             if not m[4].endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, pos)
-                pos = end.end() if end else n
+                pos = skipped(tag)
             continue
-        if tag in INLINE:
+        if tag not in BLOCK or tag in VOID:
             if tag == "a":
-                in_link = 1
+                in_link = True
             elif tag == "br":
                 held.append(" ")
-            continue
-        if tag in VOID:
-            flush()
+            elif tag == "hr":
+                flush()
             continue
         flush()
         if tag in CLOSES_P:
             for at in range(len(stack) - 1, 0, -1):
-                if stack[at][0] == "p":
-                    del stack[at:]
+                if nodes[stack[at]].tag == "p":
+                    pop_to(at)
                     break
-                if stack[at][0] not in ("h1", "h2", "h3", "h4", "h5", "h6"):
+                if nodes[stack[at]].tag not in ("h1", "h2", "h3", "h4", "h5", "h6"):
                     break
         if tag in SAME:
             for at in range(len(stack) - 1, 0, -1):
-                if stack[at][0] in SAME[tag]:
-                    del stack[at:]
+                if nodes[stack[at]].tag in SAME[tag]:
+                    pop_to(at)
                     if tag not in ("tr", "thead", "tbody", "tfoot"):
                         break
-                elif stack[at][0] in FENCE[tag]:
+                elif nodes[stack[at]].tag in FENCE[tag]:
                     break
         name, noise, marked = _attributes(tag, m[4] or "")
-        _, path, numbers, above, art, marks = stack[-1]
-        number += 1
-        if tag in ("article", "main") and not (above or noise):
-            around.update(marks)
-        if marked and (tag != "article" or any(x[0] == "article" for x in stack)):
-            marks = (*marks, number)
-        if tag == "header" and not art:
+        up = nodes[stack[-1]]
+        if tag == "header" and not up.article:
             noise = True
-        if len(path) < DEEPEST:
-            path, numbers = (*path, name), (*numbers, number)
-        stack.append((tag, path, numbers, above or noise, art or tag in ("article", "main"), marks))
+        whole = tag in ("article", "main")
+        if marked and (tag != "article" or any(nodes[x].tag == "article" for x in stack)):
+            up_marks = (*up.marks, len(nodes))
+        else:
+            up_marks = up.marks
+        path = paths.setdefault((up.path, name), len(paths) + 1)
+        stack.append(len(nodes))
+        nodes.append(Node(tag, stack[-2], up.depth + 1, path, up.noise or noise, up.article or whole, up_marks))
     flush()
-    texts: dict[tuple[int, ...], int] = {}
-    for _, _, noise, art, text, _, marks in out:
-        if art and not noise and around.issuperset(marks):
-            texts[marks] = texts.get(marks, 0) + len(text)
-    large = [x for x, n in texts.items() if n >= THRESHOLD * max(texts.values())]
-    free = set(min(large, key=lambda x: (len(x), -texts[x]), default=()))
-    return [(*b[:2], b[2] or not free.issuperset(b[6]), *b[3:6]) for b in out]
+    pop_to(0)
+    return nodes, out
+
+
+def _free(nodes: list[Node], found: list[Block]) -> set[int]:
+    """The marked elements whose marks do not count."""
+    texts: dict[tuple[int, ...], list[int]] = {}
+    within = [b for b in found if nodes[b.node].article]
+    for b in within or found:
+        t = texts.setdefault(nodes[b.node].marks, [0, 0])
+        t[0], t[1] = t[0] + len(b.text), t[1] + 1
+    if within:
+        # marks below an article or main element count, those around it may not
+        around = {x for i, node in enumerate(nodes) if node.tag in ("article", "main") and not node.noise for x in nodes[max(node.parent, 0)].marks}
+        texts = {k: v for k, v in texts.items() if around.issuperset(k)}
+        large = [k for k, v in texts.items() if v[0] >= THRESHOLD * max(x[0] for x in texts.values())]
+        return set(min(large, key=lambda k: (len(k), -texts[k][0]), default=()))
+    total = sum(v[0] for v in texts.values())
+    return set(next((k for k, v in texts.items() if v[0] >= MOST * total and v[1] > 1), ()))
 
 
 def content(page: str | None, threshold: float = THRESHOLD) -> str:
     """The main text of a page: its blocks joined by newlines."""
     if not page:
         return ""
-    found = [b for b in blocks(page) if not b[2]]
+    nodes, found = scan(page)
+    found = [b for b in found if not nodes[b.node].noise]
+    free = _free(nodes, found)
+    found = [b for b in found if free.issuperset(nodes[b.node].marks)]
     if not found:
         return ""
-    stats: dict[tuple[str, ...], list[float]] = {}
-    for path, _, _, art, text, links in found:
-        s = stats.setdefault(path, [0, 0, 0, 0, art])
-        s[0] += len(text)
-        s[1] += len(_PUNCT.findall(text))
-        s[2] += links
+    stats: dict[int, list[float]] = {}
+    for b in found:
+        s = stats.setdefault(nodes[b.node].path, [0, 0, 0, 0, nodes[b.node].article])
+        s[0] += len(b.text)
+        s[1] += len(_PUNCT.findall(b.text))
+        s[2] += b.links
         s[3] += 1
 
     def smooth(v: list[float]) -> list[float]:
@@ -203,20 +269,36 @@ def content(page: str | None, threshold: float = THRESHOLD) -> str:
     best = max(score.values())
     if best <= 0:
         return ""
-    chosen = [(numbers, path) for path, numbers, *_ in found if score[path] >= threshold * best]
-    if any(stats[path][4] for _, path in chosen):
-        chosen = [x for x in chosen if stats[x[1]][4]]
-    root: tuple[int, ...] = chosen[0][0]
-    names = chosen[0][1]
-    for numbers, _ in chosen:  # the last element that holds all blocks of the content paths
-        same = 0
-        while same < min(len(root), len(numbers)) and root[same] == numbers[same]:
-            same += 1
-        root = root[:same]
-    tags = [x.split(".")[0].split("#")[0] for x in names[: len(root)]]
-    whole = [i for i, x in enumerate(tags) if x in ("article", "main")]
-    root = root[: whole[-1] + 1 if whole else next((i for i, x in enumerate(tags) if x in LEAVES), len(tags))]
-    return "\n".join(text for _, numbers, _, _, text, _ in found if numbers[: len(root)] == root)
+    chosen = [b.node for b in found if score[nodes[b.node].path] >= threshold * best]
+    if any(nodes[x].article for x in chosen):
+        chosen = [x for x in chosen if nodes[x].article]
+    root = chosen[0]
+    for x in chosen:  # the last element that holds all content nodes
+        while not root <= x <= nodes[root].last:
+            root = nodes[root].parent
+    up = root
+    while up and nodes[up].tag not in ("article", "main"):
+        up = nodes[up].parent
+    if up:
+        return "\n".join(b.text for b in found if up <= b.node <= nodes[up].last)
+    direct = set(chosen)
+    while nodes[root].tag in LEAVES and (nodes[root].tag not in CELLS or root in direct):  # out of paragraphs, lists and tables of text
+        root = nodes[root].parent
+    parts: dict[int, list[int]] = {}
+
+    def part(x: int) -> int:
+        while x != root and nodes[x].parent != root:
+            x = nodes[x].parent
+        return x
+
+    kept = []
+    for b in found:
+        if root <= b.node <= nodes[root].last:
+            at = part(b.node)
+            kept.append((at, b))
+            p = parts.setdefault(at, [0, 0, 0])
+            p[0], p[1], p[2] = p[0] + len(b.text), p[1] + b.links, p[2] + (b.node in direct)
+    return "\n".join(b.text for at, b in kept if parts[at][2] or parts[at][1] < LINKS * parts[at][0])
 
 
 def extract(pages: DataFrame, html: str = "html", *, threshold: float = THRESHOLD) -> DataFrame:
