@@ -1,16 +1,21 @@
 """Quality rules with risk-controlled thresholds.
 
-Base features come from whole texts. Rule scores (larger is worse) are put on a fixed grid; labelled documents are
-counted per stratum, rule and grid cell. A cutoff may be used in a stratum only if an exact (Clopper-Pearson) upper
-bound on the share of good documents that it rejects stays below ``risk``; the confidence is shared among all cutoffs
-that are tried (Bonferroni over strata and rules, and within a rule a fixed sequence from the laxest cutoff on, which
-needs no further correction). Of the allowed cutoffs the one is taken that rejects the most bad documents net of
-``price`` times the good ones. Where the labels do not suffice, or nothing is gained, the rule is off in that stratum.
-
-Counts per cell are one row per stratum, rule and cell, whatever the input's size; a document's own features never leave
-its row. Defined cases: a null or blank text has features 0 and fails the base rules; a null stratum is a stratum of
-its own; labels other than 0 and 1, null ids and ids without a document are ignored; of repeated labels the worst
-counts. Without labels no learned rule is on.
+Base features come from whole texts. Rule scores (larger is worse) are put on a fixed grid. Labelled documents are split
+in two by a hash of their id. The first half proposes, per stratum, a sequence of threshold vectors, one cutoff per rule,
+from lax to strict: at each level a rule has the cutoff that rejects the most bad documents net of ``price`` times the good
+ones, while it loses at most that level's share of good documents; cutoffs only tighten along the sequence. The second
+half, held out, tests the vectors in that order. A vector passes if an exact (Clopper-Pearson) upper bound on the share
+of good documents that it rejects, by any of its rules, is at most ``risk``; the first one that fails ends the sequence, so the tests
+within a stratum need no further correction, and the error is shared among strata (Bonferroni). So with probability
+``confidence`` no stratum loses more than ``risk`` of its good documents to all learned rules together. Of the vectors
+that pass, the one with the best net catch is taken. Where the labels do not suffice, or nothing is gained, no learned
+rule is on in that stratum.
+
+What is learned from is one row per stratum, rule and cell, or per stratum and level, whatever the input's size; a
+document's own features never leave its row. Defined cases: a null or blank text has features 0 and fails the base rules; a
+null stratum is a stratum of its own, apart from an empty one; labels other than 0 and 1, null ids and ids without a document
+are ignored; of repeated labels the worst counts; repeated rows are judged alike. Without labels no learned rule is on. Very
+long texts are measured whole. Only key, text and stratum are read of the input, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ PRICE = 2
 CONFIDENCE = 0.95
 #: Cells of the grid on which rule scores, shares from 0 to 1, are rounded down.
 GRID = 200
+#: Levels of the sequence of threshold vectors: shares of ``risk`` that one rule may lose.
+LEVELS = 40
 WINDOW = 8
 _SYMBOLS = b"#*$%&|<>"
 
@@ -117,16 +124,22 @@ def rules() -> dict[str, Column]:
     }
 
 
-def _log_cdf(k: int, n: int, p: float) -> float:
-    """log P(X <= k) for a binomial."""
-    if k >= n or p <= 0:
-        return 0.0
-    if p >= 1:
-        return -math.inf
-    i = np.arange(k + 1)
-    terms = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in i]) + i * math.log(p) + (n - i) * math.log1p(-p)
-    top = terms.max()
-    return float(top + math.log(np.exp(terms - top).sum()))
+def most_rejects(n: int, risk: float, delta: float, step: int = 1 << 20) -> int:
+    """The largest k with P(X <= k) <= ``delta`` for a binomial of n trials at ``risk``; -1 if there is none."""
+    if n <= 0 or not 0 < risk < 1:
+        return -1
+    odds, goal = math.log(risk) - math.log1p(-risk), math.log(delta)
+    term, total, k = n * math.log1p(-risk), -math.inf, -1
+    while k < n:
+        i = np.arange(k + 1, min(k + 1 + step, n + 1), dtype=np.float64)
+        ratio = np.log(n - i + 1, where=i > 0, out=np.zeros_like(i)) - np.log(i, where=i > 0, out=np.zeros_like(i)) + odds * (i > 0)
+        terms = term + np.cumsum(ratio)
+        sums = np.logaddexp(total, np.logaddexp.accumulate(terms))
+        over = np.flatnonzero(sums > goal)
+        if len(over):
+            return k + int(over[0])
+        term, total, k = float(terms[-1]), float(sums[-1]), int(i[-1])
+    return n
 
 
 def rejects_at_most(k: int, n: int, risk: float, delta: float) -> bool:
@@ -134,41 +147,76 @@ def rejects_at_most(k: int, n: int, risk: float, delta: float) -> bool:
 
     The Clopper-Pearson bound is at most ``risk`` just when P(X <= k | risk) is at most ``delta``.
     """
-    return n > 0 and k < n * risk and _log_cdf(k, n, risk) <= math.log(delta)
-
-
-def cutoff(good: np.ndarray, bad: np.ndarray, risk: float, delta: float, price: float = PRICE) -> int | None:
-    """The grid cell from which on a rule rejects; ``good``, ``bad``: documents by cell. None: the rule is off.
-
-    Cells are tried from the highest down (a fixed sequence, ended by the first failure).
-    """
-    n, lost, caught, best, most = int(good.sum()), 0, 0, None, 0.0
-    for cell in range(len(good) - 1, 0, -1):
-        lost, caught = lost + int(good[cell]), caught + int(bad[cell])
-        if not rejects_at_most(lost, n, risk, delta):
+    return k <= most_rejects(n, risk, delta)
+
+
+def cutoffs(good: np.ndarray, bad: np.ndarray, levels: np.ndarray, price: float = PRICE) -> np.ndarray:
+    """For each level, the cell from which on a rule rejects, ``len(good)`` if it is off; ``good``, ``bad``: documents by cell."""
+    n = len(good)
+    lost, caught = np.cumsum(good[::-1])[::-1], np.cumsum(bad[::-1])[::-1]
+    out = np.full(len(levels), n, dtype=np.int64)
+    best, most, cell = n, 0.0, n
+    for k, level in enumerate(levels):
+        while cell > 1 and lost[cell - 1] <= level * good.sum():
+            cell -= 1
+            if caught[cell] - price * lost[cell] > most:
+                best, most = cell, caught[cell] - price * lost[cell]
+        out[k] = best
+    return out
+
+
+def choose(good: np.ndarray, bad: np.ndarray, risk: float, delta: float, price: float = PRICE) -> int | None:
+    """The level to use, from held-out documents by the first level that rejects them (the last entry: none does)."""
+    limit, best, most = most_rejects(int(good.sum()), risk, delta), None, 0.0
+    for level, (lost, caught) in enumerate(zip(np.cumsum(good[:-1]), np.cumsum(bad[:-1]), strict=True)):
+        if lost > limit:
             break
         if caught - price * lost > most:
-            best, most = cell, caught - price * lost
+            best, most = level, caught - price * lost
     return best
 
 
+def _stratum(column: str) -> Column:
+    """The stratum's name; null has one that no text has."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-"))
+
+
 def calibrate(scored: DataFrame, labels: DataFrame, names: list[str], *, stratum: str, key: str = "doc_id", quality: str = "quality", risk: float = RISK, confidence: float = CONFIDENCE, grid: int = GRID, scratch=None) -> DataFrame:
-    """(stratum, rule, cutoff cell) for the rules that are on. ``scored`` has cells named as the rules."""
+    """(stratum, cuts): the cutoff cells, in the order of ``names``, of strata in which they are on. ``scored`` has cells named as the rules."""
+    cut = scratch.cut if scratch else lambda df: df
     lab = labels.where(F.col(quality).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.min(quality).alias("__q"))
-    cells = F.explode(F.array(*[F.struct(F.lit(x).alias("rule"), F.col(x).alias("cell")) for x in names])).alias("x")
-    hist = scored.join(lab, key).select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "__q", cells).groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.cell").alias("cell")).agg(F.sum(F.col("__q").cast("long")).alias("good"), F.count(F.lit(1)).alias("n"))
-    hist = scratch.cut(hist) if scratch else hist
-    # the tests share the error among all strata and rules
-    delta = (1 - confidence) / (max(1, hist.select("stratum").distinct().count()) * len(names))
+    rows = scored.join(lab, key).select(_stratum(stratum).alias("stratum"), F.col("__q").cast("long").alias("good"), F.pmod(F.xxhash64(F.lit("half"), key), F.lit(2)).alias("half"), F.array(*names).alias("cells"))
+    rows = cut(rows)
+    levels = risk * np.arange(LEVELS + 1) / LEVELS
+    n_rules = len(names)
+    hist = rows.where("half = 0").select("stratum", "good", F.posexplode("cells").alias("rule", "cell")).groupBy("stratum", "rule", "cell").agg(F.sum("good").alias("good"), F.count(F.lit(1)).alias("n"))
+
+    def propose(t: pd.DataFrame) -> pd.DataFrame:
+        good, n = np.zeros((2, n_rules, grid + 1), np.int64)
+        at = (t["rule"].to_numpy(), t["cell"].to_numpy())
+        np.add.at(good, at, t["good"].to_numpy())
+        np.add.at(n, at, t["n"].to_numpy())
+        return pd.DataFrame({"stratum": [t["stratum"].iloc[0]], "path": [[cutoffs(good[r], n[r] - good[r], levels).tolist() for r in range(n_rules)]]})
+
+    paths = cut(hist.groupBy("stratum").applyInPandas(propose, "stratum string, path array<array<int>>"))
+    delta = (1 - confidence) / max(1, paths.count())  # the tests share the error among all strata
+
+    def first(r: int) -> Column:
+        """The first level at which rule r rejects: cutoffs only fall along the path."""
+        return F.size(F.filter(F.col("path")[r], lambda c: c > F.col("cells")[r]))
+
+    held = rows.where("half = 1").join(paths, "stratum").select("stratum", "good", F.least(*map(first, range(n_rules)), F.lit(LEVELS + 1)).alias("level"))
+    held = held.groupBy("stratum", "level").agg(F.sum("good").alias("good"), F.count(F.lit(1)).alias("n"))
 
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        good, n = np.zeros((2, grid + 1), np.int64)
-        np.add.at(good, rows["cell"].to_numpy(), rows["good"].to_numpy())
-        np.add.at(n, rows["cell"].to_numpy(), rows["n"].to_numpy())
-        cell = cutoff(good, n - good, risk, delta)
-        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "rule": [rows["rule"].iloc[0]], "cut": [cell]}).dropna().astype({"cut": "int32"})
+    def test(t: pd.DataFrame) -> pd.DataFrame:
+        good, n = np.zeros((2, LEVELS + 2), np.int64)
+        np.add.at(good, t["level"].to_numpy(), t["good"].to_numpy())
+        np.add.at(n, t["level"].to_numpy(), t["n"].to_numpy())
+        level = choose(good, n - good, risk, delta)
+        return pd.DataFrame({"stratum": [t["stratum"].iloc[0]], "level": [level]}).dropna().astype({"level": "int32"})
 
-    return hist.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, cut int")
+    taken = held.groupBy("stratum").applyInPandas(test, "stratum string, level int")
+    return paths.join(taken, "stratum").select("stratum", F.transform("path", lambda c: c[F.col("level")]).alias("cuts"))
 
 
 def assess(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK, confidence: float = CONFIDENCE, scratch=None) -> DataFrame:
@@ -179,9 +227,9 @@ def assess(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     rows = scratch.cut(rows) if scratch else rows
     names = [f"r_{k}" for k in all_rules]
     cuts = calibrate(rows, labels, names, stratum=stratum, key=key, risk=risk, confidence=confidence, scratch=scratch)
-    wide = cuts.groupBy("stratum").pivot("rule", names).agg(F.first("cut")).select(F.col("stratum").alias("__s"), *[F.col(n).alias(f"cut_{n}") for n in names])
-    wide = scratch.cut(wide) if scratch else wide  # its size is known then: small tables are broadcast, large ones not
-    joined = rows.join(wide, F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("__s"), "left")
-    by = F.filter(F.array(*[F.when(F.col(n) >= F.col(f"cut_{n}"), F.lit(n[2:])) for n in names]), lambda x: x.isNotNull())
+    cuts = cuts.select(F.col("stratum").alias("__s"), F.col("cuts").alias("__cuts"))
+    cuts = scratch.cut(cuts) if scratch else cuts  # its size is known then: small tables are broadcast, large ones not
+    joined = rows.join(cuts, _stratum(stratum) == F.col("__s"), "left")
+    by = F.filter(F.array(*[F.when(F.col(n) >= F.col("__cuts")[i], F.lit(n[2:])) for i, n in enumerate(names)]), lambda x: x.isNotNull())
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return joined.select(key, *FEATURES, failed.alias("base_failed"), by.alias("rejected_by"), (~failed & (F.size(by) == 0)).alias("kept"))
