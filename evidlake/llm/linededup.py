@@ -17,7 +17,8 @@ Pairs and alignments carry line hashes only; texts move once, to the rows that s
 
 Defined cases: documents are ordered by id (null last), then by a hash of their text; rows with equal id and text count
 as one document and get the same result; a null text stays null, a blank one stays as it is; blank lines neither
-match nor break a block; very long texts are aligned as a whole.
+match nor break a block; very long texts are aligned as a whole. Other columns pass through, but for n_lines_removed and
+n_lines_left, which are replaced.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
@@ -245,10 +247,27 @@ def _name(lines: list[int | None]) -> int:
     return xxhash.xxh64_intdigest(",".join(map(str, lines))) - 2**63
 
 
+def _identity(key: str, text: str) -> tuple[Column, Column]:
+    """(order key, hash of the text) of a document; those without an id come last and meet no document with one."""
+    k = F.col(key).cast("long")
+    return F.coalesce(k, F.lit(_LAST)), F.when(k.isNull(), F.xxhash64(F.lit("no id"), text)).otherwise(F.xxhash64(text))
+
+
+def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of lines as one flag a line, up to the last one, which can be looked up by place."""
+    for batch in slices(batches):
+        masks = []
+        for gone in batch.column(2).to_pylist():
+            mask = np.zeros(max(gone) + 1, dtype=bool)
+            mask[gone] = True
+            masks.append(mask)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(masks, pa.list_(pa.bool_()))], ["__k", "__h", "__gone"])
+
+
 def find(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
     """(k, h, gone): the numbers of the lines to delete from the document with order key k and text hash h."""
     scratch = Scratch(spark)
-    keyed = docs.where(F.col(text).isNotNull()).select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("k"), F.xxhash64(text).alias("h"), F.col(text).cast("string").alias("t"))
+    keyed = docs.where(F.col(text).isNotNull()).select(_identity(key, text)[0].alias("k"), _identity(key, text)[1].alias("h"), F.col(text).cast("string").alias("t"))
     lines = scratch.cut(keyed.mapInArrow(_lines, "k long, h long, lines array<long>, sizes array<int>").dropDuplicates(["k", "h"]))
     posts = lines.select("k", "h", F.explode(F.array_distinct(F.filter("lines", lambda x: x.isNotNull()))).alias("line"))
     often = posts.groupBy("line").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("line")
@@ -325,12 +344,13 @@ def find(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str
 
 def dedup(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str = "text", rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the common blocks deleted from ``text``, and n_lines_removed, n_lines_left (lines with a word) added."""
-    gone = find(spark, docs, key=key, text=text, rare=rare, min_words=min_words).select(F.col("k").alias("__k"), F.col("h").alias("__h"), F.col("gone").alias("__gone"))
-    on = (F.coalesce(F.col(key).cast("long"), F.lit(_LAST)) == F.col("__k")) & (F.xxhash64(text) == F.col("__h"))
+    gone = find(spark, docs, key=key, text=text, rare=rare, min_words=min_words).select("k", "h", "gone").mapInArrow(_masks, "__k long, __h long, __gone array<boolean>")
+    k, h = _identity(key, text)
+    on = (k == F.col("__k")) & (h == F.col("__h"))
     joined = docs.drop("n_lines_removed", "n_lines_left").join(gone, on, "left")
     rows = F.split(F.col(text), "\n")
-    left = F.filter(rows, lambda x, i: ~F.array_contains(F.col("__gone"), i))
-    joined = joined.withColumn("n_lines_removed", F.coalesce(F.size("__gone"), F.lit(0))).withColumn("n_lines_removed", F.greatest("n_lines_removed", F.lit(0)))
+    left = F.filter(rows, lambda x, i: ~F.coalesce(F.get("__gone", i), F.lit(False)))
+    joined = joined.withColumn("n_lines_removed", F.coalesce(F.size(F.filter("__gone", lambda x: x)), F.lit(0)))
     joined = joined.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     words = F.coalesce(F.size(F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0))
     return joined.withColumn("n_lines_left", words).drop("__k", "__h", "__gone")
