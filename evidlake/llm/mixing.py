@@ -2,8 +2,9 @@
 
 The words of a source, its documents put in a seeded order, are cut into blocks of one length: BLOCK, or a small share
 (1 / STEPS) of its target where that is less, one word at least, so that small sources meet their targets as well. A
-source's target gives its number of output slots. How many of them each output shard gets is drawn at random: every slot picks a shard,
-which is the multinomial draw of (shard, source) counts given that every source meets its target. Slot k of a source is
+source's target gives its number of output slots. How many slots of each source an output shard gets is a multinomial
+draw: every slot picks a shard at random. That is the draw of source counts per shard under the condition that every source
+meets its target, so the sources' totals are fixed and shard sizes vary a little instead (by the root of their slots). Slot k of a source is
 mapped to a block by a pseudorandom permutation of the source's blocks (a Feistel network on block numbers, a new one
 for each pass over the source), so no block is taken a second time before all are taken once. Slots and blocks are then
 joined by block number.
@@ -12,7 +13,10 @@ Nothing is sorted or numbered in one task per source: documents are placed by ha
 first, and slots are made from counts in runs of RUN. The only table that goes through one task has a row per source.
 
 Defined cases: a null source is one more source, last in order; null and blank texts have size 0 and nothing is taken of
-them; repeated rows are documents of their own. Without words all targets are 0.
+them; repeated rows are documents of their own. Documents are ordered by a hash of id and text, so null and repeated ids
+are spread like others, and reruns agree whatever the splits of the input (rows equal in both are interchangeable).
+Very long texts are cut into blocks like all others. Without words all targets are 0. Columns named size, source_size,
+target or taken are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch
+from .common import WORD, Scratch, partitions
 
 BLOCK = 32
 #: A source's target is this many blocks at least, or blocks are single words.
@@ -93,9 +97,12 @@ def permute(rows: DataFrame, at: str, n: str, keys: list[str], name: str, *, see
 
 
 def _runs(rows: DataFrame, n: str) -> DataFrame:
-    """``rows`` with one row for each number __i from 0 to ``n`` - 1, made in runs that are dealt to all tasks."""
+    """``rows`` with one row for each number __i from 0 to ``n`` - 1, made in runs that are dealt to all tasks.
+
+    The number of tasks is given: runs are tiny and their rows many, so they must not be gathered by their size.
+    """
     runs = rows.where(F.col(n) > 0).withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) DIV {RUN}"))))
-    runs = runs.repartition(*[F.col(c) for c in runs.columns if c in ("sid", "shard", "__run")])
+    runs = runs.repartition(partitions(rows.sparkSession), *[F.col(c) for c in runs.columns if c in ("sid", "shard", "__run")])
     last = F.least(F.col(n), (F.col("__run") + 1) * RUN) - 1
     return runs.withColumn("__i", F.explode(F.sequence(F.col("__run") * RUN, last))).drop("__run")
 
@@ -117,8 +124,8 @@ class Mix:
     def __init__(self, spark: SparkSession, docs: DataFrame, *, source: str = "source", text: str = "text", key: str = "doc_id", block: int = BLOCK, shards: int = SHARDS, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, keep: tuple[str, ...] | None = None):
         scratch = Scratch(spark)
         keep = tuple(c for c in keep or (key,) if c not in ("size", "source_size", "target", "taken"))
-        self.docs = scratch.cut(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, key, source])], words(text).alias("__size"), F.monotonically_increasing_id().alias("__rid")))
-        slim = self.docs.select("__rid", F.col(source).alias("src"), F.col(key).alias("__key"), "__size")
+        self.docs = scratch.cut(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, key, source])], words(text).alias("__size"), F.xxhash64(text).alias("__text"), F.monotonically_increasing_id().alias("__rid")))
+        slim = self.docs.select("__rid", F.col(source).alias("src"), F.col(key).alias("__key"), "__size", "__text")
         self.sources = scratch.cut(targets(slim.groupBy("src").agg(F.sum("__size").alias("source_size")), weights=weights, share=share, most=most))
         sized = self.sources.withColumn("__block", F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("target") / STEPS))).cast("long"))
         blocks = F.expr("(source_size + __block - 1) DIV __block")
@@ -126,11 +133,11 @@ class Mix:
         plan = sized.select("sid", blocks.alias("n_blocks"), wanted.alias("n_slots"))
         self.slots = slots(plan, shards=shards, seed=seed, scratch=scratch)
         own = sized.select(F.col("src").alias("__src"), "sid", "__block")
-        rows = slim.join(own, F.col("src").eqNullSafe(F.col("__src"))).select("__rid", "__key", "__size", "sid", "__block").where("__size > 0")
-        rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), F.lit("order"), "__key")).withColumn("__bucket", F.pmod("__h", F.lit(BUCKETS)).cast("int"))
+        rows = slim.join(own, F.col("src").eqNullSafe(F.col("__src"))).select("__rid", "__key", "__text", "__size", "sid", "__block").where("__size > 0")
+        rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), F.lit("order"), "__key", "__text")).withColumn("__bucket", F.pmod("__h", F.lit(BUCKETS)).cast("int"))
         sums = rows.groupBy("sid", "__bucket").agg(F.sum("__size").alias("__n"))
         offs = sums.select("sid", "__bucket", (F.sum("__n").over(Window.partitionBy("sid").orderBy("__bucket")) - F.col("__n")).alias("__off"))
-        within = F.sum("__size").over(Window.partitionBy("sid", "__bucket").orderBy("__h", "__key", "__rid")) - F.col("__size")
+        within = F.sum("__size").over(Window.partitionBy("sid", "__bucket").orderBy("__h", "__key", "__text", "__rid")) - F.col("__size")
         placed = rows.withColumn("__in", within).join(offs, ["sid", "__bucket"]).withColumn("__start", F.col("__in") + F.col("__off"))
         spans = placed.withColumn("block", F.explode(F.sequence(F.expr("__start DIV __block"), F.expr("(__start + __size - 1) DIV __block"))))
         lo = F.greatest(F.col("__start"), F.col("block") * F.col("__block")) - F.col("__start")
@@ -149,7 +156,7 @@ class Mix:
         got = self.takes().groupBy("__rid").agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken"))
         info = self.sources.select(F.col("src").alias("__src"), "source_size", "target")
         out = self.docs.join(got, "__rid", "left").join(info, F.col(self.source).eqNullSafe(F.col("__src")), "left")
-        return out.withColumnRenamed("__size", "size").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).drop("__rid", "__src")
+        return out.withColumnRenamed("__size", "size").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).drop("__rid", "__src", "__text")
 
     def texts(self, text: str = "text") -> DataFrame:
         """The mixed documents: the taken words of each, in order, once per pass that takes any of them.
@@ -166,4 +173,4 @@ class Mix:
 
         # the words are a lambda's argument: as a column they would be cut anew for every span
         part_ = F.element_at(F.transform(F.array(ws), part), 1)
-        return rows.withColumn(text, F.when(F.col("__n") >= F.col("__size"), F.col(text)).otherwise(part_)).drop("__rid", "pass", "__spans", "__n", "__size")
+        return rows.withColumn(text, F.when(F.col("__n") >= F.col("__size"), F.col(text)).otherwise(part_)).drop("__rid", "pass", "__spans", "__n", "__size", "__text")
