@@ -99,6 +99,16 @@ n AS (SELECT x, count(*) AS n FROM e GROUP BY x)
 SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN c ON node = vec_id LEFT JOIN n ON x = vec_id"""
 
 
+#: CRC-32 as SQL: the table of its polynomial, then one look-up a byte.
+OP8_SQL = rf"""WITH t AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+b AS (SELECT doc_id, source, list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+d AS (SELECT doc_id, coalesce('s' || source, '-') AS src, (len(b) + 1)::BIGINT AS size, xor(list_reduce([4294967295::BIGINT] || b, lambda c, x: xor(c >> 8, t.t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM b, t),
+h AS (SELECT *, md5(concat_ws(':', '{sharding.SEED}', coalesce(doc_id::VARCHAR, ''), text_crc32, size)) AS h FROM d),
+r AS (SELECT *, (2 * (row_number() OVER (PARTITION BY src ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1) + 1) / (2 * count(*) OVER (PARTITION BY src)) AS frac FROM h),
+p AS (SELECT *, row_number() OVER (ORDER BY frac, src, h, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos, count(*) OVER () AS n FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (pos * 8 // n)::INTEGER AS shard, pos - (pos * 8 // n * n + 7) // 8 AS slot, NULL::INTEGER AS grown_shard FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The operators that SQL can express on small tables; the tests hold the others against plain models."""
-    return {"op2_jaccard": OP2_SQL, "op10_embed": OP10_SQL}
+    return {"op2_jaccard": OP2_SQL, "op8_sharding": OP8_SQL, "op10_embed": OP10_SQL}
