@@ -11,11 +11,15 @@ so that a pair at the threshold meets with probability ``recall``; pairs above i
 than ``cell`` vectors is split into cells and worked off as pairs of cells, so every bucket is compared in full and no
 task holds more than two cells of one bucket at a time. A pair counts in the first table in which it meets.
 
-Equal vectors are one before the search and weigh as many as they are, so copies cost nothing.
+Equal vectors are one before the search and weigh as many as they are, so copies cost nothing. The number of links of each
+vector is exact among the pairs found, so a group of n near copies that are not equal is compared in all its pairs, each
+in the first table in which it meets: n^2 / 2 products, in blocks of ``cell`` by ``cell``,
+and n^2 / cell vectors dealt.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite components link with
-nothing and are their own component; a null id is ignored by links and returned as it is; rows with equal ids and equal
-vectors count as copies. Ties need no rule: links depend on the vectors only.
+nothing and are their own component; a null id is ignored by links and returned as it is. Rows are vectors: rows with one
+id and different vectors have links and components of their own, rows with equal vectors count as copies, whatever their
+ids. Ties need no rule: links depend on the vectors only. Only key and vector are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -63,7 +67,7 @@ def _unit(column: pa.Array | pa.ChunkedArray, dim: int, kind: str) -> np.ndarray
 
 
 def _stored(kind: str):
-    """(id, vector as bytes or null, dim) from (id, list)."""
+    """(key, vector as bytes or null, dim) from (key, list)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +78,7 @@ def _stored(kind: str):
                     x = None
                 out.append(None if x is None else (x + 0).tobytes())  # -0 becomes 0
                 dims.append(0 if x is None else len(v))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(dims, pa.int32())], ["id", "vec", "dim"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(dims, pa.int32())], ["key", "vec", "dim"])
 
     return run
 
@@ -165,14 +169,15 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_
     scratch = Scratch(spark)
     kind = "<f4" if dict(vectors.dtypes)[embedding] == "array<float>" else "<f8"
     listed = F.col(embedding) if kind == "<f4" else F.col(embedding).cast("array<double>")
-    unit = scratch.cut(vectors.select(F.col(key).cast("long").alias("id"), listed.alias("e")).mapInArrow(_stored(kind), "id long, vec binary, dim int"))
+    unit = vectors.select(F.col(key).cast("long").alias("key"), listed.alias("e")).mapInArrow(_stored(kind), "key long, vec binary, dim int")
+    unit = scratch.cut(unit.withColumn("rid", F.monotonically_increasing_id()))
     usual = unit.where("dim > 0").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     dim = usual["dim"] if usual else 1
-    good = unit.where((F.col("dim") == dim) & F.col("id").isNotNull()).withColumn("d1", F.xxhash64("vec")).withColumn("d2", F.xxhash64(F.lit(SEED), "vec"))
-    reps = scratch.cut(good.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")))
+    good = unit.where((F.col("dim") == dim) & F.col("key").isNotNull()).withColumn("d1", F.xxhash64("vec")).withColumn("d2", F.xxhash64(F.lit(SEED), "vec"))
+    reps = scratch.cut(good.groupBy("d1", "d2").agg(F.min("rid").alias("id"), F.min("key").alias("low"), F.count(F.lit(1)).alias("weight")))
     bits, tables = plan(reps.count(), dim, threshold, recall)
-    # one row of each group of copies brings its vector along
-    one = scratch.cut(good.join(reps, ["d1", "d2"]).where("id = rep").dropDuplicates(["rep", "d1", "d2"]).select("id", "weight", "vec"))
+    # one row of each group of copies brings its vector along; its number stands for the group
+    one = scratch.cut(reps.select("id", "weight").join(unit.select("rid", "vec"), F.col("id") == F.col("rid")).select("id", "weight", "vec"))
     coded = scratch.cut(one.select("id", "vec").mapInArrow(_coder(dim, kind, bits, tables), "id long, codes array<long>").select("id", F.posexplode("codes").alias("table", "code")))
     full = scratch.cut(coded.groupBy("table", "code").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("table", "code", F.expr(f"CAST((m + {cell - 1}) DIV {cell} AS INT)").alias("nc")))
     met = coded.join(full, ["table", "code"]).withColumn("cell", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.col("nc")).cast("int")).join(one, "id")
@@ -182,11 +187,11 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, *, key: str = "vec_
     found = scratch.cut(dealt.repartition(*at).sortWithinPartitions(*at, "id").mapInArrow(_links(dim, kind, bits, tables, threshold), "id long, n long, other long"))
     scratch.drop(coded, full)
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
-    comp = connected_components(spark, found.select(F.col("id").alias("u"), F.col("other").alias("v")), scratch)
-    rep = reps.join(counts, F.col("rep") == counts["id"], "left").drop("id").join(comp, F.col("rep") == F.col("node"), "left")
-    info = scratch.cut(rep.select("d1", "d2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "rep").alias("component")))
-    known = good.join(info, ["d1", "d2"]).select("id", F.col("n").cast("long").alias("n_links"), F.col("component").alias("component_id"))
-    rest = unit.where((F.col("dim") != dim) | F.col("id").isNull()).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    comp = scratch.cut(connected_components(spark, found.select(F.col("id").alias("u"), F.col("other").alias("v")), scratch))
+    names = comp.join(reps.select("id", "low"), F.col("node") == F.col("id")).groupBy("component").agg(F.min("low").alias("name"))
+    rep = reps.join(counts, "id", "left").join(comp, F.col("id") == F.col("node"), "left").join(scratch.cut(names), "component", "left")
+    info = scratch.cut(rep.select("d1", "d2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("name", "low").alias("component")))
+    known = good.join(info, ["d1", "d2"]).select("key", F.col("n").cast("long").alias("n_links"), F.col("component").alias("component_id"))
+    rest = unit.where((F.col("dim") != dim) | F.col("key").isNull()).select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
     out = known.unionByName(rest)
-    return out.select(F.col("id").alias(key), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
-
+    return out.select(F.col("key").alias(key), "n_links", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"))
