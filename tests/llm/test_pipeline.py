@@ -110,6 +110,21 @@ def test_stages_on_nothing(spark):
         assert stage(spark, docs, "").count() == 0
 
 
+@pytest.mark.parametrize("name", ["op2_jaccard", "op8_sharding", "op10_embed"])
+def test_queries_match_their_sql(spark, name):
+    import duckdb
+
+    from evidlake.llm import queries as q
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{table}.parquet')")
+    rel = con.sql(q.oracle_sql()[name])
+    df = q.queries()[name](spark, "/root/testdata/sf0.001")
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert sorted(map(str, (tuple(r) for r in df.select(*rel.columns).collect()))) == sorted(map(str, rel.fetchall()))
+
+
 def test_registration():
     import __spark_entry__ as e
 
