@@ -89,6 +89,21 @@ def fold(c: Text) -> Column:
     return replace_all(F.translate(blank(c), MARKED, PLAIN), (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("µ", "u")))
 
 
+def heading(c: Text) -> Column:
+    """A line as headings are compared: folded, lower case, apostrophes and signs as blanks, dots kept."""
+    return even(F.regexp_replace(F.replace(F.lower(fold(clean(c))), F.lit("'"), F.lit(" ")), r"[^a-z0-9. ]+", " "))
+
+
+def match_form(c: Text) -> Column:
+    """Text as it is matched: lower case, folded, white space made even."""
+    return even(F.lower(fold(c)))
+
+
+def scrub(c: Text) -> Column:
+    """Bytes as text, sequences that are no UTF-8 replaced."""
+    return F.make_valid_utf8(_col(c).cast("string"))
+
+
 def fold_in_place(c: Text) -> Column:
     """As ``fold``, character by character, so that positions stay valid."""
     return F.translate(blank(c), MARKED + "ßæÆœŒµ", PLAIN + "saAoOu")
