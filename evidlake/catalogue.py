@@ -748,7 +748,7 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from evidlake import catalogue_forms, catalogue_more, catalogue_rules  # noqa: F401  they register their queries here
+    from evidlake import catalogue_forms, catalogue_io, catalogue_more, catalogue_rules  # noqa: F401  they register their queries here
 
     return dict(_QUERIES)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -49,17 +49,23 @@ def X_name(name: str) -> str:
     return "".join(ch if ch.isascii() and (ch.isalnum() or ch == "_") else "_" for ch in name.strip()) or "column"
 
 
-def catalogue(spark: SparkSession, path: str, fields: Sequence[str] | None = None, required: Sequence[str] = ()) -> DataFrame:
-    """CSV, TSV or a workbook by its ending; missing values are empty text; missing required columns are an error."""
+def catalogue(spark: SparkSession, path: str, fields: Sequence[str] | None = None, required: Sequence[str] = (), *, sheet: str = "", keys: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """CSV, TSV or a workbook by its ending; missing values are empty text; missing required columns are an error.
+
+    A workbook (at most 1,048,576 rows a sheet, by its format) is read on the driver: from the sheet named, where it is there,
+    else from the first one.
+    """
     low = path.lower()
     if low.endswith((".xlsx", ".xls")):
-        df = spark.createDataFrame(pd.read_excel(path, dtype=str).fillna(""))
+        book = pd.ExcelFile(path)
+        df = spark.createDataFrame(book.parse(sheet if sheet in book.sheet_names else 0, dtype=str).fillna(""))
     else:
         df = csv(spark, path, sep="\t" if low.endswith((".tsv", ".txt")) else ",")
     lost = [c for c in required if c.lower() not in {x.lower() for x in df.columns}]
     if lost:
         raise ValueError(f"missing columns: {', '.join(lost)}")
-    return conform(df, fields) if fields else df
+    df = conform(df, fields) if fields else df
+    return df.withColumns({name: X.composite(*parts) for name, parts in (keys or {}).items()})
 
 
 def tab_export(spark: SparkSession, path: str, fields: Sequence[str], encoding: str = "ISO-8859-1") -> DataFrame:
@@ -72,7 +78,7 @@ def tab_export(spark: SparkSession, path: str, fields: Sequence[str], encoding:
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, value, parsed): whole JSON files, ``parsed`` null where they are empty or broken."""
-    df = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    df = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     return df.withColumn("parsed", F.try_parse_json("value"))
 
 
@@ -89,8 +95,9 @@ def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: T.StructType
 
 def xml_records(spark: SparkSession, path: str, tag: str, needles: Sequence[str] = ()) -> DataFrame:
     """(value): the text of each record of a large XML file; only those that hold a needle are passed on to a parser."""
-    df = spark.read.option("lineSep", f"<{tag}>").text(path).where(F.contains("value", F.lit(f"</{tag}>")))
-    df = df.select(F.concat(F.lit(f"<{tag}>"), F.split("value", f"</{tag}>").getItem(0), F.lit(f"</{tag}>")).alias("value"))
+    df = spark.read.option("lineSep", f"</{tag}>").text(path)
+    df = df.select(F.regexp_extract("value", rf"(?s)<{tag}(?:\s[^>]*)?>.*$", 0).alias("value")).where("value <> ''")
+    df = df.select(F.concat("value", F.lit(f"</{tag}>")).alias("value"))
     return df.where(reduce(lambda a, b: a | b, [F.contains(F.lower("value"), F.lit(n.lower())) for n in needles])) if needles else df
 
 
@@ -118,45 +125,103 @@ def contents(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return df.mapInPandas(unpack, "path string, content binary").withColumn("kind", X.magic("content")).withColumn("sha256", F.sha2("content", 256))
 
 
-def document_text(df: DataFrame, parse_pdf=None, ocr=None) -> DataFrame:
+def _prose(text: str, least: float = 0.55) -> bool:
+    """Whether text looks like prose: enough letters among its visible characters, few marks of a raw PDF."""
+    visible = [c for c in text if not c.isspace()]
+    letters = sum(c.isalpha() for c in visible)
+    return bool(visible) and letters >= least * len(visible) and sum(text.count(m) for m in ("endobj", "endstream", "/Type", "xref")) < 3
+
+
+def document_text(df: DataFrame, parse_pdf=None, ocr=None, *, parsers: Sequence[tuple[str, Callable[[bytes], str]]] = (), readable: bool = False) -> DataFrame:
     """Adds text, parser and status to (path, content, kind).
 
-    ``parse_pdf`` and ``ocr`` are functions bytes -> text that the caller brings along; without them PDFs get the status
-    no_parser. Markup and plain text are decoded here.
+    ``parsers`` are (name, function bytes -> text) that the caller brings along, tried in order (``parse_pdf`` and ``ocr`` are
+    short for those two); without any PDFs get the status no_parser. With ``readable`` a text that is no prose does not
+    count, and unreadable is the status if no parser gives one. Markup is stripped, plain text is decoded here.
     """
+    tries = [*parsers, *((n, f) for n, f in (("pdf", parse_pdf), ("ocr", ocr)) if f is not None)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = []
             for kind, c in zip(b["kind"], b["content"], strict=True):
                 if kind != "pdf":
-                    got.append((c.decode("utf-8", "replace"), "decode", "ok" if c.strip() else "no_text_extracted"))
+                    got.append((c.decode("utf-8", "replace"), "markup" if kind == "markup" else "decode", "ok" if c.strip() else "no_text_extracted"))
                     continue
                 text, parser, status = "", "", "no_parser"
-                for name, f in (("pdf", parse_pdf), ("ocr", ocr)):
-                    if f is not None and not text.strip():
-                        try:
-                            text, parser = f(c), name
-                            status = "ok" if text.strip() else "no_text_extracted"
-                        except Exception:  # a parser may fail in any way; the row says so
-                            status = "extract_failed"
+                for name, f in tries:
+                    try:
+                        said = f(c)
+                    except Exception:  # a parser may fail in any way; the row says so
+                        status = "extract_failed" if status == "no_parser" else status
+                        continue
+                    if said.strip() and (not readable or _prose(said)):
+                        text, parser, status = said, name, "ok"
+                        break
+                    status = "unreadable" if said.strip() else "no_text_extracted"
                 got.append((text, parser, status))
             out = b.drop(columns=["content"]).copy()
             out["text"], out["parser"], out["status"] = zip(*got, strict=True) if got else ((), (), ())
             yield out
 
     schema = T.StructType([*[f for f in df.schema.fields if f.name != "content"], *_strings(["text", "parser", "status"]).fields])
-    return df.mapInPandas(run, schema)
+    out = df.mapInPandas(run, schema)
+    return out.withColumn("text", F.when(F.col("parser") == "markup", X.strip_html("text")).otherwise(F.col("text")))
+
+
+def landed(spark: SparkSession, path: str, keys: DataFrame, key: str) -> DataFrame:
+    """(key, body, hit): what a fetcher has landed as one JSON line {"key", "body"} per request; a miss has a null body.
+
+    The fetching itself stays outside; rows without a hit are what is left to fetch. Of several answers the longest counts.
+    """
+    got = spark.read.schema("key string, body string").json(path) if exists(spark, path) else spark.createDataFrame([], "key string, body string")
+    best = got.groupBy("key").agg(F.max_by("body", F.struct(F.length("body"), F.col("body"))).alias("body"))
+    out = keys.select(F.col(key).cast("string").alias(key)).distinct().join(best.withColumnRenamed("key", key), key, "left")
+    return out.withColumn("hit", F.col("body").isNotNull())
+
+
+def discover(spark: SparkSession, root: str, keys: Sequence[str] = ("row_id", "amm"), skip: Sequence[str] = ()) -> DataFrame:
+    """(path, key, value): the key values of every CSV below a root that has one of ``keys``, the first of them; ``skip``: names of folders.
+
+    Files are listed by Spark and read with their own headers, one plan per header, so the driver handles names only.
+    """
+    found = [r["path"] for r in files(spark, root, "*.csv").select("path").orderBy("path").collect()]
+    parts = []
+    for p in found:
+        if not {x for x in p[len(root) :].split("/")} & set(skip):
+            df = csv(spark, p)
+            name = next((k for k in keys if k in {c.lower() for c in df.columns}), None)
+            if name:
+                parts.append(conform(df, [name]).select(F.lit(p.rsplit("/", 1)[-1]).alias("path"), F.lit(name).alias("key"), F.col(name).alias("value")))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else spark.createDataFrame([], "path string, key string, value string")
+
+
+def resolve(paths: DataFrame, path: str, available: DataFrame, roots: Sequence[str]) -> DataFrame:
+    """``paths`` with resolved: the first of ``roots`` below which a relative path is available (``available``: path); null if none."""
+    have = available.select(F.col("path").alias("__have")).distinct()
+    options = paths.select("*", F.posexplode(F.array(*[F.concat(F.lit(r.rstrip("/") + "/"), F.col(path)) for r in roots])).alias("__n", "__full"))
+    best = options.join(have, F.col("__full") == F.col("__have")).groupBy(path).agg(F.min_by("__full", "__n").alias("resolved"))
+    return paths.join(best, path, "left")
 
 
 def sqlite_rows(path: str, table: str, batch: int = 5000) -> Iterator[pd.DataFrame]:
-    """A local SQLite table in batches (no JDBC driver is shipped); write them to the landing zone before using Spark."""
+    """A local SQLite table in batches of bounded size (no JDBC driver is shipped), read on the driver.
+
+    Write them to the landing zone before using Spark; ``land_sqlite`` does that batch by batch.
+    """
     import sqlite3
 
     with sqlite3.connect(path) as db:
         yield from pd.read_sql_query(f'SELECT * FROM "{table}"', db, chunksize=batch)
 
 
+def land_sqlite(spark: SparkSession, path: str, table: str, to: str, batch: int = 50_000) -> DataFrame:
+    """A local SQLite table copied to Parquet, one bounded batch at a time, all columns as text."""
+    for n, part in enumerate(sqlite_rows(path, table, batch)):
+        spark.createDataFrame(part.astype("string").astype(object).where(part.notna(), None), _strings(list(part.columns))).write.mode("overwrite" if n == 0 else "append").parquet(to)
+    return spark.read.parquet(to)
+
+
 def jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 

@@ -7,18 +7,26 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _OWN: dict[str, str] = {}
 
 
+def scratch(spark: SparkSession) -> str:
+    """The application's folder below the one in ``spark.checkpoint.dir``, else below the warehouse; a local session has a temporary one."""
+    app, root = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.sparkContext.master.startswith("local["):
+        root = _OWN.setdefault(app, tempfile.mkdtemp(prefix="evidlake-"))
+    return f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/evidlake/{app}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a table in the session's shared checkpoint folder, read again: its lineage ends there."""
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN.setdefault(app, tempfile.mkdtemp(prefix="evidlake-"))
-    path, schema = f"{root.rstrip('/')}/evidlake/{app}/{uuid.uuid4().hex}", df.schema
+    path, schema = f"{scratch(spark)}/{uuid.uuid4().hex}", df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
@@ -51,8 +59,33 @@ def excel_text(c: Column | str, most: int = 32000) -> Column:
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], replace: bool = True) -> DataFrame:
     """Rows by key: with ``replace`` new rows win, else old ones. The result is a new table."""
     both = old.withColumn("__o", F.lit(0)).unionByName(new.withColumn("__o", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.desc("__o") if replace else F.asc("__o"))
-    return both.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__o", "__n")
+    names = [c for c in both.columns if c != "__o"]
+    best = (F.max_by if replace else F.min_by)(F.struct(*names), F.col("__o"))
+    return both.groupBy(*keys).agg(best.alias("__b")).select("__b.*")
+
+
+def typed(df: DataFrame, ddl: str) -> DataFrame:
+    """Columns of a schema in its order, cast; what does not fit, or is missing, is null."""
+    have = {c.lower() for c in df.columns}
+    fields = T.StructType.fromDDL(ddl).fields
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])
+
+
+def all_text(df: DataFrame) -> DataFrame:
+    """Every column as text, null as empty."""
+    return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
+
+
+def side_files(df: DataFrame, key: str, text: str, path: str) -> None:
+    """One folder of text for each document, named by its key."""
+    df.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("value")).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def release(df: DataFrame, path: str, version: int) -> str:
+    """A new version of a table beside those that are there; no version is ever changed."""
+    out = f"{path}/v{version:06d}"
+    df.write.mode("error").parquet(out)
+    return out
 
 
 def split(df: DataFrame, parts: dict[str, Column], path: str) -> None:
