@@ -218,12 +218,6 @@ def mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", X.clean_repaired("t").alias("fixed"))
 
 
-@query("""SELECT * FROM (VALUES (1,'a & b < c'),(2,'x y'),(3,'l1'||chr(10)||'l2'||chr(10)||chr(10)||'l3')) AS t(id, fixed)""")
-def entity_and_line_clean(spark: SparkSession, d: str) -> DataFrame:
-    rows = _values(spark, [(1, " a &amp; b &lt;  c"), (2, "x&nbsp;y"), (3, "l1 \r\nl2\n\n\n\n l3 ")], "id int, t string")
-    return rows.select("id", F.when(c("id") == 3, X.clean_lines("t")).otherwise(X.clean_html("t")).alias("fixed"))
-
-
 @query(f"SELECT p_partkey, {_norm('p_name')}||'|'||{_norm('p_brand')}||'|'||{_norm('p_size::varchar')} AS k FROM part")
 def composite_key(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "part").select("p_partkey", X.composite("p_name", "p_brand", c("p_size").cast("string")).alias("k"))
@@ -253,11 +247,6 @@ def url_templates(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", X.fill_template(lit("https://x.example/s?q={q}"), F.concat(c("p_name"), lit("+"))).alias("url"), X.absolute_url(F.concat(lit("/d/"), c("p_partkey")), "https://x.example/list/all").alias("abs_url"), X.truthy(F.when(c("p_size") % 2 == 1, "Oui").otherwise("no")).alias("truth"))
 
 
-@query("""SELECT * FROM (VALUES (1,12),(2,0),(3,7),(4,0),(5,-3)) AS t(id, v)""")
-def safe_integer(spark: SparkSession, d: str) -> DataFrame:
-    return _values(spark, [(1, " 12.9 "), (2, "12abc"), (3, "7"), (4, None), (5, "-3")], "id int, s string").select("id", X.safe_int("s").alias("v"))
-
-
 # --- joins ---------------------------------------------------------------------------------------------------------
 
 
@@ -276,7 +265,7 @@ def first_and_last_wins_lookup(spark: SparkSession, d: str) -> DataFrame:
     ev = _t(spark, d, "events").select(c("user_id").alias("c_custkey"), "event_id", "event_type")
     cust = _t(spark, d, "customer").select("c_custkey")
     first = R.lookup(cust, ev.withColumnRenamed("event_type", "first_type"), ["c_custkey"], [c("event_id")]).drop("event_id")
-    return R.lookup(first, ev.withColumnRenamed("event_type", "last_type"), ["c_custkey"], [F.desc("event_id")]).drop("event_id")
+    return R.lookup(first, ev.withColumnRenamed("event_type", "last_type"), ["c_custkey"], [c("event_id")], last=True).drop("event_id")
 
 
 @query("""SELECT d.doc_id, coalesce(nullif(CASE WHEN d.doc_id % 3 = 0 THEN '' ELSE d.lang END,''), nullif(l.quality::varchar,''), '') AS filled FROM documents d LEFT JOIN labels l USING (doc_id)""")
@@ -504,17 +493,17 @@ SELECT doc_id, item_id, count(*) AS shared FROM a JOIN b USING (t) WHERE length(
 def token_blocked_match(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "documents").select("doc_id", X.tokens("text", 6).alias("tokens"))
     terms = _t(spark, d, "benchmark").select("item_id", X.tokens("text", 6).alias("tokens"))
-    return R.blocked(docs, terms, "doc_id", "item_id").where("shared >= 3")
+    return R.blocked(docs, terms, "doc_id", "item_id", least=3)
 
 
 @query("""WITH x AS (SELECT a.p_partkey, b.p_partkey AS other, least(0.95, (CASE WHEN a.p_type=b.p_type THEN 0.55 ELSE 0 END)+(CASE WHEN a.p_name=b.p_name THEN 0.35 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 0.05 ELSE 0 END)) AS s FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_partkey<>b.p_partkey)
 SELECT p_partkey, other, round(s,4)::DOUBLE AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY round(s,4) DESC, other) AS rank FROM x) WHERE rank <= 3 AND round(s,4) >= 0.45""")
 def additive_score_topk(spark: SparkSession, d: str) -> DataFrame:
     """Additive scores within brand blocks, the best three above the threshold."""
-    a = _t(spark, d, "part").select("p_partkey", "p_brand", *[c(x).alias(f"a_{x}") for x in ("p_type", "p_name", "p_size")])
+    a = _t(spark, d, "part").select("p_partkey", "p_brand", "p_type", *[c(x).alias(f"a_{x}") for x in ("p_name", "p_size")])
     b = _t(spark, d, "part").select(c("p_partkey").alias("other"), "p_brand", "p_type", "p_name", "p_size")
-    j = a.join(b, "p_brand").where("p_partkey <> other")
-    s = M.additive({"generic": c("a_p_type") == c("p_type"), "brand": c("a_p_name") == c("p_name"), "dose": c("a_p_size") == c("p_size")}, "bdpm")
+    j = a.join(b, ["p_brand", "p_type"]).where("p_partkey <> other")  # without the generic part no score reaches the threshold
+    s = M.additive({"generic": lit(True), "brand": c("a_p_name") == c("p_name"), "dose": c("a_p_size") == c("p_size")}, "bdpm")
     return R.top(j.withColumn("score", s), ["p_partkey"], [F.desc("score"), c("other")], 3).where(c("score") >= M.threshold("bdpm")).select("p_partkey", "other", "score", "rank")
 
 
@@ -535,12 +524,12 @@ b AS (SELECT p_partkey, max(score) AS best FROM j WHERE score>0 GROUP BY 1), t A
 SELECT p_partkey, CASE WHEN count(*)=1 THEN min(cand) WHEN count(*) FILTER (WHERE tie)=1 THEN min(cand) FILTER (WHERE tie) END AS cand, score, CASE WHEN count(*)=1 THEN 'unique' WHEN count(*) FILTER (WHERE tie)=1 THEN 'tie_broken' ELSE 'ambiguous' END AS outcome FROM t GROUP BY p_partkey, score""")
 def registry_match_tiebreak(spark: SparkSession, d: str) -> DataFrame:
     """Registry weights over candidates narrowed by two keys; ties broken by price or reported as ambiguous."""
-    cols = ("p_name", "p_size", "p_type", "p_retailprice")
-    a = _t(spark, d, "part").select("p_partkey", "p_brand", *[c(x).alias(f"a_{x}") for x in cols])
-    b = _t(spark, d, "part").select(c("p_partkey").alias("cand"), "p_brand", *cols)
-    j = a.join(b, (a["p_brand"] == b["p_brand"]) & (a["a_p_name"] == b["p_name"]) & (a["p_partkey"] != b["cand"])).drop("p_brand")
-    s = M.registry_score({"nom": c("a_p_name"), "dosage": c("a_p_size").cast("string"), "forme": c("a_p_type")}, {"nom": c("p_name"), "dosage": c("p_size").cast("string"), "forme": c("p_type")})
-    return M.resolve_ties(j.withColumn("score", s).withColumn("tie", c("a_p_retailprice") == c("p_retailprice")), "p_partkey", "cand", "score", c("tie"))
+    fields = {"nom": c("p_name"), "dosage": c("p_size").cast("string"), "forme": c("p_type")}
+    part = _t(spark, d, "part").select("p_partkey", "p_brand", "p_name", "p_size", "p_type", "p_retailprice")
+    a = M.registry_keys(part, fields, "a_").select("p_partkey", "p_brand", "p_name", c("p_retailprice").alias("price"), *[f"a_{f}" for f in fields])
+    b = M.registry_keys(part, fields, "b_").select(c("p_partkey").alias("cand"), "p_brand", "p_name", "p_retailprice", *[f"b_{f}" for f in fields])
+    j = a.join(b, ["p_brand", "p_name"]).where("p_partkey <> cand")
+    return M.resolve_ties(j.withColumn("score", M.registry_score("a_", "b_", list(fields))).withColumn("tie", c("price") == c("p_retailprice")), "p_partkey", "cand", "score", c("tie"))
 
 
 @query()
@@ -550,14 +539,7 @@ def sequence_ratio_match(spark: SparkSession, d: str) -> DataFrame:
     a = names.select(c("n").alias("line"), F.split("n", " ").alias("lt"))
     b = names.select(c("n").alias("key"), F.split("n", " ").alias("kt"))
     pairs = a.select("line", "lt", F.explode("lt").alias("t")).join(b.select("key", "kt", F.explode("kt").alias("t")), "t").drop("t").distinct()
-    score, shared = M.name_score(c("line"), c("key"), c("lt"), c("kt"))
-    out = pairs.withColumn("score", F.round(score, 6)).withColumn("shared", shared)
-    return out.where(M.acceptable(c("score"), c("shared"), "nom_aggressive")).select("line", "key", "score", "shared")
-
-
-@query("""SELECT p_partkey, CASE WHEN contains(upper(p_name),'GREEN') AND p_size > 25 THEN 1 WHEN p_size > 20 THEN 2 WHEN p_size > 10 THEN 3 ELSE 4 END AS priority FROM part""")
-def priority_class(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "part").select("p_partkey", F.when(F.contains(X.norm("p_name"), lit("GREEN")) & (c("p_size") > 25), 1).when(c("p_size") > 20, 2).when(c("p_size") > 10, 3).otherwise(4).alias("priority"))
+    return M.name_matches(pairs, "nom_aggressive").select("line", "key", F.round("score", 6).alias("score"), "shared")
 
 
 def _type_sql() -> str:
@@ -643,38 +625,41 @@ def label_value(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", lit("<li>"), 0)).cast("long").alias("n_items"), F.size(F.regexp_extract_all("html", lit("<p>"), 0)).cast("long").alias("n_paragraphs"))
 
 
-@query()
-def strip_html(spark: SparkSession, d: str) -> DataFrame:
-    """Plain text of pages (tested against a plain model)."""
-    return _t(spark, d, "pages").select("page_id", X.strip_html("html").alias("text"))
-
-
-@query("""SELECT event_id, 'other' AS shape, CAST(json_extract(props,'$.k') AS INTEGER) AS k FROM events""")
-def json_shape_and_path(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "events").select("event_id", N.json_shape("props").alias("shape"), N.json_text("props", "$.k").cast("int").alias("k"))
+def _strip_sql() -> str:
+    t = r"regexp_replace(html,'(?is)<(script|style)[^>]*>.*?</(script|style)>',' ','g')"
+    t = rf"regexp_replace({t},'(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|ul|ol|table|article|section|nav|footer|title|head|body)>',chr(10),'g')"
+    t = f"regexp_replace({t},'<[^>]+>',' ','g')"
+    for a, b in X.ENTITIES:
+        b = {"'": "''"}.get(b, b)
+        t = f"replace({t},'{a}','{b}')"
+    t = rf"regexp_replace(replace(replace({t},chr(13)||chr(10),chr(10)),chr(13),chr(10)),'[\x00-\x08\x0b\x0c\x0e-\x1f]',' ','g')"
+    t = rf"regexp_replace(replace({t},chr(160),' '),'[ \t]+',' ','g')"
+    t = rf"regexp_replace(regexp_replace({t},' ?\n ?',chr(10),'g'),'\n{{3,}}',chr(10)||chr(10),'g')"
+    return rf"SELECT page_id, regexp_replace({t},'^\s+|\s+$','','g') AS text FROM pages"
 
 
-@query("""SELECT * FROM (VALUES (1,'indication','indications_and_usage','for x'),(1,'warning','warnings','be careful'),(2,'dosage','dosage_and_administration','one a day')) AS t(id, kind, title, text)""")
-def field_map_explode(spark: SparkSession, d: str) -> DataFrame:
-    rows = _values(spark, [(1, '{"indications_and_usage":["for x"],"warnings":["be careful"],"id":"9"}'), (2, '{"dosage_and_administration":"one a day"}'), (3, "broken")], "id int, j string")
-    return rows.select("id", F.inline(N.json_sections("j")))
+@query(_strip_sql())
+def strip_html(spark: SparkSession, d: str) -> DataFrame:
+    """Plain text of pages."""
+    return _t(spark, d, "pages").select("page_id", X.strip_html("html").alias("text"))
 
 
-@query("""SELECT * FROM (VALUES (1,'a b 1'),(2,'not json'),(3,'deep')) AS t(id, text)""")
-def json_gather(spark: SparkSession, d: str) -> DataFrame:
-    rows = _values(spark, [(1, '{"x":["a",{"y":"b"}],"z":1}'), (2, "not json"), (3, '[[[["deep"]]]]')], "id int, j string")
-    return rows.select("id", N.json_gather("j").alias("text"))
+@query("""SELECT event_id, CAST(json_extract(props,'$.k') AS INTEGER) AS k FROM events""")
+def json_path(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").select("event_id", N.json_text("props", "$.none", "$.k").cast("int").alias("k"))
 
 
-@query("""SELECT * FROM (VALUES (1,'Name A','Contra'),(2,'B','')) AS t(id, name, title)""")
-def xml_sections(spark: SparkSession, d: str) -> DataFrame:
-    rows = _values(spark, [(1, '<d xmlns="urn:x"><name>Name A</name><section><title>Contra</title></section></d>'), (2, "<d><name>B</name></d>")], "id int, x string")
-    return rows.select("id", F.coalesce(F.element_at(N.xml_texts("x", "name"), 1), lit("")).alias("name"), F.coalesce(F.try_element_at(N.xml_texts("x", "title"), lit(1)), lit("")).alias("title"))
+_H = ("4.1 Indications thérapeutiques", "4.3 Contre-indications", "4.9 Surdosage")
 
 
-@query()
+@query(rf"""WITH t AS (SELECT doc_id, text, length(text) // 3 AS n FROM documents), p AS (SELECT doc_id, substr(text, 1, n) AS a, substr(text, n + 1, n) AS b, substr(text, 2 * n + 1) AS c FROM t),
+s AS (SELECT doc_id, 'indication' AS kind, '{_H[0]}' AS title, '{_H[0]}' || chr(10) || a AS x, 0 AS start, {len(_H[0]) + 2} + length(a) AS nxt FROM p
+ UNION ALL SELECT doc_id, 'contraindication', '{_H[1]}', '{_H[1]}' || chr(10) || b, {len(_H[0]) + 2} + length(a), {len(_H[0]) + len(_H[1]) + 4} + length(a) + length(b) FROM p
+ UNION ALL SELECT doc_id, 'overdose', '{_H[2]}', '{_H[2]}' || chr(10) || c, {len(_H[0]) + len(_H[1]) + 4} + length(a) + length(b), {len(_H[0]) + len(_H[1]) + len(_H[2]) + 5} + length(a) + length(b) + length(c) FROM p),
+k AS (SELECT doc_id, kind, title, trim(left(x, 12000), ' ' || chr(10) || chr(9) || chr(13)) AS text, start::INT AS start, least(nxt, start + 12000)::INT AS "end" FROM s)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1)::INT AS ord, kind, title, text, start, "end" FROM k WHERE length(text) >= 80""")
 def header_segments(spark: SparkSession, d: str) -> DataFrame:
-    """All documents, a French heading before each third of the text, cut into sections again (no SQL form; tested)."""
+    """All documents, a French heading before each third of the text, cut into sections again."""
     docs = _t(spark, d, "documents")
     third = F.floor(F.length("text") / 3).cast("int")
     part = lambda k: F.substr("text", third * k + 1, F.length("text") if k == 2 else third)
@@ -682,9 +667,12 @@ def header_segments(spark: SparkSession, d: str) -> DataFrame:
     return S.segment(docs.select("doc_id", text.alias("text")), "doc_id", "text", lambda t: S.strict_then_words(t)[1])
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT doc_id, text AS t, 0 AS pos, 0 AS n FROM documents WHERE length(text) > 0 UNION ALL
+ SELECT doc_id, t, nxt, n + 1 FROM (SELECT *, pos + CASE WHEN length(t) > pos + 4500 AND strpos(reverse(substr(t, pos + 1, 4500)), chr(10)) > 0 AND 4500 - strpos(reverse(substr(t, pos + 1, 4500)), chr(10)) > 1000 THEN 4500 - strpos(reverse(substr(t, pos + 1, 4500)), chr(10)) ELSE 4500 END AS nxt FROM r) WHERE nxt < length(t)),
+p AS (SELECT doc_id, n, trim(substr(t, pos + 1, coalesce(lead(pos) OVER (PARTITION BY doc_id ORDER BY n), pos + 4500) - pos), ' ' || chr(10) || chr(9) || chr(13)) AS text FROM r), k AS (SELECT doc_id, text, (row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1)::INT AS ord FROM p WHERE length(text) >= 200)
+SELECT doc_id, ord, 'chunk' AS kind, 'part ' || ord AS title, text, ord AS start, ord + 1 AS "end" FROM k""")
 def ocr_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Documents in pieces of at most 4500 characters, broken at newlines (no SQL form; tested)."""
+    """Documents in pieces of at most 4500 characters, broken at newlines."""
 
     def run(t: str | None) -> list[S.Section]:
         return [S.Section("chunk", f"part {i}", x, i, i + 1) for i, x in enumerate(S.chunks(t))]
@@ -698,40 +686,6 @@ def page_for_offset(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", S.page_of(offs, c("n_chars")).cast("long").alias("page"))
 
 
-@query("""SELECT * FROM (VALUES (1,'contraindication'),(2,'indication'),(3,'dosage'),(4,'other'),(5,'adverse_effect')) AS t(id, kind)""")
-def title_classifier(spark: SparkSession, d: str) -> DataFrame:
-    rows = _values(spark, [(1, "4.3 Contre-indications"), (2, "Indicaciones terapéuticas"), (3, "Posología"), (4, "Annexe"), (5, "Effets indésirables")], "id int, t string")
-    return rows.select("id", S.classify(c("t")).alias("kind"))
-
-
-_LANG_WORDS = {"de": ("der", "die", "und", "mit"), "fr": ("les", "des", "une", "est"), "es": ("los", "que", "una", "para"), "en": ("the", "and", "of", "with")}
-
-
-def _lang_sql() -> str:
-    n = {k: f"len(list_filter(string_split(t,' '), lambda w: w IN {ws}))" for k, ws in _LANG_WORDS.items()}
-    s = ", ".join(f"{v} AS {k}" for k, v in n.items())
-    return f"SELECT doc_id, CASE WHEN de>=fr AND de>=es AND de>=en THEN 'de' WHEN fr>=es AND fr>=en THEN 'fr' WHEN es>=en THEN 'es' ELSE 'en' END AS guess FROM (SELECT doc_id, {s} FROM (SELECT doc_id, lower(text) AS t FROM documents))"
-
-
-@query(_lang_sql())
-def infer_lang(spark: SparkSession, d: str) -> DataFrame:
-    """Language by counts of marker words; ties go to the first."""
-    t = F.lower("text")
-
-    def found(ws: tuple[str, ...]) -> Column:
-        return F.size(F.filter(F.split(t, " "), lambda w: w.isin(*ws)))
-
-    scores = [F.struct(found(ws).alias("n"), lit(-i).alias("o"), lit(k).alias("k")) for i, (k, ws) in enumerate(_LANG_WORDS.items())]
-    return _t(spark, d, "documents").select("doc_id", F.greatest(*scores)["k"].alias("guess"))
-
-
-@query("SELECT doc_id, CASE WHEN contains(lower(text),'notice') AND contains(lower(text),'the') THEN 'both' WHEN contains(lower(text),'notice') THEN 'notice' WHEN contains(lower(text),'the') THEN 'rcp' ELSE 'unknown' END AS kind FROM documents")
-def doc_kind(spark: SparkSession, d: str) -> DataFrame:
-    t = F.lower("text")
-    a, b = F.contains(t, lit("notice")), F.contains(t, lit("the"))
-    return _t(spark, d, "documents").select("doc_id", F.when(a & b, "both").when(a, "notice").when(b, "rcp").otherwise("unknown").alias("kind"))
-
-
 # --- events in windows (extension) ------------------------------------------------------------------------------------
 
 
@@ -748,7 +702,7 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from evidlake import catalogue_forms, catalogue_io, catalogue_more, catalogue_rules  # noqa: F401  they register their queries here
+    from evidlake import catalogue_forms, catalogue_io, catalogue_marks, catalogue_more, catalogue_rules  # noqa: F401  they register their queries here
 
     return dict(_QUERIES)
 

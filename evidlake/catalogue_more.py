@@ -105,29 +105,6 @@ def registered_only_status(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "nation").select("n_nationkey", F.when(src.isin(*V.MACHINE_SOURCES), "machine").otherwise(V.STATUS_ONLY).alias("status"))
 
 
-@query("""SELECT * FROM (VALUES (1,'Summary one','Body one'),(1,'Two','Body two')) AS t(id, summary, body)""")
-def details_sections(spark: SparkSession, d: str) -> DataFrame:
-    """Sections in details and summary elements."""
-    rows = _values(spark, [(1, "<details><summary>Summary <b>one</b></summary>Body one</details><details><summary>Two</summary>Body <i>two</i></details>"), (2, "<p>none</p>")], "id int, h string")
-    whole = F.transform(F.regexp_extract_all("h", lit(r"(?is)<details[^>]*>(.*?)</details>"), 1), lambda x: F.struct(F.element_at(N.tag_texts(x, "summary"), 1).alias("summary"), F.trim(F.regexp_replace(F.regexp_replace(x, r"(?is)<summary[^>]*>.*?</summary>", ""), r"<[^>]+>", "")).alias("body")))
-    return rows.select("id", F.inline(whole))
-
-
-@query("""SELECT * FROM (VALUES (1,'Name','Doliprane'),(1,'Code','123')) AS t(id, label, value)""")
-def table_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Label and value cells of table rows."""
-    rows = _values(spark, [(1, "<table><tr><td>Name</td><td><b>Doliprane</b></td></tr><tr><th>Code</th><td>123</td></tr></table>")], "id int, h string")
-    cells = F.transform(F.regexp_extract_all("h", lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1), lambda r: F.transform(F.regexp_extract_all(r, lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), lambda x: F.trim(F.regexp_replace(x, r"<[^>]+>", ""))))
-    return rows.select("id", F.explode(cells).alias("x")).select("id", F.element_at("x", 1).alias("label"), F.element_at("x", 2).alias("value"))
-
-
-@query("""SELECT conv_id, turn, line FROM (SELECT conv_id, turn, trim(unnest(string_split(text, chr(10)))) AS line FROM conversations) WHERE length(line) BETWEEN 4 AND 180""")
-def name_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Lines that can be names: of bearable length."""
-    rows = _t(spark, d, "conversations").select("conv_id", "turn", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.trim("line"))
-    return rows.where(F.length("line").between(4, 180)).select("conv_id", "turn", "line")
-
-
 @query("""SELECT l_orderkey, l_linenumber, round(l_quantity*l_discount,6) AS score, least(0.95, greatest(0.05, round(l_discount,2)))::DOUBLE AS clamped, l_quantity::INT // 10 AS bucket FROM lineitem""")
 def score_arithmetic(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d, "lineitem")
@@ -159,20 +136,17 @@ def coverage_sets(spark: SparkSession, d: str) -> DataFrame:
     return names.join(got, "kind", "left").select("kind", F.coalesce("n", lit(0)).alias("n"))
 
 
-@query("""SELECT n_nationkey, min(k) AS hit FROM nation LEFT JOIN (SELECT DISTINCT upper(replace(n_name,' ','')) AS k FROM nation) ON contains(k, split_part(upper(n_name),' ',1)) AND contains(k, split_part(upper(n_name)||' '||upper(n_name),' ',2)) GROUP BY n_nationkey""")
+@query("""WITH k AS (SELECT DISTINCT p_name || ' ' || p_size % 3 AS k FROM part), n AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name || ' 1' WHEN 1 THEN p_size % 4 || ' ' || split_part(p_name, ' ', 2) ELSE 'no such' END AS name FROM part), u AS (SELECT DISTINCT name FROM n),
+h AS (SELECT name, coalesce(min(k) FILTER (WHERE k = name), min(k)) AS hit FROM u JOIN k ON len(list_filter(string_split(name, ' '), lambda w: NOT list_contains(string_split(k, ' '), w))) = 0 GROUP BY name)
+SELECT p_partkey, hit FROM n LEFT JOIN h USING (name)""")
 def index_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """The first index key, by order of keys, that holds all words of a name (a lookup dimension of 25 rows)."""
-    n = _t(spark, d, "nation").select("n_nationkey", F.split(F.upper("n_name"), " ").alias("w"))
-    keys = F.broadcast(_t(spark, d, "nation").select(F.upper(F.replace("n_name", lit(" "), lit(""))).alias("k")).distinct())
-    j = n.join(keys, F.contains("k", F.element_at("w", 1)) & F.contains("k", F.element_at("w", F.least(F.size("w"), lit(2)))), "left")
-    return j.groupBy("n_nationkey").agg(F.min("k").alias("hit"))
-
-
-@query("""SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN 'reference_only' ELSE 'text' END AS kind, CASE WHEN s_nationkey % 2 = 0 THEN 0.62 ELSE 0.74 END::DOUBLE AS confidence FROM supplier""")
-def reference_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Rows without a readable document stay as references with a lower confidence."""
-    even = c("s_nationkey") % 2 == 0
-    return _t(spark, d, "supplier").select("s_suppkey", F.when(even, "reference_only").otherwise("text").alias("kind"), F.when(even, 0.62).otherwise(0.74).alias("confidence"))
+    """The key that is a name, else the first key by order that holds all its words."""
+    p, m = _t(spark, d, "part"), c("p_partkey") % 3
+    keys = p.select(F.concat_ws(" ", "p_name", (c("p_size") % 3).cast("string")).alias("k")).distinct()
+    name = F.when(m == 0, F.concat("p_name", lit(" 1"))).when(m == 1, F.concat_ws(" ", (c("p_size") % 4).cast("string"), F.get(F.split("p_name", " "), lit(1)))).otherwise("no such")
+    rows = p.select("p_partkey", name.alias("name"))
+    hits = M.index_lookup(rows.select(c("name").alias("id"), "name").distinct(), keys, "id", "name", "k")
+    return rows.join(hits, c("name") == c("id"), "left").select("p_partkey", "hit")
 
 
 @query("""SELECT p_partkey, score, ok FROM (SELECT p_partkey, round((p_size % 30)/100.0 + 0.70,2)::DOUBLE AS score, p_size % 4 AS sh FROM part) q, LATERAL (SELECT score >= 0.97 OR (score >= 0.90 AND sh >= 1) OR (score >= 0.84 AND sh >= 2) AS ok)""")
@@ -184,4 +158,4 @@ def acceptance_rules(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
 def upsert_last_wins(spark: SparkSession, d: str) -> DataFrame:
     """Insert or replace by key: the last row of each key stays."""
-    return R.pick(_t(spark, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], [F.desc("o_orderkey")])
+    return R.pick(_t(spark, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], [c("o_orderkey")], last=True)

@@ -61,9 +61,14 @@ def threshold(source: str) -> float:
     return SCORES[source][2]
 
 
-def registry_score(left: dict[str, Column], right: dict[str, Column]) -> Column:
-    """The sum of the weights of the fields whose keys agree and are not empty."""
-    terms = [F.when((T.key_text(left[f]) != "") & (T.key_text(left[f]) == T.key_text(right[f])), w).otherwise(0) for f, w in REGISTRY.items() if f in left and f in right]
+def registry_keys(df: DataFrame, fields: dict[str, Column], prefix: str) -> DataFrame:
+    """``df`` with a comparison key for each registry field (columns <prefix><field>): once a row, before any join."""
+    return df.withColumns({f"{prefix}{f}": T.key_text(x) for f, x in fields.items()})
+
+
+def registry_score(left: str, right: str, fields: Sequence[str]) -> Column:
+    """The sum of the weights of the fields whose keys (columns <left><field>, <right><field>) agree and are not empty."""
+    terms = [F.when((F.col(left + f) != "") & (F.col(left + f) == F.col(right + f)), w).otherwise(0) for f, w in REGISTRY.items() if f in fields]
     return sum(terms[1:], terms[0])
 
 
@@ -72,9 +77,8 @@ def resolve_ties(scored: DataFrame, key: str, candidate: str, score: str, tie: C
 
     Returns key, candidate (null if ambiguous), score and outcome.
     """
-    best = scored.where(F.col(score) > 0).groupBy(key).agg(F.max(score).alias("__best"))
-    tied = scored.join(best, key).where(F.col(score) == F.col("__best"))
-    got = tied.groupBy(key, F.col("__best").alias(score)).agg(F.count(F.lit(1)).alias("__n"), F.min(candidate).alias("__one"), F.sum(tie.cast("int")).alias("__t"), F.min(F.when(tie, F.col(candidate))).alias("__tied"))
+    levels = scored.where(F.col(score) > 0).groupBy(key, score).agg(F.count(F.lit(1)).alias("__n"), F.min(candidate).alias("__one"), F.sum(tie.cast("int")).alias("__t"), F.min(F.when(tie, F.col(candidate))).alias("__tied"))
+    got = levels.groupBy(key).agg(F.max_by(F.struct(score, "__n", "__one", "__t", "__tied"), score).alias("__x")).select(key, "__x.*")
     outcome = F.when(F.col("__n") == 1, "unique").when(F.col("__t") == 1, "tie_broken").otherwise("ambiguous")
     return got.select(key, F.when(F.col("__n") == 1, F.col("__one")).when(F.col("__t") == 1, F.col("__tied")).alias(candidate), score, outcome.alias("outcome"))
 
@@ -104,11 +108,20 @@ def sequence_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.
         yield pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-def name_score(line: Column, key: Column, line_tokens: Column, key_tokens: Column) -> tuple[Column, Column]:
-    """(score, shared tokens) of a line against a catalogue name."""
-    shared = F.size(F.array_intersect(line_tokens, key_tokens))
-    mixed = 0.58 * sequence_ratio(line, key) + 0.27 * shared / F.greatest(F.lit(1), F.size(key_tokens)) + 0.15 * shared / F.greatest(F.lit(1), F.size(line_tokens))
-    return F.when((key != "") & F.contains(line, key), 1.0).when((F.length(line) >= 8) & F.contains(key, line), 0.95).otherwise(mixed), shared
+def name_matches(pairs: DataFrame, mode: str, line: str = "line", key: str = "key", line_tokens: str = "lt", key_tokens: str = "kt") -> DataFrame:
+    """``pairs`` of lines and catalogue names that are acceptable, with score and shared (tokens).
+
+    The sequence ratio runs only where it decides: not where one holds the other, and not where even the largest ratio that
+    the lengths allow would not do.
+    """
+    a, b, ta, tb = F.col(line), F.col(key), F.col(line_tokens), F.col(key_tokens)
+    rows = pairs.withColumn("shared", F.size(F.array_intersect(ta, tb)))
+    known = F.when((b != "") & F.contains(a, b), 1.0).when((F.length(a) >= 8) & F.contains(b, a), 0.95)
+    mixed = lambda r: 0.58 * r + 0.27 * F.col("shared") / F.greatest(F.lit(1), F.size(tb)) + 0.15 * F.col("shared") / F.greatest(F.lit(1), F.size(ta))
+    most = 2.0 * F.least(F.length(a), F.length(b)) / F.greatest(F.lit(1), F.length(a) + F.length(b))
+    direct = rows.where(known.isNotNull()).withColumn("score", known)
+    rest = rows.where(known.isNull() & acceptable(mixed(most) + 1e-9, F.col("shared"), mode)).withColumn("score", mixed(sequence_ratio(a, b)))
+    return direct.unionByName(rest).where(acceptable(F.col("score"), F.col("shared"), mode))
 
 
 def acceptable(score: Column, shared: Column, mode: str) -> Column:
@@ -118,6 +131,25 @@ def acceptable(score: Column, shared: Column, mode: str) -> Column:
     return out
 
 
-def containment(tokens_: Sequence[str], key: Column) -> Column:
-    """Whether a key holds all tokens."""
-    return F.forall(F.array(*[F.lit(t) for t in tokens_]), lambda t: F.array_contains(F.split(key, " "), t))
+def index_lookup(names: DataFrame, index: DataFrame, name_id: str, name: str, key: str) -> DataFrame:
+    """(name id, hit): the key that equals a name, else the first key by order that holds all its words; null if none does.
+
+    Keys are looked up by words: a join on each name's words and a count, not a comparison of all names with all keys.
+    """
+    words = names.select(name_id, F.col(name).alias("__name"), F.array_distinct(F.filter(F.split(name, " "), lambda w: w != "")).alias("__w"))
+    posts = index.select(F.col(key).alias("__key")).distinct().withColumn("__t", F.explode(F.array_distinct(F.split("__key", " "))))
+    met = words.select(name_id, "__name", F.size("__w").alias("__n"), F.explode("__w").alias("__t")).join(posts, "__t")
+    full = met.groupBy(name_id, "__name", "__n", "__key").agg(F.count(F.lit(1)).alias("__c")).where("__c = __n")
+    hit = full.groupBy(name_id).agg(F.min(F.struct((F.col("__key") != F.col("__name")).alias("o"), "__key")).alias("__x"))
+    return names.select(name_id).join(hit, name_id, "left").select(name_id, F.col("__x.__key").alias("hit"))
+
+
+def parts(brand: Column, generic: Column, lab: Column, form: Column, dose: Column, title: Column, holder: Column) -> dict[str, Column]:
+    """The parts of an additive score, from normal forms: what of a medicine a foreign record's title and holder hold."""
+    words = F.filter(F.split(brand, " "), lambda w: F.length(w) >= 3)
+    first = F.coalesce(F.get(words, F.lit(0)), F.lit(""))
+    numbers = lambda x: F.regexp_extract_all(x, F.lit(r"([0-9]+)"), 1)
+    return {
+        "generic": within(generic, title), "brand": within(brand, title), "first_token": within(first, title), "lab": within(lab, holder), "form": within(form, title), "dose": within(dose, title),
+        "dose_number": F.size(F.array_intersect(numbers(dose), numbers(title))) > 0,
+    }

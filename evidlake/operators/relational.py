@@ -13,15 +13,19 @@ from pyspark.sql import functions as F
 from evidlake.sources.writers import stored
 
 
-def pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key by ``order``: first-wins and last-wins lookups, upserts, deduplication."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+def pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
+    """The first (or last) row of each key by ``order``, all ascending: lookups, upserts, deduplication.
+
+    An aggregate: every task hands on one row per key, so a key with a large part of all rows needs no task of its own.
+    """
+    names, by = df.columns, F.struct(*[x.alias(f"o{n}") for n, x in enumerate(order)])
+    best = (F.max_by if last else F.min_by)(F.struct(*[F.col(f"`{x}`") for x in names]), by)
+    return df.groupBy(*keys).agg(best.alias("__best")).select("__best.*")
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Left outer lookup in which one row per key, the first by ``order``, answers."""
-    return left.join(pick(right, keys, order), list(keys), "left")
+def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
+    """Left outer lookup in which one row per key, the first (or last) by ``order``, answers."""
+    return left.join(pick(right, keys, order, last), list(keys), "left")
 
 
 def top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
@@ -134,13 +138,48 @@ def union_all(frames: Sequence[DataFrame], first: Sequence[str] = ()) -> DataFra
     return out.select(*lead, *[c for c in out.columns if c not in lead])
 
 
-def blocked(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str = "tokens") -> DataFrame:
-    """(left id, right id, shared): pairs with a token in common, and how many they share."""
+def blocked(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tokens: str = "tokens", least: int = 1) -> DataFrame:
+    """(left id, right id, shared): pairs with ``least`` tokens in common or more, and how many they share.
+
+    Pairs that share ``least`` tokens share one beside the right row's ``least`` - 1 most frequent ones. So those are left
+    out when candidates are looked up, and serve only to count what candidates share: hot words make no pairs by themselves.
+    """
     a = left.select(left_id, F.explode(F.array_distinct(tokens)).alias("__t"))
     b = right.select(right_id, F.explode(F.array_distinct(tokens)).alias("__t"))
+    if least > 1:
+        a = stored(a)
+        freq = a.join(b.select("__t").distinct(), "__t", "left_semi").groupBy("__t").agg(F.count(F.lit(1)).alias("__df"))
+        place = F.row_number().over(Window.partitionBy(right_id).orderBy(F.desc_nulls_last("__df"), "__t"))
+        b = stored(b.join(freq, "__t").withColumn("__place", place))
+        near = a.join(b.where(F.col("__place") >= least).select(right_id, "__t"), "__t").groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("__n"))
+        hot = b.where(F.col("__place") < least).select(right_id, "__t")
+        more = near.select(left_id, right_id).join(hot, right_id).join(a.join(hot.select("__t").distinct(), "__t", "left_semi"), [left_id, "__t"], "left_semi").groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("__m"))
+        both = near.join(more, [left_id, right_id], "left").withColumn("shared", F.col("__n") + F.coalesce("__m", F.lit(0)))
+        return both.where(F.col("shared") >= least).select(left_id, right_id, "shared")
     return a.join(b, "__t").groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("shared"))
 
 
+def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
+    """All columns but ``keep`` under a prefix."""
+    return df.select(*[F.col(f"`{x}`").alias(x if x in keep else f"{prefix}_{x}") for x in df.columns])
+
+
+def overlaid(df: DataFrame, base: Sequence[str], over: dict[str, Column]) -> DataFrame:
+    """``df`` with columns of ``base`` overridden where ``over`` has a value that is not blank."""
+    return df.select(*[(F.coalesce(F.nullif(over[x].cast("string"), F.lit("")), F.col(x).cast("string")) if x in over else F.col(x)).alias(x) for x in base])
+
+
+def decorated(df: DataFrame, constants: dict[str, object]) -> DataFrame:
+    """Constants of a source as columns; a row's own value wins where it is not blank."""
+    own = set(df.columns)
+    return df.withColumns({k: F.coalesce(F.nullif(F.col(k).cast("string"), F.lit("")), F.lit(v).cast("string")) if k in own else F.lit(v).cast("string") for k, v in constants.items()})
+
+
+def samples(value: Column, order: Column, most: int = 3) -> Column:
+    """Aggregate: the first distinct values by ``order``, at most so many."""
+    return F.slice(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v")))), lambda x: x["v"])), 1, most)
+
+
 def resume(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows that are not done yet."""
     return df.join(done.select(key).distinct(), key, "left_anti")

@@ -104,6 +104,45 @@ def source_plan(df: DataFrame, key: str, sources: Sequence[Column]) -> DataFrame
     return df.select(key, F.posexplode(all_).alias("__p", "source")).select(key, (F.col("__p") + 1).alias("priority_rank"), "source")
 
 
+def plan_reasons(df: DataFrame, key: str, groups: Sequence[tuple[str, Column]]) -> DataFrame:
+    """(key, priority_rank, source, reasons): all sources in order, each once, with the reasons that name it; the universal one too."""
+    named = F.concat(*[F.transform(s, _because(r)) for r, s in groups], F.array(F.struct(F.lit(UNIVERSAL).alias("s"), F.lit("universal").alias("r"))))
+    sources = F.array_distinct(F.transform(named, lambda x: x["s"]))
+    rows = F.transform(sources, lambda s, i: F.struct((i + 1).alias("priority_rank"), s.alias("source"), F.array_join(F.array_distinct(F.transform(F.filter(named, lambda x: x["s"] == s), lambda x: x["r"])), ";").alias("reasons")))
+    return df.select(key, F.inline(rows))
+
+
+def _because(reason: str):
+    return lambda x: F.struct(x.alias("s"), F.lit(reason).alias("r"))
+
+
+def routed_or_all(df: DataFrame, routed: Column) -> DataFrame:
+    """The rows that are routed, or all where none is: decided in the plan, by one scalar."""
+    some = df.agg(F.bool_or(routed).alias("x")).scalar()
+    return df.where(routed | ~F.coalesce(some, F.lit(False)))
+
+
+def referenced(df: DataFrame, text: Column, least: int = 80, confidence: tuple[float, float] = (0.74, 0.62)) -> DataFrame:
+    """Adds kind and confidence: documents whose text could not be parsed stay as references, with a lower confidence."""
+    readable = F.length(T.clean(text)) >= least
+    return df.withColumn("kind", F.when(readable, "section").otherwise("document_reference")).withColumn("confidence", F.when(readable, confidence[0]).otherwise(confidence[1]))
+
+
+def adapter(rows: DataFrame, records: DataFrame, block: str, row_id: str, record_id: str, score: Column, threshold: float, sections: Column, most: int = 3) -> DataFrame:
+    """(row id, record id, score, kind, title, text): search, score, choose, cut into sections.
+
+    Rows meet records with an equal ``block``; of those at or above the threshold the best ``most`` are tried in order (score,
+    then record id), and the sections of the first that has any are the row's.
+    """
+    from pyspark.sql import Window
+
+    met = rows.join(records, block).withColumn("score", score).where(F.col("score") >= threshold)
+    order = Window.partitionBy(row_id).orderBy(F.desc("score"), record_id)
+    tried = met.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= most).withColumn("__s", sections).where(F.size("__s") > 0)
+    first = pick(tried.select(row_id, record_id, "score", "__rank", "__s"), [row_id], [F.col("__rank")])
+    return first.select(row_id, record_id, "score", F.inline("__s"))
+
+
 def waterfall(attempts: DataFrame, key: str, order: Sequence[Column | str], success: Column) -> DataFrame:
     """The first successful attempt of each key. Queries outermost or sources outermost: that is the order given."""
     return pick(attempts.where(success), [key], [F.col(c) if isinstance(c, str) else c for c in order])

@@ -91,7 +91,7 @@ def term_matches(rows: DataFrame, terms: DataFrame, row_id: str, brand: str, gen
     by_generic, by_brand = TERM_CONFIDENCE[kind]
     keys = rows.select(row_id, F.explode(F.array(F.struct(F.lit("generic").alias("by"), F.col(generic).alias("term")), F.struct(F.lit("brand").alias("by"), F.col(brand).alias("term")))).alias("x")).select(row_id, "x.*").where(F.length("term") >= 3)
     got = keys.join(terms, "term").withColumn("confidence", F.when(F.col("by") == "generic", by_generic).otherwise(by_brand))
-    return R.pick(got, [row_id, "term"], [F.desc("confidence")])
+    return R.pick(got, [row_id, "term"], [F.col("confidence")], last=True)
 
 
 def choose_source(df: DataFrame, key: str, score: str, rank: str) -> DataFrame:
