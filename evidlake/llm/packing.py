@@ -100,17 +100,17 @@ def encoder(path: str):
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = "|".join(re.escape(x["content"]) for x in spec.get("added_tokens", []))
-    odd = re.compile(_ODD.pattern + ("|" + special if special else "")) if _by_word(spec) else None
+    special = [x["content"] for x in spec.get("added_tokens", [])]
+    by_word = _by_word(spec)
     whole: list[Tokenizer] = []  # loaded when the first odd text comes
-    if odd:
+    if by_word:
         single = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=_ranks(spec["model"]["vocab"]), special_tokens={})
         words = _Words(_little(single.encode_ordinary))
 
     def encode(text: str) -> bytes:
         if not text:
             return b""
-        if not odd or odd.search(text):
+        if not by_word or _ODD.search(text) or any(x in text for x in special):
             if not whole:
                 whole.append(Tokenizer.from_file(path))
             return np.array(whole[0].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
