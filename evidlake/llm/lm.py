@@ -51,7 +51,7 @@ _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: The end token's place among word hashes.
 END_HASH = -(2**63)
 #: Symbols that are worked on at once; words that a task counts before it hands its counts on.
-CHUNK, FLUSH = 1 << 21, 1 << 20
+CHUNK, FLUSH = 1 << 20, 1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -112,9 +112,9 @@ def _count(depth: int):
                 size += sum(map(len, held[-2:]))
                 if size >= CHUNK:
                     take()
-                    if sum(len(p[0]) for p in parts) > 4 * FLUSH:
+                    if sum(len(p[0]) for p in parts) > 3 * FLUSH:
                         parts[:] = [_merge(parts)]
-                        if len(parts[0][0]) > 2 * FLUSH:
+                        if len(parts[0][0]) > 1.5 * FLUSH:
                             yield from out(1, *parts.pop())
             if len(words) > FLUSH:
                 yield from out(0, np.fromiter(map(_hash, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words)))
