@@ -6,6 +6,7 @@ that Java's ASCII ``\\s`` and Unicode-aware engines agree.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -31,6 +32,11 @@ def _col(c: Text) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` made once a row, however often ``use`` names it: it is a lambda's argument."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def blank(c: Text) -> Column:
     """Null as the empty string."""
     return F.coalesce(_col(c).cast("string"), F.lit(""))
@@ -216,11 +222,15 @@ def gap_flags(missing: list[tuple[Column, str]]) -> Column:
 
 def readable(c: Text, least: float = 0.55) -> Column:
     """Whether text looks like prose: enough letters among its visible characters, few marks of a raw PDF."""
-    t = blank(c)
-    visible = F.length(F.regexp_replace(t, r"\s+", ""))
-    letters = visible - F.length(F.regexp_replace(t, r"[A-Za-zÀ-ÿ\s]+", ""))
-    marks = F.size(F.regexp_extract_all(t, F.lit(r"(endobj|endstream|/Type|xref)"), 1))
-    return (visible > 0) & (letters / F.greatest(visible, F.lit(1)) >= least) & (marks < 3)
+
+
+    def prose(t: Column) -> Column:
+        visible = F.length(F.regexp_replace(t, r"\s+", ""))
+        letters = visible - F.length(F.regexp_replace(t, r"[A-Za-zÀ-ÿ\s]+", ""))
+        marks = F.size(F.regexp_extract_all(t, F.lit(r"(endobj|endstream|/Type|xref)"), 1))
+        return (visible > 0) & (letters / F.greatest(visible, F.lit(1)) >= least) & (marks < 3)
+
+    return once(blank(c), prose)
 
 
 def fill_template(template: Text, q: Text) -> Column:

@@ -147,8 +147,8 @@ def blocked(left: DataFrame, right: DataFrame, left_id: str, right_id: str, toke
     a = left.select(left_id, F.explode(F.array_distinct(tokens)).alias("__t"))
     b = right.select(right_id, F.explode(F.array_distinct(tokens)).alias("__t"))
     if least > 1:
-        a = stored(a)
-        freq = a.join(b.select("__t").distinct(), "__t", "left_semi").groupBy("__t").agg(F.count(F.lit(1)).alias("__df"))
+        a = stored(a.join(stored(b.select("__t").distinct()), "__t", "left_semi"))
+        freq = a.groupBy("__t").agg(F.count(F.lit(1)).alias("__df"))
         place = F.row_number().over(Window.partitionBy(right_id).orderBy(F.desc_nulls_last("__df"), "__t"))
         b = stored(b.join(freq, "__t").withColumn("__place", place))
         near = a.join(b.where(F.col("__place") >= least).select(right_id, "__t"), "__t").groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("__n"))

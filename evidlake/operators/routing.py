@@ -63,12 +63,15 @@ def mentions(hay: Column, terms: Sequence[str], whole_words: bool = False) -> Co
 
 def product_type(*fields: Column | str, whole_words: bool = False) -> Column:
     """The first product type of which a term occurs in the fields, or the standard one."""
-    hay = T.norm_folded(F.concat_ws(" ", *fields))
-    out = None
-    for name, terms in PRODUCT_TERMS:
-        cond = mentions(hay, terms, whole_words)
-        out = F.when(cond, name) if out is None else out.when(cond, name)
-    return out.otherwise(STANDARD)
+
+    def typed(hay: Column) -> Column:
+        out = None
+        for name, terms in PRODUCT_TERMS:
+            cond = mentions(hay, terms, whole_words)
+            out = F.when(cond, name) if out is None else out.when(cond, name)
+        return out.otherwise(STANDARD)
+
+    return T.once(T.norm_folded(F.concat_ws(" ", *fields)), typed)
 
 
 def _names(names: Sequence[str]) -> Column:
@@ -77,18 +80,20 @@ def _names(names: Sequence[str]) -> Column:
 
 def country_sources(country: Column | str, table: dict[str, Sequence[str]] | None = None) -> Column:
     """Sources of the longest country name that occurs."""
-    hay = T.norm_folded(country)
-    out = None
-    for name, sources in sorted((table or COUNTRY_SOURCES).items(), key=lambda x: -len(x[0])):
-        cond = F.contains(hay, F.lit(_plain(name)))
-        out = F.when(cond, _names(sources)) if out is None else out.when(cond, _names(sources))
-    return out.otherwise(_names(()))
+
+    def named(hay: Column) -> Column:
+        out = None
+        for name, sources in sorted((table or COUNTRY_SOURCES).items(), key=lambda x: -len(x[0])):
+            cond = F.contains(hay, F.lit(_plain(name)))
+            out = F.when(cond, _names(sources)) if out is None else out.when(cond, _names(sources))
+        return out.otherwise(_names(()))
+
+    return T.once(T.norm_folded(country), named)
 
 
 def lab_sources(*fields: Column | str) -> Column:
     """Sources of all laboratory words that occur, in order."""
-    hay = T.norm_folded(F.concat_ws(" ", *fields))
-    return F.flatten(F.array(*[F.when(F.contains(hay, F.lit(_plain(w))), _names(s)).otherwise(_names(())) for w, s in LAB_SOURCES]))
+    return T.once(T.norm_folded(F.concat_ws(" ", *fields)), lambda hay: F.flatten(F.array(*[F.when(F.contains(hay, F.lit(_plain(w))), _names(s)).otherwise(_names(())) for w, s in LAB_SOURCES])))
 
 
 def type_sources(kind: Column) -> Column:
