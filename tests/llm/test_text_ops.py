@@ -208,7 +208,8 @@ def test_quality_rules_learn_and_keep_good_documents(spark):
         labels.append((i, 0 if junk else 1))
     labels += [(5000, 0), (None, 1), (3, None), (4, 7)]
     docs += [(900, None, None, None, 0), (901, "", "xx", "s", 0)]
-    got = {r["doc_id"]: r for r in quality.assess(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    clash = spark.createDataFrame(docs, SCHEMA).withColumn("n_words", F.lit("clash")).withColumn("r_upper", F.lit("clash")).withColumn("quality", F.lit("clash"))
+    got = {r["doc_id"]: r for r in quality.assess(clash, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
     assert len(got) == 902
     assert all(got[i]["kept"] == (i % 4 != 0) for i in range(900))
     assert got[900]["base_failed"] and not got[900]["kept"] and got[900]["n_words"] == 0
