@@ -132,15 +132,19 @@ def acceptable(score: Column, shared: Column, mode: str) -> Column:
 
 
 def index_lookup(names: DataFrame, index: DataFrame, name_id: str, name: str, key: str) -> DataFrame:
-    """(name id, hit): the key that equals a name, else the first key by order that holds all its words; null if none does.
+    """(name id, hit): the key that equals a name, else the first key by order that holds all its words of three letters or more.
 
-    Keys are looked up by words: a join on each name's words and a count, not a comparison of all names with all keys.
+    Words may be parts of a key's words. A key that holds a word holds the word's first three letters, so keys are looked up
+    by triples of letters, of each name those that begin its longest word; no name is compared with all keys.
     """
-    words = names.select(name_id, F.col(name).alias("__name"), F.array_distinct(F.filter(F.split(name, " "), lambda w: w != "")).alias("__w"))
-    posts = index.select(F.col(key).alias("__key")).distinct().withColumn("__t", F.explode(F.array_distinct(F.split("__key", " "))))
-    met = words.select(name_id, "__name", F.size("__w").alias("__n"), F.explode("__w").alias("__t")).join(posts, "__t")
-    full = met.groupBy(name_id, "__name", "__n", "__key").agg(F.count(F.lit(1)).alias("__c")).where("__c = __n")
-    hit = full.groupBy(name_id).agg(F.min(F.struct((F.col("__key") != F.col("__name")).alias("o"), "__key")).alias("__x"))
+    words = F.array_distinct(F.filter(F.split(name, " "), lambda w: F.length(w) > 2))
+    rows = names.select(name_id, F.col(name).alias("__name"), words.alias("__w")).withColumn("__t", F.left(F.array_max(F.transform("__w", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"], F.lit(3)))
+    keys = index.select(F.col(key).alias("__key")).distinct()
+    triples = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("__key") - 2)), lambda i: F.substr("__key", i, F.lit(3))))
+    met = rows.join(keys.select("__key", F.explode(triples).alias("__t")), "__t").where(F.forall("__w", lambda w: F.contains("__key", w)))
+    same = rows.join(keys, F.col("__name") == F.col("__key"))
+    both = met.select(name_id, F.lit(1).alias("o"), "__key").unionByName(same.select(name_id, F.lit(0).alias("o"), "__key"))
+    hit = both.groupBy(name_id).agg(F.min(F.struct("o", "__key")).alias("__x"))
     return names.select(name_id).join(hit, name_id, "left").select(name_id, F.col("__x.__key").alias("hit"))
 
 

@@ -71,16 +71,19 @@ def vaccine_score(title: Column, name: Column, base: Column, kind: Column) -> Co
     return F.round(F.least(F.lit(0.98), F.greatest(F.lit(0.0), hit + overlap + weight - guard)), 4)
 
 
-def bulk_search(queries: DataFrame, records: DataFrame, query_id: str, record_id: str, text: str = "norm", k: int = 50) -> DataFrame:
-    """Records by the share of query words they hold, plus 0.2 if they hold the whole query; the best k.
+def bulk_search(queries: DataFrame, records: DataFrame, query_id: str, record_id: str, text: str = "norm", k: int = 50, per_word: int = 500, least: int = 4) -> DataFrame:
+    """Records by the share of query words that they hold (as parts of words, too), plus 0.2 for the whole query; the best k.
 
-    Both sides have ``text``, a normal form. Words are the join keys.
+    Both sides have ``text``, a normal form. Words of ``least`` letters or more are looked up; of each the first ``per_word``
+    records by id are candidates (the search's own limit, which also bounds what a hot word costs).
     """
-    toks = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
-    q = queries.select(query_id, F.col(text).alias("__q"), toks(F.col(text)).alias("__qt"))
-    hits = R.blocked(q.select(query_id, F.col("__qt").alias("tokens")), records.select(record_id, toks(F.col(text)).alias("tokens")), query_id, record_id)
-    full = hits.join(q, query_id).join(records.select(record_id, F.col(text).alias("__r")), record_id)
-    score = F.round(F.col("shared") / F.greatest(F.lit(1), F.size("__qt")) + F.when(F.contains("__r", F.col("__q")), 0.2).otherwise(0.0), 4)
+    q = queries.select(query_id, F.col(text).alias("__q"), F.filter(F.split(text, " "), lambda w: F.length(w) >= least).alias("__qt"))
+    asked = q.select(query_id, F.explode(F.array_distinct("__qt")).alias("__t"))
+    posts = records.select(record_id, F.explode(F.array_distinct(F.split(text, " "))).alias("__t")).join(asked.select("__t").distinct(), "__t", "left_semi")
+    near = asked.join(R.top(posts, ["__t"], [F.col(record_id)], per_word, "__n"), "__t").select(query_id, record_id).distinct()
+    full = near.join(q, query_id).join(records.select(record_id, F.col(text).alias("__r")), record_id)
+    shared = F.size(F.filter("__qt", lambda w: F.contains("__r", w)))
+    score = F.round(shared / F.size("__qt") + F.when(F.contains("__r", F.col("__q")), 0.2).otherwise(0.0), 4)
     return R.top(full.withColumn("score", score), [query_id], [F.desc("score"), F.col(record_id)], k).select(query_id, record_id, "score", "rank")
 
 
