@@ -16,7 +16,7 @@ without these, around most of the text. Paths inside ``article`` or ``main`` wei
 
 The parser is a tolerant scanner: optional end tags are implied, stray end tags are ignored, and unknown elements are
 inline, as in a browser. Elements without text of their own (scripts, styles, buttons, drawings) are skipped up to their
-end tag or, where there is none, to the end of the element they are in. Defined cases: null, empty or text-free pages give
+end tag or, where there is none, to the next block or (scripts and the like) the end of the element they are in. Defined cases: null, empty or text-free pages give
 an empty text; an unclosed tag at the end of the page is dropped; broken character references stay as they are; pages of
 any length and depth are used whole; repeated rows are treated alike. Other columns pass through, but for ``html``,
 ``text`` and ``n_chars``, which are replaced.
@@ -54,6 +54,7 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th tr dd dt ul ol t
 CELLS = frozenset("td th li dd blockquote".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template iframe textarea title svg select button xmp noframes noembed datalist".split())
+RAW = frozenset("script style textarea title iframe xmp noframes noembed".split())
 DROP = frozenset("nav aside footer dialog menu head".split())
 FORMS = frozenset("form fieldset search".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -122,6 +123,7 @@ def scan(page: str) -> tuple[list[Node], list[Block]]:
     paths: dict[tuple[int, str], int] = {}
     held: list[str] = []
     links, in_link = 0, False
+    unclosed: set[str] = set()
     pos, n = 0, len(page)
 
     def flush() -> None:
@@ -140,8 +142,10 @@ def scan(page: str) -> tuple[list[Node], list[Block]]:
 
     def skipped(tag: str) -> int:
         """Where the skipped element ends that begins before ``pos``."""
-        end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
-        if tag == "svg":  # a block ends a drawing, as in a browser
+        end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
+        if end is None:
+            unclosed.add(tag)  # no later one is closed either
+        if tag == "svg" or end is None and tag not in RAW:  # a block ends a drawing, as in a browser, and what is never closed
             inner = _BLOCKS.search(page, pos, end.start() if end else n)
             if inner:
                 return inner.start()
