@@ -200,6 +200,7 @@ def test_html_marks_need_whole_tokens_and_media_are_content():
     assert html.content(f"<article><p>Energy is <math><mi>E</mi></math> as known. {say}</p></article>") == f"Energy is E as known. {say}"
     assert html.content(f"<article><svg><path d=x><p>{say}</p></article><p>after</p>") == say
     assert html.content(f"<article><p>A <object>plan</object>, a <canvas>curve</canvas>, a <video>film</video>.</p><p>{say}<style>p {{}}</article>") == f"A plan, a curve, a film.\n{say}"
+    assert html.content(f"<button>more<p>{say}</p>") == say
     for token in ("cookie-notice", "ad-box", "related-posts", "comments", "newsletter_signup"):
         assert html.content(f"<article><p>{say}</p><div class='x {token}'><p>{say}</p></div></article>") == say, token
 
