@@ -270,7 +270,8 @@ def find(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str
     keyed = docs.where(F.col(text).isNotNull()).select(_identity(key, text)[0].alias("k"), _identity(key, text)[1].alias("h"), F.col(text).cast("string").alias("t"))
     lines = scratch.cut(keyed.mapInArrow(_lines, "k long, h long, lines array<long>, sizes array<int>").dropDuplicates(["k", "h"]))
     posts = lines.select("k", "h", F.explode(F.array_distinct(F.filter("lines", lambda x: x.isNotNull()))).alias("line"))
-    often = posts.groupBy("line").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("line")
+    # stored, so that the join below is one of two plain exchanges, which can be split where a line is very common
+    often = scratch.cut(posts.groupBy("line").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("line"))
     shared = posts.join(often, "line").groupBy("k", "h").agg(F.collect_list("line").alias("shared"))
 
     def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +287,7 @@ def find(spark: SparkSession, docs: DataFrame, *, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["k", "h", "kind", "seq", "at", "sizes", "held"])
 
     seqs = scratch.cut(lines.join(shared, ["k", "h"]).mapInArrow(outlines, "k long, h long, kind long, seq array<long>, at array<int>, sizes array<int>, held array<long>"))
-    scratch.drop(lines)
+    scratch.drop(lines, often)
     me = F.struct("k", "h")
     heads = seqs.groupBy("kind").agg(F.min(me).alias("a"))
     kinds = scratch.cut(seqs.select("k", "h", "kind").join(heads, "kind").select("k", "h", "a"))
