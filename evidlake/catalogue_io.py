@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import sqlite3
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,6 +149,19 @@ def document_dispatch(spark: SparkSession, d: str) -> DataFrame:
     return I.document_text(docs, parsers=[("first", first), ("second", second)], readable=True).select("doc_id", "text", "parser", "status")
 
 
+@query("SELECT 'a.zip!d/' || r_name || '.txt' AS name, 'other' AS kind, r_name || ' text' AS text FROM region UNION ALL SELECT 'b.html', 'markup', '<p>b</p>'")
+def archive_members(spark: SparkSession, d: str) -> DataFrame:
+    """Files of a folder, archives replaced by their members."""
+    path, held = _path(spark), io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for r in _t(spark, d, "region").select("r_name").collect():
+            z.writestr(f"d/{r['r_name']}.txt", f"{r['r_name']} text")
+    O.put(spark, f"{path}/a.zip", held.getvalue())
+    O.put(spark, f"{path}/b.html", b"<p>b</p>")
+    got = I.contents(spark, path)
+    return got.select(F.regexp_replace("path", r"^.*/io-[0-9a-f]+/", "").alias("name"), "kind", F.decode("content", "UTF-8").alias("text"))
+
+
 @query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
 def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
     """A SQLite table on the driver's disk, landed batch by batch."""

@@ -81,6 +81,14 @@ def side_files(df: DataFrame, key: str, text: str, path: str) -> None:
     df.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("value")).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
 
 
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file, in whatever file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(content))
+    out.close()
+
+
 def release(df: DataFrame, path: str, version: int) -> str:
     """A new version of a table beside those that are there; no version is ever changed."""
     out = f"{path}/v{version:06d}"

@@ -1,6 +1,7 @@
 """Functions, segmentation, sources and sinks against plain models."""
 
 import difflib
+import random
 import re
 
 import pytest
@@ -152,3 +153,33 @@ def test_stream_equals_batch(spark, tmp_path):
         q.stop()
     want = {(r["start"], r["event_type"], r["n"]) for r in E.windowed(spark.read.parquet(f"{src}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))).collect()}
     assert got == want and got
+
+
+def test_jobs_run_queries_and_write_results(spark, tmp_path):
+    from evidlake.__main__ import Job, parse
+
+    job = parse(["source_audit", "--tables", "/root/testdata/sf0.001", "--out", str(tmp_path / "x"), "--format", "csv"])
+    assert job == Job("source_audit", "/root/testdata/sf0.001", str(tmp_path / "x"), "csv")
+    n = job.run(spark).count()
+    assert spark.read.option("header", True).csv(job.out).count() == n > 0
+    with pytest.raises(ValueError, match="no query named"):
+        Job("none", ".").run(spark)
+
+
+def test_index_lookup_prefers_equal_keys_and_finds_parts_of_words(spark):
+    names = spark.createDataFrame([(1, "amoxicillin 500"), (2, "moxi tablets"), (3, "none here"), (4, "a b"), (5, None)], "id int, name string")
+    keys = spark.createDataFrame([("amoxicillin 500",), ("amoxicillin",), ("amoxicillin tablets",), ("zz amoxi tablets",)], "k string")
+    got = {r["id"]: r["hit"] for r in M.index_lookup(names, keys, "id", "name", "k").collect()}
+    assert got == {1: "amoxicillin 500", 2: "amoxicillin tablets", 3: None, 4: None, 5: None}
+
+
+def test_blocks_with_hot_words_share_what_they_share(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    draw = lambda: list({rng.choice(words[: rng.choice([3, 30])]) for _ in range(rng.randrange(1, 9))})
+    a, b = [(i, draw()) for i in range(60)], [(i, draw()) for i in range(40)]
+    left, right = spark.createDataFrame(a, "x int, tokens array<string>"), spark.createDataFrame(b, "y int, tokens array<string>")
+    want = {(i, j): len(set(s) & set(t)) for i, s in a for j, t in b}
+    for least in (1, 2, 4):
+        got = {(r["x"], r["y"]): r["shared"] for r in R.blocked(left, right, "x", "y", least=least).collect()}
+        assert got == {k: n for k, n in want.items() if n >= least}
