@@ -255,12 +255,12 @@ def preference_order(spark: SparkSession, d: str) -> DataFrame:
     return R.top(_t(spark, d, "events"), ["user_id"], [F.floor("value") * -1, c("event_type"), c("event_id")], 2).select("user_id", "event_id")
 
 
-@query("""WITH k AS (SELECT o_orderkey, l_linenumber, l_quantity, l_extendedprice > 40000 AS has, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_quantity DESC, l_linenumber) AS k FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+@query("""WITH k AS (SELECT o_orderkey, l_linenumber, l_quantity, l_extendedprice > 40000 AS has, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_quantity DESC, l_linenumber, l_extendedprice DESC) AS k FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
 SELECT o_orderkey, min_by(l_linenumber, k) AS line FROM k WHERE k <= 3 AND has GROUP BY 1""")
 def first_productive_of_three(spark: SparkSession, d: str) -> DataFrame:
     """Of the best three lines of an order, the first that gives anything."""
     li = _t(spark, d, "lineitem").join(_t(spark, d, "orders").select("o_orderkey"), c("l_orderkey") == c("o_orderkey"))
-    best = R.top(li, ["o_orderkey"], [F.desc("l_quantity"), c("l_linenumber")], 3, "k").where("l_extendedprice > 40000")
+    best = R.top(li, ["o_orderkey"], [F.desc("l_quantity"), c("l_linenumber"), F.desc("l_extendedprice")], 3, "k").where("l_extendedprice > 40000")
     return best.groupBy("o_orderkey").agg(F.min_by("l_linenumber", "k").alias("line"))
 
 
