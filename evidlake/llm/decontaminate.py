@@ -207,7 +207,7 @@ def occurrences(spark: SparkSession, docs: DataFrame, hashes: DataFrame, sizes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = held.value
         for _, w in _parts(batches):
-            h = np.concatenate([f[3] for f in _found(w, sizes, filter_)])
+            h = np.concatenate([np.zeros(0, np.uint64), *(f[3] for f in _found(w, sizes, filter_))])
             if len(h):
                 u, n = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["h", "n"])
