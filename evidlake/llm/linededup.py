@@ -23,6 +23,7 @@ n_lines_left, which are replaced.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ from .common import Scratch, slices
 RARE = 8
 #: ... up to this many.
 MOST = 1000
-#: Bits of an alignment table that are held at once.
+#: Bits of an alignment table of which all rows are held at once.
 MOST_BITS = 1 << 27
 MIN_WORDS = 10
 _LAST = 2**63 - 1
@@ -56,9 +57,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))], ["k", "h", "lines", "sizes"])
 
 
-def _rows(a: list[int], where: dict[int, int], full: int) -> Iterator[int]:
-    """For each start of a, the bits of b at which the longest common subsequence does not grow."""
-    row = full
+def _rows(a: list[int], where: dict[int, int], full: int, row: int) -> Iterator[int]:
+    """For each start of a, the bits of b at which the longest common subsequence does not grow, from the bits ``row`` on."""
     for x in a:
         u = row & where.get(x, 0)
         row = ((row + u) | (row - u)) & full
@@ -81,44 +81,35 @@ def _places(b: list[int]) -> dict[int, int]:
 def longest(a: list[int], b: list[int], most: int = MOST_BITS) -> list[tuple[int, int]]:
     """A longest common subsequence as pairs (i, j), by bit vectors; neighbours of one side are kept together where possible.
 
-    Lines that only one side holds are set aside first. Tables of more than ``most`` bits are halved (Hirschberg).
+    Lines that only one side holds are set aside first. Of tables of more than ``most`` bits only some rows are kept, and those
+    between are made again, from the last backwards: the pairs are the same.
     """
     ia, ib = set(a), set(b)
     ia, ib = [i for i, x in enumerate(a) if x in ib], [j for j, x in enumerate(b) if x in ia]
     out: list[tuple[int, int]] = []
-    todo = [(0, len(ia), 0, len(ib))]
-    while todo:
-        i0, i1, j0, j1 = todo.pop()
-        m, n = i1 - i0, j1 - j0
-        if not m or not n:
-            continue
-        left, right = [a[i] for i in ia[i0:i1]], [b[j] for j in ib[j0:j1]]
-        full = (1 << n) - 1
-        if m > 1 and m * n > most:
-            half = m // 2
-            for head in _rows(left[:half], _places(right), full):
-                pass
-            for tail in _rows(left[:half - 1:-1], _places(right[::-1]), full):
-                pass
-            head_bits, tail_bits = f"{head:0{n}b}"[::-1], f"{tail:0{n}b}"
-            got = best = tail_bits.count("0")
-            cut = 0
-            for j in range(n):
-                got += (head_bits[j] == "0") - (tail_bits[j] == "0")
-                if got > best:
-                    best, cut = got, j + 1
-            todo += [(i0, i0 + half, j0, j0 + cut), (i0 + half, i1, j0 + cut, j1)]
+    left, right = [a[i] for i in ia], [b[j] for j in ib]
+    m, n = len(left), len(right)
+    full, where = (1 << n) - 1, _places(right)
+    step = max(1, m if m * n <= most else math.isqrt(m))
+    starts, row = [full], full
+    for at in range(0, m - step, step):
+        for row in _rows(left[at : at + step], where, full, row):
+            pass
+        starts.append(row)
+    i, j, low = m, n, m
+    rows: list[int] = []
+    while i and j:
+        if i <= low:  # rows[k] is the row after line low + k
+            low = (i - 1) // step * step
+            rows = list(_rows(left[low : min(low + step, m)], where, full, starts[low // step]))
+        if rows[i - 1 - low] >> (j - 1) & 1:
+            j = (~rows[i - 1 - low] & ((1 << j) - 1)).bit_length()
             continue
-        rows = list(_rows(left, _places(right), full))
-        i, j = m, n
-        while i and j:
-            if rows[i - 1] >> (j - 1) & 1:
-                j = (~rows[i - 1] & ((1 << j) - 1)).bit_length()
-                continue
-            i -= 1
-            if i == 0 or rows[i - 1] >> (j - 1) & 1:
-                j -= 1
-                out.append((ia[i0 + i], ib[j0 + j]))
+        i -= 1
+        before = full if i == 0 else starts[i // step] if i == low else rows[i - 1 - low]
+        if before >> (j - 1) & 1:
+            j -= 1
+            out.append((ia[i], ib[j]))
     out.sort()
     for n in range(len(out) - 2, -1, -1):  # towards the next pair
         (i, j), (i2, j2) = out[n], out[n + 1]
