@@ -9,14 +9,17 @@ of it without a content node are left out if links make up most of their text (m
 
 What elements are decides before paths do: menus, sidebars, footers, dialogs, hidden elements, and headers outside an
 article hold no main text. Elements whose class, id or role has a token made up of words for such parts ("ad",
-"cookie-notice", "comments", "related-posts") are marked, and forms are. Tokens with any other word ("has-sidebar",
-"notice-period", "social-policy") mark nothing. Text below a mark is left out, but marks do not count around the page's
+"cookie-notice", "related-posts") are marked, and forms are. Tokens with any other word ("has-sidebar",
+"notice-period", "social-policy") mark nothing. Reader comments are found by what they are: a list of two or more alike
+elements that each name an author and a time, a part under a heading such as "3 Comments", or an element named after
+comments, unless the name says that there are none or how many ("no-comments", "comment-count"). Text below a mark is left out, but marks do not count around the page's
 largest text in ``article`` or ``main`` (of the texts not much shorter, the one below the fewest marks), or, on pages
 without these, around most of the text. Paths inside ``article`` or ``main`` weigh more than others.
 
 The parser is a tolerant scanner: optional end tags are implied, stray end tags are ignored, and unknown elements are
 inline, as in a browser. Elements without text of their own (scripts, styles, buttons, drawings) are skipped up to their
-end tag or, where there is none, to the next block or (scripts and the like) the end of the element they are in. Defined cases: null, empty or text-free pages give
+end tag or, where there is none, to the next block or (scripts and the like) the end of the element they are in.
+Attributes are read name by name, and the time for a page is in proportion to its length. Defined cases: null, empty or text-free pages give
 an empty text; an unclosed tag at the end of the page is dropped; broken character references stay as they are; pages of
 any length and depth are used whole; repeated rows are treated alike. Other columns pass through, but for ``html``,
 ``text`` and ``n_chars``, which are replaced.
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -67,10 +70,21 @@ widget widgets related recommended recommendations share sharing social comment
 skip search form complementary contentinfo dialog toc tags masthead topbar paywall disclaimer copyright""".split())
 BESIDE = frozenset("area bar block bottom box buttons container content fixed global header inner item items left link links list main media page post posts primary right row secondary section site sticky thread top unit wrap wrapper".split())
 
-_SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?![\w-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# Words of names of reader comments, and words that say that a name is no such part; words of bylines.
+COMMENTS = frozenset("comment comments commentlist disqus discussion replies respond responses".split())
+NO_PART = frozenset("no not non without with has have hide hidden show enable enabled disable disabled open closed off on count counter number total link icon toggle js allow allowed policy rules article main page".split())
+AUTHOR = frozenset("author avatar byline commenter nick nickname user username vcard".split())
+TIME = frozenset("ago date datetime posted published time timestamp".split())
+
+#: An attribute: its name and its value in double, single or no quotes. Possessive, so that no text is read twice.
+_ATTRIBUTE = r"""[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+_SCAN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/=]++|{_ATTRIBUTE})*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
 _BLOCKS = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})[\s/>]", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_TITLE = re.compile(r"\W*(?:\d+\s+|(?:reader|user|your|all|latest|recent)\s+){0,3}(?:comments?|replies|responses|discussion|kommentare?|leserkommentare|commentaires?|comentarios?|commenti)\W*(?:\d+\W*)?\Z", re.I)
+_AGO = re.compile(r"\b\d+\s+(?:second|minute|hour|day|week|month|year)s?\s+ago\b|\b\d{4}-\d\d-\d\d\b|\b\d{1,2}:\d\d\b|\b\d{1,2}[./]\d{1,2}[./]\d{2,4}\b", re.I)
+_HEADINGS = frozenset("h2 h3 h4 h5 h6 legend summary".split())
 _PUNCT = re.compile(r"[.,;:!?…。，、！？]")
 
 
@@ -80,32 +94,54 @@ def _marks(token: str) -> bool:
     return not NOISE.isdisjoint(words) and all(w in NOISE or w in BESIDE for w in words)
 
 
-def _attributes(tag: str, raw: str) -> tuple[str, bool, bool]:
-    """(the element's name in paths, whether it is no main text, whether it is marked)."""
-    name, noise, marked = tag, tag in DROP, tag in FORMS
+@dataclass
+class Attributes:
+    """The element's name in paths, whether it is no main text, whether it is marked, and whether it names an author or a time."""
+
+    name: str
+    noise: bool
+    marked: bool
+    author: bool
+    time: bool
+
+
+def _attributes(tag: str, raw: str) -> Attributes:
+    out = Attributes(tag, tag in DROP, tag in FORMS, tag == "cite", tag == "time")
     for m in _ATTR.finditer(raw):
         kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
-            noise = True
-        elif kind != "aria-hidden" and value:
+            out.noise = True
+        elif kind in ("class", "id", "role", "rel", "itemprop") and value:
+            tokens = value.split()
+            words = [set(_WORDS.findall(t)) for t in tokens]
+            out.author |= any(not AUTHOR.isdisjoint(w) for w in words)
+            out.time |= any(not TIME.isdisjoint(w) for w in words)
+            if kind in ("rel", "itemprop"):
+                continue
             if kind != "role":
-                name += (".#"[kind == "id"]).join(["", *value.split()])
-            marked = marked or tag not in ("html", "body", "main") and any(map(_marks, value.split()))
-    return name, noise, marked
+                out.name += (".#"[kind == "id"]).join(["", *tokens])
+            if tag not in ("html", "body", "main"):
+                out.marked |= any(map(_marks, tokens)) or tag != "article" and any(not COMMENTS.isdisjoint(w) and NO_PART.isdisjoint(w) for w in words)
+    return out
 
 
 @dataclass
 class Node:
-    """An element; its number is its place in page order, ``last`` that of its last descendant. ``marks``: around or on it."""
+    """An element; its number is its place in page order, ``last`` that of its last descendant.
+
+    ``mark`` is the nearest marked element on or around it, -1 for none. ``author`` and ``time``: what it or its inline parts name.
+    """
 
     tag: str
     parent: int
-    depth: int
     path: int
     noise: bool
     article: bool
-    marks: tuple[int, ...]
+    marked: bool = False
+    author: bool = False
+    time: bool = False
     last: int = 0
+    mark: int = -1
 
 
 @dataclass
@@ -117,9 +153,11 @@ class Block:
 
 def scan(page: str) -> tuple[list[Node], list[Block]]:
     """All elements that are blocks, and all blocks of text, in page order."""
-    nodes = [Node("", -1, 0, 0, False, False, ())]
+    nodes = [Node("", -1, 0, False, False)]
     out: list[Block] = []
     stack = [0]
+    open_at: dict[str, list[int]] = {}  # by name: the open elements' places in the stack
+    ends: dict[str, int] = {}  # by name: where the next end tag of a skipped element begins
     paths: dict[tuple[int, str], int] = {}
     held: list[str] = []
     links, in_link = 0, False
@@ -138,21 +176,32 @@ def scan(page: str) -> tuple[list[Node], list[Block]]:
     def pop_to(at: int) -> None:
         for node in stack[at:]:
             nodes[node].last = len(nodes) - 1
+            if node:
+                open_at[nodes[node].tag].pop()
         del stack[at:]
 
+    def innermost(tags: Iterable[str]) -> int:
+        """The place in the stack of the innermost open element of these names, 0 for none."""
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+
     def skipped(tag: str) -> int:
         """Where the skipped element ends that begins before ``pos``."""
-        end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
-        if end is None:
-            unclosed.add(tag)  # no later one is closed either
-        if tag == "svg" or end is None and tag not in RAW:  # a block ends a drawing, as in a browser, and what is never closed
-            inner = _BLOCKS.search(page, pos, end.start() if end else n)
+        if tag not in unclosed and ends.get(tag, -1) < pos:
+            found = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, pos)
+            if found:
+                ends[tag] = found.start()
+            else:
+                unclosed.add(tag)  # no later one is closed either
+        closed = tag not in unclosed
+        if tag == "svg" or not closed and tag not in RAW:  # a block ends a drawing, as in a browser, and what is never closed
+            inner = _BLOCKS.search(page, pos, ends[tag] if closed else n)
             if inner:
                 return inner.start()
-        if end:
-            return end.end()
-        open_ = "|".join({re.escape(nodes[x].tag) for x in stack[1:]})
-        end = re.compile(rf"</(?:{open_})\b", re.I).search(page, pos) if open_ else None
+        if closed:
+            end = page.find(">", ends[tag])
+            return end + 1 if end >= 0 else n
+        around = "|".join(re.escape(t) for t, at in open_at.items() if at)
+        end = re.compile(rf"</(?:{around})\b", re.I).search(page, pos) if around else None
         return end.start() if end else n
 
     while pos < n:
@@ -179,10 +228,8 @@ def scan(page: str) -> tuple[list[Node], list[Block]]:
                 held.append(" ")
             elif tag in BLOCK:
                 flush()
-                for at in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[at]].tag == tag:
-                        pop_to(at)
-                        break
+                if at := innermost((tag,)):
+                    pop_to(at)
             continue
         if tag in SKIPPED:
             if not m[4].endswith("/"):
@@ -195,6 +242,11 @@ def scan(page: str) -> tuple[list[Node], list[Block]]:
                 held.append(" ")
             elif tag == "hr":
                 flush()
+            if m[4]:
+                inline = _attributes(tag, m[4])
+                nodes[stack[-1]].author |= inline.author
+                nodes[stack[-1]].time |= inline.time
+            nodes[stack[-1]].time |= tag == "time"
             continue
         flush()
         if tag in CLOSES_P:
@@ -205,45 +257,97 @@ def scan(page: str) -> tuple[list[Node], list[Block]]:
                 if nodes[stack[at]].tag not in ("h1", "h2", "h3", "h4", "h5", "h6"):
                     break
         if tag in SAME:
-            for at in range(len(stack) - 1, 0, -1):
-                if nodes[stack[at]].tag in SAME[tag]:
-                    pop_to(at)
-                    if tag not in ("tr", "thead", "tbody", "tfoot"):
-                        break
-                elif nodes[stack[at]].tag in FENCE[tag]:
+            fence = innermost(FENCE[tag])
+            while (at := innermost(SAME[tag])) > fence:
+                pop_to(at)
+                if tag not in ("tr", "thead", "tbody", "tfoot"):
                     break
-        name, noise, marked = _attributes(tag, m[4] or "")
+        own = _attributes(tag, m[4] or "")
         up = nodes[stack[-1]]
-        if tag == "header" and not up.article:
-            noise = True
-        whole = tag in ("article", "main")
-        if marked and (tag != "article" or any(nodes[x].tag == "article" for x in stack)):
-            up_marks = (*up.marks, len(nodes))
-        else:
-            up_marks = up.marks
-        path = paths.setdefault((up.path, name), len(paths) + 1)
+        noise = own.noise or tag == "header" and not up.article
+        marked = own.marked and (tag != "article" or bool(open_at.get("article")))
+        path = paths.setdefault((up.path, own.name), len(paths) + 1)
+        open_at.setdefault(tag, []).append(len(stack))
         stack.append(len(nodes))
-        nodes.append(Node(tag, stack[-2], up.depth + 1, path, up.noise or noise, up.article or whole, up_marks))
+        nodes.append(Node(tag, stack[-2], path, up.noise or noise, up.article or tag in ("article", "main"), marked, own.author, own.time))
     flush()
     pop_to(0)
     return nodes, out
 
 
+def _comments(nodes: list[Node], found: list[Block]) -> None:
+    """Marks the elements that hold reader comments, by their structure or heading."""
+    author, time = [x.author for x in nodes], [x.time for x in nodes]
+    first: dict[int, int] = {}  # by node: its first block
+    for n, b in enumerate(found):
+        time[b.node] |= bool(_AGO.search(b.text))
+        x = b.node
+        while x >= 0 and x not in first:
+            first[x] = n
+            x = nodes[x].parent
+    for x in range(len(nodes) - 1, 0, -1):
+        if nodes[x].tag not in ("article", "main") or nodes[x].marked:
+            author[nodes[x].parent] |= author[x]
+            time[nodes[x].parent] |= time[x]
+    alike: dict[tuple[int, int], int] = {}
+    children: dict[int, int] = {}
+    for x in range(1, len(nodes)):
+        if x in first:
+            up = nodes[x].parent
+            children[up] = children.get(up, 0) + 1
+            if author[x] and time[x] and nodes[x].tag not in ("p", "td", "th", "h1", *_HEADINGS):
+                alike[up, nodes[x].path] = alike.get((up, nodes[x].path), 0) + 1
+    for (up, path), n in alike.items():
+        if n >= 2:
+            whole = 2 * n >= children[up] and nodes[up].tag not in ("", "html", "body", "article", "main")
+            for x in [up] if whole else [x for x in range(up + 1, nodes[up].last + 1) if nodes[x].parent == up and nodes[x].path == path]:
+                nodes[x].marked = True
+    for b in found:
+        h, up = nodes[b.node], nodes[b.node].parent
+        if h.tag in _HEADINGS and _TITLE.match(b.text):
+            if found[first[up]] is b and nodes[up].tag not in ("", "html", "body", "article", "main"):
+                nodes[up].marked = True
+                continue
+            x = h.last + 1
+            while x <= nodes[up].last and not (nodes[x].tag in _HEADINGS and nodes[x].tag <= h.tag):  # siblings up to the next heading of its rank
+                nodes[x].marked = True
+                x = nodes[x].last + 1
+            h.marked = True
+
+
+def _around(nodes: list[Node], mark: int) -> Iterator[int]:
+    """A marked element and the marked ones around it."""
+    while mark >= 0:
+        yield mark
+        mark = nodes[nodes[mark].parent].mark
+
+
 def _free(nodes: list[Node], found: list[Block]) -> set[int]:
     """The marked elements whose marks do not count."""
-    texts: dict[tuple[int, ...], list[int]] = {}
+    depth = {-1: 0}
+    for i, node in enumerate(nodes):
+        node.mark = i if node.marked else nodes[node.parent].mark if i else -1
+        if node.mark == i:
+            depth[i] = depth[nodes[node.parent].mark] + 1
+    texts: dict[int, list[int]] = {}  # by mark
     within = [b for b in found if nodes[b.node].article]
     for b in within or found:
-        t = texts.setdefault(nodes[b.node].marks, [0, 0])
+        t = texts.setdefault(nodes[b.node].mark, [0, 0])
         t[0], t[1] = t[0] + len(b.text), t[1] + 1
     if within:
         # marks below an article or main element count, those around it may not
-        around = {x for i, node in enumerate(nodes) if node.tag in ("article", "main") and not node.noise for x in nodes[max(node.parent, 0)].marks}
-        texts = {k: v for k, v in texts.items() if around.issuperset(k)}
+        around = {-1}
+        for node in nodes:
+            if node.tag in ("article", "main") and not node.noise:
+                x = nodes[max(node.parent, 0)].mark
+                while x not in around:
+                    around.add(x)
+                    x = nodes[nodes[x].parent].mark
+        texts = {k: v for k, v in texts.items() if k in around}
         large = [k for k, v in texts.items() if v[0] >= THRESHOLD * max(x[0] for x in texts.values())]
-        return set(min(large, key=lambda k: (len(k), -texts[k][0]), default=()))
+        return set(_around(nodes, min(large, key=lambda k: (depth[k], -texts[k][0]), default=-1)))
     total = sum(v[0] for v in texts.values())
-    return set(next((k for k, v in texts.items() if v[0] >= MOST * total and v[1] > 1), ()))
+    return set(_around(nodes, next((k for k, v in texts.items() if v[0] >= MOST * total and v[1] > 1), -1)))
 
 
 def content(page: str | None, threshold: float = THRESHOLD) -> str:
@@ -252,8 +356,9 @@ def content(page: str | None, threshold: float = THRESHOLD) -> str:
         return ""
     nodes, found = scan(page)
     found = [b for b in found if not nodes[b.node].noise]
-    free = _free(nodes, found)
-    found = [b for b in found if free.issuperset(nodes[b.node].marks)]
+    _comments(nodes, found)
+    free = _free(nodes, found) | {-1}
+    found = [b for b in found if nodes[b.node].mark in free]
     if not found:
         return ""
     stats: dict[int, list[float]] = {}
@@ -290,10 +395,16 @@ def content(page: str | None, threshold: float = THRESHOLD) -> str:
         root = nodes[root].parent
     parts: dict[int, list[int]] = {}
 
+    below: dict[int, int] = {root: root}
+
     def part(x: int) -> int:
-        while x != root and nodes[x].parent != root:
+        way = []
+        while x not in below and nodes[x].parent != root:
+            way.append(x)
             x = nodes[x].parent
-        return x
+        at = below.setdefault(x, x)
+        below.update(dict.fromkeys(way, at))
+        return at
 
     kept = []
     for b in found:
