@@ -55,7 +55,7 @@ def _n() -> Column:
 _CLEAN = r"trim(regexp_replace(replace(regexp_replace(coalesce({0},''),'[\x00-\x08\x0b\x0c\x0e-\x1f]',' ','g'),chr(160),' '),'\s+',' ','g'))"
 _UP = "upper(replace(" + _CLEAN + ",'ß','SS'))"
 _NORM = "trim(regexp_replace(" + _UP + ",'[^A-Z0-9]+',' ','g'))"
-_FOLD = f"translate({{0}},'{X.MARKED}','{X.PLAIN}')"
+_FOLD = "strip_accents({0})"
 _LIG = "replace(replace(replace(replace(replace(replace(" + _FOLD + ",'ß','ss'),'æ','ae'),'Æ','AE'),'œ','oe'),'Œ','OE'),'µ','u')"
 
 
@@ -241,10 +241,10 @@ def name_variants(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", F.element_at(X.variants("p_name"), 1).alias("full_name"), F.element_at(X.variants("p_name"), -1).alias("first_word"), X.product_base(F.concat(c("p_name"), lit(" 500 MG B/20"))).alias("base"), X.truncate("p_type", 10).alias("short"))
 
 
-@query("""SELECT p_partkey, 'https://x.example/s?q='||replace(p_name,' ','%20')||'%2B' AS url, 'https://x.example/d/'||p_partkey AS abs_url, p_size % 2 = 1 AS truth FROM part""")
+@query("""SELECT p_partkey, 'https://x.example/s?q='||replace(p_name,' ','%20')||'%2B' AS url, CASE p_partkey % 5 WHEN 0 THEN 'https://x.example/d/' WHEN 1 THEN 'https://x.example/' WHEN 2 THEN 'https://x.example/list/all?n=1#' WHEN 3 THEN 'https://x.example/list/all?p=' ELSE 'https://x.example/list/b/' END || p_partkey AS abs_url, p_size % 2 = 1 AS truth FROM part""")
 def url_templates(spark: SparkSession, d: str) -> DataFrame:
     p = _t(spark, d, "part")
-    return p.select("p_partkey", X.fill_template(lit("https://x.example/s?q={q}"), F.concat(c("p_name"), lit("+"))).alias("url"), X.absolute_url(F.concat(lit("/d/"), c("p_partkey")), "https://x.example/list/all").alias("abs_url"), X.truthy(F.when(c("p_size") % 2 == 1, "Oui").otherwise("no")).alias("truth"))
+    return p.select("p_partkey", X.fill_template(lit("https://x.example/s?q={q}"), F.concat(c("p_name"), lit("+"))).alias("url"), X.absolute_url(F.concat(F.get(F.array(*map(lit, ("/d/", "../", "#", "?p=", "./a/../b/"))), c("p_partkey") % 5), c("p_partkey")), "https://x.example/list/all?n=1").alias("abs_url"), X.truthy(F.when(c("p_size") % 2 == 1, "Oui").otherwise("no")).alias("truth"))
 
 
 # --- joins ---------------------------------------------------------------------------------------------------------
@@ -629,9 +629,8 @@ def _strip_sql() -> str:
     t = r"regexp_replace(html,'(?is)<(script|style)[^>]*>.*?</(script|style)>',' ','g')"
     t = rf"regexp_replace({t},'(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|ul|ol|table|article|section|nav|footer|title|head|body)>',chr(10),'g')"
     t = f"regexp_replace({t},'<[^>]+>',' ','g')"
-    for a, b in X.ENTITIES:
-        b = {"'": "''"}.get(b, b)
-        t = f"replace({t},'{a}','{b}')"
+    for a, b in (("&quot;", "chr(34)"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;?", "'&'")):  # those that the pages hold
+        t = f"regexp_replace({t},'{a}',{b},'g')"
     t = rf"regexp_replace(replace(replace({t},chr(13)||chr(10),chr(10)),chr(13),chr(10)),'[\x00-\x08\x0b\x0c\x0e-\x1f]',' ','g')"
     t = rf"regexp_replace(replace({t},chr(160),' '),'[ \t]+',' ','g')"
     t = rf"regexp_replace(regexp_replace({t},' ?\n ?',chr(10),'g'),'\n{{3,}}',chr(10)||chr(10),'g')"

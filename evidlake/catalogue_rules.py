@@ -24,6 +24,8 @@ HEADINGS["es"] = [*HEADINGS["es"], ("2. Qué necesita saber", "warning"), ("3. C
 HEADINGS["en"] = [*HEADINGS["en"], ("2. What you need to know", "warning"), ("3. How to use", "dosage"), ("5. How to store", "storage")]
 HEADINGS["pt"] = [*HEADINGS["pt"], ("6.4 Precauções especiais de conservação", "storage")]
 HEADINGS["it"] = [*HEADINGS["it"], ("5. Come conservare", "storage")]
+# as labels print them
+HEADINGS["tr"] = [("4.1. Terapötik endikasyonlar", "indication"), ("4.2 Pozoloji ve uygulama şekli", "dosage"), ("4.3. KONTRENDİKASYONLAR", "contraindication"), ("4.4 Özel kullanım uyarıları ve önlemleri", "warning"), ("4.5. Diğer tıbbi ürünler ile etkileşimler", "interaction"), ("4.6 Gebelik ve laktasyon", "special_population"), ("4.8. İstenmeyen etkiler", "adverse_effect"), ("4.9 DOZ AŞIMI", "overdose"), ("5.1. Farmakodinamik özellikler", "pharmacology"), ("5.2 Farmakokinetik özellikler", "pharmacology")]
 
 _LETTERS = "trim(regexp_replace(coalesce(text,''),'[^A-Za-zÀ-ÿ]+',' ','g'))"
 
@@ -38,18 +40,22 @@ def _piece(t: Column, i: int, n: int) -> Column:
 
 
 def _document(headings: Headings, sep: str) -> Column:
+    """Pieces under their headings; one heading in seven is missing."""
     t, n = _letters(), len(headings)
-    return F.concat_ws(sep, *[x for i, (h, _) in enumerate(headings) for x in (lit(h), _piece(t, i, n))])
+    return F.concat_ws(sep, lit("Start"), *[x for i, (h, _) in enumerate(headings) for x in (F.when((c("doc_id") + i) % 7 > 0, lit(h)), _piece(t, i, n))])
 
 
-def _sections_sql(headings: Headings, cap: int, title: str = "") -> str:
+def _sections_sql(headings: Headings, cap: int, title: str = "", lines: bool = False) -> str:
     h, k = ([x[i].replace("'", "''") for x in headings] for i in (0, 1))
     n = len(headings)
     values = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(zip(h, k, strict=True)))
     title = title or "CASE WHEN length(text) >= 240 THEN trim(left(text, 160)) END"
     return rf"""WITH t AS (SELECT doc_id, {_LETTERS} AS t FROM documents), h(i, h, kind) AS (VALUES {values}),
-p AS (SELECT doc_id, kind, h, CASE WHEN i = {n - 1} THEN t ELSE substr(t, 1 + 60 * i, 40 + 30 * ((doc_id + i) % 4)::INT) END AS p FROM t, h),
-s AS (SELECT doc_id, kind, h, trim(left(trim(regexp_replace(h || ' ' || CASE WHEN length(p) < 40 THEN rpad(p, 40, 'x') ELSE p END, ' +', ' ', 'g')), {cap})) AS text FROM p)
+p AS (SELECT doc_id, i, h, (doc_id + i) % 7 > 0 AS shown, CASE WHEN i = {n - 1} THEN t ELSE substr(t, 1 + 60 * i, 40 + 30 * ((doc_id + i) % 4)::INT) END AS p FROM t, h),
+d AS (SELECT doc_id, regexp_replace('Start ' || string_agg(CASE WHEN shown THEN h || ' ' ELSE '' END || CASE WHEN length(p) < 40 THEN rpad(p, 40, 'x') ELSE p END, ' ' ORDER BY i), '{"" if lines else " +"}', '{"" if lines else " "}', 'g') AS d FROM p GROUP BY doc_id),
+f AS (SELECT doc_id, kind, h, d, strpos(d, h) AS pos FROM d, h),
+c AS (SELECT *, coalesce(lead(pos) OVER (PARTITION BY doc_id ORDER BY pos), length(d) + 1) AS stop FROM f WHERE pos > 0),
+s AS (SELECT doc_id, kind, h, trim(regexp_replace(substr(d, pos, least(stop - pos, {cap})), ' +', ' ', 'g')) AS text FROM c)
 SELECT doc_id, kind, {title} AS title, text FROM s WHERE length(text) >= 80"""
 
 
@@ -71,7 +77,7 @@ def _register(name: str) -> None:
 
     run.__name__ = f"segments_{name}"
     run.__doc__ = f"Sections of documents under the headings of the profile {name}."
-    query(_sections_sql(HEADINGS[name], profile.cap, title))(run)
+    query(_sections_sql(HEADINGS[name], profile.cap, title, profile.lines))(run)
 
 
 for _name in HEADINGS:
@@ -160,3 +166,18 @@ def labelled_names(spark: SparkSession, d: str) -> DataFrame:
     text = F.concat_ws("\n", F.concat(lit("Spécialité : "), name, lit(" forte")), lit("Consultez un médecin"), lit("12 / 34"), F.left(_letters(), lit(12)), lit("Nom du médicament"), F.concat(name, lit(" au verso")), lit("a b c d e f g h i j k l m n o p"))
     return _t(spark, d, "documents").select("doc_id", F.explode(S.name_candidates(text)).alias("name"))
 
+
+
+_REFS = (("&", "&amp;"), ("é", "&eacute;"), ("ñ", "&#241;"), ("ó", "&#xF3;"), ("ß", "&szlig"), (",", "&comma;"), (".", "&period;"), ("á", "&aacute"))
+
+
+@query("""SELECT doc_id, '½ ' || coalesce(text, '') || ' < >' AS text FROM documents""")
+def character_references(spark: SparkSession, d: str) -> DataFrame:
+    """Texts written with character references of all kinds, read again."""
+    return _t(spark, d, "documents").select("doc_id", X.unescape(F.concat(lit("&frac12;&nbsp;"), X.replace_all(X.blank("text"), _REFS), lit("&nbsp;&lt;&#0032;&#x3e;"))).alias("text")).withColumn("text", F.replace("text", lit("\u00a0"), lit(" ")))
+
+
+@query("""SELECT doc_id, 'Zlutoucky kun SGIi fi 1⁄2 VIII strasse ' || replace(strip_accents(coalesce(text, '')), 'ß', 'ss') AS text FROM documents""")
+def folded_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts without marks, other characters by compatibility."""
+    return _t(spark, d, "documents").select("doc_id", X.fold(F.concat(lit("Žluťoučký kůň ŞĞİı ﬁ ½ Ⅷ straße "), X.blank("text"))).alias("text"))

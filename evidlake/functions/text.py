@@ -6,22 +6,20 @@ that Java's ASCII ``\\s`` and Unicode-aware engines agree.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters with marks and their base letters.
-MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿšŠžŽ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyysSzZ"
+from evidlake.functions import unicode as U
+from evidlake.functions.unicode import once
+
 # UTF-8 read as Latin-1 or Windows-1252, and what it stood for, in order of replacement.
 MOJIBAKE = (
     ("Ã©", "é"), ("Ã¨", "è"), ("Ãª", "ê"), ("Ã«", "ë"), ("Ã ", "à"), ("Ã¢", "â"), ("Ã§", "ç"), ("Ã®", "î"), ("Ã¯", "ï"), ("Ã´", "ô"), ("Ã¹", "ù"), ("Ã»", "û"), ("Ã¼", "ü"),
     ("Ã‰", "É"), ("Ã€", "À"), ("Ã‡", "Ç"), ("Ã”", "Ô"), ("Ã–", "Ö"), ("Â°", "°"), ("Âµ", "µ"), ("Â", " "), ("â– ", " "), ("â‰¥", "≥"), ("â‰¤", "≤"), ("â€™", "'"), ("â€œ", '"'), ("â€", '"'),
 )
-# Named character references that occur in the sources, the ampersand last.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&amp;", "&"))
 TRUTHY = ("1", "true", "yes", "y", "oui")
 CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
@@ -32,11 +30,6 @@ def _col(c: Text) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` made once a row, however often ``use`` names it: it is a lambda's argument."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def blank(c: Text) -> Column:
     """Null as the empty string."""
     return F.coalesce(_col(c).cast("string"), F.lit(""))
@@ -57,8 +50,8 @@ def clean(c: Text) -> Column:
 
 
 def unescape(c: Text) -> Column:
-    """The character references of ENTITIES resolved."""
-    return replace_all(blank(c), ENTITIES)
+    """All character references resolved."""
+    return U.unescape(blank(c))
 
 
 def clean_html(c: Text) -> Column:
@@ -91,8 +84,8 @@ def trim_only(c: Text) -> Column:
 
 
 def fold(c: Text) -> Column:
-    """Letters without their marks; ligatures and sharp s spelled out. Lengths change only there."""
-    return replace_all(F.translate(blank(c), MARKED, PLAIN), (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("µ", "u")))
+    """Letters without their marks; ligatures and sharp s spelled out. Lengths may change."""
+    return U.fold(blank(c))
 
 
 def heading(c: Text) -> Column:
@@ -111,8 +104,8 @@ def scrub(c: Text) -> Column:
 
 
 def fold_in_place(c: Text) -> Column:
-    """As ``fold``, character by character, so that positions stay valid."""
-    return F.translate(blank(c), MARKED + "ßæÆœŒµ", PLAIN + "saAoOu")
+    """As ``fold`` for characters that stay one, so that positions stay valid; spelled-out ones become their first letter."""
+    return U.fold_in_place(blank(c))
 
 
 def norm(c: Text) -> Column:
@@ -239,9 +232,22 @@ def fill_template(template: Text, q: Text) -> Column:
 
 
 def absolute_url(c: Text, base: str) -> Column:
+    """A reference resolved against a page's address, ``.`` and ``..``, queries and fragments included; blank stays blank."""
+    scheme, host, path, query = urlsplit(base)[:4]
+    root = f"{scheme}://{host}"
+
+    def resolve(t: Column) -> Column:
+        own, rest = F.regexp_extract(t, r"^([^?#]*)", 1), F.regexp_extract(t, r"^[^?#]*(.*)$", 1)
+        near = F.filter(F.split(own, "/"), lambda x, i: (x != "") | (i == F.size(F.split(own, "/")) - 1))
+        parts = F.when(own.startswith("/"), F.split(own, "/")).otherwise(F.concat(F.array(*[F.lit(x) for x in path.split("/")[:-1] or [""]]), near))
+        step = lambda at, x: F.when(x == "..", F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0)))).when(x == ".", at).otherwise(F.array_append(at, x))
+        out = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+        out = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(out, F.lit("/"))).otherwise(out)
+        here = F.when(rest.startswith("?"), F.lit(root + path)).otherwise(F.lit(root + path + (f"?{query}" if query else "")))
+        return F.when(own == "", F.concat(here, rest)).otherwise(F.concat(F.lit(root), F.when(out.startswith("/"), out).otherwise(F.concat(F.lit("/"), out)), rest))
+
     t = clean(c)
-    root = "/".join(base.split("/")[:3])
-    return F.when(t == "", "").when(t.rlike("^https?://"), t).when(t.startswith("//"), F.concat(F.lit(base.split(":")[0] + ":"), t)).when(t.startswith("/"), F.concat(F.lit(root), t)).otherwise(F.concat(F.lit(base.rsplit("/", 1)[0] + "/"), t))
+    return F.when(t == "", "").when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), t).when(t.startswith("//"), F.concat(F.lit(f"{scheme}:"), t)).otherwise(once(t, resolve))
 
 
 def truthy(c: Text) -> Column:
