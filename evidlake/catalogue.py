@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from evidlake.functions import nested as N
 from evidlake.functions import text as X
+from evidlake.operators import containment as C
 from evidlake.operators import matching as M
 from evidlake.operators import quality as Q
 from evidlake.operators import relational as R
@@ -333,13 +334,21 @@ def multi_key_join(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(hits, "k").groupBy("doc_id").agg(F.sum("hits").alias("n"))
 
 
-@query("""SELECT p_partkey, b.p_name AS term FROM part p JOIN (SELECT DISTINCT p_name FROM part) b ON contains(' '||p.p_name||' ', ' '||split_part(b.p_name,' ',1)||' ')""")
+@query("""SELECT p.p_partkey, b.p_name AS term FROM part p JOIN (SELECT DISTINCT p_name FROM part) b ON contains(p.p_name, split_part(b.p_name,' ',1))""")
 def containment_join(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-word containment as an equi-join on words instead of comparing all pairs."""
+    """Names that hold another name's first word, within longer words too."""
     p = _t(spark, d, "part")
-    words = p.select("p_partkey", F.explode(F.array_distinct(F.split("p_name", " "))).alias("w"))
     terms = p.select(c("p_name").alias("term")).distinct().withColumn("w", F.split("term", " ").getItem(0))
-    return words.join(terms, "w").select("p_partkey", "term")
+    return C.holders(spark, p, terms, "p_partkey", "p_name", "term", "w")
+
+
+@query("""WITH f AS (SELECT p_partkey AS file, concat('rcp/', p_name, '/x', 1000 + p_partkey % 700, 'b_', p_size, '.pdf') AS path FROM part) SELECT file, p_partkey FROM f JOIN part ON contains(path, (1000 + p_partkey % 1100)::VARCHAR)""")
+def path_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose path holds a registration code, anywhere within a longer word."""
+    p = _t(spark, d, "part")
+    paths = p.select(c("p_partkey").alias("file"), F.concat(lit("rcp/"), "p_name", lit("/x"), (1000 + c("p_partkey") % 700).cast("string"), lit("b_"), c("p_size").cast("string"), lit(".pdf")).alias("path"))
+    codes = p.select("p_partkey", (1000 + c("p_partkey") % 1100).cast("string").alias("code"))
+    return C.holders(spark, paths, codes, "file", "path", "p_partkey", "code")
 
 
 @query("SELECT o_orderkey, unnest(string_split(o_orderkey||';'||o_custkey,';')) AS id FROM orders")
@@ -496,29 +505,6 @@ def token_blocked_match(spark: SparkSession, d: str) -> DataFrame:
     return R.blocked(docs, terms, "doc_id", "item_id", least=3)
 
 
-@query("""WITH x AS (SELECT a.p_partkey, b.p_partkey AS other, least(0.95, (CASE WHEN a.p_type=b.p_type THEN 0.55 ELSE 0 END)+(CASE WHEN a.p_name=b.p_name THEN 0.35 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 0.05 ELSE 0 END)) AS s FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_partkey<>b.p_partkey)
-SELECT p_partkey, other, round(s,4)::DOUBLE AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY round(s,4) DESC, other) AS rank FROM x) WHERE rank <= 3 AND round(s,4) >= 0.45""")
-def additive_score_topk(spark: SparkSession, d: str) -> DataFrame:
-    """Additive scores within brand blocks, the best three above the threshold."""
-    a = _t(spark, d, "part").select("p_partkey", "p_brand", "p_type", *[c(x).alias(f"a_{x}") for x in ("p_name", "p_size")])
-    b = _t(spark, d, "part").select(c("p_partkey").alias("other"), "p_brand", "p_type", "p_name", "p_size")
-    j = a.join(b, ["p_brand", "p_type"]).where("p_partkey <> other")  # without the generic part no score reaches the threshold
-    s = M.additive({"generic": lit(True), "brand": c("a_p_name") == c("p_name"), "dose": c("a_p_size") == c("p_size")}, "bdpm")
-    return R.top(j.withColumn("score", s), ["p_partkey"], [F.desc("score"), c("other")], 3).where(c("score") >= M.threshold("bdpm")).select("p_partkey", "other", "score", "rank")
-
-
-@query(f"""WITH t AS (SELECT DISTINCT {_normf('p_name')} AS title FROM part), p AS (SELECT DISTINCT {_normf('p_name')} AS brand FROM part),
-x AS (SELECT brand, title, CASE WHEN title=brand OR starts_with(title, brand||' ') THEN 0.80 WHEN contains(title,brand) THEN 0.70 ELSE 0 END AS s FROM p JOIN t ON split_part(brand,' ',1)=split_part(title,' ',1)
- WHERE (length(brand)>=5 AND contains(title,brand)) OR (len(list_filter(string_split(brand,' '), lambda w: length(w)>=3))>=2 AND len(list_filter(list_distinct(string_split(brand,' ')), lambda w: length(w)>=3 AND list_contains(string_split(title,' '),w)))>=2))
-SELECT brand, title, s::DOUBLE AS score FROM x""")
-def gated_score(spark: SparkSession, d: str) -> DataFrame:
-    names = _t(spark, d, "part").select(X.norm_folded("p_name").alias("n")).distinct()
-    a = names.select(c("n").alias("brand"), F.split("n", " ").getItem(0).alias("w"))
-    b = names.select(c("n").alias("title"), F.split("n", " ").getItem(0).alias("w"))
-    j = a.join(b, "w").where(M.brand_gate(c("brand"), c("title")))
-    return j.select("brand", "title", M.gated_score(c("brand"), c("title"), lit("-"), lit("+")).alias("score"))
-
-
 @query("""WITH j AS (SELECT a.p_partkey, b.p_partkey AS cand, (CASE WHEN upper(a.p_name)=upper(b.p_name) THEN 40 ELSE 0 END)+(CASE WHEN a.p_size=b.p_size THEN 20 ELSE 0 END)+(CASE WHEN a.p_type=b.p_type THEN 15 ELSE 0 END) AS score, a.p_retailprice=b.p_retailprice AS tie FROM part a JOIN part b ON a.p_brand=b.p_brand AND a.p_name=b.p_name AND a.p_partkey<>b.p_partkey),
 b AS (SELECT p_partkey, max(score) AS best FROM j WHERE score>0 GROUP BY 1), t AS (SELECT j.* FROM j JOIN b ON j.p_partkey=b.p_partkey AND score=best)
 SELECT p_partkey, CASE WHEN count(*)=1 THEN min(cand) WHEN count(*) FILTER (WHERE tie)=1 THEN min(cand) FILTER (WHERE tie) END AS cand, score, CASE WHEN count(*)=1 THEN 'unique' WHEN count(*) FILTER (WHERE tie)=1 THEN 'tie_broken' ELSE 'ambiguous' END AS outcome FROM t GROUP BY p_partkey, score""")

@@ -10,52 +10,141 @@ from evidlake.functions import nested as N
 from evidlake.functions import text as X
 from evidlake.operators import matching as M
 from evidlake.operators import quality as Q
+from evidlake.operators import registry as L
 from evidlake.operators import relational as R
 from evidlake.operators import routing as G
+from evidlake.operators import scoring as K
 from evidlake.operators import segment as S
 from evidlake.plans import release as P
 
 # --- scores by source ----------------------------------------------------------------------------------------------
 
-#: A medicine's fields and a foreign record's title and holder, both from part rows of one size.
-_PAIRS = """m AS (SELECT p_partkey, upper(p_name) AS brand, upper(split_part(p_name, ' ', 2)) AS generic, upper(replace(p_brand, '#', ' ')) AS lab, upper(p_type) AS form, p_size || ' MG' AS dose, p_size, split_part(p_name, ' ', 1) AS w FROM part),
-r AS (SELECT p_partkey AS record, upper(p_name) || ' ' || upper(p_type) || ' ' || p_size || ' MG' AS title, upper(replace(p_brand, '#', ' ')) AS holder, split_part(p_name, ' ', 1) AS w, p_size AS s FROM part),
-j AS (SELECT m.*, record, title, holder, contains(title, generic) AS c_generic, contains(title, brand) AS c_brand, contains(title, list_filter(string_split(brand, ' '), lambda x: length(x) >= 3)[1]) AS c_first_token, contains(holder, lab) AS c_lab, contains(title, form) AS c_form, contains(title, dose) AS c_dose, contains(title, dose) OR list_contains(regexp_extract_all(title, '[0-9]+'), p_size::VARCHAR) AS c_dose_number, false AS c_sections FROM m JOIN r ON m.w = r.w AND m.p_size = r.s)"""
+#: Medicines, and foreign records of which some name the brand, some its first word only, some neither. Both engines read this text.
+_MEDICINES = """SELECT p_partkey, upper(concat(split_part(p_name, ' ', 1), p_partkey % 53, ' ', split_part(p_name, ' ', 2))) AS m_brand, upper(concat(p_type, p_partkey % 97)) AS m_generic,
+ upper(concat('sarl ', replace(p_brand, '#', ' '))) AS m_lab, upper(concat(p_type, ' tablets')) AS m_form, concat(p_size, ' MG') AS m_dose FROM part"""
+_RECORDS = """SELECT record, name, active, holder, form, dose, concat(name, ' ', holder, ' ', active, ' ', dose) AS combined, holder AS context, concat(name, ' ', active, ' ', holder, ' ', form) AS head, size, record % 2 = 0 AS has_sections, CASE WHEN record % 2 = 0 THEN 'SMPC' ELSE 'PIL' END AS kind FROM (
+SELECT p_partkey AS record, CASE p_partkey % 4 WHEN 0 THEN concat(brand, ' FORTE') WHEN 1 THEN concat(split_part(brand, ' ', 1), ' NOVA') WHEN 2 THEN concat('NEO ', brand) ELSE concat('OTHER ', p_partkey % 11) END AS name,
+ CASE p_partkey % 3 WHEN 0 THEN concat(generic, ' SULFATE') WHEN 1 THEN '' ELSE 'WATER' END AS active, CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'BRANDON CO' ELSE 'ACME' END AS holder,
+ CASE p_partkey % 2 WHEN 0 THEN 'COATED TABLETS' ELSE 'SYRUP' END AS form, CASE p_partkey % 7 WHEN 0 THEN '' ELSE concat(p_size, ' MG UNIT') END AS dose, p_size AS size
+FROM (SELECT p_partkey, p_size, upper(concat(split_part(p_name, ' ', 1), p_partkey % 53, ' ', split_part(p_name, ' ', 2))) AS brand, upper(concat(p_type, p_partkey % 97)) AS generic FROM part))"""
+
+
+def _from_part(spark: SparkSession, d: str, sql: str) -> DataFrame:
+    return spark.sql(sql.replace("FROM part", "FROM {part}"), part=_t(spark, d, "part"))
+
+
+def _has(needle: str, *fields: str) -> str:
+    return f"({needle} <> '' AND ({' OR '.join(f'contains({f}, {needle})' for f in fields)}))"
+
+
+def _any(words: str, field: str) -> str:
+    return f"({field} <> '' AND len(list_filter({words}, lambda w: contains({field}, w))) > 0)"
+
+
+_TOKEN = "list_filter(string_split(m_brand, ' '), lambda w: length(w) >= 3)[1]"
+_LABS = "list_filter(string_split(m_lab, ' ')[1:3], lambda w: length(w) >= 4)"
+_FORMS = "list_filter(string_split(m_form, ' '), lambda w: length(w) >= 5)"
+_NUMS = "regexp_extract_all(m_dose, '[0-9]+')"
+_LONG = "list_filter(string_split(m_generic, ' '), lambda w: length(w) >= 4)"
+#: By source: (groups of (weight, condition), the first that holds counts), the cap and the threshold.
+_SCORES: dict[str, tuple[list[list[tuple[float, str]]], float, float]] = {
+    "bdpm": ([[(0.55, _has("m_generic", "active", "name"))], [(0.35, _has("m_brand", "name"))], [(0.05, _has("m_form", "form"))], [(0.05, _has("m_dose", "dose"))]], 0.95, 0.45),
+    "cima": ([[(0.55, _has("m_generic", "active", "name"))], [(0.50, _has("m_brand", "name")), (0.45, f"starts_with(name, {_TOKEN})")], [(0.05, _any(_LABS, "holder"))], [(0.03, _has("m_dose", "dose"))], [(0.02, _any(_FORMS, "form"))]], 0.95, 0.50),
+    "aifa": ([[(0.55, _has("m_generic", "active", "name"))], [(0.45, _has("m_brand", "name")), (0.40, f"starts_with(name, {_TOKEN})")], [(0.05, _any(_LABS, "holder"))], [(0.03, _any(_FORMS, "form"))], [(0.02, _has("m_dose", "dose"))]], 0.95, 0.50),
+    "health_canada": ([[(0.50, _has("m_brand", "name")), (0.42, f"starts_with(name, {_TOKEN})")], [(0.35, _has("m_generic", "active"))], [(0.05, _any(_LABS, "holder"))]], 0.90, 0.45),
+    "titck": ([[(0.55, _has("m_generic", "active"))], [(0.45, _has("m_brand", "name")), (0.40, f"starts_with(name, {_TOKEN})")], [(0.05, _any(_LABS, "holder"))]], 0.95, 0.50),
+    "cecmed": ([[(0.55, _has("m_generic", "combined"))], [(0.52, _has("m_brand", "combined")), (0.44, f"starts_with(name, {_TOKEN})")], [(0.08, _any(_NUMS, "combined"))], [(0.05, _any(_LABS, "context"))]], 0.95, 0.40),
+    "swissmedic": ([[(0.55, "contains(m_brand, name) OR contains(name, m_brand)"), (0.40, f"starts_with(name, {_TOKEN}) OR list_contains(string_split(name, ' ')[1:4], {_TOKEN})")], [(0.30, "active <> '' AND (contains(m_generic, active) OR contains(active, m_generic))"), (0.18, f"len(list_filter({_LONG}[1:2], lambda w: NOT contains(head, w))) = 0"), (0.10, _any(f"{_LONG}[1:3]", "head"))], [(0.08, _any("list_filter(string_split(m_lab, ' '), lambda w: length(w) >= 4)[1:4]", "holder"))], [(0.04, f"list_contains({_NUMS}, size::VARCHAR)")], [(0.03, _any(f"{_FORMS}[1:3]", "head"))], [(0.03, "has_sections")]], 0.97, 0.48),
+}
+
+
+def _pair_sql(source: str) -> str:
+    groups, cap, threshold = _SCORES[source]
+    total = " + ".join("CASE " + " ".join(f"WHEN {cond} THEN {w}" for w, cond in g) + " ELSE 0 END" for g in groups)
+    return f"SELECT p_partkey, record, score FROM (SELECT p_partkey, record, round(least({cap}, {total}), 4)::DOUBLE AS score FROM ({_MEDICINES}) m, ({_RECORDS}) r) WHERE score >= {threshold}"
 
 
 def _scored(spark: SparkSession, d: str, source: str) -> DataFrame:
-    p = _t(spark, d, "part")
-    brand, lab = F.upper("p_name"), F.upper(F.replace("p_brand", lit("#"), lit(" ")))
-    dose = F.concat(c("p_size").cast("string"), lit(" MG"))
-    m = p.select("p_partkey", brand.alias("brand"), F.get(F.split(brand, " "), lit(1)).alias("generic"), lab.alias("lab"), F.upper("p_type").alias("form"), dose.alias("dose"), c("p_size").alias("s"), F.get(F.split("p_name", " "), lit(0)).alias("w"))
-    r = p.select(c("p_partkey").alias("record"), F.concat_ws(" ", brand, F.upper("p_type"), dose).alias("title"), lab.alias("holder"), c("p_size").alias("s"), F.get(F.split("p_name", " "), lit(0)).alias("w"))
-    j = m.join(r, ["w", "s"])
-    score = M.additive(M.parts(c("brand"), c("generic"), c("lab"), c("form"), c("dose"), c("title"), c("holder")), source)
-    return j.withColumn("score", score).where(c("score") >= M.threshold(source)).select("p_partkey", "record", "score")
-
-
-def _score_sql(source: str) -> str:
-    weights, cap, threshold = M.SCORES[source]
-    terms = [f"CASE WHEN c_{k} THEN {w} ELSE 0 END" for k, w in weights.items() if k not in ("brand", "first_token", "sections")]
-    if "first_token" in weights:
-        terms.append(f"CASE WHEN c_brand THEN {weights['brand']} WHEN c_first_token THEN {weights['first_token']} ELSE 0 END")
-    elif "brand" in weights:
-        terms.append(f"CASE WHEN c_brand THEN {weights['brand']} ELSE 0 END")
-    return f"WITH {_PAIRS} SELECT p_partkey, record, score FROM (SELECT p_partkey, record, round(least({cap}, {' + '.join(terms)}), 4)::DOUBLE AS score FROM j) WHERE score >= {threshold}"
+    records = _from_part(spark, d, _RECORDS).withColumn("numbers", F.array(c("size").cast("string")))
+    return K.matches(spark, _from_part(spark, d, _MEDICINES), records, source, "p_partkey", "record")
 
 
 def _register_score(source: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
         return _scored(spark, d, source)
 
-    run.__name__, run.__doc__ = f"score_{source}", f"Additive score of the source {source}, from its threshold on."
-    query(_score_sql(source))(run)
+    run.__name__, run.__doc__ = f"score_{source}", f"All pairs of medicines and records of the source {source} from its threshold on."
+    query(_pair_sql(source))(run)
 
 
-for _name in ("cima", "aifa", "health_canada", "titck", "cecmed", "swissmedic"):
+for _name in _SCORES:
     _register_score(_name)
 
 
+@query(f"SELECT p_partkey, record, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, record) AS rank FROM ({_pair_sql('bdpm')})) WHERE rank <= 3")
+def additive_score_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The best three records of every medicine, from the threshold on."""
+    return R.top(_scored(spark, d, "bdpm"), ["p_partkey"], [F.desc("score"), c("record")], 3).select("p_partkey", "record", "score", "rank")
+
+
+_FAST = """SELECT p_partkey, concat(CASE p_partkey % 3 WHEN 0 THEN 'ACIDE ' ELSE '' END, m_brand, CASE p_partkey % 4 WHEN 1 THEN ' 20 MG' ELSE '' END) AS m_brand, concat(m_generic, ' SULFATE CHLORURE') AS m_generic, m_lab, m_dose FROM (""" + _MEDICINES + ")"
+_OWN = f"list_filter(string_split(m_brand, ' '), lambda w: length(w) >= 3 AND NOT list_contains(['{"', '".join(K.NO_BRAND)}'], w))"
+
+
+@query(f"""WITH m AS (SELECT *, {_OWN} AS own, list_filter(string_split(m_generic, ' '), lambda w: length(w) >= 4 AND w <> 'CHLORURE') AS act, list_filter(string_split(m_lab, ' '), lambda w: length(w) >= 4) AS labs, list_distinct(list_transform(regexp_extract_all(m_dose || ' ' || m_brand, '[0-9]+ *(MG|G|ML|UI|IE|IU|U|%|MCG|UG)?'), lambda x: replace(x, ' ', ''))) AS doses FROM ({_FAST})),
+v AS (SELECT *, [m_brand, trim(regexp_extract(m_brand, '^(.*?)(\\b[0-9]|$)', 1)), CASE WHEN len(own) > 2 THEN array_to_string(own[1:3], ' ') ELSE '' END, CASE WHEN len(own) > 1 THEN array_to_string(own[1:2], ' ') ELSE '' END, coalesce(own[1], '')] AS v FROM m),
+f AS (SELECT *, list_filter(v, lambda x, i: x <> '' AND list_position(v, x) = i) AS forms FROM v),
+j AS (SELECT p_partkey, record, own, forms, kind, name AS t, holder AS h, len(list_filter(act, lambda w: contains(name, w))) AS na, len(list_filter(labs, lambda w: contains(holder, w) OR contains(name, w))) AS nl, len(list_filter(doses, lambda w: contains(replace(name, ' ', ''), w))) AS nd, len(list_filter(own, lambda w: list_contains(string_split(name, ' '), w))) AS ns FROM f, ({_RECORDS}) r),
+s AS (SELECT p_partkey, record, round(least(0.98, list_max(list_transform(forms, lambda x, i: CASE WHEN t = x OR starts_with(t, x || ' ') THEN 0.83 - 0.03 * i WHEN contains(t, x) THEN 0.73 - 0.03 * i ELSE 0 END)) + least(0.18, 0.06 * na) + least(0.12, 0.05 * nl) + least(0.08, 0.04 * nd) + CASE WHEN kind = 'SMPC' THEN 0.03 ELSE 0 END), 4)::DOUBLE AS score,
+  len(list_filter(forms[1:3], lambda x: length(x) >= 5 AND contains(t, x))) > 0 OR (len(own) >= 2 AND ns >= 2) OR (len(own) = 1 AND ns = 1 AND (t = own[1] OR starts_with(t, own[1] || ' '))) OR (na >= 2 AND nl >= 1) AS gate FROM j)
+SELECT p_partkey, record, score FROM s WHERE gate AND score >= 0.45""")
+def gated_score(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of medicines and Swiss titles from the threshold on, where the title can be about the brand."""
+    return K.fast_matches(spark, _from_part(spark, d, _FAST), _from_part(spark, d, _RECORDS), "p_partkey", "record")
+
+
+_ASKED = ("cima", "aifa", "health_canada", "titck", "cecmed")
+_BEST = " UNION ALL ".join(f"SELECT {n} AS o, '{s}' AS source, * FROM ({_pair_sql(s)})" for n, s in enumerate(_ASKED))
+_FIRST = f"a AS (SELECT *, min(o) OVER (PARTITION BY p_partkey) AS first FROM ({_BEST}))"
+
+
+def _waterfall(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    records = R.stored(_from_part(spark, d, _RECORDS))
+    ask = lambda source: lambda left: K.matches(spark, left, records, source, "p_partkey", "record")
+    return G.staged_waterfall(_from_part(spark, d, _MEDICINES), "p_partkey", [(s, ask(s)) for s in _ASKED], [-c("score"), "record"])
+
+
+@query(f"WITH {_FIRST} SELECT p_partkey, source, record, score FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, record) AS n FROM a WHERE o = first) WHERE n = 1")
+def adapter_waterfall(spark: SparkSession, d: str) -> DataFrame:
+    """The best record of the first source that has one for a medicine; each source sees only what those before it left."""
+    return _waterfall(spark, d)[0].select("p_partkey", "source", "record", "score")
+
+
+@query(f"WITH {_FIRST} SELECT source, (SELECT count(*) FROM part) - count(DISTINCT p_partkey) FILTER (WHERE before) AS handed, count(DISTINCT p_partkey) FILTER (WHERE NOT before) AS answered FROM (SELECT s.source, a.p_partkey, a.first < s.o AS before FROM (VALUES {', '.join(f'({n}, {chr(39)}{s}{chr(39)})' for n, s in enumerate(_ASKED))}) s(o, source) LEFT JOIN a ON a.first <= s.o) GROUP BY source HAVING (SELECT count(*) FROM part) > count(DISTINCT p_partkey) FILTER (WHERE before)")
+def adapter_waterfall_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows each source was asked for, and how many it answered."""
+    return _waterfall(spark, d)[1]
+
+
+#: Registry and records to match: codes that one, several or no rows have, known and unknown names.
+_REGISTRY = """SELECT p_partkey AS cand, CASE WHEN p_partkey % 5 = 0 THEN concat('U', p_partkey) WHEN p_partkey % 5 = 1 THEN '' ELSE concat('A', p_partkey % 300) END AS r_amm, upper(concat(p_name, p_partkey % 7)) AS r_nom, concat(p_size) AS r_dosage, p_type AS r_forme, concat('B', p_partkey % 13) AS r_presentation, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE upper(replace(p_brand, '#', '')) END AS r_nom_generique, concat('L', p_partkey % 3) AS r_labo FROM part"""
+_ASK = """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat('U', p_partkey) WHEN 1 THEN concat('A', p_partkey % 400) WHEN 2 THEN '' ELSE concat('Z', p_partkey) END AS q_amm, CASE p_partkey % 3 WHEN 0 THEN upper(concat(p_name, p_partkey % 5)) WHEN 1 THEN 'UNKNOWN' ELSE '' END AS q_nom, CASE WHEN p_partkey % 11 = 0 THEN '' WHEN p_partkey % 23 = 1 THEN 'X' ELSE concat(p_size) END AS q_dosage, CASE WHEN p_partkey % 11 = 0 OR p_partkey % 23 = 1 THEN 'NONE' ELSE p_type END AS q_forme, CASE WHEN p_partkey % 2 = 0 OR p_partkey % 23 = 1 THEN '' ELSE concat('B', p_partkey % 17) END AS q_presentation, CASE WHEN p_partkey % 23 = 1 THEN '' ELSE upper(replace(p_brand, '#', '')) END AS q_nom_generique, '' AS q_labo FROM part"""
+
+
+@query(f"""WITH r AS ({_REGISTRY}), q AS ({_ASK}), j AS (SELECT p_partkey, cand, q_amm <> '' AND q_amm = r_amm AS c, q_nom <> '' AND q_nom = r_nom AS n, q_presentation <> '' AND q_presentation = r_presentation AS p,
+ 20 * (q_dosage <> '' AND q_dosage = r_dosage)::INT + 15 * (q_forme <> '' AND q_forme = r_forme)::INT + 10 * (q_presentation <> '' AND q_presentation = r_presentation)::INT + 10 * (q_nom_generique <> '' AND q_nom_generique = r_nom_generique)::INT + 5 * (q_labo <> '' AND q_labo = r_labo)::INT AS s FROM q, r),
+k AS (SELECT *, s + 100 * c::INT + 40 * n::INT AS score, count(*) FILTER (WHERE c) OVER w AS nc, count(*) FILTER (WHERE n) OVER w AS nn FROM j WINDOW w AS (PARTITION BY p_partkey)),
+f AS (SELECT * FROM k WHERE CASE WHEN nc > 0 AND nn > 0 AND nc > 1 THEN c AND n WHEN nc > 0 THEN c WHEN nn > 0 THEN n ELSE true END AND score > 0),
+t AS (SELECT p_partkey, max(nc) AS nc, max(score) AS best FROM f GROUP BY p_partkey), b AS (SELECT t.*, f.cand, f.p FROM t JOIN f ON f.p_partkey = t.p_partkey AND f.score = t.best),
+g AS (SELECT p_partkey, any_value(nc) AS nc, any_value(best) AS best, count(*) AS n, min(cand) AS one, count(*) FILTER (WHERE p) AS np, min(cand) FILTER (WHERE p) AS shown FROM b GROUP BY p_partkey),
+z AS (SELECT p_partkey, max(nc) AS nc, max(nn) AS nn FROM k GROUP BY p_partkey)
+SELECT p_partkey, CASE WHEN n = 1 THEN one WHEN np = 1 THEN shown END AS cand, (CASE WHEN z.nc = 1 THEN 100 WHEN n IS NULL THEN 0 WHEN n > 1 AND np = 1 THEN best + 1 ELSE best END)::INT AS score,
+ CASE WHEN z.nc = 1 THEN 'AMM exact' WHEN n IS NULL AND z.nc > 0 THEN 'No candidate' WHEN n IS NULL THEN 'No scored match' WHEN n = 1 THEN 'Scored unique' WHEN np = 1 THEN 'Tie-broken by presentation' ELSE 'Ambiguous tie (' || n || ')' END AS outcome FROM z LEFT JOIN g USING (p_partkey)""")
+def narrowed_registry(spark: SparkSession, d: str) -> DataFrame:
+    """Records matched to the registry by code, name and weighted agreement, with all outcomes."""
+    return L.narrowed(_from_part(spark, d, _ASK), _from_part(spark, d, _REGISTRY), "p_partkey", "cand")
+
+
 @query("""SELECT p_partkey, cand, narrowed FROM (SELECT a.p_partkey, b.p_partkey AS cand, a.p_type = b.p_type AS same, bool_or(a.p_type = b.p_type) OVER (PARTITION BY a.p_partkey) AS narrowed FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_partkey <> b.p_partkey) WHERE same OR NOT narrowed""")
 def preferred_rows(spark: SparkSession, d: str) -> DataFrame:
     """Candidates narrowed to preferred ones where there are any."""

@@ -12,16 +12,6 @@ from pyspark.sql.types import DoubleType
 
 from evidlake.functions import text as T
 
-# Weights of (part of the match), cap and threshold by source.
-SCORES = {
-    "bdpm": ({"generic": 0.55, "brand": 0.35, "form": 0.05, "dose": 0.05}, 0.95, 0.45),
-    "cima": ({"generic": 0.55, "brand": 0.50, "first_token": 0.45, "lab": 0.05, "dose": 0.03, "form": 0.02}, 0.95, 0.50),
-    "aifa": ({"generic": 0.55, "brand": 0.45, "first_token": 0.40, "lab": 0.05, "form": 0.03, "dose": 0.02}, 0.95, 0.50),
-    "health_canada": ({"brand": 0.50, "first_token": 0.42, "generic": 0.35, "lab": 0.05}, 0.90, 0.45),
-    "titck": ({"generic": 0.55, "brand": 0.45, "first_token": 0.40, "lab": 0.05}, 0.95, 0.50),
-    "cecmed": ({"generic": 0.55, "brand": 0.52, "first_token": 0.44, "dose_number": 0.08, "lab": 0.05}, 0.95, 0.40),
-    "swissmedic": ({"brand": 0.55, "first_token": 0.40, "generic": 0.30, "lab": 0.08, "dose": 0.04, "form": 0.03, "sections": 0.03}, 0.97, 0.48),
-}
 # Registry weights by field.
 REGISTRY = {"amm": 100, "nom": 40, "dosage": 20, "forme": 15, "presentation": 10, "nom_generique": 10, "labo": 5}
 # Confidence of exact term matches, (generic, brand), by kind of record.
@@ -35,32 +25,6 @@ ACCEPT = {
 }
 
 
-def within(needle: Column, hay: Column) -> Column:
-    """Whether a normal form that is not empty occurs in another."""
-    return (needle != "") & F.contains(hay, needle)
-
-
-def additive(parts: dict[str, Column], source: str) -> Column:
-    """The sum of the weights of the parts that hold, capped and rounded to four places.
-
-    ``first_token`` counts only where ``brand`` does not.
-    """
-    weights, cap, _ = SCORES[source]
-    terms = []
-    for name, w in weights.items():
-        if name == "first_token" or name not in parts:
-            continue
-        if name == "brand" and "first_token" in weights and "first_token" in parts:
-            terms.append(F.when(parts["brand"], F.lit(w)).when(parts["first_token"], F.lit(weights["first_token"])).otherwise(0.0))
-        else:
-            terms.append(F.when(parts[name], F.lit(w)).otherwise(0.0))
-    return F.round(F.least(F.lit(cap), sum(terms[1:], terms[0])), 4)
-
-
-def threshold(source: str) -> float:
-    return SCORES[source][2]
-
-
 def registry_keys(df: DataFrame, fields: dict[str, Column], prefix: str) -> DataFrame:
     """``df`` with a comparison key for each registry field (columns <prefix><field>): once a row, before any join."""
     return df.withColumns({f"{prefix}{f}": T.key_text(x) for f, x in fields.items()})
@@ -83,20 +47,6 @@ def resolve_ties(scored: DataFrame, key: str, candidate: str, score: str, tie: C
     return got.select(key, F.when(F.col("__n") == 1, F.col("__one")).when(F.col("__t") == 1, F.col("__tied")).alias(candidate), score, outcome.alias("outcome"))
 
 
-def brand_gate(brand: Column, title: Column) -> Column:
-    """Whether a title can be about a brand: it is, begins with or holds it, or shares two of its longer words."""
-    words = lambda c: F.filter(F.split(c, " "), lambda x: F.length(x) >= 3)
-    shared = F.size(F.array_intersect(words(brand), F.split(title, " ")))
-    return ((F.length(brand) >= 5) & ((title == brand) | title.startswith(F.concat(brand, F.lit(" "))) | F.contains(title, brand))) | ((F.size(words(brand)) >= 2) & (shared >= 2))
-
-
-def gated_score(brand: Column, title: Column, lab: Column, holder: Column) -> Column:
-    """0 without the gate; else the title's agreement, plus lab words, capped."""
-    at = F.when((title == brand) | title.startswith(F.concat(brand, F.lit(" "))), 0.80).when(F.contains(title, brand), 0.70).otherwise(0.0)
-    labs = F.size(F.array_intersect(F.split(lab, " "), F.split(holder, " ")))
-    return F.when(brand_gate(brand, title), F.round(F.least(F.lit(0.98), at + F.least(F.lit(0.12), 0.05 * labs)), 4)).otherwise(0.0)
-
-
 def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
@@ -146,14 +96,3 @@ def index_lookup(names: DataFrame, index: DataFrame, name_id: str, name: str, ke
     both = met.select(name_id, F.lit(1).alias("o"), "__key").unionByName(same.select(name_id, F.lit(0).alias("o"), "__key"))
     hit = both.groupBy(name_id).agg(F.min(F.struct("o", "__key")).alias("__x"))
     return names.select(name_id).join(hit, name_id, "left").select(name_id, F.col("__x.__key").alias("hit"))
-
-
-def parts(brand: Column, generic: Column, lab: Column, form: Column, dose: Column, title: Column, holder: Column) -> dict[str, Column]:
-    """The parts of an additive score, from normal forms: what of a medicine a foreign record's title and holder hold."""
-    words = F.filter(F.split(brand, " "), lambda w: F.length(w) >= 3)
-    first = F.coalesce(F.get(words, F.lit(0)), F.lit(""))
-    numbers = lambda x: F.regexp_extract_all(x, F.lit(r"([0-9]+)"), 1)
-    return {
-        "generic": within(generic, title), "brand": within(brand, title), "first_token": within(first, title), "lab": within(lab, holder), "form": within(form, title), "dose": within(dose, title),
-        "dose_number": F.size(F.array_intersect(numbers(dose), numbers(title))) > 0,
-    }

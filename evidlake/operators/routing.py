@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from evidlake.functions import text as T
 
+from evidlake.sources.writers import stored
+
 from .relational import pick
 
 # Product types in order of precedence, with the terms that mark them.
@@ -153,6 +155,26 @@ def waterfall(attempts: DataFrame, key: str, order: Sequence[Column | str], succ
     return pick(attempts.where(success), [key], [F.col(c) if isinstance(c, str) else c for c in order])
 
 
+def staged_waterfall(rows: DataFrame, key: str, sources: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]], order: Sequence[Column | str]) -> tuple[DataFrame, DataFrame]:
+    """(answers, asked): sources one after the other, each asked only for the rows that none before it answered.
+
+    A source is a name and a function from the rows left to its answers (``key`` and the same further columns for all sources); of several
+    answers for a row the first by ``order`` counts. What is left is stored after every round, so no source is asked again, and
+    the rounds end when nothing is left. ``asked`` has (source, handed, answered) of every source that was asked.
+    """
+    left, answers, asked = stored(rows), [], []
+    for n, (name, ask) in enumerate(sources):
+        got = stored(pick(ask(left), [key], [F.col(c) if isinstance(c, str) else c for c in order]).withColumn("source", F.lit(name)))
+        answers.append(got)
+        count = F.count(F.lit(1))
+        asked.append(left.agg(count.alias("handed")).crossJoin(F.broadcast(got.agg(count.alias("answered")))).select(F.lit(name).alias("source"), "handed", "answered"))
+        if n + 1 < len(sources):
+            left = stored(left.join(got.select(key), key, "left_anti"))
+            if left.isEmpty():
+                break
+    return reduce(DataFrame.unionByName, answers), reduce(DataFrame.unionByName, asked)
+
+
 def stage_plan(df: DataFrame, key: str) -> DataFrame:
     """Every row under every enrichment stage."""
     stages = F.array(*[F.struct(F.lit(n).alias("stage"), F.lit(name).alias("endpoint"), F.lit(when).alias("condition")) for n, name, when in STAGES])

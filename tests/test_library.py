@@ -81,16 +81,6 @@ def test_sequence_ratio_is_difflib(spark):
     assert all(r["r"] == difflib.SequenceMatcher(None, r["a"], r["b"]).ratio() for r in got)
 
 
-def test_scores_are_capped_and_monotone(spark):
-    all_on = {k: F.lit(True) for k in ("generic", "brand", "first_token", "lab", "dose", "form", "sections", "dose_number")}
-    df = spark.range(1)
-    for source, (weights, cap, _) in M.SCORES.items():
-        full = df.select(M.additive(all_on, source).alias("s")).first()["s"]
-        assert full <= cap
-        for off in weights:
-            assert df.select(M.additive({**all_on, off: F.lit(False)}, source).alias("s")).first()["s"] <= full
-
-
 def test_release_invariants(spark):
     rows = [(1, "D_support", "indication", False), (2, "A_local", "identity", False), (3, "A_local", "indication", True), (4, "B_x", "indication", False)]
     df = spark.createDataFrame(rows, "id int, tier string, kind string, mismatch boolean").withColumn("accepted", F.lit(True)).withColumn("quality_flags", F.lit("ok"))
