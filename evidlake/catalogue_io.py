@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import io
+import os
 import sqlite3
-import tempfile
 import uuid
 import zipfile
 
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from evidlake.catalogue import _CLEAN, _n, _t, c, lit, query
 from evidlake.functions import text as X
 from evidlake.sources import readers as I
+from evidlake.sources import archives as A
 from evidlake.sources import writers as O
+from evidlake.streaming import incremental as V
 
 
 def _path(spark: SparkSession) -> str:
@@ -162,13 +164,27 @@ def archive_members(spark: SparkSession, d: str) -> DataFrame:
     return got.select(F.regexp_replace("path", r"^.*/io-[0-9a-f]+/", "").alias("name"), "kind", F.decode("content", "UTF-8").alias("text"))
 
 
-@query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
+@query("""SELECT doc_id, source, h, drop AS batch FROM (SELECT doc_id, source, md5(coalesce(text, '')) AS h, (doc_id % 4)::INT AS drop, row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id % 4, doc_id) AS n FROM documents) WHERE n = 1""")
+def incremental_release(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that arrive in four drops, each taken in by a run of its own: the first of equal texts is released."""
+    path = _path(spark)
+    docs = _t(spark, d, "documents").select("doc_id", "source", F.md5(F.encode(F.coalesce("text", lit("")), "UTF-8")).alias("h"))
+    out = V.Release(spark, f"{path}/release", ["h"], ["doc_id"], buckets=16)
+    for drop in range(4):
+        docs.where(c("doc_id") % 4 == drop).write.mode("append").parquet(f"{path}/landing")
+        out.run(f"{path}/landing", docs.schema)
+    return out.rows().select("doc_id", "source", "h", "batch")
+
+
+@query("SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey FROM customer")
 def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
-    """A SQLite table on the driver's disk, landed batch by batch."""
-    with tempfile.TemporaryDirectory() as folder:
-        with sqlite3.connect(f"{folder}/x.db") as db:
-            _t(spark, d, "nation").select("n_nationkey", "n_name").toPandas().to_sql("nation", db, index=False)
-        return I.land_sqlite(spark, f"{folder}/x.db", "nation", _path(spark), batch=10)
+    """A SQLite table, read in ranges of row numbers by several tasks."""
+    path = f"{_path(spark).removeprefix('file:')}.db"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE customer (c_custkey INTEGER, c_name TEXT, c_nationkey INTEGER)")
+        db.executemany("INSERT INTO customer VALUES (?, ?, ?)", _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").toLocalIterator())
+    return A.sqlite_table(spark, path, "customer", rows=400)
 
 
 @query("SELECT c_custkey AS id, c_name AS name, 1 AS src_ord, 'customers' AS system, 90 AS rank FROM customer UNION ALL SELECT s_suppkey, s_name, 2, 'suppliers', 50 FROM supplier")

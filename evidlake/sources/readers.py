@@ -6,8 +6,6 @@ land files, and these scans read what landed.
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -18,6 +16,7 @@ from pyspark.sql import types as T
 
 from evidlake.functions import text as X
 from evidlake.operators.relational import conform
+from evidlake.sources import archives
 
 
 def _strings(names: Sequence[str]) -> T.StructType:
@@ -30,6 +29,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names directly below a folder, none if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def csv(spark: SparkSession, path: str, fields: Sequence[str] | None = None, *, sep: str = ",", cleaned: bool = False, aliases: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Text columns of a CSV with a header, a byte-order mark gone; ``fields`` are looked up by name or alias.
 
@@ -108,21 +114,15 @@ def files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool =
 
 
 def contents(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, content, kind, sha256) of files; zip archives are replaced by their members."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "content")
+    """(path, content, kind, sha256) of files; zip archives are replaced by their members, one row each.
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for p, c in zip(b["path"], b["content"], strict=True):
-                if c[:4] == b"PK\x03\x04":
-                    with zipfile.ZipFile(io.BytesIO(c)) as z:
-                        rows += [(f"{p}!{n}", z.read(n)) for n in z.namelist() if not n.endswith("/")]
-                else:
-                    rows.append((p, c))
-            yield pd.DataFrame(rows, columns=["path", "content"])
-
-    return df.mapInPandas(unpack, "path string, content binary").withColumn("kind", X.magic("content")).withColumn("sha256", F.sha2("content", 256))
+    Members larger than ``archives.CHUNK`` bytes come in several rows, ``#part`` behind their names.
+    """
+    loose = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "content").where(~F.lower("path").endswith(".zip"))
+    within = archives.zip_members(spark, path)
+    name = F.concat(F.col("archive"), F.lit("!"), F.col("member"), F.when(F.col("last") & (F.col("part") == 0), F.lit("")).otherwise(F.concat(F.lit("#"), F.col("part").cast("string"))))
+    both = loose.unionByName(within.select(name.alias("path"), "content"))
+    return both.withColumn("kind", X.magic("content")).withColumn("sha256", F.sha2("content", 256))
 
 
 def _prose(text: str, least: float = 0.55) -> bool:
@@ -183,17 +183,20 @@ def landed(spark: SparkSession, path: str, keys: DataFrame, key: str) -> DataFra
 def discover(spark: SparkSession, root: str, keys: Sequence[str] = ("row_id", "amm"), skip: Sequence[str] = ()) -> DataFrame:
     """(path, key, value): the key values of every CSV below a root that has one of ``keys``, the first of them; ``skip``: names of folders.
 
-    Files are listed by Spark and read with their own headers, one plan per header, so the driver handles names only.
+    All files are lines of one text scan with their file's name. The first line of a file is its header; the place of its key
+    column, a row per file, is joined to the file's other lines, which are split by the rules of CSV. Values do not span lines; lines equal to the header are headers.
     """
-    found = [r["path"] for r in files(spark, root, "*.csv").select("path").orderBy("path").collect()]
-    parts = []
-    for p in found:
-        if not {x for x in p[len(root) :].split("/")} & set(skip):
-            df = csv(spark, p)
-            name = next((k for k in keys if k in {c.lower() for c in df.columns}), None)
-            if name:
-                parts.append(conform(df, [name]).select(F.lit(p.rsplit("/", 1)[-1]).alias("path"), F.lit(name).alias("key"), F.col(name).alias("value")))
-    return reduce(lambda a, b: a.unionByName(b), parts) if parts else spark.createDataFrame([], "path string, key string, value string")
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"), F.regexp_replace("value", "^\ufeff|\r$", "").alias("value"))
+    below = F.split(F.substring_index("file", root.rstrip("/").rsplit("/", 1)[-1] + "/", -1), "/")
+    for name in skip:
+        lines = lines.where(~F.array_contains(below, name))
+    header = lines.groupBy("file").agg(F.min_by("value", F.struct("at", "n")).alias("header"))
+    fields = lambda c: F.transform(F.regexp_extract_all(F.concat(F.lit(","), c), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), 1), lambda x: F.when(x.startswith('"'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
+    named = header.withColumn("names", F.transform(fields(F.col("header")), lambda x: F.lower(F.trim(x))))
+    key = F.coalesce(*[F.when(F.array_contains("names", k), F.lit(k)) for k in keys])
+    named = named.select("file", "header", key.alias("key"), F.array_position("names", key).cast("int").alias("place")).where("key IS NOT NULL")
+    rows = lines.join(named, "file").where((F.col("value") != "") & (F.col("value") != F.col("header")))
+    return rows.select(F.element_at(F.split("file", "/"), -1).alias("path"), "key", X.clean(F.get(fields(F.col("value")), F.col("place") - 1)).alias("value"))
 
 
 def resolve(paths: DataFrame, path: str, available: DataFrame, roots: Sequence[str]) -> DataFrame:
@@ -204,24 +207,6 @@ def resolve(paths: DataFrame, path: str, available: DataFrame, roots: Sequence[s
     return paths.join(best, path, "left")
 
 
-def sqlite_rows(path: str, table: str, batch: int = 5000) -> Iterator[pd.DataFrame]:
-    """A local SQLite table in batches of bounded size (no JDBC driver is shipped), read on the driver.
-
-    Write them to the landing zone before using Spark; ``land_sqlite`` does that batch by batch.
-    """
-    import sqlite3
-
-    with sqlite3.connect(path) as db:
-        yield from pd.read_sql_query(f'SELECT * FROM "{table}"', db, chunksize=batch)
-
-
-def land_sqlite(spark: SparkSession, path: str, table: str, to: str, batch: int = 50_000) -> DataFrame:
-    """A local SQLite table copied to Parquet, one bounded batch at a time, all columns as text."""
-    for n, part in enumerate(sqlite_rows(path, table, batch)):
-        spark.createDataFrame(part.astype("string").astype(object).where(part.notna(), None), _strings(list(part.columns))).write.mode("overwrite" if n == 0 else "append").parquet(to)
-    return spark.read.parquet(to)
-
-
 def jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 

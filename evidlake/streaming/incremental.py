@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from evidlake.operators.relational import pick
-from evidlake.sources.readers import exists
+from evidlake.sources.readers import exists, names
 from evidlake.sources.writers import stored
 
 
@@ -32,22 +32,19 @@ class Release:
     def _hash(self) -> Column:
         return F.xxhash64(*[F.col(k) for k in self.keys])
 
-    def known(self, before: int) -> DataFrame | None:
-        """(batch, bucket, keys) of batches with lower numbers."""
-        if before == 0 or not exists(self.spark, f"{self.path}/keys"):
-            return None
-        return self.spark.read.parquet(f"{self.path}/keys").where(F.col("batch") < before)
+    def committed(self) -> int:
+        """The number of the last batch that the checkpoint knows to be done, -1 for none."""
+        return max((int(n) for n in names(self.spark, f"{self.path}/checkpoint/commits") if n.isdigit()), default=-1)
 
     def accept(self, batch: DataFrame, number: int) -> None:
         """Writes the rows of one batch that are new; the same batch may come again."""
         new = stored(pick(batch, self.keys, self.order).withColumn("bucket", F.pmod(self._hash(), F.lit(self.buckets)).cast("int")))
-        known = self.known(number)
-        if known is not None:
-            # buckets without a key of this batch are not read
-            mine = [r["bucket"] for r in new.select("bucket").distinct().collect()]
-            on = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in self.keys]
-            old = known.where(F.col("bucket").isin(mine)).select("bucket", *self.keys).alias("o") if mine else None
-            new = stored(new.alias("n").join(old, [F.col("n.bucket") == F.col("o.bucket"), *on], "left_anti")) if old is not None else new
+        mine = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # buckets without a key of this batch are not read
+        if number and mine and exists(self.spark, f"{self.path}/keys"):
+            schema = new.select(*self.keys).schema.add("bucket", "integer").add("batch", "integer")
+            old = self.spark.read.schema(schema).parquet(f"{self.path}/keys").where((F.col("batch") < number) & F.col("bucket").isin(mine))
+            same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in ["bucket", *self.keys]]
+            new = stored(new.alias("n").join(old.alias("o"), same, "left_anti"))
         new.drop("bucket").write.mode("overwrite").parquet(f"{self.path}/rows/batch={number}")
         new.select("bucket", *self.keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/keys/batch={number}")
 
@@ -61,4 +58,4 @@ class Release:
 
     def rows(self) -> DataFrame:
         """All released rows with the number of their batch."""
-        return self.spark.read.parquet(f"{self.path}/rows")
+        return self.spark.read.parquet(f"{self.path}/rows").where(F.col("batch") <= self.committed())
