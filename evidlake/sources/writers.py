@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import json
 import tempfile
 import uuid
@@ -12,20 +14,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _OWN: dict[str, str] = {}
+_REMOVED: set[str] = set()
+
+
+def _remove_at_exit(spark: SparkSession, root: str) -> None:
+    """What an application has stored goes when its driver ends, as far as the JVM is still there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):
+            p = jvm.org.apache.hadoop.fs.Path(root)
+            p.getFileSystem(conf).delete(p, True)
+
+    atexit.register(remove)
+    _REMOVED.add(root)
 
 
 def scratch(spark: SparkSession) -> str:
-    """The application's folder below the one in ``spark.checkpoint.dir``, else below the warehouse; a local session has a temporary one."""
-    app, root = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.startswith("local["):
+    """The application's folder below the one in ``spark.checkpoint.dir``, else below the warehouse; a local session has a temporary one.
+
+    A folder of one machine is refused where executors are on others: set ``spark.checkpoint.dir`` there. The folder goes when the driver ends.
+    """
+    app, root, local = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master.startswith("local[")
+    if not root and local:
         root = _OWN.setdefault(app, tempfile.mkdtemp(prefix="evidlake-"))
-    return f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/evidlake/{app}"
+    elif not root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"))
+        root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        if root.startswith("file:"):
+            raise RuntimeError(f"{root} is a folder of one machine: set spark.checkpoint.dir to one that all executors share")
+    out = f"{root.rstrip('/')}/evidlake/{app}"
+    if out not in _REMOVED:
+        _remove_at_exit(spark, out)
+    return out
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a table in the session's shared checkpoint folder, read again: its lineage ends there."""
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
     path, schema = f"{scratch(spark)}/{uuid.uuid4().hex}", df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
