@@ -1,16 +1,12 @@
 """Shared helpers of the training-data operators.
 
-Intermediate tables go to the folder that the session names in ``spark.checkpoint.dir`` (all executors see it);
-where that is unset they go below the warehouse, and in a local session, as in tests, to a temporary folder. They are ordinary Parquet tables, so a
-lost executor costs a re-read and not a recomputation.
+Intermediate tables go to the library's scratch folder (``sources.writers.scratch``), which all executors see. They are
+ordinary Parquet tables, so a lost executor costs a re-read and not a recomputation.
 """
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
@@ -20,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidlake.sources.writers import scratch
+
 #: A word everywhere in this subpackage: a run of anything but ASCII white space. In Python ``bytes.split()`` gives it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,8 +25,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 LINKS_AT_ONCE = 1 << 20
 
 Made = TypeVar("Made")
-_FALLBACK: dict[str, str] = {}
-_REMOVED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,37 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables of this application."""
-    app = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.startswith("local["):  # one machine, as in tests
-        root = _FALLBACK.setdefault(app, tempfile.mkdtemp(prefix="evidlake-"))
-    elif not root:
-        root = spark.conf.get("spark.sql.warehouse.dir")  # shared on a cluster
-    return f"{root.rstrip('/')}/evidlake/{app}"
-
-
-def _remove_at_exit(spark: SparkSession, root: str) -> None:
-    """What an application has stored goes when its driver ends, as far as the JVM is still there."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def remove() -> None:
-        with contextlib.suppress(Exception):
-            p = jvm.org.apache.hadoop.fs.Path(root)
-            p.getFileSystem(conf).delete(p, True)
-
-    atexit.register(remove)
-    _REMOVED.add(root)
-
-
 class Scratch:
     """Writes intermediate tables and removes those that are no longer needed."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root, self.paths = spark, scratch_root(spark), {}
-        if self.root not in _REMOVED:
-            _remove_at_exit(spark, self.root)
+        self.spark, self.root, self.paths = spark, scratch(spark), {}
 
     def cut(self, df: DataFrame) -> DataFrame:
         """``df`` written as Parquet and read again: its lineage ends here and its size is known to the planner."""
