@@ -33,7 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest id."""
+    """Keeps one document of each group of near duplicates: the one with the smallest id; of rows with equal id and text the first by the other columns."""
     docs = docs.select(*COLUMNS)
     scratch = Scratch(spark)
     found = scratch.cut(jaccard.join(spark, docs, words=5, percent=80))
@@ -42,7 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     alone = found.where(F.col("class").isNull() | F.col("component_id").isNull()).select(F.col("doc_id").alias("__k"), F.col("h").alias("__h"))
     keep = scratch.cut(first.unionByName(alone).distinct())
     on = F.col("doc_id").eqNullSafe(F.col("__k")) & F.xxhash64("text").eqNullSafe(F.col("__h"))
-    return docs.join(keep, on, "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    kept = docs.join(keep, on, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("x"))
+    return kept.select("doc_id", "text", "x.*").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
