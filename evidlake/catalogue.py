@@ -213,10 +213,12 @@ def slug_and_hashes(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", X.slug("text").alias("slug"), X.content_hash("text").alias("h1"), X.short_id("text").alias("h2"))
 
 
-@query("""SELECT * FROM (VALUES (1,'é'),(2,'Ã'),(3,'naïve'),(4,'d''un'),(5,'≥ 5'),(6,'plain'),(7,'')) AS t(id, fixed)""")
+@query(f"SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN {_CLEAN.format('text')} || ' d''un ≥ 5' ELSE {_CLEAN.format('text')} END AS fixed FROM documents")
 def mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
-    rows = _values(spark, [(1, "Ã©"), (2, "Ã"), (3, "naÃ¯ve"), (4, "dâ€™un"), (5, "â‰¥ 5"), (6, "plain"), (7, None)], "id int, t string")
-    return rows.select("id", X.clean_repaired("t").alias("fixed"))
+    """Texts whose bytes were read in the wrong encoding, restored; others stay, but for known wrong pairs."""
+    t, m = F.coalesce("text", lit("")), c("doc_id") % 3
+    broken = F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    return _t(spark, d, "documents").select("doc_id", X.clean_repaired(F.when(m == 0, broken).when(m == 1, t).otherwise(F.concat(t, lit(" dâ€™un â‰¥ 5")))).alias("fixed"))
 
 
 @query(f"SELECT p_partkey, {_norm('p_name')}||'|'||{_norm('p_brand')}||'|'||{_norm('p_size::varchar')} AS k FROM part")
@@ -658,11 +660,8 @@ p AS (SELECT doc_id, n, trim(substr(t, pos + 1, coalesce(lead(pos) OVER (PARTITI
 SELECT doc_id, ord, 'chunk' AS kind, 'part ' || ord AS title, text, ord AS start, ord + 1 AS "end" FROM k""")
 def ocr_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Documents in pieces of at most 4500 characters, broken at newlines."""
-
-    def run(t: str | None) -> list[S.Section]:
-        return [S.Section("chunk", f"part {i}", x, i, i + 1) for i, x in enumerate(S.chunks(t))]
-
-    return S.segment(_t(spark, d, "documents"), "doc_id", "text", run)
+    pieces = _t(spark, d, "documents").select("doc_id", F.posexplode(S.chunked(c("text"))).alias("ord", "text"))
+    return pieces.select("doc_id", "ord", lit("chunk").alias("kind"), F.concat(lit("part "), c("ord").cast("string")).alias("title"), "text", c("ord").alias("start"), (c("ord") + 1).alias("end"))
 
 
 @query("SELECT doc_id, CASE WHEN n_chars > 0 THEN greatest(1, n_chars // 1000 + (CASE WHEN n_chars % 1000 >= 0 THEN 1 ELSE 0 END)) END AS page FROM documents")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidlake.catalogue import _t, c, lit, query
 from evidlake.functions import nested as N
+from evidlake.operators import routing as G
 from evidlake.operators import segment as S
 
 
@@ -28,7 +29,7 @@ def json_item_lists(spark: SparkSession, d: str) -> DataFrame:
     item = lambda i: F.struct(c("o_custkey").cast("string").alias("nregistro"), lit(i).alias("n"))
     two, m = F.array(item(0), item(1)), c("o_orderkey") % 4
     doc = F.when(m == 0, _json(("resultados", two))).when(m == 1, _json(("total", lit(2)), ("data", F.struct(two.alias("items"))))).when(m == 2, F.to_json(two)).otherwise(_json(("Nombre", c("o_orderstatus"))))
-    return _t(spark, d, "orders").select("o_orderkey", F.posexplode(N.json_items(doc)).alias("ord", "item"))
+    return _t(spark, d, "orders").select("o_orderkey", doc.alias("doc")).select("o_orderkey", F.posexplode(N.json_items("doc")).alias("ord", "item"))
 
 
 @query("""SELECT p_partkey, [p_name, p_brand, p_type] AS names, [p_brand || ' x'] AS ids, ['https://x/' || p_partkey, 'see /en/medicines/' || p_size] AS urls FROM part""")
@@ -130,3 +131,18 @@ def context_window(spark: SparkSession, d: str) -> DataFrame:
     """The text within 800 characters of a page's heading."""
     p = _t(spark, d, "pages").where(F.contains("html", lit("<h1>")))
     return p.select("page_id", N.around(c("html"), lit("<h1>")).alias("context"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_brand WHEN 2 THEN '' ELSE p_type END AS picked FROM part""")
+def picked_keys(spark: SparkSession, d: str) -> DataFrame:
+    """A record's field under the first of several names, whatever their case."""
+    m = c("p_partkey") % 4
+    fields = F.create_map(F.when(m == 0, "NOMBRE").when(m == 1, "Other").when(m == 2, "nombre").otherwise("x"), F.when(m == 2, "").otherwise(F.concat(lit("  "), "p_name")), F.when(m == 3, "NAME").otherwise("Name"), F.when(m == 3, c("p_type")).otherwise(c("p_brand")))
+    return _t(spark, d, "part").select("p_partkey", N.pick_key(fields, "Nombre", "name").alias("picked"))
+
+
+@query("""SELECT p_partkey, p_partkey % 3 = 1 OR contains(upper(p_name), 'RAGE') AS vaccine FROM part""")
+def vaccine_products(spark: SparkSession, d: str) -> DataFrame:
+    """Products that a vaccine source is asked for."""
+    name = F.when(c("p_partkey") % 3 == 1, F.concat("p_name", lit(" Varicelle"))).otherwise(c("p_name"))
+    return _t(spark, d, "part").select("p_partkey", G.vaccine_like(name, lit(None).cast("string")).alias("vaccine"))

@@ -63,6 +63,15 @@ def mentions(hay: Column, terms: Sequence[str], whole_words: bool = False) -> Co
     return reduce(lambda a, b: a | b, tests)
 
 
+# Words that mark vaccines.
+VACCINES = ("VACCIN", "VACCINE", "COVID", "COMIRNATY", "SPIKEVAX", "CORONAVAC", "SPUTNIK", "POLIO", "HEPATITE", "HEPATITIS", "FLU", "INFLUENZA", "GRIPPE", "RAGE", "RABIES", "ROUGEOLE", "MEASLES", "RUBELLA", "VARICEL", "BCG", "DTP", "PNEUMOCOCC", "MENINGOCOCC", "ROTAVIRUS")
+
+
+def vaccine_like(*fields: Column | str) -> Column:
+    """Whether names and substances of a product hold a word that marks vaccines."""
+    return mentions(T.norm_folded(F.concat_ws(" ", *[T.blank(f) for f in fields])), VACCINES)
+
+
 def product_type(*fields: Column | str, whole_words: bool = False) -> Column:
     """The first product type of which a term occurs in the fields, or the standard one."""
 

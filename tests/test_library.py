@@ -1,5 +1,6 @@
 """Functions, segmentation, sources and sinks against plain models."""
 
+import json
 import difflib
 import random
 import re
@@ -7,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from evidlake.functions import nested as N
 from evidlake.functions import text as X
 from evidlake.operators import matching as M
 from evidlake.operators import relational as R
@@ -68,6 +70,58 @@ def test_sections_partition_and_respect_limits():
         assert [s.kind for s in S.sections(doc, S.numbered_rules(lang))] == [k for k, _ in titles]
 
 
+def test_items_of_nested_responses(spark):
+    fields = ("resultados", "data", "results", "items", "medicamentos", "content")
+
+    def plain(v):
+        if isinstance(v, list):
+            return [x for x in v if isinstance(x, dict)]
+        if not isinstance(v, dict):
+            return []
+        for f in fields:
+            if isinstance(v.get(f), list):
+                return [x for x in v[f] if isinstance(x, dict)]
+            if isinstance(v.get(f), dict) and (inner := plain(v[f])):
+                return inner
+        return [v] if any(k.lower() in ("nregistro", "nombre", "pactivos", "labtitular") for k in v) else []
+
+    rng = random.Random(4)
+
+    def make(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.2:
+            return rng.choice([1, "x", "[1]", '{"nombre": 1}', None, True, 2.5, "é \" \n"])
+        if kind < 0.45:
+            return [make(depth - 1) for _ in range(rng.randrange(3))]
+        return {rng.choice([*fields, "Nombre", "NREGISTRO", "other", "é"]): make(depth - 1) for _ in range(rng.randrange(4))}
+
+    docs = [make(3) for _ in range(300)] + [{"data": {"results": {"items": [{"a": 1}]}}}, {"resultados": [], "data": [{"a": 1}]}, {"resultados": {"items": []}, "data": [{"a": 1}]}]
+    rows = [(i, json.dumps(x, ensure_ascii=False)) for i, x in enumerate(docs)] + [(-1, "{broken"), (-2, None), (-3, "")]
+    got = {r["i"]: [json.loads(x) for x in r["items"]] for r in spark.createDataFrame(rows, "i long, j string").select("i", N.json_items("j").alias("items")).collect()}
+    assert [(x, got[i], plain(x)) for i, x in enumerate(docs) if got[i] != plain(x)] == []
+    assert got[-1] == got[-2] == got[-3] == []
+    held = spark.createDataFrame([('{"a": {"Name": {"x": [1, " b "]}, "name": ["u", ["v", {"name": "w"}]]}}',)], "j string").select(N.json_values("j", ["name"]).alias("v")).first()["v"]
+    assert held == ['{"x": [1, " b "]}', 'u v {"name": "w"}', "w"]
+    maps = spark.createDataFrame([({"Nombre": None, "name": "b"},), ({"X": "1", "NAME": "  b "},), ({},), (None,)], "m map<string,string>")
+    assert [r[0] for r in maps.select(N.pick_key("m", "nombre", "name")).collect()] == ["", "b", "", ""]
+
+
+def test_pieces_are_those_of_a_plain_walk(spark):
+    def plain(text, most, after, least):
+        out, pos = [], 0
+        while pos < len(text):
+            rest = text[pos : pos + most]
+            cut = rest.rfind("\n", after + 1) if pos + most < len(text) else -1
+            pos, piece = (pos + cut, rest[:cut]) if cut > 0 else (pos + most, rest)
+            out += [piece.strip()] * (len(piece.strip()) >= least)
+        return out
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab \n" if k % 2 else "abcdefgh\n") for _ in range(rng.randrange(0, 400))) for k in range(200)] + ["x" * 1000, "\n" * 300, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.chunked(F.col("t"), 50, 20, 5).alias("p")).collect()
+    assert all(r["p"] == S.chunks(r["t"], 50, 20, 5) == plain(r["t"] or "", 50, 20, 5) for r in rows)
+
+
 def test_chunks():
     t = ("line of text here\n" * 2000).strip()
     got = S.chunks(t)
