@@ -520,13 +520,24 @@ def registry_match_tiebreak(spark: SparkSession, d: str) -> DataFrame:
     return M.resolve_ties(j.withColumn("score", M.registry_score("a_", "b_", list(fields))).withColumn("tie", c("price") == c("p_retailprice")), "p_partkey", "cand", "score", c("tie"))
 
 
-@query()
+#: Longest common blocks, the first in both on ties, and again on both sides of them: as the ratio is defined.
+_BLOCK = "list_max(list_filter(flatten(list_transform(range(al, ah), lambda i: flatten(list_transform(range(bl, bh), lambda j: list_transform(range(1, least(ah - i, bh - j) + 1), lambda k: {'k': k, 'i': -i, 'j': -j}))))), lambda x: substr(line, 1 - x.i, x.k) = substr(key, 1 - x.j, x.k)))"
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT DISTINCT trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9+-]+', ' ', 'g')) AS n FROM part), t AS (SELECT n, string_split(n, ' ') AS t FROM n),
+p AS (SELECT a.n AS line, b.n AS key, len(list_intersect(a.t, b.t)) AS shared, len(list_distinct(a.t)) AS na, len(list_distinct(b.t)) AS nb FROM t a JOIN t b ON len(list_intersect(a.t, b.t)) > 0),
+q AS (SELECT * FROM p WHERE NOT contains(line, key) AND NOT (length(line) >= 8 AND contains(key, line))),
+r AS (SELECT line, key, al, ah, bl, bh, {_BLOCK} AS m FROM (SELECT line, key, 0 AS al, length(line) AS ah, 0 AS bl, length(key) AS bh FROM q)
+ UNION ALL SELECT line, key, al, ah, bl, bh, {_BLOCK} FROM (SELECT line, key, CASE side WHEN 0 THEN al ELSE m.k - m.i END AS al, CASE side WHEN 0 THEN -m.i ELSE ah END AS ah, CASE side WHEN 0 THEN bl ELSE m.k - m.j END AS bl, CASE side WHEN 0 THEN -m.j ELSE bh END AS bh FROM r, (VALUES (0), (1)) v(side) WHERE m IS NOT NULL) WHERE ah > al AND bh > bl),
+s AS (SELECT line, key, 2.0 * coalesce(sum(m.k), 0) / (length(line) + length(key)) AS ratio FROM r GROUP BY line, key),
+a AS (SELECT line, key, shared, CASE WHEN contains(line, key) THEN 1.0 WHEN length(line) >= 8 AND contains(key, line) THEN 0.95 ELSE 0.58 * ratio + 0.27 * shared / nb + 0.15 * shared / na END AS score FROM p LEFT JOIN s USING (line, key))
+SELECT line, key, round(score, 6)::DOUBLE AS score, shared FROM a WHERE score >= 0.95 OR (score >= 0.84 AND shared >= 1) OR (score >= 0.78 AND shared >= 2) OR (score >= 0.74 AND shared >= 3)""")
 def sequence_ratio_match(spark: SparkSession, d: str) -> DataFrame:
-    """Names against names within word blocks, scored with the Ratcliff-Obershelp ratio (no SQL form; tested)."""
-    names = _t(spark, d, "part").select(X.norm_name("p_name").alias("n")).distinct()
-    a = names.select(c("n").alias("line"), F.split("n", " ").alias("lt"))
-    b = names.select(c("n").alias("key"), F.split("n", " ").alias("kt"))
-    pairs = a.select("line", "lt", F.explode("lt").alias("t")).join(b.select("key", "kt", F.explode("kt").alias("t")), "t").drop("t").distinct()
+    """Names with their types against each other, by words in common and the Ratcliff-Obershelp ratio."""
+    names = _t(spark, d, "part").select(X.norm_name(F.concat_ws(" ", "p_name", "p_type")).alias("n")).distinct()
+    names = R.stored(names.select("n", F.array_distinct(F.split("n", " ")).alias("t"), M.letters(c("n")).alias("l")))
+    side = lambda n, t, l: names.select(c("n").alias(n), c("t").alias(t), c("l").alias(l), F.explode("t").alias("w"))
+    pairs = side("line", "lt", "ll").join(side("key", "kt", "kl"), "w").drop("w").dropDuplicates(["line", "key"])
     return M.name_matches(pairs, "nom_aggressive").select("line", "key", F.round("score", 6).alias("score"), "shared")
 
 

@@ -11,6 +11,7 @@ from evidlake.functions import text as X
 from evidlake.operators import matching as M
 from evidlake.operators import relational as R
 from evidlake.operators import routing as G
+from evidlake.operators import scoring as K
 from evidlake.plans import coverage as V
 
 
@@ -47,15 +48,42 @@ def section_contract(spark: SparkSession, d: str) -> DataFrame:
     return V.section_contract(ev, "source_system", c("value") / 100.0, "props", "event_id").select("event_id", "source_system", "confidence", "evidence_rank", "language", "content_hash")
 
 
-@query(f"""WITH t AS (SELECT p_partkey, {_normf('p_name')} AS title FROM part), b AS (SELECT {_normf("min(p_name)")} AS name, split_part({_normf("min(p_name)")},' ',1) AS base FROM part)
-SELECT p_partkey, round(least(0.98, greatest(0.0, CASE WHEN contains(title,name) THEN 0.60 WHEN contains(title,base) THEN 0.55 ELSE 0 END
- + least(0.25, 0.25*len(list_intersect(list_distinct(list_filter(string_split(name,' '), lambda w: length(w)>=3)), string_split(title,' ')))/greatest(1, least(len(list_distinct(list_filter(string_split(name,' '), lambda w: length(w)>=3))),8))) + 0.14 - CASE WHEN NOT contains(title,base) THEN 0.15 ELSE 0 END)),4)::DOUBLE AS score FROM t, b""")
+_NAMES = ["PENTAXIM", "COMINARTY", "GC FLU", "CORONAVAC", "SPUTNIK LIGHT", "EUVAX B 10MCG", "HEPAVAX GENE", "BCG", "VACCIN"]
+#: Vaccines and documents about them. Both engines read these texts.
+_VACCINES = f"""SELECT p_partkey, concat(element_at(array({", ".join(f"'{n}'" for n in _NAMES)}), cast(1 + p_partkey % 9 AS INT)), CASE WHEN p_partkey % 4 = 0 THEN concat(' ', upper(p_name)) ELSE '' END) AS m_brand,
+ element_at(array('', 'VACCIN GRIPPE', 'HEPATITE B', 'COVID ARNM'), cast(1 + p_size % 4 AS INT)) AS m_generic, element_at(array('SANOFI PASTEUR', 'PFIZER', 'BIO FARMA', 'GREEN CROSS', upper(p_type)), cast(1 + p_partkey % 5 AS INT)) AS m_lab FROM part"""
+_VACCINE_DOCS = f"""SELECT n_nationkey, concat(element_at(array({", ".join(f"'{n}'" for n in ["PENTAXIM", "COMIRNATY", "GCFLU", "CORONAVAC", "SPUTNIK", "EUVAX", "HEXAXIM SANOFI"])}), cast(1 + n_nationkey % 7 AS INT)), ' ', element_at(array('INFLUENZA', 'BIO FARMA', 'PFIZER', 'RED WIDGET'), cast(1 + n_nationkey % 4 AS INT)), CASE WHEN n_nationkey % 2 = 0 THEN ' PRODUCT INFORMATION' ELSE '' END) AS title, element_at(array('package_insert', 'report', 'other'), cast(1 + n_nationkey % 3 AS INT)) AS kind FROM nation"""
+
+
+def _duck(sql: str) -> str:
+    return sql.replace("element_at(array(", "list_extract(list_value(")
+
+
+def _vaccine_sql() -> str:
+    texts = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+    some = lambda hay, xs: f"len(list_filter({texts(xs)}, lambda x: contains({hay}, x))) > 0"
+    syn = " || ".join(f"CASE WHEN contains(base, '{k}') OR contains('{k}', base) OR contains(m_brand, '{k}') THEN {texts(v)} ELSE [] END" for k, v in K.SYNONYMS.items())
+    more = " || ".join(f"CASE WHEN {some('whole', w)} THEN {texts(t)} ELSE [] END" for w, t in K.DERIVED)
+    words = lambda x: f"list_filter(list_distinct(string_split({x}, ' ')), lambda w: length(w) >= 3 AND NOT list_contains({texts(K.TITLE_STOP)}, w))"
+    weight = "CASE kind " + " ".join(f"WHEN '{k}' THEN {w}" for k, w in K.DOCUMENT_WEIGHTS.items()) + " ELSE 0 END"
+    single = " OR ".join(f"(base = '{k}' AND {some('title', v)})" for k, v in K.SYNONYMS.items())
+    makers = " + ".join(f"CASE WHEN {some('title', n)} AND {some(own, n)} THEN {w} ELSE 0 END" for own, n, w in (("m_brand || ' ' || m_lab", ("BIONTECH", "PFIZER"), 0.20), ("m_brand || ' ' || m_lab", ("SINOVAC",), 0.22), ("m_brand || ' ' || m_lab", ("SANOFI",), 0.18)))
+    return f"""WITH r AS (SELECT *, trim(regexp_replace(regexp_replace(m_brand, '\\b[0-9]+(MG|MCG|UG|ML|UI|U|DOSE|DOSES)\\b', ' ', 'g'), ' +', ' ', 'g')) AS base, m_brand || ' ' || m_generic || ' ' || m_lab AS whole FROM ({_duck(_VACCINES)})),
+u AS (SELECT p_partkey, unnest([m_brand, m_generic, m_lab, base] || {syn} || {more}) AS t FROM r), v AS (SELECT p_partkey, list(DISTINCT t) FILTER (WHERE length(t) >= 3) AS terms FROM u GROUP BY p_partkey),
+j AS (SELECT *, {words("whole || ' ' || array_to_string(terms, ' ')")} AS mine, {words('title')} AS own FROM r JOIN v USING (p_partkey), ({_duck(_VACCINE_DOCS)}) d),
+s AS (SELECT p_partkey, n_nationkey, CASE WHEN m_brand <> '' AND contains(title, m_brand) THEN 0.60 WHEN base <> '' AND contains(title, base) THEN 0.55 ELSE 0 END + coalesce(list_sum(list_transform(list_filter(terms, lambda t: length(t) >= 5 AND contains(title, t)), lambda t: CASE WHEN list_contains({texts(K.SHARED_TERMS)}, t) THEN 0.08 ELSE 0.20 END)), 0)
+ + least(0.25, 0.25 * len(list_intersect(mine, own)) / greatest(1, least(8, len(mine)))) + {makers} + CASE WHEN contains(replace(title, ' ', ''), 'BIOFARMA') AND contains(replace(m_lab, ' ', ''), 'BIOFARMA') THEN 0.22 ELSE 0 END + {weight}
+ - CASE WHEN base <> '' AND NOT contains(base, ' ') AND NOT contains(title, base) AND NOT ({single}) THEN 0.15 ELSE 0 END - CASE WHEN contains(m_brand, 'PENTAXIM') AND contains(title, 'HEXAXIM') THEN 0.40 ELSE 0 END
+ - CASE WHEN contains(m_brand, 'SPUTNIK') AND NOT ({some('title', ('SPUTNIK', 'GAMALEYA', 'GAM COVID'))}) THEN 0.35 ELSE 0 END - CASE WHEN contains(m_brand, 'CORONAVAC') AND NOT ({some('title', ('CORONAVAC', 'SINOVAC'))}) THEN 0.35 ELSE 0 END AS score FROM j)
+SELECT p_partkey, n_nationkey, round(greatest(0, least(0.98, score)), 6)::DOUBLE AS score FROM s WHERE round(least(0.98, score), 6) >= 0.55"""
+
+
+@query(_vaccine_sql())
 def vaccine_document_score(spark: SparkSession, d: str) -> DataFrame:
-    """Every title against one product, a scalar subquery."""
-    p = _t(spark, d, "part")
-    name = p.agg(X.norm_folded(F.min("p_name")).alias("name")).scalar()
-    j = p.select("p_partkey", X.norm_folded("p_name").alias("title"), name.alias("name"))
-    return j.select("p_partkey", V.vaccine_score(c("title"), c("name"), F.split("name", " ").getItem(0), lit("product_information")).alias("score"))
+    """All pairs of vaccines and documents from the threshold on."""
+    rows = spark.sql(_VACCINES.replace("FROM part", "FROM {part}"), part=_t(spark, d, "part"))
+    docs = spark.sql(_VACCINE_DOCS.replace("FROM nation", "FROM {nation}"), nation=_t(spark, d, "nation"))
+    return K.vaccine_matches(spark, rows, docs, "p_partkey", "n_nationkey").select("p_partkey", "n_nationkey", "score")
 
 
 @query(f"""WITH q AS (SELECT item_id, n, list_filter(string_split(n, ' '), lambda w: length(w) >= 4) AS t FROM (SELECT item_id, {_normf('text')} AS n FROM benchmark)), r AS (SELECT doc_id, {_normf('text')} AS n FROM documents),

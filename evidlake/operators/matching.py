@@ -58,20 +58,39 @@ def sequence_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.
         yield pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-def name_matches(pairs: DataFrame, mode: str, line: str = "line", key: str = "key", line_tokens: str = "lt", key_tokens: str = "kt") -> DataFrame:
-    """``pairs`` of lines and catalogue names that are acceptable, with score and shared (tokens).
+def letters(c: Column) -> Column:
+    """The letters of a text, each with how often it came before: common ones of two texts are the elements that both arrays hold."""
+    chars = F.filter(F.split(c, ""), lambda x: x != "")
+    return F.transform(chars, lambda x, i: F.concat(x, F.size(F.filter(F.slice(chars, 1, i), lambda y: y == x)).cast("string")))
+
+
+def name_pairs(pairs: DataFrame, mode: str, line: str = "line", key: str = "key", line_tokens: str = "lt", key_tokens: str = "kt", line_letters: str = "ll", key_letters: str = "kl") -> DataFrame:
+    """``pairs`` with shared (tokens), known (the score where one holds the other) and most: the score that common letters allow.
 
-    The sequence ratio runs only where it decides: not where one holds the other, and not where even the largest ratio that
-    the lengths allow would not do.
+    Pairs that cannot be acceptable are left out: the matching blocks of two texts hold at most their common letters.
     """
     a, b, ta, tb = F.col(line), F.col(key), F.col(line_tokens), F.col(key_tokens)
     rows = pairs.withColumn("shared", F.size(F.array_intersect(ta, tb)))
     known = F.when((b != "") & F.contains(a, b), 1.0).when((F.length(a) >= 8) & F.contains(b, a), 0.95)
-    mixed = lambda r: 0.58 * r + 0.27 * F.col("shared") / F.greatest(F.lit(1), F.size(tb)) + 0.15 * F.col("shared") / F.greatest(F.lit(1), F.size(ta))
-    most = 2.0 * F.least(F.length(a), F.length(b)) / F.greatest(F.lit(1), F.length(a) + F.length(b))
-    direct = rows.where(known.isNotNull()).withColumn("score", known)
-    rest = rows.where(known.isNull() & acceptable(mixed(most) + 1e-9, F.col("shared"), mode)).withColumn("score", mixed(sequence_ratio(a, b)))
-    return direct.unionByName(rest).where(acceptable(F.col("score"), F.col("shared"), mode))
+    common = F.size(F.array_intersect(line_letters, key_letters))
+    most = _mixed(2.0 * common / F.greatest(F.lit(1), F.length(a) + F.length(b)), ta, tb)
+    return rows.withColumn("known", known).withColumn("most", F.coalesce("known", most)).where(acceptable(F.col("most") + 1e-9, F.col("shared"), mode))
+
+
+def _mixed(r: Column, ta: Column, tb: Column) -> Column:
+    return 0.58 * r + 0.27 * F.col("shared") / F.greatest(F.lit(1), F.size(tb)) + 0.15 * F.col("shared") / F.greatest(F.lit(1), F.size(ta))
+
+
+def name_matches(pairs: DataFrame, mode: str, line: str = "line", key: str = "key", line_tokens: str = "lt", key_tokens: str = "kt", line_letters: str = "ll", key_letters: str = "kl") -> DataFrame:
+    """``pairs`` of lines and catalogue names that are acceptable, with score and shared (tokens).
+
+    The sequence ratio runs only where it decides: not where one holds the other, and not where even all common letters would
+    not do. ``pairs`` have the letters of both sides (``letters``), made once a name.
+    """
+    rows = name_pairs(pairs, mode, line, key, line_tokens, key_tokens, line_letters, key_letters)
+    direct = rows.where("known IS NOT NULL").withColumn("score", F.col("known"))
+    rest = rows.where("known IS NULL").withColumn("score", _mixed(sequence_ratio(F.col(line), F.col(key)), F.col(line_tokens), F.col(key_tokens)))
+    return direct.unionByName(rest).where(acceptable(F.col("score"), F.col("shared"), mode)).drop("known", "most")
 
 
 def acceptable(score: Column, shared: Column, mode: str) -> Column:

@@ -265,3 +265,109 @@ def fast_matches(spark: SparkSession, medicines: DataFrame, records: DataFrame,
     found = contained(spark, records.select("name"), needles.select("needle")).join(needles, "needle").select(F.col("text").alias("name"), medicine).distinct()
     scored = found.join(records.select(record, "name", "holder", "kind"), "name").join(rows, medicine).withColumn("score", fast_score(F.col("name"), F.col("holder"), F.col("kind")))
     return scored.where(F.col("score") >= threshold).select(medicine, record, "score")
+
+
+# --- vaccine documents ----------------------------------------------------------------------------------------------
+
+# Weights of document types.
+DOCUMENT_WEIGHTS = {"summary_product_characteristics": 0.18, "product_characteristics": 0.16, "product_information": 0.14, "package_insert": 0.12, "package_leaflet": 0.10, "recommendation": 0.02, "report": 0.0}
+# Products and further terms for them.
+SYNONYMS = {
+    "COMINARTY": ("COMIRNATY", "BIONTECH", "PFIZER", "TOZINAMERAN", "COVID 19 MRNA"),
+    "COMIRNATY": ("COMINARTY", "BIONTECH", "PFIZER", "TOZINAMERAN", "COVID 19 MRNA"),
+    "COVID 19 VACCINE MODERNA": ("MODERNA", "MRNA", "NUCLEOSIDE MODIFIED"),
+    "COVID 19 VACCINE ASTRAZENECA": ("ASTRAZENECA", "CHADOX1", "AZD1222", "COVISHIELD"),
+    "CORONAVAC": ("CORONAVAC", "SINOVAC"),
+    "GAM COVID VAC": ("GAM COVID VAC", "GAMALEYA", "SPUTNIK"),
+    "SPUTNIK LIGHT": ("SPUTNIK", "GAMALEYA", "ADENOVIRUS"),
+    "GC FLU": ("GCFLU", "GC FLU", "GREEN CROSS", "INFLUENZA"),
+    "GCFLU QUADRIVALENT": ("GCFLU", "GC FLU", "GREEN CROSS", "INFLUENZA", "QUADRIVALENT"),
+    "HEPAVAX GENE": ("HEPAVAX", "HEPATITIS B", "HEP B"),
+    "EUVAX B": ("EUVAX", "HEPATITIS B", "LG"),
+    "ORAL POLIO VACCINE": ("ORAL POLIO", "POLIOMYELITIS", "BIO FARMA", "BIOFARMA"),
+    "NOVEL ORAL POLIOMYELITIS VACCINE TYPE 2 NVPO2": ("NOPV2", "NOVEL ORAL POLIO", "BIOFARMA", "BIO FARMA"),
+    "PENTAXIM": ("PENTAXIM", "SANOFI", "DTP", "HIB", "POLIO"),
+    "VAXIGRIPTETRA": ("VAXIGRIP", "SANOFI", "INFLUENZA", "QUADRIVALENT"),
+    "VACCIN DTP DTC ADSORBE": ("DTP", "DIPHTHERIA", "TETANUS", "PERTUSSIS", "SERUM INSTITUTE"),
+    "VACCIN DU VIRUS VIVANT DE LA ROUGEOLE ET DE LA RUBEOLE USP": ("MEASLES", "RUBELLA", "SERUM INSTITUTE"),
+}
+# Words in names, substances and makers, and the terms that they stand for; terms that many products share.
+DERIVED = ((("INFLUENZA", "ANTIGRIPPE", "GRIPPE"), ("INFLUENZA",)), (("HEPATITE B", "HEPATITIS B"), ("HEPATITIS B",)), (("COVID",), ("COVID 19",)), (("POLIO", "POLIOMYEL"), ("POLIO", "POLIOMYELITIS")))
+SHARED_TERMS = ("COVID 19", "INFLUENZA", "POLIO", "POLIOMYELITIS", "HEPATITIS B")
+# Words that are no tokens of vaccine titles.
+TITLE_STOP = ("VACCINE", "VACCIN", "COVID", "PRODUCT", "INFORMATION", "PACKAGE", "LEAFLET", "INSERT", "WHO", "SUMMARY", "CHARACTERISTICS", "SUSPENSION", "INJECTION", "SOLUTION", "FOR", "THE", "AND", "OF", "DE", "LA", "LE", "A", "B")
+# Makers, how each is named in titles and in rows (blanks left out for biofarma), and what that adds.
+MAKERS = (("biontech", ("BIONTECH", "PFIZER"), 0.20), ("moderna", ("MODERNA",), 0.22), ("astrazeneca", ("ASTRAZENECA",), 0.22), ("sinovac", ("SINOVAC",), 0.22), ("biofarma", ("BIOFARMA",), 0.22), ("sanofi", ("SANOFI",), 0.18))
+
+
+def _holds(hay: Column, needles: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.contains(hay, F.lit(n)) for n in needles])
+
+
+def _maker(kind: str, names: tuple[str, ...], title: bool) -> Column:
+    """Whether a title, or a row's name and laboratory, names a maker."""
+    if kind == "biofarma":
+        return _holds(F.replace(F.col("title" if title else "m_lab"), F.lit(" "), F.lit("")), names)
+    return _holds(F.col("title") if title else F.concat_ws(" ", "m_brand", "m_lab"), names)
+
+
+def vaccine_parts(rows: DataFrame) -> DataFrame:
+    """Rows (m_brand, m_generic, m_lab as normal forms) with base (the name without doses), terms and tokens to look for."""
+    name, generic, lab = (F.col(x) for x in ("m_brand", "m_generic", "m_lab"))
+    base = F.trim(F.regexp_replace(F.regexp_replace(name, r"\b[0-9]+(?:MG|MCG|UG|ML|UI|U|DOSE|DOSES)\b", " "), r"\s+", " "))
+    rows = rows.withColumn("base", base)
+    whole = F.concat_ws(" ", name, generic, lab)
+    none = F.array().cast("array<string>")
+    more = [F.when(F.contains(F.col("base"), F.lit(k)) | F.contains(F.lit(k), F.col("base")) | F.contains(name, F.lit(k)), F.array(*map(F.lit, v))).otherwise(none) for k, v in SYNONYMS.items()]
+    more += [F.when(_holds(whole, words_), F.array(*map(F.lit, terms))).otherwise(none) for words_, terms in DERIVED]
+    terms = F.filter(F.array_distinct(F.concat(F.array(name, generic, lab, F.col("base")), *more)), lambda t: F.length(t) >= 3)
+    rows = rows.withColumn("terms", terms)
+    return rows.withColumn("tokens", _title_words(F.concat_ws(" ", whole, F.array_join("terms", " "))))
+
+
+def _title_words(c: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(c, " "), lambda w: (F.length(w) >= 3) & ~w.isin(*TITLE_STOP)))
+
+
+def vaccine_score() -> Column:
+    """struct<score, reasons> of a document (title, kind) for a row of ``vaccine_parts``."""
+    title, name, base = F.col("title"), F.col("m_brand"), F.col("base")
+    named = (name != "") & F.contains(title, name)
+    based = ~named & (base != "") & F.contains(title, base)
+    hits = F.filter("terms", lambda t: (F.length(t) >= 5) & F.contains(title, t))
+    shared = F.array_sort(F.array_intersect("tokens", _title_words(title)))
+    parts = [(named, 0.60, F.lit("name_in_title")), (based, 0.55, F.lit("base_name_in_title"))]
+    terms = F.aggregate(hits, F.lit(0.0), lambda a, t: a + F.when(t.isin(*SHARED_TERMS), 0.08).otherwise(0.20))
+    term_reasons = F.transform(hits, lambda t: F.concat(F.when(t.isin(*SHARED_TERMS), "generic:").otherwise("term:"), t))
+    overlap = F.least(F.lit(0.25), 0.25 * F.size(shared) / F.greatest(F.lit(1), F.least(F.size("tokens"), F.lit(8))))
+    makers = [(_maker(k, names, True) & _maker(k, names, False), w, F.lit(f"manufacturer_{k}")) for k, names, w in MAKERS]
+    if_synonym = [(base == k) & _holds(title, v) for k, v in SYNONYMS.items()]
+    guards = [
+        ((base != "") & ~F.contains(base, F.lit(" ")) & ~F.contains(title, base) & ~reduce(Column.__or__, if_synonym), -0.15, F.lit("single_token_guard")),
+        (F.contains(name, F.lit("PENTAXIM")) & F.contains(title, F.lit("HEXAXIM")), -0.40, F.lit("reject_hexaxim_for_pentaxim")),
+        (_holds(name, ("SPUTNIK", "GAM COVID VAC")) & ~_holds(title, ("SPUTNIK", "GAMALEYA", "GAM COVID")), -0.35, F.lit("sputnik_guard")),
+        (F.contains(name, F.lit("CORONAVAC")) & ~_holds(title, ("CORONAVAC", "SINOVAC")), -0.35, F.lit("coronavac_guard")),
+    ]
+    kind = F.coalesce("kind", F.lit(""))
+    weight = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in DOCUMENT_WEIGHTS.items() for x in kv]), kind), F.lit(0.0))
+    add = lambda ps: reduce(Column.__add__, [F.when(cond, w).otherwise(0.0) for cond, w, _ in ps])
+    said = lambda ps: F.array(*[F.when(cond, reason) for cond, _, reason in ps])
+    total = add(parts) + terms + overlap + add(makers) + weight + add(guards)
+    reasons = F.concat(said(parts), term_reasons, F.array(F.when(F.size(shared) > 0, F.concat(F.lit("tokens:"), F.array_join(F.slice(shared, 1, 6), "/")))), said(makers), F.array(F.when(kind != "", F.concat(F.lit("doc_type:"), kind))), said(guards))
+    return F.struct(F.round(F.greatest(F.lit(0.0), F.least(F.lit(0.98), total)), 6).alias("score"), F.array_join(F.array_compact(reasons), ";").alias("reasons"))
+
+
+def vaccine_matches(spark: SparkSession, rows: DataFrame, documents: DataFrame, row: str, document: str, threshold: float = 0.55) -> DataFrame:
+    """(row, document, score, reasons) of all pairs at or above the threshold; documents have title and kind.
+
+    Shared tokens and the document's type add 0.43 at most, so pairs are found by names and terms in titles and by makers.
+    """
+    if threshold <= 0.43:
+        raise ValueError("pairs could reach this threshold by shared words alone")
+    known = vaccine_parts(rows)
+    needles = known.select(row, F.explode(F.array_distinct(F.concat(F.array("m_brand", "base"), F.filter("terms", lambda t: F.length(t) >= 5)))).alias("needle"))
+    found = contained(spark, documents.select("title"), needles.select("needle")).join(needles, "needle").join(documents.select(document, F.col("title").alias("text")), "text").select(row, document)
+    made = lambda df, key, title: df.select(key, F.explode(F.array_compact(F.array(*[F.when(_maker(k, names, title), F.lit(k)) for k, names, _ in MAKERS]))).alias("maker"))
+    pairs = found.union(made(known, row, False).join(made(documents, document, True), "maker").select(row, document)).distinct()
+    scored = pairs.join(known, row).join(documents.select(document, "title", "kind"), document).select(row, document, vaccine_score().alias("s")).select(row, document, "s.*")
+    return scored.where(F.col("score") >= threshold)

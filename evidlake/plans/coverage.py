@@ -16,8 +16,6 @@ ADAPTERS = {
     "aifa_foglio_illustrativo_pdf": (0.66, 67, "it"), "aifa_metadata": (0.58, 57, "it"), "titck_kub_pdf": (0.70, 71, "tr"), "titck_kt_pdf": (0.64, 65, "tr"), "titck_metadata": (0.56, 56, "tr"), "health_canada_dpd": (0.58, 58, "en"), "cecmed_rcp_pdf": (0.70, 71, "es"),
     "chembl_ebi_api": (0.55, 56, "en"), "pubchem_annotations": (0.52, 53, "en"), "openfda_live_label": (0.68, 68, "en"), "dailymed_live_spl": (0.64, 66, "en"),
 }
-# Weights of document types in the vaccine score.
-DOCUMENT_WEIGHTS = {"summary_product_characteristics": 0.18, "product_characteristics": 0.16, "product_information": 0.14, "package_insert": 0.12, "package_leaflet": 0.10, "recommendation": 0.02, "report": 0.0}
 # Status of a source that is only registered.
 STATUS_ONLY = "registered_source_status_only"
 MACHINE_SOURCES = ("cima", "emc", "mhra", "ema", "aifa", "titck", "canada", "cecmed")
@@ -60,17 +58,6 @@ def section_contract(df: DataFrame, source: str, score: Column, text: str, key:
     })
 
 
-def vaccine_score(title: Column, name: Column, base: Column, kind: Column) -> Column:
-    """Score of a product document against a vaccine: name or base in its title, shared words, document type, guards."""
-    weight = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, v in DOCUMENT_WEIGHTS.items() for x in (k, v)]), kind), F.lit(0.0))
-    words = F.array_distinct(F.filter(F.split(name, " "), lambda w: F.length(w) >= 3))
-    shared = F.size(F.array_intersect(words, F.split(title, " ")))
-    hit = F.when((name != "") & F.contains(title, name), 0.60).when((base != "") & F.contains(title, base), 0.55).otherwise(0.0)
-    overlap = F.least(F.lit(0.25), 0.25 * shared / F.greatest(F.lit(1), F.least(F.size(words), F.lit(8))))
-    guard = F.when((F.size(F.split(base, " ")) == 1) & (base != "") & ~F.contains(title, base), 0.15).otherwise(0.0)
-    return F.round(F.least(F.lit(0.98), F.greatest(F.lit(0.0), hit + overlap + weight - guard)), 4)
-
-
 def bulk_search(queries: DataFrame, records: DataFrame, query_id: str, record_id: str, text: str = "norm", k: int = 50, per_word: int = 500, least: int = 4) -> DataFrame:
     """Records by the share of query words that they hold (as parts of words, too), plus 0.2 for the whole query; the best k.
 

@@ -179,3 +179,60 @@ def test_waterfall_asks_only_for_what_is_left(spark):
     assert {r["k"]: (r["source"], r["v"]) for r in answers.collect()} == {k: ("a" if k < 12 else "b" if k % 2 == 0 else "d", 1) for k in range(20)}
     assert seen == {"a": set(range(20)), "b": set(range(12, 20)), "c": {13, 15, 17, 19}, "d": {13, 15, 17, 19}}
     assert {tuple(r) for r in asked.collect()} == {("a", 20, 12), ("b", 8, 4), ("c", 4, 0), ("d", 4, 4)}
+
+
+def plain_vaccine(m, title, kind):
+    """Score and reasons of one document for one row."""
+    _, name, generic, lab = m[:4]
+    base = " ".join(re.sub(r"\b\d+(?:MG|MCG|UG|ML|UI|U|DOSE|DOSES)\b", " ", name).split())
+    terms = [x for x in (name, generic, lab, base) if x]
+    for k, v in K.SYNONYMS.items():
+        if k in base or base in k or k in name:
+            terms += v
+    text = " ".join([name, generic, lab])
+    for words, more in K.DERIVED:
+        if any(w in text for w in words):
+            terms += more
+    terms = [t for t in dict.fromkeys(terms) if len(t) >= 3]
+    words = lambda t: {w for w in t.split() if len(w) >= 3 and w not in K.TITLE_STOP}
+    s, why = 0.0, []
+
+    def add(cond, n, reason):
+        nonlocal s
+        if cond:
+            s += n
+            why.append(reason)
+
+    add(name and name in title, 0.60, "name_in_title")
+    add(not (name and name in title) and base and base in title, 0.55, "base_name_in_title")
+    for t in terms:
+        shared = t in ("COVID 19", "INFLUENZA", "POLIO", "POLIOMYELITIS", "HEPATITIS B")
+        add(len(t) >= 5 and t in title, 0.08 if shared else 0.20, f"{'generic' if shared else 'term'}:{t}")
+    mine = words(" ".join([name, generic, lab, *terms]))
+    both = mine & words(title)
+    add(both, min(0.25, 0.25 * len(both) / max(1, min(len(mine), 8))), "tokens:" + "/".join(sorted(both)[:6]))
+    own = name + " " + lab
+    add(any(x in title for x in ("BIONTECH", "PFIZER")) and any(x in own for x in ("BIONTECH", "PFIZER")), 0.20, "manufacturer_biontech")
+    for k, n in (("moderna", 0.22), ("astrazeneca", 0.22), ("sinovac", 0.22)):
+        add(k.upper() in title and k.upper() in own, n, f"manufacturer_{k}")
+    add("BIOFARMA" in title.replace(" ", "") and ("BIO FARMA" in lab or "BIOFARMA" in lab.replace(" ", "")), 0.22, "manufacturer_biofarma")
+    add("SANOFI" in title and "SANOFI" in own, 0.18, "manufacturer_sanofi")
+    add(kind, K.DOCUMENT_WEIGHTS.get(kind, 0.0), f"doc_type:{kind}")
+    add(base and len(base.split()) == 1 and base not in title and not any(x in title for x in K.SYNONYMS.get(base, ())), -0.15, "single_token_guard")
+    add("PENTAXIM" in name and "HEXAXIM" in title, -0.40, "reject_hexaxim_for_pentaxim")
+    add(("SPUTNIK" in name or "GAM COVID VAC" in name) and not any(x in title for x in ("SPUTNIK", "GAMALEYA", "GAM COVID")), -0.35, "sputnik_guard")
+    add("CORONAVAC" in name and not any(x in title for x in ("CORONAVAC", "SINOVAC")), -0.35, "coronavac_guard")
+    return round(max(0.0, min(0.98, s)), 6), ";".join(why)
+
+
+def test_vaccine_documents_are_those_of_all_pairs(spark):
+    rng = random.Random(9)
+    names = ["PENTAXIM", "COMINARTY", "COMIRNATY 30UG DOSE", "GC FLU", "CORONAVAC", "SPUTNIK LIGHT", "GAM COVID VAC", "EUVAX B 10MCG", "HEPAVAX GENE", "BCG", "", "VAXIGRIPTETRA", "COVID 19 VACCINE MODERNA", "ORAL POLIO VACCINE", "UNKNOWN VACCIN"]
+    labs = ["SANOFI PASTEUR", "PFIZER BIONTECH", "BIO FARMA", "BIOFARMA", "GREEN CROSS", "SINOVAC", "MODERNA", ""]
+    rows = [(i, n, g, rng.choice(labs)) for i, (n, g) in enumerate(product(names, ["", "VACCIN GRIPPE", "HEPATITE B", "COVID ARNM", "POLIO"]))]
+    extra = ["PRODUCT INFORMATION", "SANOFI", "PFIZER", "BIO FARMA", "SINOVAC", "HEXAXIM", "INFLUENZA", "HEPATITIS B", "COVID 19 MRNA", "POLIOMYELITIS", "GAMALEYA", "MODERNA"]
+    docs = [(i, " ".join(rng.sample(extra, rng.randrange(0, 4)) + [n] * (rng.random() < 0.6)).strip(), rng.choice([*K.DOCUMENT_WEIGHTS, "other", "", None])) for i, n in enumerate(names * 5)]
+    got = {(r["m"], r["d"]): (r["score"], r["reasons"]) for r in K.vaccine_matches(spark, spark.createDataFrame(rows, "m long, m_brand string, m_generic string, m_lab string"), spark.createDataFrame(docs, "d long, title string, kind string"), "m", "d").collect()}
+    want = {(m[0], d[0]): x for m, d in product(rows, docs) if (x := plain_vaccine(m, d[1], d[2] or ""))[0] >= 0.55}
+    assert got == want and 200 < len(got) < len(rows) * len(docs) / 2
+    assert len({re.sub(r"[:].*", "", x) for _, s in want.values() for x in s.split(";")}) > 8
