@@ -83,10 +83,11 @@ def class_map_scan(spark: SparkSession, d: str) -> DataFrame:
     return I.class_map(spark, path).select("CLASS_CODE", "CLASS_NAME", "SUBCLASS_CODE", "SUBCLASS_NAME")
 
 
-def _xml(spark: SparkSession, d: str) -> str:
-    path = _path(spark)
+def _xml(spark: SparkSession, d: str, prefix: str = "") -> str:
+    """Files of records, all their elements with a prefix."""
+    path, p = _path(spark), prefix
     name = F.replace(F.replace(c("p_name"), lit("&"), lit("&amp;")), lit("<"), lit("&lt;"))
-    rec = F.concat(lit('<rec id="'), c("p_partkey").cast("string"), lit('">\n<name>'), name, lit("</name><size>"), c("p_size").cast("string"), lit("</size>\n</rec>"))
+    rec = F.concat(lit(f'<{p}rec id="'), c("p_partkey").cast("string"), lit(f'">\n<{p}name>'), name, lit(f"</{p}name><{p}size>"), c("p_size").cast("string"), lit(f"</{p}size>\n</{p}rec>"))
     file = _t(spark, d, "part").groupBy((c("p_partkey") % 16).alias("file")).agg(F.concat(lit("<all>"), F.array_join(F.collect_list(rec), "\n"), lit("</all>")).alias("x"))
     O.side_files(file, "file", "x", path)
     return path
@@ -94,8 +95,8 @@ def _xml(spark: SparkSession, d: str) -> str:
 
 @query("SELECT p_partkey::BIGINT AS id, p_name AS name, p_size::BIGINT AS size FROM part")
 def xml_row_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Records of an XML file, attributes too."""
-    rows = I.xml_rows(spark, _xml(spark, d), "rec", "_id long, name string, size long")
+    """Records of an XML file whose elements have a prefix, attributes too."""
+    rows = I.xml_rows(spark, _xml(spark, d, "p:"), "rec", "_id long, name string, size long")
     return rows.select(c("_id").alias("id"), "name", "size")
 
 

@@ -94,17 +94,40 @@ def class_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(schema).json(path).select(F.inline("subclasses"))
 
 
-def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None) -> DataFrame:
-    reader = spark.read.format("xml").option("rowTag", row_tag)
-    return (reader.schema(schema) if schema else reader).load(path)
+def _xml_prefix(spark: SparkSession, path: str, tag: str) -> str | None:
+    """The prefix, colon included, that a tag has in these files; None if it is nowhere."""
+    starts = spark.read.option("lineSep", ">").text(path).select(F.regexp_extract("value", rf"<((?:[\w.\-]+:)?{tag})(?:\s[^<]*)?/?$", 1).alias("name")).where("name <> ''")
+    found = [r["name"] for r in starts.distinct().limit(2).collect()]
+    if len(found) > 1:
+        raise ValueError(f"{tag} has several prefixes below {path}: read such files apart")
+    return found[0].removesuffix(tag) if found else None
 
 
-def xml_records(spark: SparkSession, path: str, tag: str, needles: Sequence[str] = ()) -> DataFrame:
-    """(value): the text of each record of a large XML file; only those that hold a needle are passed on to a parser."""
-    df = spark.read.option("lineSep", f"</{tag}>").text(path)
-    df = df.select(F.regexp_extract("value", rf"(?s)<{tag}(?:\s[^>]*)?>.*$", 0).alias("value")).where("value <> ''")
-    df = df.select(F.concat("value", F.lit(f"</{tag}>")).alias("value"))
-    return df.where(reduce(lambda a, b: a | b, [F.contains(F.lower("value"), F.lit(n.lower())) for n in needles])) if needles else df
+def xml_records(spark: SparkSession, path: str, tag: str, needles: Sequence[str] = (), *, plain: bool = False) -> DataFrame:
+    """(value): the text of each record of large XML files; only those that hold a needle are passed on to a parser.
+
+    Files are cut at the records' end tags by the text source, which splits them and finds records across the ends of splits, so a task
+    holds one record at a time. The tag may have a prefix, the same in all files. ``plain``: prefixes of elements and declarations
+    of namespaces are dropped. Records do not hold records of their own kind; end tags have no blanks.
+    """
+    prefix = _xml_prefix(spark, path, tag)
+    if prefix is None:
+        return spark.createDataFrame([], "value string")
+    end = f"</{prefix}{tag}>"
+    df = spark.read.option("lineSep", end).text(path)
+    df = df.select(F.regexp_extract("value", rf"(?s)<{prefix}{tag}(?:\s[^>]*)?>.*$", 0).alias("value")).where("value <> ''")
+    df = df.select(F.concat("value", F.lit(end)).alias("value"))
+    if needles:
+        df = df.where(reduce(lambda a, b: a | b, [F.contains(F.lower("value"), F.lit(n.lower())) for n in needles]))
+    if plain:
+        df = df.select(F.regexp_replace(F.regexp_replace("value", r"<(/?)[\w.\-]+:", "<$1"), r"""\sxmlns(?::[\w.\-]+)?\s*=\s*(?:"[^"]*"|'[^']*')""", "").alias("value"))
+    return df
+
+
+def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str) -> DataFrame:
+    """Records of large XML files under a schema, whatever prefix their elements have; attributes are columns that begin with ``_``."""
+    records = xml_records(spark, path, row_tag, plain=True)
+    return records.select(F.from_xml("value", schema, {"rowTag": row_tag}).alias("r")).where("r IS NOT NULL").select("r.*")
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ import sqlite3
 import tracemalloc
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from evidlake.sources import archives as A
@@ -92,3 +93,25 @@ def test_discovery_is_one_plan(spark, tmp_path):
     got = I.discover(spark, str(tmp_path), skip=["s3"])
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2
+
+
+def test_xml_records_with_and_without_prefixes(spark, tmp_path):
+    want = [(i, f"name {i} & é", i * 3) for i in range(3000)]
+    for prefix in ("", "ns.1:"):
+        folder = tmp_path / f"x{len(prefix)}"
+        os.makedirs(folder)
+        for k in range(3):
+            body = "".join(f'<{prefix}rec id="{i}" x:note="a"><{prefix}name>name {i} &amp; é</{prefix}name>\n<{prefix}size>{n}</{prefix}size><{prefix}recs>x</{prefix}recs></{prefix}rec>' for i, _, n in want[k::3])
+            (folder / f"{k}.xml").write_text(f'<?xml version="1.0"?><{prefix}all xmlns:x="u" xmlns:ns.1="v"><{prefix}records>{body}</{prefix}records></{prefix}all>', encoding="utf-8")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # records lie across the ends of splits
+        try:
+            got = I.xml_rows(spark, str(folder), "rec", "_id long, name string, size long")
+            assert got.rdd.getNumPartitions() > 10
+            assert sorted(map(tuple, got.collect())) == want
+            assert I.xml_records(spark, str(folder), "rec", ["name 17 "]).count() == 1
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert I.xml_records(spark, str(folder), "missing").count() == 0
+    (tmp_path / "x0" / "other.xml").write_text("<q:rec>1</q:rec>")
+    with pytest.raises(ValueError, match="prefixes"):
+        I.xml_records(spark, str(tmp_path / "x0"), "rec")
