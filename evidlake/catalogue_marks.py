@@ -145,14 +145,16 @@ def narrowed_registry(spark: SparkSession, d: str) -> DataFrame:
     return L.narrowed(_from_part(spark, d, _ASK), _from_part(spark, d, _REGISTRY), "p_partkey", "cand")
 
 
-@query("""SELECT p_partkey, cand, narrowed FROM (SELECT a.p_partkey, b.p_partkey AS cand, a.p_type = b.p_type AS same, bool_or(a.p_type = b.p_type) OVER (PARTITION BY a.p_partkey) AS narrowed FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_partkey <> b.p_partkey) WHERE same OR NOT narrowed""")
+@query("""WITH j AS (SELECT a.p_partkey, b.p_partkey AS cand, b.p_type = a.p_type AS same, a.p_partkey % 3 > 0 AS asked FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey),
+k AS (SELECT *, bool_or(same AND asked) OVER (PARTITION BY p_partkey) AS narrowed FROM j)
+SELECT 'lenient' AS mode, p_partkey, cand, narrowed FROM k WHERE CASE WHEN narrowed THEN same ELSE true END UNION ALL SELECT 'strict', p_partkey, cand, narrowed FROM k WHERE CASE WHEN narrowed THEN same ELSE NOT asked END""")
 def preferred_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates narrowed to preferred ones where there are any."""
-    a = _t(spark, d, "part").select("p_partkey", "p_name", c("p_type").alias("t"))
-    b = _t(spark, d, "part").select(c("p_partkey").alias("cand"), "p_name", "p_type")
-    j = a.join(b, "p_name").where("p_partkey <> cand").withColumn("same", c("t") == c("p_type"))
-    some = j.groupBy("p_partkey").agg(F.bool_or("same").alias("narrowed"))
-    return j.join(some, "p_partkey").where(c("same") | ~c("narrowed")).select("p_partkey", "cand", "narrowed")
+    """Candidates narrowed to preferred ones where there are any; without any, all or (strict) none."""
+    a = _t(spark, d, "part").select("p_partkey", "p_name", "p_brand", c("p_type").alias("t"))
+    b = _t(spark, d, "part").select(c("p_partkey").alias("cand"), "p_name", "p_brand", "p_type")
+    j = a.join(b, ["p_name", "p_brand"]).where("p_partkey <> cand")
+    modes = [R.preferred(j, "p_partkey", c("t") == c("p_type"), c("p_partkey") % 3 > 0, strict=s).select(lit(m).alias("mode"), "p_partkey", "cand", "narrowed") for m, s in (("lenient", False), ("strict", True))]
+    return modes[0].unionByName(modes[1])
 
 
 @query("""SELECT p_partkey, CASE WHEN contains(upper(p_name), 'GREEN') THEN 1 WHEN have >= 4 THEN 2 WHEN have > 0 THEN 3 ELSE 4 END AS priority FROM (SELECT *, (p_size > 10)::INT + (p_size > 20)::INT + (p_size > 30)::INT + (p_size > 40)::INT AS have FROM part)""")

@@ -127,10 +127,25 @@ def candidate_urls(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "part").select("p_partkey", F.inline(V.candidate_urls(c("p_partkey").cast("string"), parts))).select("p_partkey", "url", "src")
 
 
-@query("""SELECT n_nationkey, CASE WHEN n_name IN ('CANADA') THEN 'machine' ELSE 'registered_source_status_only' END AS status FROM nation""")
+@query("""SELECT p_partkey, src, CASE src WHEN 'belgium' THEN 'registered_contact' ELSE 'registered_no_live_adapter' END AS status, CASE src WHEN 'belgium' THEN 'https://b.example/' WHEN 'spain' THEN 'https://s.example/' ELSE '' END AS url FROM (SELECT p_partkey, ['belgium', 'spain', 'japan'][1 + p_partkey % 3] AS src FROM part)""")
 def registered_only_status(spark: SparkSession, d: str) -> DataFrame:
-    src = F.when(c("n_name") == "CANADA", "canada").otherwise("other")
-    return _t(spark, d, "nation").select("n_nationkey", F.when(src.isin(*V.MACHINE_SOURCES), "machine").otherwise(V.STATUS_ONLY).alias("status"))
+    """Rows of sources that are only registered: their status and address, no document."""
+    known = _values(spark, [("belgium", " registered_contact ", "https://b.example/"), ("spain", "", "https://s.example/")], "source string, status string, url string")
+    rows = _t(spark, d, "part").select("p_partkey", F.get(F.array(lit("belgium"), lit("spain"), lit("japan")), c("p_partkey") % 3).alias("src"))
+    return G.registered_only(rows, "src", known).select("p_partkey", "src", "status", "url")
+
+
+_SYSTEM_ROWS = "SELECT l_orderkey, l_linenumber, element_at(array('cima', 'aifa', 'titck', 'canada', 'ema', 'pmda'), cast(1 + l_orderkey % 6 AS INT)) AS src, element_at(array('ok_fi', 'OK_RCP', 'ok_kt', 'ok_kub', 'ok_other', 'not_found'), cast(1 + l_partkey % 6 AS INT)) AS status, element_at(array('https://x/dochtml/P/1', 'https://x/Foglio', 'https://x/?ts=RCP', 'https://x/?ts=rcp', 'https://x/a.PDF', 'https://x/documentPathKt'), cast(1 + l_suppkey % 6 AS INT)) AS url FROM lineitem"
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, CASE WHEN src = 'cima' THEN CASE WHEN url ILIKE '%/dochtml/p/%' THEN 'aemps_cima_prospecto' ELSE 'aemps_cima_ficha_tecnica' END
+ WHEN src = 'aifa' THEN CASE WHEN status ILIKE '%ok_fi%' OR url ILIKE '%foglio%' THEN 'aifa_foglio_illustrativo_pdf' WHEN status ILIKE '%ok_rcp%' OR url LIKE '%ts=RCP%' THEN 'aifa_rcp_pdf' ELSE 'aifa_metadata' END
+ WHEN src = 'titck' THEN CASE WHEN NOT starts_with(lower(status), 'ok_') THEN 'titck_metadata' WHEN status ILIKE '%ok_kt%' OR url ILIKE '%documentpathkt%' THEN 'titck_kt_pdf' WHEN status ILIKE '%ok_kub%' OR url ILIKE '%.pdf' THEN 'titck_kub_pdf' ELSE 'titck_metadata' END
+ WHEN src = 'canada' THEN 'health_canada_dpd' WHEN src = 'ema' THEN 'ema_medicine_finder' ELSE src END AS system FROM ({_SYSTEM_ROWS.replace("element_at(array(", "list_extract(list_value(")})""")
+def source_systems(spark: SparkSession, d: str) -> DataFrame:
+    """What records are filed under, by source, status and address."""
+    rows = spark.sql(_SYSTEM_ROWS.replace("FROM lineitem", "FROM {lineitem}"), lineitem=_t(spark, d, "lineitem"))
+    return rows.select("l_orderkey", "l_linenumber", G.source_system(c("src"), c("status"), c("url")).alias("system"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, round(l_quantity*l_discount,6) AS score, least(0.95, greatest(0.05, round(l_discount,2)))::DOUBLE AS clamped, l_quantity::INT // 10 AS bucket FROM lineitem""")

@@ -201,3 +201,14 @@ def with_row_id(df: DataFrame, order: Sequence[Column], name: str = "row_id") ->
     off = counts.select("__p", (F.sum("__c").over(Window.orderBy("__p")) - F.col("__c")).alias("__off"))
     own = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
     return part.withColumn("__i", own).join(off, "__p").withColumn(name, (F.col("__off") + F.col("__i")).cast("long")).drop("__p", "__i", "__off")
+
+
+def preferred(candidates: DataFrame, key: str, is_preferred: Column, asked: Column, *, strict: bool = False) -> DataFrame:
+    """``candidates`` with narrowed added: of keys with a preferred candidate only these, of others all, or none if ``strict``.
+
+    ``asked``: whether there is a preference for the row's key at all; keys without one keep all candidates.
+    """
+    rows = candidates.withColumn("__p", F.coalesce(is_preferred, F.lit(False))).withColumn("__a", F.coalesce(asked, F.lit(False)))
+    some = rows.groupBy(key).agg(F.bool_or(F.col("__p") & F.col("__a")).alias("narrowed"))
+    keep = F.when(F.col("narrowed"), F.col("__p")).otherwise(~F.col("__a") | F.lit(not strict))
+    return rows.join(some, key).where(keep).drop("__p", "__a")

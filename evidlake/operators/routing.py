@@ -201,3 +201,50 @@ def recovery(status: Column | str) -> Column:
     for name, action in RECOVERY.items():
         out = out.when(s == name, action)
     return out.otherwise("none")
+
+
+# By source what marks a kind of document in the status or in the address, and the system it is filed under; the last of a
+# source stands where nothing marks it. Marks are looked for in lower case, but for "ts=RCP".
+SYSTEMS = {
+    "cima": ((None, "/dochtml/p/", "aemps_cima_prospecto"), (None, None, "aemps_cima_ficha_tecnica")),
+    "aifa": (("ok_fi", "foglio", "aifa_foglio_illustrativo_pdf"), ("ok_rcp", "ts=RCP", "aifa_rcp_pdf"), (None, None, "aifa_metadata")),
+    "titck": (("ok_kt", "documentpathkt", "titck_kt_pdf"), ("ok_kub", ".pdf$", "titck_kub_pdf"), (None, None, "titck_metadata")),
+    "canada": ((None, None, "health_canada_dpd"),),
+    "cecmed": ((None, None, "cecmed_rcp_pdf"),),
+    "ema": ((None, None, "ema_medicine_finder"),),
+    "mhra": ((None, None, "mhra_products_smpc"),),
+    "emc": ((None, None, "emc_smpc_html"),),
+}
+# Sources whose documents count only with a status that begins with ok_.
+NEED_OK = ("titck",)
+
+
+def source_system(source: Column, status: Column, url: Column) -> Column:
+    """The system that a record of a source is filed under; other sources are their own."""
+
+    def marked(word: str | None, address: str | None) -> Column | None:
+        conds = [F.contains(F.lower(status), F.lit(word))] if word else []
+        if address and address.endswith("$"):
+            conds.append(F.lower(url).endswith(address[:-1]))
+        elif address:
+            conds.append(F.contains(url if address != address.lower() else F.lower(url), F.lit(address)))
+        return reduce(Column.__or__, conds) if conds else None
+
+    out = source
+    for name, kinds in SYSTEMS.items():
+        *some, (_, _, rest) = kinds
+        inner = F.lit(rest)
+        for word, address, system in reversed(some):
+            inner = F.when(marked(word, address), system).otherwise(inner)
+        if name in NEED_OK:
+            inner = F.when(F.lower(status).startswith("ok_"), inner).otherwise(rest)
+        out = F.when(source == name, inner).otherwise(out)
+    return out
+
+
+def registered_only(rows: DataFrame, source: str, registered: DataFrame) -> DataFrame:
+    """``rows`` of sources without an adapter with status and url as registered (``registered``: source, status, url), a score of 0 and no sections."""
+    known = registered.select(F.col("source").alias(source), T.clean("status").alias("__status"), T.clean("url").alias("url"))
+    out = rows.join(known, source, "left")
+    status = F.when(F.coalesce("__status", F.lit("")) == "", "registered_no_live_adapter").otherwise(F.col("__status"))
+    return out.withColumn("status", status).withColumn("url", F.coalesce("url", F.lit(""))).withColumn("score", F.lit(0.0)).drop("__status")

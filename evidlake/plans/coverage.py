@@ -16,9 +16,6 @@ ADAPTERS = {
     "aifa_foglio_illustrativo_pdf": (0.66, 67, "it"), "aifa_metadata": (0.58, 57, "it"), "titck_kub_pdf": (0.70, 71, "tr"), "titck_kt_pdf": (0.64, 65, "tr"), "titck_metadata": (0.56, 56, "tr"), "health_canada_dpd": (0.58, 58, "en"), "cecmed_rcp_pdf": (0.70, 71, "es"),
     "chembl_ebi_api": (0.55, 56, "en"), "pubchem_annotations": (0.52, 53, "en"), "openfda_live_label": (0.68, 68, "en"), "dailymed_live_spl": (0.64, 66, "en"),
 }
-# Status of a source that is only registered.
-STATUS_ONLY = "registered_source_status_only"
-MACHINE_SOURCES = ("cima", "emc", "mhra", "ema", "aifa", "titck", "canada", "cecmed")
 
 
 def availability(rcp_mapped: Column, rcp_listed: Column, notice: Column, lab: Column, status: Column) -> dict[str, Column]:
