@@ -4,6 +4,7 @@ import collections
 import random
 import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -339,3 +340,80 @@ def test_crc_folds(spark):
 
     got = spark.range(50).select("id", fold("id", 7).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 7 for r in got)
+
+
+class _Tree(HTMLParser):
+    """Elements and blocks of a well-formed page, for ``plain_content``."""
+
+    def __init__(self):
+        super().__init__()
+        self.nodes, self.stack, self.blocks, self.in_link = [("", None)], [0], [], False
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.in_link = True
+            return
+        self.nodes.append((tag + "".join(f".{c}" for c in dict(attrs).get("class", "").split()), self.stack[-1]))
+        self.stack.append(len(self.nodes) - 1)
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.in_link = False
+        else:
+            self.stack.pop()
+
+    def handle_data(self, data):
+        if self.blocks and self.blocks[-1][0] == self.stack[-1] and self.blocks[-1][3] == len(self.nodes):
+            n, text, links, at = self.blocks.pop()
+        else:
+            n, text, links = self.stack[-1], "", 0
+        self.blocks.append((n, text + data, links + len(data.strip()) * self.in_link, len(self.nodes)))
+
+
+def plain_content(page):
+    """The path ratios by their definition, on pages of div and p without marks, article or main."""
+    tree = _Tree()
+    tree.feed(page)
+    up = lambda n: [n] if n == 0 else [n, *up(tree.nodes[n][1])]
+    path = lambda n: tuple(tree.nodes[x][0] for x in reversed(up(n)))
+    blocks = [(n, " ".join(t.split()), k) for n, t, k, _ in tree.blocks if t.strip()]
+    stats = {}
+    for n, t, k in blocks:
+        s = stats.setdefault(path(n), [0, 0, 0, 0])
+        for i, v in enumerate((len(t), sum(c in ".,;:!?" for c in t), min(k, len(t)), 1)):
+            s[i] += v
+    mean = [[s[i] / s[3] for s in stats.values()] for i in (0, 1)]
+    even = lambda v: [sum(w * v[min(max(i + d, 0), len(v) - 1)] for d, w in ((-1, 0.25), (0, 0.5), (1, 0.25))) for i in range(len(v))]
+    score = {p: a * (1 + b) * (1 - s[2] / s[0]) for (p, s), a, b in zip(stats.items(), *map(even, mean), strict=True)}
+    if max(score.values()) <= 0:
+        return ""
+    chosen = {n for n, _, _ in blocks if score[path(n)] >= 0.25 * max(score.values())}
+    root = next(x for x in up(min(chosen)) if all(x in up(n) for n in chosen))
+    while tree.nodes[root][0].split(".")[0] == "p":
+        root = tree.nodes[root][1]
+    part = lambda n: next((x for x in up(n) if x == root or tree.nodes[x][1] == root), None)
+    inside = [(part(n), n, t, k) for n, t, k in blocks if root in up(n)]
+    held = {p: (sum(len(t) for q, _, t, _ in inside if q == p), sum(k for q, _, _, k in inside if q == p), any(n in chosen for q, n, _, _ in inside if q == p)) for p, *_ in inside}
+    return "\n".join(t for p, _, t, _ in inside if held[p][2] or held[p][1] < 0.5 * held[p][0])
+
+
+def test_html_path_ratios_against_a_plain_model():
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+
+    def say():
+        body = " ".join(word() + rng.choice(["", "", "", ",", "."]) for _ in range(rng.choice([2, 3, 8, 30, 60])))
+        return f"<a href=x>{body}</a>" if rng.random() < 0.25 else body
+
+    def make(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return f'<p class="k{rng.randrange(3)}">{say()}</p>'
+        return f'<div class="c{rng.randrange(4)}">' + "".join(make(depth - 1) for _ in range(rng.randrange(1, 5))) + "</div>"
+
+    different = set()
+    for _ in range(400):
+        page = '<div class="top">' + "".join(make(rng.randrange(1, 4)) for _ in range(rng.randrange(1, 5))) + "</div>"
+        got = html.content(page)
+        assert got == plain_content(page), page
+        different.add(got.count("\n") + 1 < page.count("<p"))
+    assert different == {True, False}  # some pages lose parts, some none
