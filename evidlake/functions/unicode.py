@@ -71,7 +71,7 @@ def _ranges() -> str:
 
 
 def _expand(t: Column) -> Column:
-    """Every character of ``_several`` as what it becomes."""
+    """Every character of ``_several`` as what it becomes: the text is cut around them, and all other pieces stay as they are."""
     short = {c: f for c, f in _several().items() if len(f) <= 4 and ord(c) < 0x10000}
     keys = "".join(short)
 
@@ -80,7 +80,8 @@ def _expand(t: Column) -> Column:
         got = F.translate(c, "".join(mine), "".join(short[k][n] for k in mine))
         return got if n == 0 else F.nullif(got, c)
 
-    out = F.array_join(F.transform(F.split(t, ""), lambda c: F.concat_ws("", *[part(c, n) for n in range(4)])), "")
+    pieces = F.split(t, f"(?<={_ranges()})|(?={_ranges()})")
+    out = F.array_join(F.transform(pieces, lambda c: F.when(F.length(c) == 1, F.concat_ws("", *[part(c, n) for n in range(4)])).otherwise(c)), "")
     for c, f in _several().items():
         if len(f) > 4 and ord(c) < 0x10000:
             out = F.replace(out, F.lit(c), F.lit(f))
