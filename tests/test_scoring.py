@@ -236,3 +236,30 @@ def test_vaccine_documents_are_those_of_all_pairs(spark):
     want = {(m[0], d[0]): x for m, d in product(rows, docs) if (x := plain_vaccine(m, d[1], d[2] or ""))[0] >= 0.55}
     assert got == want and 200 < len(got) < len(rows) * len(docs) / 2
     assert len({re.sub(r"[:].*", "", x) for _, s in want.values() for x in s.split(";")}) > 8
+
+
+def shuffled(spark):
+    """Records that all stages so far have written to shuffles."""
+    gateway = spark.sparkContext._gateway
+    stages = spark._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+@pytest.mark.parametrize("source", ["cima", "gated"])
+def test_pairs_of_a_common_value_are_not_shuffled(spark, source):
+    meds = [(i, f"BRAND N{i}", "AAAA", "", "", "") for i in range(400)]
+    recs = [(i, f"BRAND X{i % 7}", "AAAA", "", "", "", "", "", "", [], False, "PIL") for i in range(400)]
+    join = K.fast_matches if source == "gated" else lambda s, m, r, a, b: K.matches(s, m, r, source, a, b)
+    before = shuffled(spark)
+    pairs = join(spark, spark.createDataFrame(meds, MEDICINE), spark.createDataFrame(recs, RECORD), "m", "r").collect()
+    assert len({(x["m"], x["r"]) for x in pairs}) == len(pairs) == 160_000
+    assert shuffled(spark) - before < 20_000
+
+
+def test_classes_hold_every_record_once(spark, monkeypatch):
+    monkeypatch.setattr(K, "MEMBERS", 50)
+    rows = [(i, "hot" if i % 2 else f"n{i % 10}", None) for i in range(2000)]
+    got = K.classes(spark.createDataFrame(rows, "r long, name string, kind string"), "r", ["name", "kind"]).collect()
+    assert sorted(r for x in got for r in x["members"]) == list(range(2000))
+    assert all(rows[r][1] == x["name"] for x in got for r in x["members"])
+    assert 10 < len(got) < 100 and max(len(x["members"]) for x in got) < 200
