@@ -227,3 +227,29 @@ def test_blocks_with_hot_words_share_what_they_share(spark):
     for least in (1, 2, 4):
         got = {(r["x"], r["y"]): r["shared"] for r in R.blocked(left, right, "x", "y", least=least).collect()}
         assert got == {k: n for k, n in want.items() if n >= least}
+
+
+def test_adapter_searches_once_for_equal_rows(spark):
+    """Every row has the sections of its best record that has any; records meet equal rows once."""
+    from evidlake.operators import routing as G
+
+    rows = spark.createDataFrame([(i, i % 3, "x" if i % 2 else None) for i in range(300)], "k long, block int, w string")
+    recs = spark.createDataFrame([(i, i % 3, None if i % 5 == 0 else f"t{i}") for i in range(300)], "r long, block int, t string")
+    sections = F.when(F.col("t").isNotNull(), F.array(F.struct(F.lit("a").alias("kind"), F.lit("T").alias("title"), F.col("t").alias("text"))))
+    score = F.when(F.col("w").isNull(), (F.col("r") % 10) / 10.0).otherwise((F.col("r") % 7) / 7.0)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    got = {r["k"]: (r["r"], r["text"]) for r in G.adapter(rows, recs, "block", "k", "r", counted(score), 0.5, F.coalesce(sections, F.array().cast("array<struct<kind:string,title:string,text:string>>"))).collect()}
+    want = {}
+    for k in range(300):
+        rank = lambda r: (r % 7) / 7.0 if k % 2 else (r % 10) / 10.0  # noqa: B023, E731
+        best = sorted((-rank(r), r) for r in range(300) if r % 3 == k % 3 and rank(r) >= 0.5)[:3]
+        first = next((r for _, r in best if r % 5), None)
+        if first is not None:
+            want[k] = (first, f"t{first}")
+    assert got == want and len(got) > 50 and seen.value < 3_000  # all pairs: 30,000
