@@ -253,3 +253,31 @@ def test_adapter_searches_once_for_equal_rows(spark):
         if first is not None:
             want[k] = (first, f"t{first}")
     assert got == want and len(got) > 50 and seen.value < 3_000  # all pairs: 30,000
+
+
+def test_segments_are_made_a_few_documents_at_a_time(spark, monkeypatch):
+    """Of a large batch of documents the sections of a slice are handed on before the next slice is read."""
+    from evidlake.operators import segment as S
+
+    sizes = []
+
+    class Frame:
+        dtypes = [("k", "bigint")]
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            import pyarrow as pa
+
+            n = 10 * S.SLICE + 3
+            batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([None if i == 5 else "y" * i for i in range(n)])], ["k", "t"])
+            sizes.extend(b.num_rows for b in run(iter([batch])))
+            return sizes
+
+    how = lambda t: [S.Section("a", "T", x, 0, 1) for x in (t or "")[:2]]
+    S.segment(Frame(), "k", "t", how)
+    assert len(sizes) == 11 and max(sizes) <= 2 * S.SLICE and sum(sizes) == 2 * (10 * S.SLICE + 3) - 2 - 1 - 2
+    sizes.clear()
+    S.statuses(Frame(), "k", "t", lambda t: ("ok", how(t)))
+    assert sizes == [S.SLICE] * 10 + [3]
