@@ -1,11 +1,13 @@
 """Steps that must not grow faster than their input: what is made once a row, read in slices, or never shuffled."""
 
+import random
 import unicodedata
 
 from pyspark.sql import functions as F
 
-from evidlake import catalogue_rules
+from evidlake import catalogue_marks, catalogue_rules
 from evidlake.functions import unicode as U
+from evidlake.operators import relational as R
 from evidlake.operators import segment as S
 
 
@@ -57,3 +59,34 @@ def test_folding_in_python_is_that_of_every_character():
             low, places = U.folded(text, lower)
             assert low == "".join(parts)
             assert list(range(len(text)) if places is None else places) == [i for i, p in enumerate(parts) for _ in p]
+
+
+def _plan(df):
+    return [(len(x) - len(x.lstrip(" :+-|")), x.lstrip(" :+-|").split(" ")[0]) for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+
+
+def _over_joins(df):
+    """Aggregates that read what a join made."""
+    plan = _plan(df)
+    below = lambda n: [x for x in plan[n + 1 : next((m for m in range(n + 1, len(plan)) if plan[m][0] <= plan[n][0]), len(plan))]]
+    return [x for n, (_, x) in enumerate(plan) if x == "Aggregate" and any(y == "Join" for _, y in below(n))]
+
+
+def test_pairs_of_preferred_rows_are_made_last(spark):
+    assert _over_joins(catalogue_marks.preferred_rows(spark, "/root/testdata/sf0.001")) == []
+
+
+def test_preferred_pairs_are_those_of_preferred(spark):
+    rng = random.Random(5)
+    some = lambda *xs: rng.choice([*xs, None])
+    rows = spark.createDataFrame([(n % 70, some("a", "b"), some("x", "y"), some("t", "u", "v")) for n in range(90)], "k long, name string, brand string, kind string")
+    asked = F.when(F.col("k") % 5 > 0, F.col("k") % 3 > 0)
+    cands = rows.select(F.col("k").alias("cand"), "name", "brand", F.col("kind").alias("other"))
+    pairs = rows.join(cands, ["name", "brand"]).where("k <> cand")
+    new = R.preferred_pairs(rows, "k", "cand", ["name", "brand"], "kind", asked)
+    for strict in (False, True):
+        want = R.preferred(pairs.dropDuplicates(["k", "cand", "kind", "other"]), "k", F.col("kind") == F.col("other"), asked, strict=strict).select("k", "cand", "narrowed")
+        got = new.where("strict") if strict else new
+        key = lambda df: {tuple(r) for r in df.select("k", "cand").collect()}
+        first = rows.groupBy("k").count().where("count = 1").select("k")
+        assert key(got.join(first, "k")) == key(want.join(first, "k"))
