@@ -3,9 +3,11 @@
 import random
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from evidlake import catalogue_marks, catalogue_rules
+from evidlake.functions import nested as N
 from evidlake.functions import unicode as U
 from evidlake.operators import relational as R
 from evidlake.operators import segment as S
@@ -90,3 +92,24 @@ def test_preferred_pairs_are_those_of_preferred(spark):
         key = lambda df: {tuple(r) for r in df.select("k", "cand").collect()}
         first = rows.groupBy("k").count().where("count = 1").select("k")
         assert key(got.join(first, "k")) == key(want.join(first, "k"))
+
+
+def test_nested_documents_are_taken_apart_in_slices():
+    batch = pa.array([str(n) for n in range(3 * N.SLICE + 5)] + [None])
+    held, most = [], 0
+
+    def one(doc):
+        held.append(doc)
+        return [("kind", "title", doc)] if doc else []
+
+    got = []
+    for part in N._sliced(one)(iter([batch, pa.array([], pa.string())])):
+        most, held = max(most, len(held)), []
+        got.extend(part.to_pylist())
+    assert most <= N.SLICE and [x[0]["text"] if x else None for x in got] == batch.to_pylist()
+
+
+def test_sections_of_broken_documents_are_none(spark):
+    rows = spark.createDataFrame([(n, None if n % 3 == 0 else "{" if n % 3 == 1 else "[1]") for n in range(100)], "k long, doc string")
+    got = rows.select("k", N.json_titled("doc", str).alias("j"), N.xml_label_sections("doc").alias("x")).collect()
+    assert len(got) == 100 and all(r["j"] == [] and r["x"] == [] for r in got)
