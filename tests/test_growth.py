@@ -113,3 +113,9 @@ def test_sections_of_broken_documents_are_none(spark):
     rows = spark.createDataFrame([(n, None if n % 3 == 0 else "{" if n % 3 == 1 else "[1]") for n in range(100)], "k long, doc string")
     got = rows.select("k", N.json_titled("doc", str).alias("j"), N.xml_label_sections("doc").alias("x")).collect()
     assert len(got) == 100 and all(r["j"] == [] and r["x"] == [] for r in got)
+
+
+def test_lines_are_ranked_before_they_meet_orders(spark):
+    plan = _plan(catalogue_marks.first_productive_of_three(spark, "/root/testdata/sf0.001"))
+    windows = [n for n, (_, x) in enumerate(plan) if x == "Window"]
+    assert windows and not any(x == "Join" and m > n and all(plan[i][0] > plan[n][0] for i in range(n + 1, m + 1)) for n in windows for m, (_, x) in enumerate(plan))
