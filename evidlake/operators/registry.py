@@ -56,12 +56,16 @@ def narrowed(queries: DataFrame, registry: DataFrame, key: str, candidate: str)
     scope = F.when(F.col("n_code") == 1, "decided").when(some("n_code") & some("n_both"), "both").when(some("n_code") & some("n_name"), "none").when(some("n_code"), "code").when(some("n_name"), "name").otherwise("all")
     q = q.withColumn("scope", scope).withColumn("within", F.when(F.col("scope") == "both", F.concat_ws(_SEP, "q_amm", "q_nom")).when(F.col("scope") == "code", F.col("q_amm")).when(F.col("scope") == "name", F.col("q_nom")).otherwise(""))
     asked = q.where(F.col("scope").isin("both", "code", "name", "all"))
-    needed = asked.select("scope", "within").distinct()
+    narrow = asked.where("scope <> 'all'").select("scope", "within").distinct()
     place = lambda scope, within: F.struct(F.lit(scope).alias("scope"), F.coalesce(within, F.lit("")).alias("within"))
-    scopes = F.array(place("all", F.lit("")), place("code", F.col("r_amm")), place("name", F.col("r_nom")), place("both", F.concat_ws(_SEP, "r_amm", "r_nom")))
-    rows = registry.select("*", F.inline(scopes)).join(needed, ["scope", "within"])
-    index = rows.select(candidate, "scope", "within", F.inline(_agreements("r_"))).groupBy("scope", "within", "fields", "value").agg(count.alias("n"), F.min(candidate).alias("one"))
-    met = asked.select(key, "scope", "within", F.inline(_agreements("q_"))).join(index, ["scope", "within", "fields", "value"]).where((F.col("scope") != "all") | (F.col("weight") > 0))
+    scopes = F.array(place("code", F.col("r_amm")), place("name", F.col("r_nom")), place("both", F.concat_ws(_SEP, "r_amm", "r_nom")))
+    # the whole registry is one scope, taken as it is: joined by it, all rows would go to one task
+    whole = registry.select("*", F.lit("all").alias("scope"), F.lit("").alias("within"))
+    rows = registry.select("*", F.inline(scopes)).join(narrow, ["scope", "within"]).select(whole.columns).unionByName(whole)
+    # without a common field there is no match in it, so the empty set, whose value all rows share, is never looked up
+    sets = lambda df, prefix, *more: df.select(*more, "scope", "within", F.inline(_agreements(prefix))).where("scope <> 'all' OR weight > 0")
+    index = sets(rows, "r_", candidate).groupBy("scope", "within", "fields", "value").agg(count.alias("n"), F.min(candidate).alias("one"))
+    met = sets(asked, "q_", key).join(index, ["scope", "within", "fields", "value"])
     levels = met.groupBy(key, "weight").agg(F.sum("n").alias("n"), F.min("one").alias("one"), F.sum(F.when(F.col("shown"), F.col("n"))).alias("n_shown"), F.min(F.when(F.col("shown"), F.col("one"))).alias("shown"))
     best = levels.groupBy(key).agg(F.max_by(F.struct("weight", "n", "one", "n_shown", "shown"), "weight").alias("b"))
     out = q.select(key, "scope", "by_code").join(best, key, "left").select(key, "scope", "by_code", "b.*")

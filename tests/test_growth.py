@@ -119,3 +119,8 @@ def test_lines_are_ranked_before_they_meet_orders(spark):
     plan = _plan(catalogue_marks.first_productive_of_three(spark, "/root/testdata/sf0.001"))
     windows = [n for n, (_, x) in enumerate(plan) if x == "Window"]
     assert windows and not any(x == "Join" and m > n and all(plan[i][0] > plan[n][0] for i in range(n + 1, m + 1)) for n in windows for m, (_, x) in enumerate(plan))
+
+
+def test_the_whole_registry_is_no_join_key(spark):
+    text = catalogue_marks.narrowed_registry(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline(array(" in text and "array([all,]" not in text
