@@ -2,6 +2,7 @@
 
 import random
 import unicodedata
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from evidlake import catalogue_marks, catalogue_rules
 from evidlake.functions import nested as N
 from evidlake.functions import unicode as U
+from evidlake.operators import containment as C
 from evidlake.operators import relational as R
 from evidlake.operators import segment as S
 
@@ -124,3 +126,14 @@ def test_lines_are_ranked_before_they_meet_orders(spark):
 def test_the_whole_registry_is_no_join_key(spark):
     text = catalogue_marks.narrowed_registry(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "inline(array(" in text and "array([all,]" not in text
+
+
+def test_rows_of_a_common_needle_are_made_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(R, "SIDE", 8)
+    monkeypatch.setattr(R, "PAIRS", 200)
+    texts = [(n, "x12" if n % 2 else f"y{n}x12") for n in range(60)] + [(None, "x12"), (7, "x12"), (9, None), (10, "z")]
+    needles = [(n, "12" if n % 3 else "x") for n in range(50)] + [(None, "12"), (3, "12"), (4, "")]
+    got = C.holders(spark, spark.createDataFrame(texts, "t long, text string"), spark.createDataFrame(needles, "n long, needle string"), "t", "text", "n", "needle").withColumn("p", F.spark_partition_id()).collect()
+    assert Counter((r["t"], r["n"]) for r in got) == Counter((t, n) for t, text in texts for n, needle in needles if text and needle and needle in text)
+    tasks = Counter(r["p"] for r in got)
+    assert len(tasks) > 8 and max(tasks.values()) < len(got) / 4
