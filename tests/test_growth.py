@@ -13,6 +13,7 @@ from evidlake.functions import unicode as U
 from evidlake.operators import containment as C
 from evidlake.operators import relational as R
 from evidlake.operators import segment as S
+from evidlake.plans import coverage as V
 
 
 def uses(column, name="the_text"):
@@ -137,3 +138,26 @@ def test_rows_of_a_common_needle_are_made_in_cells(spark, monkeypatch):
     assert Counter((r["t"], r["n"]) for r in got) == Counter((t, n) for t, text in texts for n, needle in needles if text and needle and needle in text)
     tasks = Counter(r["p"] for r in got)
     assert len(tasks) > 8 and max(tasks.values()) < len(got) / 4
+
+
+def test_bulk_search_reads_a_record_once(spark):
+    rng = random.Random(3)
+    words = ["ASPIRIN", "DOLO", "DOLORAN", "RANI", "MG", "ABCDE", "BCDE"]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(rng.randrange(n)))
+    queries, records = [(n, say(7)) for n in range(30)] + [(30, None), (31, "DOLO DOLO RANI")], [(n, say(9)) for n in range(80)] + [(80, None), (81, "DOLORAN")]
+    got = V.bulk_search(spark.createDataFrame(queries, "q long, norm string"), spark.createDataFrame(records, "r long, the_text string").select("r", F.col("the_text").alias("norm")), "q", "r", k=20, per_word=10)
+    assert "the_text" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = set()
+    for q, text in queries:
+        asked = [w for w in (text or "").split() if len(w) >= 4]
+        near = {r for w in asked for r in [r for r, t in records if w in (t or "").split()][:10]}
+        scored = sorted((-round(sum(w in t for w in asked) / len(asked) + 0.2 * (text in t), 4), r) for r, t in records if r in near)
+        want |= {(q, r, -s, n) for n, (s, r) in enumerate(scored[:20], 1)}
+    assert {(x["q"], x["r"], x["score"], x["rank"]) for x in got.collect()} == want and len(want) > 100
+
+
+def test_marked_texts_in_rounds(spark):
+    texts, needles = [(1, "AB CDE"), (2, "CDE"), (2, "CDE"), (3, None), (4, "XABX CD")], ["AB", "CDE", "CD", "AB CDE", None, "", "AB"]
+    for size in (1 << 20, 30):
+        got = C.marked(spark.createDataFrame(texts, "k long, text string"), spark.createDataFrame([(n,) for n in needles], "n string"), "k", "text", size=size).collect()
+        assert sorted((r["k"], sorted(r["words"]), sorted(r["held"])) for r in got) == [(1, ["AB", "CDE"], ["AB", "AB CDE", "CD", "CDE"]), (2, ["CDE"], ["CD", "CDE"]), (2, ["CDE"], ["CD", "CDE"]), (3, [], []), (4, ["CD"], ["AB", "CD"])]
