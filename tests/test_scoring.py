@@ -263,3 +263,17 @@ def test_classes_hold_every_record_once(spark, monkeypatch):
     assert sorted(r for x in got for r in x["members"]) == list(range(2000))
     assert all(rows[r][1] == x["name"] for x in got for r in x["members"])
     assert 10 < len(got) < 100 and max(len(x["members"]) for x in got) < 200
+
+
+@pytest.mark.parametrize("source", list(K.SOURCES))
+def test_scores_are_short_enough_to_be_compiled(spark, tables, source):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    meds, recs = tables
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = K.matches(spark, spark.createDataFrame(meds[:9], MEDICINE), spark.createDataFrame(recs[:9], RECORD), source, "m", "r")
+        code = spark._jvm.PythonSQLUtils.explainString(pairs._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert len(sizes) > 3 and max(sizes) < 8000
