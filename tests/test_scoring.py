@@ -277,3 +277,30 @@ def test_scores_are_short_enough_to_be_compiled(spark, tables, source):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert len(sizes) > 3 and max(sizes) < 8000
+
+
+@pytest.mark.parametrize(("source", "most"), [("bdpm", 3), ("cima", 1), ("aifa", 2), ("health_canada", 1), ("titck", 3), ("cecmed", 1)])
+def test_best_are_those_of_all_pairs(spark, tables, source, most):
+    meds, recs = tables
+    all_ = {}
+    for m, r in product(meds, recs):
+        if (s := round(plain_score(source, m, r), 4)) >= K.SOURCES[source].threshold:
+            all_.setdefault(m[0], []).append((-s, r[0]))
+    got = K.best(spark, spark.createDataFrame(meds, MEDICINE), spark.createDataFrame(recs, RECORD), source, "m", "r", most)
+    assert sorted((x["m"], -x["score"], x["r"]) for x in got.collect()) == sorted((m, s, r) for m, x in all_.items() for s, r in sorted(x)[:most])
+
+
+def test_best_makes_no_pairs_of_a_common_value(spark, monkeypatch):
+    meds = [(i, f"BRAND N{i % 9}", "AAAA", "", "", "") for i in range(400)]
+    recs = [(i, f"BRAND X{i % 7}", "AAAA", "", "", "", "", "", "", [], False, "PIL") for i in range(400)]
+    cells, made = K.in_cells, []
+
+    def counted(*args):
+        out = cells(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(K, "in_cells", counted)
+    got = K.best(spark, spark.createDataFrame(meds, MEDICINE), spark.createDataFrame(recs, RECORD), "cima", "m", "r", 1).collect()
+    assert sorted(tuple(x) for x in got) == [(i, 0, 0.95) for i in range(400)]
+    assert sum(made) < 200
