@@ -1,6 +1,7 @@
 """Steps that must not grow faster than their input: what is made once a row, read in slices, or never shuffled."""
 
 import random
+import re
 import unicodedata
 from collections import Counter
 
@@ -161,3 +162,15 @@ def test_marked_texts_in_rounds(spark):
     for size in (1 << 20, 30):
         got = C.marked(spark.createDataFrame(texts, "k long, text string"), spark.createDataFrame([(n,) for n in needles], "n string"), "k", "text", size=size).collect()
         assert sorted((r["k"], sorted(r["words"]), sorted(r["held"])) for r in got) == [(1, ["AB", "CDE"], ["AB", "AB CDE", "CD", "CDE"]), (2, ["CDE"], ["CD", "CDE"]), (2, ["CDE"], ["CD", "CDE"]), (3, [], []), (4, ["CD"], ["AB", "CD"])]
+
+
+def test_rules_are_tried_only_where_their_letters_stand():
+    rules = [p for profile in S.PROFILES.values() for _, p in profile.rules]
+    assert sum(bool(S._begins(p)) for _, p in S.SWISS) == len(S.SWISS)
+    rng = random.Random(8)
+    words = sorted({w for p in rules for w in re.findall("[a-z]{4,}", p)}) + ["4.1", "4.1.", "/", "et", "in", "d'emploi", "and", "x"]
+    for _ in range(300):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", "s ", "\n", "/", "-", "", "_"]) for _ in range(40))
+        for p in rules:
+            for flags in (0, re.M):
+                assert [m.span() for m in S._matches(p, text, flags)] == [m.span() for m in re.finditer(p, text, flags)]
